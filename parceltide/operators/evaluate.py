@@ -58,7 +58,7 @@ def chronological_split(frame: DataFrame, fractions: Sequence[float] | None = No
     kinds = dict(frame.dtypes)
 
     def before(cut) -> Column:
-        at = F.lit(cut[0]).cast(kinds[C.PURCHASE_TIME])
+        at = F.lit(cut[0].isoformat(sep=" ")).cast(kinds[C.PURCHASE_TIME])  # zone-free
         key = F.lit(cut[1]).cast(kinds[C.ORDER_KEY])
         return (F.col(C.PURCHASE_TIME) < at) | ((F.col(C.PURCHASE_TIME) == at) & (F.col(C.ORDER_KEY) < key))
 

@@ -70,9 +70,10 @@ def reconcile_keyed(left: DataFrame, right: DataFrame, key: str, columns: Sequen
     return joined.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
-def schema_diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """(ordinal, name) pairs on one side only, with the direction, ordered."""
-    columns = ["ordinal_position", "column_name"]
+def schema_diff(
+    expected: DataFrame, actual: DataFrame, columns: Sequence[str] = ("ordinal_position", "column_name")
+) -> DataFrame:
+    """Column descriptions on one side only, with the direction, ordered."""
     e, a = expected.select(*columns), actual.select(*columns)
     directed = lambda label, diff: diff.select(F.lit(label).alias("difference_direction"), *columns)
     return directed("EXPECTED_MINUS_ACTUAL", e.subtract(a)).unionByName(

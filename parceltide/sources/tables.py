@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parceltide import contracts as C
 
@@ -37,10 +37,29 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def schema_inventory(frame: DataFrame) -> DataFrame:
-    """(ordinal_position, column_name, data_type), in column order."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(frame.schema, start=1)]
-    layout = T.StructType.fromDDL("ordinal_position int, column_name string, data_type string")
-    return frame.sparkSession.createDataFrame(rows, layout)
+    """(ordinal_position, column_name, data_type, nullable), in column order.
+
+    ``nullable`` is observed: the column holds at least one NULL. Parquet schemas
+    written by Spark declare every column nullable, so the declaration says nothing.
+    """
+    gaps = frame.agg(*[F.count_if(F.col(f.name).isNull()).alias(f"g{i}") for i, f in enumerate(frame.schema)])
+    rows = [
+        F.struct(
+            F.lit(i + 1).alias("ordinal_position"), F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"), (F.col(f"g{i}") > 0).alias("nullable"),
+        )
+        for i, f in enumerate(frame.schema)
+    ]
+    return gaps.select(F.inline(F.array(*rows)))
+
+
+def expected_inventory(spark: SparkSession) -> DataFrame:
+    """The contract in the same shape."""
+    rows = [
+        (i, c, C.FEATURE_TYPES[c], c not in C.NOT_NULL_FEATURES) for i, c in enumerate(C.FEATURE_ROW, start=1)
+    ]
+    layout = "ordinal_position int, column_name string, data_type string, nullable boolean"
+    return spark.createDataFrame(rows, layout)
 
 
 def build_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
