@@ -6,12 +6,13 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from parceltide.contracts import AUDITED_METRICS
 from parceltide.operators.quality import feature_summary
-from parceltide.operators.validate import enforce, feature_violations, parse_violations
+from parceltide.operators.validate import check_known_metrics, enforce, feature_violations
+from parceltide.plans.ingest import ingest
 from parceltide.plans.order_features import build_order_features
 from parceltide.session import apply_skew_settings
 from parceltide.sinks import write_features
-from parceltide.sources.csv_files import check_headers, normalise_missing, read_raw, type_sources
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -19,26 +20,28 @@ def parse_args(argv=None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--source-root", required=True)
     parser.add_argument("--output", required=True)
+    parser.add_argument("--expect-audited-metrics", action="store_true")
     known, _ = parser.parse_known_args(argv)
     return known
 
 
-def run(spark: SparkSession, source_root: str, output: str):
+def run(spark: SparkSession, source_root: str, output: str, expected: dict[str, int] | None = None):
     """Build, write once, and check the written table; returns its one-row summary."""
-    check_headers(spark, source_root)
-    raw = normalise_missing(read_raw(spark, source_root))
-    enforce(parse_violations(raw))
-    write_features(build_order_features(type_sources(raw)), output)
+    write_features(build_order_features(ingest(spark, source_root)), output)
     written = spark.read.parquet(output)
     enforce(feature_violations(written))
-    return feature_summary(written)
+    summary = feature_summary(written)
+    if expected:
+        check_known_metrics(summary, expected)
+    return summary
 
 
 def main(argv=None) -> None:
     args = parse_args(argv)
     spark = apply_skew_settings(SparkSession.builder.appName("order-features").getOrCreate())
     try:
-        print(run(spark, args.source_root, args.output).first().asDict())
+        expected = AUDITED_METRICS if args.expect_audited_metrics else None
+        print(run(spark, args.source_root, args.output, expected).first().asDict())
     finally:
         spark.stop()
 

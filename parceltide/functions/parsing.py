@@ -9,8 +9,9 @@ MISSING_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-_TIMESTAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+_TIMESTAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
+_DIGITS = r"^\s*[+-]?\d{1,18}\s*\z"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity))\s*\z"
 
 
 def text_or_null(column: Column) -> Column:
@@ -27,10 +28,14 @@ def double_or_null(column: Column) -> Column:
 
 
 def long_or_null(column: Column) -> Column:
-    """Whole numbers, also when written ``2.0``; NULL for anything else."""
+    """Whole numbers, also when written ``2.0``; NULL for anything else.
+
+    Plain digits are cast directly, so they keep full precision. The pattern
+    comes first because a failing ``try_cast`` pays for an exception per row.
+    """
     number = double_or_null(column)
     whole = F.when((F.abs(number) < 9.0e18) & (number % 1 == 0), number)
-    return F.coalesce(F.trim(column).try_cast("bigint"), whole.try_cast("bigint"))
+    return F.when(column.rlike(_DIGITS), F.trim(column).try_cast("bigint")).otherwise(whole.cast("bigint"))
 
 
 def is_unparseable(raw: Column, parsed: Column) -> Column:

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import contracts as C
 from parceltide.functions.parsing import is_finite
-from parceltide.operators.ranking import global_rank, running_totals
+from parceltide.operators.ranking import running_totals
 from parceltide.operators.validate import ContractViolation, count_violations
 
 SPLITS = ("train", "validation", "test")
@@ -39,16 +40,16 @@ def split_cuts(frame: DataFrame, fractions: Sequence[float] | None = None) -> li
     if cuts[0] == 0 or cuts[1] <= cuts[0] or cuts[1] >= total:
         raise ContractViolation("too few rows for the chronological split")
 
-    wanted, before = [], 0
+    at_cut, before = [], 0
     for r in days:
-        wanted += [(r["day"], cut - before) for cut in cuts if before <= cut < before + r["n"]]
+        at_cut += [(r["day"], cut - before + 1) for cut in cuts if before <= cut < before + r["n"]]
         before += r["n"]
-    found = []
-    for cut_day in sorted({d for d, _ in wanted}):
-        rows = frame.where(day == F.lit(cut_day)).select(C.PURCHASE_TIME, C.ORDER_KEY)
-        positions = [p + 1 for d, p in wanted if d == cut_day]
-        ranked = global_rank(rows, [F.col(C.PURCHASE_TIME), F.col(C.ORDER_KEY)])
-        found += ranked.where(F.col("rank").isin(positions)).orderBy("rank").collect()
+    rows = frame.select(day.alias("day"), C.PURCHASE_TIME, C.ORDER_KEY, F.lit(1).alias("one")).where(
+        F.col("day").isin([d for d, _ in at_cut])
+    )
+    ranked = running_totals(rows, [F.col(C.PURCHASE_TIME), F.col(C.ORDER_KEY)], {"rank": "one"}, within=["day"])
+    is_cut = reduce(Column.__or__, [(F.col("day") == d) & (F.col("rank") == p) for d, p in at_cut])
+    found = ranked.where(is_cut).orderBy("day", "rank").collect()  # two rows
     return [(r[C.PURCHASE_TIME], r[C.ORDER_KEY]) for r in found]
 
 

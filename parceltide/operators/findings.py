@@ -9,8 +9,8 @@ from parceltide.operators.validate import count_violations, key_violations, unio
 # Severities, patterns and layouts.
 GATED = ("CRITICAL", "HIGH")
 REPORT_ONLY = ("MEDIUM", "LOW")
-CVE = "^CVE-[0-9]{4}-[0-9]{4,}$"
-TRACKER = "^https://security-tracker\\.debian\\.org/tracker/CVE-[0-9]{4}-[0-9]{4,}$"
+CVE = "^CVE-[0-9]{4}-[0-9]{4,}\\z"
+TRACKER = "^https://security-tracker\\.debian\\.org/tracker/CVE-[0-9]{4}-[0-9]{4,}\\z"
 RATIONALE_LIMIT = 1000
 SCAN_SCHEMA = (
     "imageScanStatus struct<status: string>, imageScanFindings struct<findings: array<struct<"

@@ -7,11 +7,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parceltide import contracts as C
 from parceltide.functions.geo import haversine_km, within
 from parceltide.operators.ranking import exact_quantiles
+from parceltide.session import stage
 
 _ZIP, _LAT, _LNG = "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"
 # Largest ZIP group, in raw rows, handed to the built-in median, which keeps
 # the distinct values of a group in the memory of one task.
-MEDIAN_GROUP_LIMIT = 1_000_000
+MEDIAN_GROUP_LIMIT = 100_000
 
 
 def inside_envelope() -> Column:
@@ -25,7 +26,8 @@ def zip_centroids(geolocation: DataFrame, group_limit: int = MEDIAN_GROUP_LIMIT)
     route; when there are none, the plan is a distinct and one aggregate.
     """
     points = geolocation.where(inside_envelope()).select(_ZIP, _LAT, _LNG).distinct()
-    crowded = geolocation.groupBy(_ZIP).agg(F.count("*").alias("n")).where(F.col("n") > group_limit).select(_ZIP)
+    sizes = geolocation.groupBy(_ZIP).agg(F.count("*").alias("n"))
+    crowded = stage(sizes.where(F.col("n") > group_limit).select(_ZIP), "crowded")
     if crowded.isEmpty():
         return _built_in_medians(points)
     axes = points.join(crowded, _ZIP, "left_semi").select(

@@ -10,7 +10,7 @@ from parceltide.functions.parsing import is_finite
 
 # Bounds of the request contract.
 YEARS = (2016, 2018)
-STATE_PATTERN = "^[A-Z]{2}$"
+STATE_PATTERN = "^[A-Z]{2}\\z"
 _RANGES = {"purchase_month": (1, 12), "purchase_day_of_week": (0, 6), "purchase_hour": (0, 23)}
 _AT_LEAST_ONE = ("item_row_count", "distinct_product_count", "distinct_seller_count")
 _STATES = ("customer_state", "primary_seller_state")

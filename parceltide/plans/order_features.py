@@ -9,6 +9,7 @@ from parceltide.functions import money
 from parceltide.operators import geography, items as item_ops, validate
 from parceltide.operators.orders import delivered_cohort, eligible_orders, purchase_features
 from parceltide.operators.payments import payment_features, payment_rollup
+from parceltide.plans.ingest import is_ingested
 from parceltide.session import apply_skew_settings, stage
 
 _PRODUCT, _SELLER, _CATEGORY = 0, 1, 2
@@ -180,8 +181,11 @@ def composed_features(sources: dict[str, DataFrame], centroids: DataFrame | None
 
 
 def build_order_features(sources: dict[str, DataFrame], one_order_per_customer: bool = True) -> DataFrame:
-    """Validate typed sources, then build. Raises before any feature is computed."""
-    validate.validate_sources(sources, one_order_per_customer)
+    """Validate typed sources, then build. Raises before any feature is computed.
+
+    Row rules are not repeated for sources that come from ``ingest``.
+    """
+    validate.validate_sources(sources, one_order_per_customer, row_rules=not is_ingested(sources))
     validate.enforce(
         validate.itemless_violations(delivered_cohort(sources["orders"]), sources["items"])
     )

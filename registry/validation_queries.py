@@ -135,7 +135,7 @@ def _(spark, folder):
 
 
 # Bounds of the registered request check: the years and state names of the retail tables.
-BOUNDS = {"years": (1996, 1998), "state_pattern": "^[A-Z ]{5,}$"}
+BOUNDS = {"years": (1996, 2000), "state_pattern": "^NATION_[0-9]$"}
 
 
 def _request_sql() -> str:
@@ -151,7 +151,7 @@ def _request_sql() -> str:
         if c in C.FLAG_FEATURES:
             continue
         if c.endswith("_state"):
-            cases.append(rule(f"{c}:pattern", f"NOT regexp_full_match({c}, '[A-Z ]{{5,}}')"))
+            cases.append(rule(f"{c}:pattern", f"NOT regexp_full_match({c}, 'NATION_[0-9]')"))
         elif c in C.CATEGORICAL_FEATURES:
             cases.append(rule(f"{c}:empty", f"length({c}) < 1"))
         else:
