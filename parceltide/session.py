@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,20 +39,24 @@ def local_session(cores: int | str = 8, app: str = "parceltide") -> SparkSession
     return apply_skew_settings(spark)
 
 
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="parceltide-")
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
     A machine-local folder is only ever made up for a local master, where the
     driver and the tasks see the same disk.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="parceltide-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(context.applicationId)
 
 
 def stage(frame: DataFrame, label: str) -> DataFrame:
