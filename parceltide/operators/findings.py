@@ -100,17 +100,26 @@ def allowlist_violations(
 
 
 def reconcile_findings(findings: DataFrame, allowlist: DataFrame) -> DataFrame:
-    """Gated findings against the allowlist: approved, mismatch, unexpected or stale."""
+    """Gated findings against the allowlist: approved, mismatch, unexpected or stale.
+
+    A CVE found in very many scans is a hot key. A left join can be split on the
+    finding side, which a full outer join cannot; stale entries are therefore a
+    separate anti-join against the distinct CVEs found.
+    """
     record = lambda side: [F.col(f"{side}.{c}") for c in ("severity", "package", "version")]
     f, a = gated(findings).alias("f"), allowlist.alias("a")
     same = [x.eqNullSafe(y) for x, y in zip(record("f"), record("a"))]
     outcome = (
         F.when(F.col("a.cve").isNull(), "unexpected")
-        .when(F.col("f.cve").isNull(), "stale")
         .when(same[0] & same[1] & same[2], "approved")
         .otherwise("mismatch")
     )
-    return f.join(a, F.col("f.cve") == F.col("a.cve"), "full_outer").select(
-        F.coalesce("f.cve", "a.cve").alias("cve"), outcome.alias("outcome"),
+    matched = f.join(a, F.col("f.cve") == F.col("a.cve"), "left").select(
+        F.col("f.cve").alias("cve"), outcome.alias("outcome"),
         F.col("f.version").alias("found_version"), F.col("a.version").alias("allowed_version"),
     )
+    stale = allowlist.join(gated(findings).select("cve").distinct(), "cve", "left_anti").select(
+        "cve", F.lit("stale").alias("outcome"),
+        F.lit(None).cast("string").alias("found_version"), F.col("version").alias("allowed_version"),
+    )
+    return matched.unionByName(stale)

@@ -41,5 +41,8 @@ def eligible_orders(orders: DataFrame) -> DataFrame:
 
 
 def with_items_only(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders that have at least one item row."""
-    return orders.join(items.select("order_id"), "order_id", "left_semi")
+    """Orders that have at least one item row.
+
+    The item keys are made distinct first: a semi-join cannot split its right side.
+    """
+    return orders.join(items.select("order_id").distinct(), "order_id", "left_semi")

@@ -135,11 +135,12 @@ def orphan_violations(
 ) -> DataFrame:
     """Child rows without a parent. NULL keys never match.
 
-    Child keys are counted first, so the anti-join moves one row per key.
+    Both sides are reduced to one row per key before they meet, so neither a
+    hot child key nor a repeated parent key reaches a single task in full.
     """
     parent_key = parent_key or key
     keys = child.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("n"))
-    orphans = keys.join(parent.select(F.col(parent_key).alias("_key")), "_key", "left_anti")
+    orphans = keys.join(parent.select(F.col(parent_key).alias("_key")).distinct(), "_key", "left_anti")
     return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
         F.lit(relation).alias("table"), F.lit("unmatched").alias("rule"),
         F.lit(key).alias("column"), "violations",
@@ -165,7 +166,7 @@ def customer_assignment_violations(sources: dict[str, DataFrame]) -> DataFrame:
 
 def itemless_violations(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Eligible orders without item rows."""
-    return orphan_violations(orders, items.select("order_id").distinct(), "order_id", "eligible->items")
+    return orphan_violations(orders, items, "order_id", "eligible->items")
 
 
 def join_checked(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from parceltide.functions.parsing import is_unparseable
 from parceltide.operators.validate import ContractViolation, Rule, parse_rules, value_rules
 from parceltide.session import stage
 from parceltide.sources.csv_files import check_headers, normalise_missing, read_raw, typed_columns
@@ -17,12 +18,22 @@ def is_ingested(sources: dict[str, DataFrame]) -> bool:
     return isinstance(sources, IngestedSources)
 
 
-def _observed(frame: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Observation | None]:
-    if not rules:
-        return frame, None
+def _typed_and_watched(name: str, text: DataFrame) -> tuple[DataFrame, list[Rule], Observation]:
+    """Typed columns, with every row rule of the source counted as rows pass by.
+
+    The typed values are computed once, beside their text, so that "present but
+    unparseable" compares two columns instead of parsing a second time.
+    """
+    kept = {c: f"{c}__text" for _, c, _ in parse_rules(name)}
+    both = text.select(
+        *typed_columns(name, text.columns), *[F.col(c).alias(raw) for c, raw in kept.items()]
+    )
+    rules = [
+        (rule, c, is_unparseable(F.col(kept[c]), F.col(c))) for rule, c, _ in parse_rules(name)
+    ] + value_rules(name)
     watch = Observation()
     counts = [F.count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(rules)]
-    return frame.observe(watch, *counts), watch
+    return both.observe(watch, *counts).select(*text.columns), rules, watch
 
 
 def ingest(spark: SparkSession, root: str) -> IngestedSources:
@@ -34,16 +45,13 @@ def ingest(spark: SparkSession, root: str) -> IngestedSources:
     check_headers(spark, root)
     stored, broken = IngestedSources(), []
     for name, text in normalise_missing(read_raw(spark, root)).items():
-        parsing, values = parse_rules(name), value_rules(name)
-        watched, parse_watch = _observed(text, parsing)
-        typed, value_watch = _observed(watched.select(*typed_columns(name, watched.columns)), values)
+        typed, rules, watch = _typed_and_watched(name, text)
         stored[name] = stage(typed, name)
-        for rules, watch in ((parsing, parse_watch), (values, value_watch)):
-            counts = watch.get if watch else {}
-            broken += [
-                f"{name}.{column}: {rule} ({counts[f'r{i}']})"
-                for i, (rule, column, _) in enumerate(rules) if counts.get(f"r{i}")
-            ]
+        counts = watch.get
+        broken += [
+            f"{name}.{column}: {rule} ({counts[f'r{i}']})"
+            for i, (rule, column, _) in enumerate(rules) if counts[f"r{i}"]
+        ]
     if broken:
         raise ContractViolation("; ".join(broken))
     return stored

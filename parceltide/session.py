@@ -33,6 +33,8 @@ def local_session(cores: int | str = 8, app: str = "parceltide") -> SparkSession
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # Small test shuffles still spread over all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256KB")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -118,9 +118,9 @@ _RULES = [
     _counted("findings", "duplicate_attribute", "attributes", "duplicate_attribute", "findings"),
     _counted("findings", "tidy_text", "package", "package <> trim(package) OR package = ''", "findings"),
     _counted("findings", "tidy_text", "version", "version <> trim(version) OR version = ''", "findings"),
-    _counted("findings", "missing_key", "cve", "cve IS NULL", "findings"),
-    "SELECT 'findings', 'duplicate_key', 'cve', coalesce(sum(n), 0)::BIGINT FROM "
-    "(SELECT count(*) AS n FROM findings GROUP BY cve) WHERE n > 1",
+    _counted("findings", "missing_key", "image_id,cve", "image_id IS NULL OR cve IS NULL", "findings"),
+    "SELECT 'findings', 'duplicate_key', 'image_id,cve', coalesce(sum(n), 0)::BIGINT FROM "
+    "(SELECT count(*) AS n FROM findings GROUP BY image_id, cve) WHERE n > 1",
     _counted("allowlist", "cve_format", "cve", "NOT regexp_full_match(cve, 'CVE-[0-9]{4}-[0-9]{4,}')", "allowed"),
     _counted("allowlist", "gated_severity", "severity", "severity NOT IN ('CRITICAL', 'HIGH')", "allowed"),
     _counted("allowlist", "tidy_text", "package", "package <> trim(package)", "allowed"),
@@ -138,6 +138,6 @@ _RULES = [
 
 @register("findings_rules", compose(" UNION ALL ".join(_RULES), **FINDING_SQL))
 def _(spark, folder):
-    return N.finding_violations(_findings(spark, folder)).unionByName(
+    return N.finding_violations(_findings(spark, folder), ("image_id", "cve")).unionByName(
         N.allowlist_violations(allowlist(spark, folder), TODAY)
     )
