@@ -11,7 +11,7 @@ from parceltide.operators.quality import feature_summary
 from parceltide.operators.validate import check_known_metrics, enforce, feature_violations
 from parceltide.plans.ingest import ingest
 from parceltide.plans.order_features import build_order_features
-from parceltide.session import apply_skew_settings
+from parceltide.session import apply_skew_settings, size_shuffles
 from parceltide.sinks import write_features
 
 
@@ -27,6 +27,7 @@ def parse_args(argv=None) -> argparse.Namespace:
 
 def run(spark: SparkSession, source_root: str, output: str, expected: dict[str, int] | None = None):
     """Build, write once, and check the written table; returns its one-row summary."""
+    size_shuffles(spark, source_root)
     write_features(build_order_features(ingest(spark, source_root)), output)
     written = spark.read.parquet(output)
     enforce(feature_violations(written))

@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from parceltide.plans.training import compare_candidates, train_baseline
-from parceltide.session import apply_skew_settings
+from parceltide.session import apply_skew_settings, size_shuffles
 from parceltide.sinks import save_artifacts
 from parceltide.sources.tables import load_features
 
@@ -26,6 +26,7 @@ def main(argv=None) -> None:
     spark = apply_skew_settings(SparkSession.builder.appName("order-models").getOrCreate())
     try:
         experiment = compare_candidates if args.experiment == "v2" else train_baseline
+        size_shuffles(spark, args.features)
         outcome = experiment(load_features(spark, args.features))
         save_artifacts(outcome.model, outcome.report, args.artifacts)
         print(outcome.winner, outcome.threshold)

@@ -19,10 +19,21 @@ def delivered_cohort(orders: DataFrame) -> DataFrame:
     )
 
 
+def elapsed_seconds(start: Column, end: Column) -> Column:
+    """Wall-clock seconds between zone-free timestamps.
+
+    Subtracting keeps the session zone out of it; ``timestampdiff`` would convert
+    both sides to that zone and lose or gain an hour at a clock change.
+    """
+    gap = end - start
+    part = lambda unit, size: F.extract(F.lit(unit), gap).cast("double") * F.lit(float(size))
+    return part("DAY", 86400) + part("HOUR", 3600) + part("MINUTE", 60) + part("SECOND", 1)
+
+
 def purchase_features() -> list[Column]:
     """The eight order-time features of a cohort row, Monday being day 0."""
     bought, approved = F.col("order_purchase_timestamp"), F.col("order_approved_at")
-    seconds = F.timestamp_diff("SECOND", bought, approved)
+    seconds = elapsed_seconds(bought, approved)
     return [
         F.year(bought).alias("purchase_year"),
         F.month(bought).alias("purchase_month"),

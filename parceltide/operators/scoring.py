@@ -59,8 +59,14 @@ def judge_requests(requests: DataFrame, **bounds) -> DataFrame:
 
 
 def decisions(scored: DataFrame, threshold: float, model_name: str) -> DataFrame:
-    """Response rows: score, threshold and the inclusive decision."""
-    return scored.select(
+    """Response rows: score, threshold and the inclusive decision.
+
+    A score that is missing, not finite or outside [0, 1] fails the job.
+    """
+    score = F.col("risk_score")
+    usable = score.isNotNull() & is_finite(score) & score.between(0, 1)
+    failure = F.raise_error(F.lit("the model returned an invalid risk score")).cast("double")
+    return scored.withColumn("risk_score", F.when(usable, score).otherwise(failure)).select(
         C.ORDER_KEY, "risk_score", F.lit(float(threshold)).alias("decision_threshold"),
         (F.col("risk_score") >= F.lit(float(threshold))).alias("predicted_delay"),
         F.lit(model_name).alias("model_name"),

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Lets adaptive execution split a hot join key even where the split costs an
 # extra exchange; without it a key that owns a third of the rows is one task
@@ -24,6 +24,20 @@ def apply_skew_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, path: str, bytes_each: int = 256 << 20, most: int = 50_000) -> int:
+    """Raise the shuffle partition count to fit the files below ``path``.
+
+    The default of 200 would mean hundreds of gigabytes per partition on a large
+    input. File sizes come from a listing; adaptive execution merges what turns
+    out small.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    total = files.agg(F.sum("length")).first()[0] or 0
+    partitions = min(most, max(shuffle_width(spark), total // bytes_each))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def local_session(cores: int | str = 8, app: str = "parceltide") -> SparkSession:
     """Single-machine session for tests and benchmarks."""
     builder = (

@@ -20,13 +20,8 @@ def write_csv_sources(spark: SparkSession, sources: dict[str, DataFrame]) -> str
     root = f"{staging_root(spark)}/parceltide/csv-{uuid.uuid4().hex}"
     for name, filename in C.SOURCE_FILES.items():
         frame = sources[name]
-        stamps = C.TIMESTAMP_COLUMNS.get(name, ())
         frame.select(*[
-            (
-                F.lit("") if c not in frame.columns
-                else F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c in stamps
-                else F.col(c).cast("string")
-            ).alias(c)
+            (F.col(c).cast("string") if c in frame.columns else F.lit("")).alias(c)
             for c in C.SOURCE_HEADERS[name]
         ]).write.option("header", True).csv(uri_join(root, filename))
     return root

@@ -5,7 +5,7 @@ import pytest
 from parceltide import contracts as C
 from parceltide.functions.geo import haversine_km
 from parceltide.operators import geography, items as I, quality as Q, validate as V
-from parceltide.operators.orders import eligible_orders
+from parceltide.operators.orders import elapsed_seconds, eligible_orders
 from parceltide.plans.order_features import build_order_features, composed_features, order_features
 from pyspark.sql import functions as F
 
@@ -106,6 +106,25 @@ def test_build_checks_and_summary(mini):
     assert set(gaps) == set(C.FEATURE_ROW) and gaps["approval_delay_hours"] == 1
 
 
+def test_delay_ignores_the_session_zone(spark):
+    stamps = spark.createDataFrame([("2018-03-11 01:30:00", "2018-03-11 03:30:00"), ("2018-03-12 01:00:00", "2018-03-10 00:00:00")], "a string, b string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        seconds = [r[0] for r in stamps.select(elapsed_seconds(*[F.col(c).cast("timestamp_ntz") for c in "ab"])).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert seconds == [7200.0, -176400.0]
+
+
+def test_features_ignore_the_session_zone(spark, mini):
+    expected = as_set(order_features(mini))
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        assert as_set(order_features(mini)) == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_cohort_needs_both_dates(mini):
     late = mini["orders"].withColumn("order_delivered_customer_date", F.lit(None).cast("timestamp_ntz"))
     assert eligible_orders(late).count() == 0

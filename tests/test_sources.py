@@ -6,6 +6,7 @@ from parceltide import contracts as C
 from parceltide.functions import parsing as P
 from parceltide.operators.validate import ContractViolation
 from parceltide.plans.ingest import ingest
+from parceltide.session import size_shuffles
 from parceltide.sources import csv_files, tables
 from pyspark.sql import functions as F
 
@@ -90,6 +91,27 @@ def test_missing_tokens_and_numbers(spark):
     assert all(r["c"] is None for r in rows if r["t"] in ("", "NA", "nan"))
 
 
+def test_parse_rules_of_text_sources(spark):
+    from conftest import ROWS
+    from parceltide.operators.validate import parse_violations
+
+    rows = {**ROWS, "payments": [("o1", "x", "voucher", "1.5", "abc")]}
+    raw = {n: spark.createDataFrame(r, C.csv_schema(n)).select(*C.USED_COLUMNS[n]) for n, r in rows.items()}
+    clean = csv_files.normalise_missing(raw)
+    found = {(r["column"], r["rule"]) for r in parse_violations(clean).collect() if r["violations"]}
+    assert found == {("payment_value", "numeric"), ("payment_sequential", "integer"), ("payment_installments", "integer")}
+
+
+def test_shuffles_follow_the_input_size(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    (tmp_path / "x.bin").write_bytes(b"0" * 4000)
+    try:
+        assert size_shuffles(spark, str(tmp_path), bytes_each=100) == 40
+        assert size_shuffles(spark, str(tmp_path), bytes_each=1, most=60) == 60
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_timestamps_do_not_depend_on_the_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:

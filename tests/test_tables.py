@@ -218,6 +218,13 @@ def test_request_columns(request_row):
     assert reasons(request_row.drop("order_id")) == []
 
 
+def test_invalid_score_fails_the_job(spark):
+    for bad in (float("nan"), 1.5, None):
+        scored = spark.createDataFrame([("a", bad)], "order_id string, risk_score double")
+        with pytest.raises(Exception, match="invalid risk score"):
+            S.decisions(scored, 0.5, "m").collect()
+
+
 def test_decisions_search_and_report(spark):
     scored = spark.createDataFrame(
         [("Ab-2", 0.5, 12.34), ("ab-1", 0.5, None), ("x", 0.49, 1.0)],
