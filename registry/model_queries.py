@@ -17,11 +17,11 @@ from registry.validation_queries import BOUNDS
 from registry.views import compose
 
 # Boosting rounds of the registered fits; the candidates' own default is 300 or 400.
-ROUNDS = 8
+ROUNDS = 5
 
 
 def _small(candidate: M.Candidate) -> M.Candidate:
-    return replace(candidate, iterations=min(candidate.iterations, ROUNDS if candidate.kind == "boosted" else 100))
+    return replace(candidate, iterations=min(candidate.iterations, ROUNDS if candidate.kind == "boosted" else 25))
 
 
 def _split(spark, folder):
