@@ -98,13 +98,78 @@ def primary_seller_state(lines: DataFrame) -> DataFrame:
     )
 
 
+PRODUCT, SELLER, CATEGORY = 0, 1, 2
+_FACET_KEYS = ("product_id", "seller_id", "normalized_product_category", "seller_state")
+
+
+def with_cents(items: DataFrame) -> DataFrame:
+    return items.withColumns({
+        "cents": money.to_cents(F.col("price")), "freight_cents": money.to_cents(F.col("freight_value")),
+    })
+
+
+def facet_subtotals(
+    lines: DataFrame, carried: tuple[str, ...] = (), also_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Subtotals per (order, facet key): each line counts once per facet.
+
+    Facets are the product, the seller and the category of a line. One pass
+    yields the distinct counts and the ranking inputs of every facet, where
+    separate aggregates would read and join the items again. ``carried`` columns
+    are constant within a facet; ``also_by`` columns are constant within an order.
+    """
+    kinds = dict(lines.dtypes)
+
+    def facet(number: int, *kept: str) -> Column:
+        return F.struct(F.lit(number).alias("facet"), *[
+            (F.col(c) if c in kept else F.lit(None).cast(kinds[c])).alias(c) for c in _FACET_KEYS
+        ])
+
+    fan_out = F.inline(F.array(
+        facet(PRODUCT, "product_id"), facet(SELLER, "seller_id", "seller_state"),
+        facet(CATEGORY, "normalized_product_category"),
+    ))
+    rest = [c for c in lines.columns if c not in _FACET_KEYS]
+    return lines.select(*rest, fan_out).groupBy("order_id", "facet", *_FACET_KEYS, *also_by).agg(
+        F.count("*").alias("n"),
+        F.sum("cents").alias("cents"),
+        F.sum("freight_cents").alias("freight_cents"),
+        F.count_if("product_measurement_missing").alias("gaps"),
+        F.count_if("product_category_fallback").alias("fallbacks"),
+        F.sum("product_weight_g").alias("weight"), F.count("product_weight_g").alias("weighed"),
+        F.sum("product_volume_cm3").alias("volume"), F.count("product_volume_cm3").alias("sized"),
+        *[F.max(c).alias(c) for c in carried],
+    )
+
+
+def facet_totals() -> list[Column]:
+    """Per-order item features from facet subtotals."""
+    facet = F.col("facet")
+    total = lambda c: F.sum(F.when(facet == PRODUCT, F.col(c)))
+    rows = total("n")
+
+    def best(number: int, key: str, *more: str) -> Column:
+        rank = F.struct(-F.col("cents"), -F.col("n"), F.col(key).alias("key"), *more)
+        return F.min(F.when((facet == number) & F.col(key).isNotNull(), rank))
+
+    return [
+        rows.alias("item_row_count"),
+        F.count("product_id").alias("distinct_product_count"),
+        F.count("seller_id").alias("distinct_seller_count"),
+        money.from_cents(total("cents")).alias("item_price_total"),
+        money.from_cents(total("freight_cents")).alias("freight_value_total"),
+        total("gaps").alias("product_measurement_missing_item_count"),
+        total("fallbacks").alias("product_category_fallback_item_count"),
+        F.when(total("weighed") == rows, total("weight")).alias("product_weight_g_total"),
+        F.when(total("sized") == rows, total("volume")).alias("product_volume_cm3_total"),
+        best(CATEGORY, "normalized_product_category").getField("key").alias("primary_product_category"),
+        best(SELLER, "seller_id", "seller_state").getField("seller_state").alias("primary_seller_state"),
+    ]
+
+
 def item_rollup(lines: DataFrame) -> DataFrame:
     """Totals plus primary category and primary seller state, one row per order."""
-    return (
-        item_totals(lines)
-        .join(primary_category(lines), "order_id", "left")
-        .join(primary_seller_state(lines), "order_id", "left")
-    )
+    return facet_subtotals(with_cents(lines)).groupBy("order_id").agg(*facet_totals())
 
 
 def seller_pairs(lines: DataFrame) -> DataFrame:

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from parceltide import contracts as C
-from parceltide.functions import money
 from parceltide.operators import geography, items as item_ops, validate
 from parceltide.operators.orders import delivered_cohort, eligible_orders, purchase_features
 from parceltide.operators.payments import payment_features, payment_rollup
 from parceltide.plans.ingest import is_ingested
 from parceltide.session import apply_skew_settings, stage
 
-_PRODUCT, _SELLER, _CATEGORY = 0, 1, 2
+# Columns of the order row that ride along with its lines.
+_ORDER_COLUMNS = (
+    "order_purchase_timestamp", "order_approved_at", "estimated_date", C.TARGET,
+    "customer_latitude", "customer_longitude",
+)
 
 
 def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None = None) -> DataFrame:
@@ -42,10 +45,7 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
     placed = geography.located(
         delivered_cohort(sources["orders"]).join(sources["customers"], "customer_id", "left"),
         centroids, "customer_zip_code_prefix", "customer",
-    ).select(
-        "order_id", "order_purchase_timestamp", "order_approved_at", "estimated_date", C.TARGET,
-        "customer_state", "customer_latitude", "customer_longitude",
-    )
+    ).select("order_id", *_ORDER_COLUMNS, "customer_state")
     products = stage(
         item_ops.product_profiles(sources["products"], sources["translations"]), "products"
     )
@@ -56,68 +56,25 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
         "sellers",
     )
     lines = (
-        sources["items"].select(
-            "order_id", "product_id", "seller_id",
-            money.to_cents(F.col("price")).alias("cents"),
-            money.to_cents(F.col("freight_value")).alias("freight_cents"),
-        )
+        item_ops.with_cents(sources["items"])
+        .select("order_id", "product_id", "seller_id", "cents", "freight_cents")
         .join(placed, "order_id")
         .join(products, "product_id", "left")
         .join(sellers, "seller_id", "left")
     )
-    per_order = _combine(_facets(lines))
+    facets = item_ops.facet_subtotals(
+        lines, carried=(*_ORDER_COLUMNS, "seller_latitude", "seller_longitude"), also_by=("customer_state",)
+    )
+    per_order = _combine(facets)
     return per_order.join(payment_rollup(sources["payments"]), "order_id", "left").select(
         *_output_columns(per_order)
     )
 
 
-def _facets(lines: DataFrame) -> DataFrame:
-    """Subtotals per (order, facet key): three facets per line, combined."""
-    kinds = dict(lines.dtypes)
-    nothing = lambda c: F.lit(None).cast(kinds[c]).alias(c)
-    keys = ("product_id", "seller_id", "normalized_product_category", "seller_state")
-
-    def facet(number: int, *kept: str):
-        return F.struct(
-            F.lit(number).alias("facet"),
-            *[F.col(c) if c in kept else nothing(c) for c in keys],
-        )
-
-    fan_out = F.inline(F.array(
-        facet(_PRODUCT, "product_id"),
-        facet(_SELLER, "seller_id", "seller_state"),
-        facet(_CATEGORY, "normalized_product_category"),
-    ))
-    rest = [c for c in lines.columns if c not in keys]
-    same_for_order = (
-        "order_purchase_timestamp", "order_approved_at", "estimated_date", C.TARGET,
-        "customer_latitude", "customer_longitude",
-    )
-    same_for_seller = ("seller_latitude", "seller_longitude")
-    return lines.select(*rest, fan_out).groupBy("order_id", "facet", *keys, "customer_state").agg(
-        F.count("*").alias("n"),
-        F.sum("cents").alias("cents"),
-        F.sum("freight_cents").alias("freight_cents"),
-        F.count_if("product_measurement_missing").alias("gaps"),
-        F.count_if("product_category_fallback").alias("fallbacks"),
-        F.sum("product_weight_g").alias("weight"),
-        F.count("product_weight_g").alias("weighed"),
-        F.sum("product_volume_cm3").alias("volume"),
-        F.count("product_volume_cm3").alias("sized"),
-        *[F.max(c).alias(c) for c in (*same_for_order, *same_for_seller)],
-    )
-
-
 def _combine(facets: DataFrame) -> DataFrame:
-    """Facet subtotals to one row per order."""
-    facet = F.col("facet")
-    of = lambda number, c: F.when(facet == number, F.col(c))
-    total = lambda c: F.sum(of(_PRODUCT, c))
-    rows = total("n")
-    best = lambda number, key, *more: F.min(F.when(
-        facet == number, F.struct(-F.col("cents"), -F.col("n"), F.col(key).alias("key"), *more)
-    ))
-    km = F.when(facet == _SELLER, geography.pair_distance())
+    """Facet subtotals to one row per order, with distances to its distinct sellers."""
+    at_seller = F.col("facet") == item_ops.SELLER
+    km = F.when(at_seller, geography.pair_distance())
     carried = (
         "order_purchase_timestamp", "order_approved_at", "estimated_date", "customer_state", C.TARGET,
     )
@@ -125,18 +82,8 @@ def _combine(facets: DataFrame) -> DataFrame:
         *[F.max(c).alias(c) for c in carried],
         F.max(F.col("customer_latitude").isNull() | F.col("customer_longitude").isNull())
         .alias("customer_geolocation_missing"),
-        rows.alias("item_row_count"),
-        F.count_if(facet == _PRODUCT).alias("distinct_product_count"),
-        F.count_if(facet == _SELLER).alias("distinct_seller_count"),
-        money.from_cents(total("cents")).alias("item_price_total"),
-        money.from_cents(total("freight_cents")).alias("freight_value_total"),
-        F.when(total("weighed") == rows, total("weight")).alias("product_weight_g_total"),
-        F.when(total("sized") == rows, total("volume")).alias("product_volume_cm3_total"),
-        total("gaps").alias("product_measurement_missing_item_count"),
-        total("fallbacks").alias("product_category_fallback_item_count"),
-        best(_CATEGORY, "normalized_product_category").getField("key").alias("primary_product_category"),
-        best(_SELLER, "seller_id", F.col("seller_state")).getField("seller_state").alias("primary_seller_state"),
-        F.count_if((facet == _SELLER) & km.isNull()).alias("seller_customer_distance_missing_count"),
+        *item_ops.facet_totals(),
+        F.count_if(at_seller & km.isNull()).alias("seller_customer_distance_missing_count"),
         F.round(F.min(km), 6).alias("seller_customer_distance_km_min"),
         F.round(F.avg(km), 6).alias("seller_customer_distance_km_mean"),
         F.round(F.max(km), 6).alias("seller_customer_distance_km_max"),
