@@ -164,7 +164,6 @@ def _(spark, folder):
     )
 
 
-_FEED = "(SELECT {0} FROM features UNION ALL SELECT {0} FROM snapshot)"
 _DAILY = "purchase_year, purchase_month, customer_state, primary_payment_type, delay_flag"
 
 
