@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from functools import lru_cache
@@ -24,6 +25,18 @@ def apply_skew_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Skew settings, and Python workers that find this package where it lies on every machine.
+
+    Elsewhere ship it with ``--py-files``.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+    return apply_skew_settings(spark)
+
+
 def size_shuffles(spark: SparkSession, path: str, bytes_each: int = 256 << 20, most: int = 50_000) -> int:
     """Raise the shuffle partition count to fit the files below ``path``.
 

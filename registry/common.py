@@ -11,7 +11,7 @@ from parceltide import contracts as C
 from parceltide.operators.orders import eligible_orders, with_items_only
 from parceltide.operators.payments import payment_features, payment_rollup
 from parceltide.plans.order_features import order_features
-from parceltide.session import apply_skew_settings, stage
+from parceltide.session import prepare, stage
 from parceltide.sources.retail_views import read_table, retail_sources  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def keep(function: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return function(apply_skew_settings(spark), folder.rstrip("/"))
+            return function(prepare(spark), folder.rstrip("/"))
 
         QUERIES[name] = run
         if sql is not None:
