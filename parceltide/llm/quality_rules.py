@@ -36,13 +36,13 @@ class Band:
 
 # Whole documents: below ``low`` repetitive, above ``high`` incompressible.
 DOCUMENT_BANDS = (
-    Band(0, 0.0, 9.9), Band(256, 0.20, 0.95), Band(1024, 0.16, 0.85), Band(4096, 0.12, 0.78),
-    Band(16384, 0.08, 0.72),
+    Band(0, 0.0, 9.9), Band(64, 0.40, 1.2), Band(256, 0.42, 0.90), Band(1024, 0.40, 0.75), Band(4096, 0.36, 0.65),
+    Band(16384, 0.30, 0.60),
 )
 # Fixed chunks; only whole chunks are judged, so one length is enough.
 CHUNK_BYTES = 4096
-CHUNK_BAND = Band(CHUNK_BYTES, 0.08, 0.85)
-MOST_BAD_CHUNKS = 0.5
+CHUNK_BAND = Band(CHUNK_BYTES, 0.15, 0.80)
+MOST_BAD_CHUNKS = 0.3
 
 _SCHEMA = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
