@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parceltide.llm import (
-    decontaminate, html_text, line_dedup, mixing, quality_rules, secrets, simhash, toxicity, url_filters,
+    decontaminate, html_text, line_dedup, mixing, quality_rules, secrets, simhash, suffix_dedup, toxicity, url_filters,
 )
 from registry.common import register
 
@@ -14,6 +14,16 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@register("op1_suffix_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(_table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"),
+        (F.octet_length("text") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("span_starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 # The shares of the sources are flattened to at least 97 % of the largest entropy, no source is read more than
 # four times, and the budget is the tokens there are.
 MIX = mixing.Mix(entropy=0.97, most_repeats=4.0)
