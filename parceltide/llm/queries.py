@@ -174,3 +174,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars")
     )
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline  # at the repository top; it imports the operators of this subpackage
+
+    return corpus_pipeline.run(spark, folder)
