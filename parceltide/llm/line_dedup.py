@@ -123,7 +123,7 @@ def dropped_lines(
         .groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= least_docs)
     )
     late = (
-        seen.where(F.col("what") == _OPEN).join(settled, ["h1", "h2"])
+        seen.where(F.col("what") == _OPEN).join(F.broadcast(settled), ["h1", "h2"])  # at most two rows per range
         .where(~F.col("doc").eqNullSafe(F.col("keeper")))
     )
     gone = seen.where(F.col("what") == _DROPPED).unionByName(late.select(*seen.columns))

@@ -34,10 +34,12 @@ class Settings:
     most_unlabelled: int = 12_000
     slots: int = 1 << 18
     classifiers: int = 3
-    steps: int = 120
-    rate: float = 0.05
-    decay: float = 2e-4
-    least_documents: int = 5  # a word in fewer sampled documents has no weight
+    steps: int = 300
+    rate: float = 0.5
+    momentum: float = 0.9
+    decay: float = 1e-4
+    least_documents: int = 10  # a word in fewer sampled documents has no weight,
+    most_share: float = 0.3  # nor one in more than this share of them
 
 
 @dataclass
@@ -124,14 +126,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, settings: Settings) -> Model:
-    """One classifier by full-batch Adam on the non-negative risk."""
+    """One classifier by full-batch gradient steps with momentum on the non-negative risk.
+
+    Steps are plain, not scaled word by word: words that tell much move far, and
+    the many rare ones that only fit the sample hardly move.
+    """
     counts = np.bincount(np.concatenate([*positive, *unlabelled]), minlength=settings.slots)
-    usable = counts >= settings.least_documents
+    usable = (counts >= settings.least_documents) & (counts <= settings.most_share * (len(positive) + len(unlabelled)))
     pos, unl = _Rows(positive, usable), _Rows(unlabelled, usable)
     weights = np.zeros(settings.slots + 1)  # the last one is the bias
     weights[-1] = np.log(prior / (1 - prior))
-    mean, spread = np.zeros_like(weights), np.zeros_like(weights)
-    for step in range(1, settings.steps + 1):
+    speed = np.zeros_like(weights)
+    for _ in range(settings.steps):
         sp, su = pos.scores(weights, weights[-1]), unl.scores(weights, weights[-1])
         # losses: positive log(1 + e^-s), negative log(1 + e^s)
         negative_part = np.logaddexp(0, su).mean() - prior * np.logaddexp(0, sp).mean()
@@ -142,9 +148,8 @@ def fit_pu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: floa
             to_pos, to_unl = up, -un
         slope = pos.pull(to_pos, settings.slots) + unl.pull(to_unl, settings.slots)
         slope = np.append(slope + settings.decay * weights[:-1], to_pos.sum() + to_unl.sum())
-        mean = 0.9 * mean + 0.1 * slope
-        spread = 0.999 * spread + 0.001 * slope**2
-        weights -= settings.rate * (mean / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.999**step)) + 1e-8)
+        speed = settings.momentum * speed + slope
+        weights -= settings.rate * speed
     return Model(weights[:-1], float(weights[-1]))
 
 
