@@ -20,6 +20,7 @@ from parceltide.operators.ranking import running_totals
 from parceltide.operators.validate import ContractViolation, count_violations
 
 SPLITS = ("train", "validation", "test")
+_NO_DAY = "~"  # sorts after every date
 
 
 # -- chronological split -----------------------------------------------------
@@ -29,9 +30,10 @@ def split_cuts(frame: DataFrame, fractions: Sequence[float] | None = None) -> li
 
     Rows are counted per calendar day, a bounded table; only the days holding a
     cut are ranked, on (timestamp, key), so a crowded day or second spreads out.
+    Rows without a timestamp come last, as one day of their own.
     """
     train, validation = fractions or (C.TRAIN_FRACTION, C.VALIDATION_FRACTION)
-    day = F.to_date(C.PURCHASE_TIME)
+    day = F.coalesce(F.to_date(C.PURCHASE_TIME).cast("string"), F.lit(_NO_DAY))
     days = frame.groupBy(day.alias("day")).agg(F.count("*").alias("n")).orderBy("day").collect()
     total = sum(r["n"] for r in days)
     if total < 3:
@@ -54,14 +56,16 @@ def split_cuts(frame: DataFrame, fractions: Sequence[float] | None = None) -> li
 
 
 def chronological_split(frame: DataFrame, fractions: Sequence[float] | None = None) -> DataFrame:
-    """Add ``split``; after the cuts are known this is a map over the rows."""
+    """Add ``split``; after the cuts are known this is a map over the rows. Missing times come last."""
     first_validation, first_test = split_cuts(frame, fractions)
     kinds = dict(frame.dtypes)
 
     def before(cut) -> Column:
+        time, smaller = F.col(C.PURCHASE_TIME), F.col(C.ORDER_KEY) < F.lit(cut[1]).cast(kinds[C.ORDER_KEY])
+        if cut[0] is None:
+            return time.isNotNull() | smaller
         at = F.lit(cut[0].isoformat(sep=" ")).cast(kinds[C.PURCHASE_TIME])  # zone-free
-        key = F.lit(cut[1]).cast(kinds[C.ORDER_KEY])
-        return (F.col(C.PURCHASE_TIME) < at) | ((F.col(C.PURCHASE_TIME) == at) & (F.col(C.ORDER_KEY) < key))
+        return F.coalesce((time < at) | ((time == at) & smaller), F.lit(False))
 
     return frame.withColumn(
         "split",
@@ -198,7 +202,8 @@ def topk_metrics(
     )
     # One row per fraction: the broadcast side has len(fractions) rows.
     tied = scored.select(
-        F.col(key).alias("key"), F.col(score).alias("score"), F.col(label).cast("bigint").alias("late_row"),
+        F.col(key).cast("string").alias("key"),  # ties are taken in text order
+        F.col(score).alias("score"), F.col(label).cast("bigint").alias("late_row"),
         F.lit(1).alias("one"),
     ).join(F.broadcast(cuts.select("cut", "score")), "score")
     ranked = running_totals(

@@ -115,7 +115,7 @@ SELECT cut, max(k) AS selected_count, sum(delay_flag)::BIGINT AS late_orders_fou
 FROM ranked r JOIN (SELECT cut, greatest(1, ceil(n * f))::BIGINT AS k FROM (SELECT DISTINCT n FROM ranked),
     (VALUES ('top_5_percent', 0.05::DOUBLE), ('top_10_percent', 0.10::DOUBLE), ('top_20_percent', 0.20::DOUBLE)) v(cut, f)) c
   ON r.rn <= c.k GROUP BY cut""",
-    ranked="""SELECT *, row_number() OVER (ORDER BY risk_score DESC, order_id) AS rn, count(*) OVER () AS n,
+    ranked="""SELECT *, row_number() OVER (ORDER BY risk_score DESC, order_id::VARCHAR) AS rn, count(*) OVER () AS n,
   sum(delay_flag) OVER () AS late FROM scored""",
 ))
 def _(spark, folder):

@@ -29,6 +29,15 @@ def test_split_is_chronological(spark):
     check_split(E.split_summary(split))
 
 
+@pytest.mark.parametrize("missing, kinds", [(4, "test"), (8, "late validation and test")])
+def test_split_puts_missing_times_last(spark, missing, kinds):
+    frame = hourly(spark, 20).withColumn(
+        "order_purchase_timestamp", F.when(F.col("order_id") < f"order-{20 - missing:03d}", F.col("order_purchase_timestamp"))
+    )
+    split = {r["order_id"]: r["split"] for r in E.chronological_split(frame).collect()}
+    assert [split[f"order-{i:03d}"] for i in range(20)] == ["train"] * 14 + ["validation"] * 3 + ["test"] * 3
+
+
 def test_split_of_one_crowded_second(spark):
     stamp = datetime(2020, 1, 1)
     frame = spark.createDataFrame([(f"{i:03d}", stamp, i % 2) for i in range(200)],
@@ -102,6 +111,12 @@ def test_topk_tie_goes_to_the_smaller_key(spark):
     assert (rows["top_5_percent"]["selected_count"], rows["top_5_percent"]["late_orders_found"]) == (1, 0)
 
 
+def test_topk_ties_follow_the_text_of_number_keys(spark):
+    rows = [(10, 1, 0.9), (9, 0, 0.9), *((100 + i, 0, 0.1) for i in range(18))]
+    found = E.topk_metrics(spark.createDataFrame(rows, SCORED.replace("order_id string", "order_id long"))).collect()
+    assert {r["cut"]: r["late_orders_found"] for r in found}["top_5_percent"] == 1  # "10" sorts before "9"
+
+
 @pytest.mark.parametrize("levels", [1, 12, 10_000])
 def test_topk_against_brute_force(spark, levels):
     rows = random_scores(400, seed=levels, levels=levels)
