@@ -29,26 +29,36 @@ def reconcile_rows(left: DataFrame, right: DataFrame, columns: Sequence[str]) ->
     )
 
 
-def _mismatch(a: Column, b: Column, tolerant: bool) -> Column:
+def _differs(low: Column, high: Column, gap: Column, tolerant: bool) -> Column:
+    """Whether the two values of a key differ; ``low`` is the left one."""
     if not tolerant:
-        return ~a.eqNullSafe(b)
-    apart = F.abs(a - b) > F.lit(ATOL) + F.lit(RTOL) * F.abs(b)
-    return F.when(a.isNotNull() & b.isNotNull(), apart & ~a.eqNullSafe(b)).otherwise(a.isNull() != b.isNull())
+        return ~low.eqNullSafe(high)
+    apart = gap > F.lit(ATOL) + F.lit(RTOL) * F.abs(high)
+    return F.when(low.isNotNull() & high.isNotNull(), apart & ~low.eqNullSafe(high)).otherwise(
+        low.isNull() != high.isNull()
+    )
 
 
 def reconcile_keyed(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Per column: mismatches among matched keys and, for floats, the largest gap.
 
     Two extra rows count keys found on one side only. NULL placement is exact.
+    Both sides are tagged and grouped by key, so that repeated keys combine before
+    the shuffle; a repeated key counts once, by its largest row of each side. A
+    NULL key is one key.
     """
     compared = [c for c in columns if c != key]
     floats = {f.name for f in left.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    a = left.select(key, F.lit(True).alias("has"), *compared).alias("a")
-    b = right.select(key, F.lit(True).alias("has"), *compared).alias("b")
-    both = F.col("a.has") & F.col("b.has")
+    row = lambda frame, side: frame.select(
+        F.col(key).alias("key"), F.lit(side).alias("side"), F.struct(*compared).alias("row")
+    )
+    keys = row(left, "l").unionByName(row(right, "r")).groupBy("key").agg(
+        F.max(F.when(F.col("side") == "l", F.col("row"))).alias("l"),
+        F.max(F.when(F.col("side") == "r", F.col("row"))).alias("r"),
+    )
+    both = F.col("l").isNotNull() & F.col("r").isNotNull()
     aggregates = [
-        F.count_if(F.col("b.has").isNull()).alias("only_left"),
-        F.count_if(F.col("a.has").isNull()).alias("only_right"),
+        F.count_if(F.col("r").isNull()).alias("only_left"), F.count_if(F.col("l").isNull()).alias("only_right"),
     ]
     rows = [
         F.struct(F.lit(label).alias("column_name"), F.col(c).alias("mismatches"),
@@ -56,18 +66,17 @@ def reconcile_keyed(left: DataFrame, right: DataFrame, key: str, columns: Sequen
         for label, c in (("<only in left>", "only_left"), ("<only in right>", "only_right"))
     ]
     for i, c in enumerate(compared):
-        x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
-        aggregates.append(F.count_if(both & _mismatch(x, y, c in floats)).alias(f"bad{i}"))
-        gap = F.lit(None).cast("double")
+        x, y = F.col("l")[c], F.col("r")[c]
+        gap = F.abs(x - y) if c in floats else F.lit(None).cast("double")
+        aggregates.append(F.count_if(both & _differs(x, y, gap, c in floats)).alias(f"bad{i}"))
+        largest = F.lit(None).cast("double")
         if c in floats:
-            aggregates.append(F.max(F.when(both, F.abs(x - y))).alias(f"gap{i}"))
-            gap = F.col(f"gap{i}")
+            aggregates.append(F.max(F.when(both, gap)).alias(f"gap{i}"))
+            largest = F.col(f"gap{i}")
         rows.append(F.struct(
-            F.lit(c).alias("column_name"), F.col(f"bad{i}").alias("mismatches"),
-            gap.alias("max_abs_difference"),
+            F.lit(c).alias("column_name"), F.col(f"bad{i}").alias("mismatches"), largest.alias("max_abs_difference"),
         ))
-    joined = a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer")
-    return joined.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return keys.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
 def schema_diff(

@@ -83,6 +83,14 @@ def test_reconcile_keyed(spark):
     assert rows == {"<only in left>": (1, None), "<only in right>": (1, None), "f": (2, 0.5), "s": (1, None)}
 
 
+def test_repeated_keys_are_compared_once(spark):
+    layout = "k int, f double, s string"
+    a = spark.createDataFrame([(1, 1.0, "x")] * 100 + [(2, 1.0, "x")], layout)
+    b = spark.createDataFrame([(1, 2.0, "x")] * 100 + [(2, 1.0, "x")], layout)
+    rows = {r["column_name"]: r["mismatches"] for r in R.reconcile_keyed(a, b, "k", a.columns).collect()}
+    assert rows == {"<only in left>": 0, "<only in right>": 0, "f": 1, "s": 0}
+
+
 def test_schema_diff(spark, features):
     expected = tables.expected_inventory(spark)
     actual = tables.schema_inventory(features)
