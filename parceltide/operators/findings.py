@@ -4,27 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from parceltide.operators.validate import count_violations, key_violations, union_all
+from parceltide.operators.validate import ContractViolation, count_violations, enforce, key_violations, union_all
+from parceltide.session import stage
 
 # Severities, patterns and layouts.
 GATED = ("CRITICAL", "HIGH")
 REPORT_ONLY = ("MEDIUM", "LOW")
 CVE = "^CVE-[0-9]{4}-[0-9]{4,}\\z"
 TRACKER = "^https://security-tracker\\.debian\\.org/tracker/CVE-[0-9]{4}-[0-9]{4,}\\z"
+FULL_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}\\z"
 RATIONALE_LIMIT = 1000
 SCAN_SCHEMA = (
-    "imageScanStatus struct<status: string>, imageScanFindings struct<findings: array<struct<"
+    "unreadable string, imageScanStatus struct<status: string>, imageScanFindings struct<findings: array<struct<"
     "name: string, severity: string, uri: string, attributes: array<struct<key: string, value: string>>>>>"
 )
 
 
 def parse_scans(documents: DataFrame, text: str = "document") -> DataFrame:
-    """Scan documents as structs; the other columns stay."""
-    return documents.withColumn("scan", F.from_json(text, SCAN_SCHEMA)).drop(text)
+    """Scan documents as structs; the other columns stay. Text that is no JSON is kept in ``scan.unreadable``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "unreadable"}
+    return documents.withColumn("scan", F.from_json(text, SCAN_SCHEMA, options)).drop(text)
+
+
+def scan_violations(scans: DataFrame) -> DataFrame:
+    """Rules of whole documents: readable, complete, and with a list of findings, which may be empty."""
+    broken = F.col("scan").isNull() | F.col("scan.unreadable").isNotNull()
+    return count_violations("scans", scans, [
+        ("readable", "document", broken),
+        ("complete", "status", ~broken & ~F.col("scan.imageScanStatus.status").eqNullSafe("COMPLETE")),
+        ("nonmissing", "findings", ~broken & F.col("scan.imageScanFindings.findings").isNull()),
+    ])
 
 
 def flatten_findings(scans: DataFrame) -> DataFrame:
-    """One row per finding. ``package`` and ``version`` come from the attributes.
+    """One row per finding; a scan without findings has none. ``package`` and ``version`` come from the attributes.
 
     A repeated attribute key would make map building fail, so it is flagged and
     the map is built from the remaining rows only.
@@ -32,7 +45,7 @@ def flatten_findings(scans: DataFrame) -> DataFrame:
     other = [c for c in scans.columns if c != "scan"]
     found = scans.select(
         *other, F.col("scan.imageScanStatus.status").alias("status"),
-        F.inline_outer("scan.imageScanFindings.findings"),
+        F.inline("scan.imageScanFindings.findings"),
     )
     keys = F.transform("attributes", lambda a: a["key"])
     repeated = F.size(F.array_distinct(keys)) < F.size(keys)
@@ -60,7 +73,6 @@ def finding_violations(findings: DataFrame, key: tuple[str, ...] = ("cve",)) ->
     """Field rules and duplicate findings of the flattened scans."""
     severity = F.col("severity")
     rules = [
-        ("complete", "status", ~F.col("status").eqNullSafe("COMPLETE")),
         ("cve_format", "cve", F.coalesce(~F.col("cve").rlike(CVE), F.lit(True))),
         ("known_severity", "severity", severity.isNull() | ~severity.isin(*GATED, *REPORT_ONLY)),
         ("duplicate_attribute", "attributes", F.col("duplicate_attribute")),
@@ -77,7 +89,7 @@ def allowlist_violations(
 ) -> DataFrame:
     """Field rules, expiry on ``today``, duplicates and, optionally, the entry count."""
     cve, source, rationale = F.col("cve"), F.col("source"), F.col("rationale")
-    review = F.col("review_by").try_cast("date")
+    review = F.when(F.col("review_by").rlike(FULL_DATE), F.col("review_by")).try_cast("date")
     rules = [
         ("cve_format", "cve", F.coalesce(~cve.rlike(CVE), F.lit(True))),
         ("gated_severity", "severity", F.coalesce(~F.col("severity").isin(*GATED), F.lit(True))),
@@ -107,7 +119,8 @@ def reconcile_findings(findings: DataFrame, allowlist: DataFrame) -> DataFrame:
     separate anti-join against the distinct CVEs found.
     """
     record = lambda side: [F.col(f"{side}.{c}") for c in ("severity", "package", "version")]
-    f, a = gated(findings).alias("f"), allowlist.alias("a")
+    found = stage(gated(findings), "gated")  # read twice below; the documents are parsed once
+    f, a = found.alias("f"), allowlist.alias("a")
     same = [x.eqNullSafe(y) for x, y in zip(record("f"), record("a"))]
     outcome = (
         F.when(F.col("a.cve").isNull(), "unexpected")
@@ -118,8 +131,29 @@ def reconcile_findings(findings: DataFrame, allowlist: DataFrame) -> DataFrame:
         F.col("f.cve").alias("cve"), outcome.alias("outcome"),
         F.col("f.version").alias("found_version"), F.col("a.version").alias("allowed_version"),
     )
-    stale = allowlist.join(gated(findings).select("cve").distinct(), "cve", "left_anti").select(
+    stale = allowlist.join(found.select("cve").distinct(), "cve", "left_anti").select(
         "cve", F.lit("stale").alias("outcome"),
         F.lit(None).cast("string").alias("found_version"), F.col("version").alias("allowed_version"),
     )
     return matched.unionByName(stale)
+
+
+def gate(
+    documents: DataFrame, allowlist: DataFrame, today: str, expected_entries: int | None = None,
+    key: tuple[str, ...] = ("cve",),
+) -> DataFrame:
+    """Raise unless every rule holds and every gated finding is allowed; returns the report-only findings.
+
+    Mismatched, unexpected and stale entries fail as well as expired ones.
+    """
+    scans = stage(parse_scans(documents), "scans")
+    findings = flatten_findings(scans)
+    enforce(union_all([
+        scan_violations(scans), finding_violations(findings, key),
+        allowlist_violations(allowlist, today, expected_entries),
+    ]))
+    outcomes = reconcile_findings(findings, allowlist).where("outcome <> 'approved'")
+    counts = {r["outcome"]: r["n"] for r in outcomes.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+    if counts:
+        raise ContractViolation(f"findings and allowlist differ: {dict(sorted(counts.items()))}")
+    return report_only(findings)

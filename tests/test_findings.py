@@ -48,7 +48,6 @@ def test_flatten_and_partition(spark):
 
 
 @pytest.mark.parametrize("documents, rule", [
-    ((document(status="FAILED"),), ("complete", "status")),
     ((document(("CVE-20-1", "HIGH", package())),), ("cve_format", "cve")),
     ((document(("CVE-2020-0001", "ODD", package())),), ("known_severity", "severity")),
     ((document(("CVE-2020-0001", "HIGH", package() + package())),), ("duplicate_attribute", "attributes")),
@@ -67,6 +66,8 @@ def test_finding_rules(spark, documents, rule):
     (entry("CVE-2020-0001", rationale=""), ("tidy_text", "rationale")),
     (entry("CVE-2020-0001", source=TRACKER + "CVE-2020-0002"), ("tracker_url", "source")),
     (entry("CVE-2020-0001", review="soon"), ("date", "review_by")),
+    (entry("CVE-2020-0001", review="2030"), ("date", "review_by")),
+    (entry("CVE-2020-0001", review="2030-1-5"), ("date", "review_by")),
     (entry("CVE-2020-0001", review="2023-12-31"), ("expired", "review_by")),
 ])
 def test_allowlist_rules(spark, row, rule):
@@ -91,3 +92,32 @@ def test_reconcile(spark):
         "CVE-2020-0001": "approved", "CVE-2020-0002": "mismatch",
         "CVE-2020-0003": "unexpected", "CVE-2020-0004": "stale",
     }
+
+
+def scans(spark, *documents):
+    return spark.createDataFrame([(i, d) for i, d in enumerate(documents)], "image int, document string")
+
+
+def test_document_rules(spark):
+    good = document(("CVE-2020-0001", "LOW", package()))
+    frame = scans(spark, good, document(), document(status="FAILED"), "{broken", None, '{"imageScanStatus": {"status": "COMPLETE"}}')
+    assert broken(N.scan_violations(N.parse_scans(frame))) == {
+        ("readable", "document"): 2, ("complete", "status"): 1, ("nonmissing", "findings"): 1
+    }
+    assert flat(spark, document()).count() == 0  # a clean scan has no findings, and that is fine
+
+
+def test_gate(spark):
+    high, low = ("CVE-2020-0001", "HIGH", package()), ("CVE-2020-0002", "LOW", package("a", "2"))
+    allowed = allow(spark, entry("CVE-2020-0001"))
+    rows = N.gate(scans(spark, document(high, low), document()), allowed, "2024-01-01", 1).collect()
+    assert [r["cve"] for r in rows] == ["CVE-2020-0002"]
+    for found, listed, day, message in (
+        ([document(high)], allow(spark, entry("CVE-2020-0001", version="2")), "2024-01-01", "mismatch"),
+        ([document(high, ("CVE-2020-0003", "HIGH", package()))], allowed, "2024-01-01", "unexpected"),
+        ([document()], allowed, "2024-01-01", "stale"),
+        ([document(high)], allowed, "2031-01-01", "expired"),
+        (["{broken"], allowed, "2024-01-01", "readable"),
+    ):
+        with pytest.raises(N.ContractViolation, match=message):
+            N.gate(scans(spark, *found), listed, day)
