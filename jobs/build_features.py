@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parceltide.contracts import AUDITED_METRICS
-from parceltide.operators.quality import feature_summary
+from parceltide.operators.geography import geo_quality
+from parceltide.operators.quality import distance_distribution, feature_summary, missing_by_column, quality_summary
 from parceltide.operators.validate import check_known_metrics, enforce, feature_violations
 from parceltide.plans.ingest import ingest
 from parceltide.plans.order_features import build_order_features
-from parceltide.session import apply_skew_settings, size_shuffles
-from parceltide.sinks import write_features
+from parceltide.session import apply_skew_settings, size_shuffles, stage
+from parceltide.sinks import write_features, write_report
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -26,17 +27,33 @@ def parse_args(argv=None) -> argparse.Namespace:
 
 
 def run(spark: SparkSession, source_root: str, output: str, expected: dict[str, int] | None = None):
-    """Build, write once, and check the written table; returns its one-row summary."""
+    """Build, check the staged table, publish it and its quality report; returns its one-row summary.
+
+    A failing check leaves no output behind.
+    """
     size_shuffles(spark, source_root)
-    write_features(build_order_features(ingest(spark, source_root)), output)
-    written = spark.read.parquet(output)
-    enforce(feature_violations(written))
-    summary = feature_summary(written)
+    sources = ingest(spark, source_root)
+    built = stage(build_order_features(sources), "features")
+    enforce(feature_violations(built))
+    summary = feature_summary(built)
     if expected:
         check_known_metrics(summary, expected)
+    write_features(built, output)
+    write_report(quality_report(built, sources), f"{output.rstrip('/')}_quality")
     return summary
 
 
+def quality_report(features: DataFrame, sources: dict[str, DataFrame]) -> DataFrame:
+    """One row: the quality summary, missing values by column and the distance distribution."""
+    gaps = missing_by_column(features)
+    spread = distance_distribution(features)
+    return quality_summary(features, geo_quality(sources["geolocation"])).select(
+        "*",
+        gaps.agg(F.collect_list(F.struct(*gaps.columns))).scalar().alias("missing_values"),  # one row per column
+        spread.select(F.struct(*spread.columns)).scalar().alias("distance_distribution"),
+    )
+
+
 def main(argv=None) -> None:
     args = parse_args(argv)
     spark = apply_skew_settings(SparkSession.builder.appName("order-features").getOrCreate())

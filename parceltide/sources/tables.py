@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parceltide import contracts as C
 
@@ -15,7 +17,7 @@ def read_external(spark: SparkSession, path: str, order_key_type: str = "string"
 
 
 def load_features(spark: SparkSession, path: str) -> DataFrame:
-    """Feature table for training: contract-checked and in chronological order."""
+    """Contract-checked feature table for training. Missing purchase times are allowed; the split puts them last."""
     from parceltide.operators.validate import enforce, feature_violations
 
     frame = spark.read.parquet(path)
@@ -25,14 +27,20 @@ def load_features(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"feature table lacks required columns: {missing}")
     frame = frame.select(*required)
     enforce(feature_violations(frame, target_values=False))
-    return frame.orderBy(C.PURCHASE_TIME, C.ORDER_KEY)
+    return frame
+
+
+def _below(root: str) -> Column:
+    """Path of a file relative to ``root``, whatever scheme the listing puts before it."""
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/")
+    return F.expr("substring_index(path, root, -1)".replace("root", repr(f"{bare}/")))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Every data file below ``path`` with its size; contents are not read."""
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Every data file below ``path`` with its relative name and size; contents are not read."""
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select("path", "length", "modificationTime")
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+        .select(_below(path).alias("filename"), "path", "length", "modificationTime")
     )
 
 
@@ -65,18 +73,17 @@ def expected_inventory(spark: SparkSession) -> DataFrame:
 def build_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(filename, size_bytes, sha256_hex, sha256_base64) for each file below ``path``.
 
-    Each file is hashed whole in one row, so this fits files below the 2 GB
-    limit of a binary value, such as table part files.
+    ``filename`` is the path below the root, so equal names in two folders stay
+    apart. Each file is hashed whole in one row, so this fits files below the
+    2 GB limit of a binary value, such as table part files.
     """
     digest = F.sha2("content", 256)
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True).load(path)
         .select(
-            F.substring_index("path", "/", -1).alias("filename"),
-            F.col("length").alias("size_bytes"),
-            digest.alias("sha256_hex"),
-            F.base64(F.unhex(digest)).alias("sha256_base64"),
+            _below(path).alias("filename"), F.col("length").alias("size_bytes"),
+            digest.alias("sha256_hex"), F.base64(F.unhex(digest)).alias("sha256_base64"),
         )
     )
 

@@ -8,7 +8,7 @@ from parceltide import contracts as C
 from parceltide.operators import audit as A, quality as Q, reconcile as R
 from parceltide.operators.geography import geo_quality
 from parceltide.operators.validate import union_all
-from parceltide.session import staging_root
+from parceltide.session import stage, staging_root
 from parceltide.sinks import write_features
 from parceltide.sources import tables as T
 from registry.common import (
@@ -34,16 +34,24 @@ def _(spark, folder):
 
 @register("file_listing")
 def _(spark, folder):
-    return T.list_files(spark, _files_of(feature_table(spark, folder)))
+    """The files of the given tables."""
+    return T.list_files(spark, folder, "*.parquet")
 
 
 @register("manifest_verify")
 def _(spark, folder):
-    """Manifest of the stored feature files, checked against a second reading."""
-    path = _files_of(feature_table(spark, folder))
-    return T.verify_manifest(
-        T.build_manifest(spark, path, "*.parquet"), T.build_manifest(spark, path, "*.parquet")
-    )
+    """The given table files against a stored manifest in which some entries were changed.
+
+    The entry of ``region`` is left out, ``nation`` gets another size, ``part``
+    another checksum, and one file is listed that does not exist.
+    """
+    found = T.build_manifest(spark, folder, "*.parquet")
+    named = lambda table: F.col("filename") == f"{table}.parquet"
+    written = found.where(~named("region")).withColumns({
+        "size_bytes": F.when(named("nation"), F.col("size_bytes") + 1).otherwise(F.col("size_bytes")),
+        "sha256_hex": F.when(named("part"), F.reverse("sha256_hex")).otherwise(F.col("sha256_hex")),
+    }).unionByName(found.where(named("region")).withColumn("filename", F.lit("gone/region.parquet")))
+    return T.verify_manifest(stage(written, "manifest"), T.build_manifest(spark, folder, "*.parquet"))
 
 
 _SQL_TYPES = {c: ("bigint" if c == C.ORDER_KEY else t) for c, t in C.FEATURE_TYPES.items()}
