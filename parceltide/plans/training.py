@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -25,6 +25,9 @@ class Outcome:
     comparison: DataFrame | None = None
 
 
+Fit = Callable[[M.Candidate, DataFrame], PipelineModel]
+
+
 def prepared_split(features: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Stored features with their split: the fits below read files, not the feature plan."""
     stored = stage(features, "features")
@@ -63,10 +66,12 @@ def _report(split: DataFrame, winner: str, threshold: float, *metrics) -> DataFr
     )
 
 
-def train_baseline(features: DataFrame, candidate: M.Candidate = M.BASELINE) -> Outcome:
+def train_baseline(
+    features: DataFrame, candidate: M.Candidate = M.BASELINE, fit: Fit = M.fit_candidate
+) -> Outcome:
     """One model: threshold from validation, metrics on test, beside the prior baseline."""
     split, parts = prepared_split(features)
-    model = M.fit_candidate(candidate, parts["train"])
+    model = fit(candidate, parts["train"])
     validation, test = (scored_part(model, parts[p]) for p in ("validation", "test"))
     threshold = E.select_threshold(E.score_curve(validation)).first()["threshold"]
     prior = E.baseline_scores(split).select(C.ORDER_KEY, C.TARGET, "risk_score")
@@ -77,12 +82,14 @@ def train_baseline(features: DataFrame, candidate: M.Candidate = M.BASELINE) ->
     return Outcome(model, candidate.name, threshold, report)
 
 
-def compare_candidates(features: DataFrame, candidates: Sequence[M.Candidate] = M.CANDIDATES) -> Outcome:
+def compare_candidates(
+    features: DataFrame, candidates: Sequence[M.Candidate] = M.CANDIDATES, fit: Fit = M.fit_candidate
+) -> Outcome:
     """Fit candidates one after another, select on validation, test only the winner."""
     split, parts = prepared_split(features)
     fitted, validation, rows = {}, {}, []
     for candidate in sorted(candidates, key=lambda c: c.name):
-        model = fitted[candidate.name] = M.fit_candidate(candidate, parts["train"])
+        model = fitted[candidate.name] = fit(candidate, parts["train"])
         validation[candidate.name] = scored_part(model, parts["validation"])
         on_train = E.discrimination(E.score_curve(scored_part(model, parts["train"]))).first()
         on_validation = E.discrimination(E.score_curve(validation[candidate.name])).first()

@@ -116,3 +116,31 @@ def test_compare_candidates(spark):
     report = outcome.report.first().asDict(recursive=True)
     assert {r["cut"] for r in report["test_ranking"]} == {"top_5_percent", "top_10_percent", "top_20_percent"}
     assert json.dumps(report["model_feature_columns"]) == json.dumps(list(C.MODEL_FEATURES))
+
+
+def test_shallow_trees_use_their_depth(spark):
+    frame = made_features(spark, 300).withColumn(C.TARGET, ((F.col("item_row_count") > 2) & F.col("payment_data_missing")).cast("int"))
+    model = M.fit_candidate(replace(M.SHALLOW, iterations=3), frame).stages[-1]
+    assert max(tree.depth for tree in model.trees) == 2
+
+
+def test_impute_leaves_no_gap(spark):
+    frame = made_features(spark, 20).withColumn("product_weight_g_total", F.lit(None).cast("double"))
+    filled = M.impute(frame, {})
+    assert filled.where(F.col("product_weight_g_total").isNull() | F.col("approval_delay_hours").isNull()).count() == 0
+
+
+def test_score_and_snapshot_jobs(spark, tmp_path):
+    from jobs import load_snapshot, score
+
+    features = made_features(spark, 60)
+    outcome = train_baseline(features, small(M.BASELINE))
+    sinks.save_artifacts(outcome.model, outcome.report, str(tmp_path / "artifacts"))
+    requests = features.drop(C.PURCHASE_TIME, C.TARGET).withColumn(
+        "item_row_count", F.when(F.col("order_id") != "order-003", F.col("item_row_count"))
+    )
+    requests.write.parquet(str(tmp_path / "requests"))
+    score.run(spark, *(str(tmp_path / n) for n in ("requests", "artifacts", "out")), years=(0, 3000), state_pattern=".*")
+    decided, held = (spark.read.parquet(str(tmp_path / "out" / n)) for n in ("decisions", "quarantine"))
+    assert decided.count() + held.count() == 60 and "order-003" in {r["order_id"] for r in held.collect()}
+    assert all(r["reasons"] for r in held.collect())
