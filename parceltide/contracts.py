@@ -64,7 +64,6 @@ WHOLE_NUMBER_COLUMNS = {
     "items": ("order_item_id",),
     "payments": ("payment_sequential", "payment_installments"),
 }
-MONEY_COLUMNS = {"items": ("price", "freight_value"), "payments": ("payment_value",)}
 
 UNIQUE_KEYS = {
     "orders": ("order_id",),

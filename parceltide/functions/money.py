@@ -1,9 +1,8 @@
-"""Exact money sums in whole cents.
+"""Exact money sums, rounded once.
 
-Two-decimal amounts are summed as 64-bit integers: the result does not depend
-on summation order, ranking ties are true ties, and the sum stays in generated
-code. An overflow raises under ANSI mode. Amounts with more than two decimals
-are reported by the ``two_decimals`` rule before any sum is taken.
+Amounts are summed as decimals with ten places: the result does not depend on
+summation order, ranking ties are true ties, and only a total is rounded to
+cents. An overflow raises under ANSI mode.
 """
 
 from __future__ import annotations
@@ -11,13 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def to_cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
+def exact(amount: Column) -> Column:
+    return amount.cast("decimal(28,10)")
 
 
-def from_cents(cents: Column) -> Column:
-    return cents.cast("double") / F.lit(100.0)
-
-
-def has_extra_decimals(amount: Column) -> Column:
-    return amount != F.round(amount, 2)
+def rounded(total: Column) -> Column:
+    return F.round(total, 2).cast("double")

@@ -10,7 +10,7 @@ MISSING_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 _TIMESTAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
-_DIGITS = r"^\s*[+-]?\d{1,18}\s*\z"
+_DIGITS = r"^\s*[+-]?\d+\s*\z"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity))\s*\z"
 
 
@@ -30,12 +30,12 @@ def double_or_null(column: Column) -> Column:
 def long_or_null(column: Column) -> Column:
     """Whole numbers, also when written ``2.0``; NULL for anything else.
 
-    Plain digits are cast directly, so they keep full precision. The pattern
-    comes first because a failing ``try_cast`` pays for an exception per row.
+    Plain digits are cast directly, so they keep full precision, whatever their
+    length; beyond 64 bits they are NULL.
     """
     number = double_or_null(column)
-    whole = F.when((F.abs(number) < 9.0e18) & (number % 1 == 0), number)
-    return F.when(column.rlike(_DIGITS), F.trim(column).try_cast("bigint")).otherwise(whole.cast("bigint"))
+    whole = F.when(number % 1 == 0, number)
+    return F.when(column.rlike(_DIGITS), F.trim(column).try_cast("bigint")).otherwise(whole.try_cast("bigint"))
 
 
 def is_unparseable(raw: Column, parsed: Column) -> Column:

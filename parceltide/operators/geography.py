@@ -7,30 +7,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parceltide import contracts as C
 from parceltide.functions.geo import haversine_km, within
 from parceltide.operators.ranking import exact_quantiles
-from parceltide.session import stage
 
 _ZIP, _LAT, _LNG = "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"
-# Largest ZIP group, in raw rows, handed to the built-in median, which keeps
-# the distinct values of a group in the memory of one task.
-MEDIAN_GROUP_LIMIT = 100_000
 
 
 def inside_envelope() -> Column:
     return within(F.col(_LAT), C.LATITUDE_ENVELOPE) & within(F.col(_LNG), C.LONGITUDE_ENVELOPE)
 
 
-def zip_centroids(geolocation: DataFrame, group_limit: int = MEDIAN_GROUP_LIMIT) -> DataFrame:
+def zip_centroids(geolocation: DataFrame) -> DataFrame:
     """Exact coordinate-wise median per ZIP over distinct in-envelope points.
 
-    Crowded ZIPs, found by a map-side combined count, take the sliced quantile
-    route; when there are none, the plan is a distinct and one aggregate.
+    Slices of the sorted values, not ZIPs, are the unit of work, so a ZIP of any
+    size is as good as many small ones.
     """
     points = geolocation.where(inside_envelope()).select(_ZIP, _LAT, _LNG).distinct()
-    sizes = geolocation.groupBy(_ZIP).agg(F.count("*").alias("n"))
-    crowded = stage(sizes.where(F.col("n") > group_limit).select(_ZIP), "crowded")
-    if crowded.isEmpty():
-        return _built_in_medians(points)
-    axes = points.join(crowded, _ZIP, "left_semi").select(
+    axes = points.select(
         _ZIP,
         F.inline(F.array(
             F.struct(F.lit("lat").alias("axis"), F.col(_LAT).alias("degrees")),
@@ -38,17 +30,10 @@ def zip_centroids(geolocation: DataFrame, group_limit: int = MEDIAN_GROUP_LIMIT)
         )),
     )
     medians = exact_quantiles(axes, "degrees", {"mid": 0.5}, within=[_ZIP, "axis"])
-    large = medians.groupBy(_ZIP).agg(
+    return medians.groupBy(_ZIP).agg(
         F.max(F.when(F.col("axis") == "lat", F.col("mid"))).alias("zip_latitude"),
         F.max(F.when(F.col("axis") == "lng", F.col("mid"))).alias("zip_longitude"),
     )
-    return _built_in_medians(points.join(crowded, _ZIP, "left_anti")).unionByName(large)
-
-
-def _built_in_medians(points: DataFrame) -> DataFrame:
-    return points.groupBy(_ZIP).agg(
-        F.median(_LAT).alias("zip_latitude"), F.median(_LNG).alias("zip_longitude")
-    )
 
 
 def geo_quality(geolocation: DataFrame) -> DataFrame:

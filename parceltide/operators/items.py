@@ -57,8 +57,8 @@ def item_totals(lines: DataFrame) -> DataFrame:
         rows.alias("item_row_count"),
         F.count_distinct("product_id").alias("distinct_product_count"),
         F.count_distinct("seller_id").alias("distinct_seller_count"),
-        money.from_cents(F.sum(money.to_cents(F.col("price")))).alias("item_price_total"),
-        money.from_cents(F.sum(money.to_cents(F.col("freight_value")))).alias("freight_value_total"),
+        money.rounded(F.sum(money.exact(F.col("price")))).alias("item_price_total"),
+        money.rounded(F.sum(money.exact(F.col("freight_value")))).alias("freight_value_total"),
         F.count_if("product_measurement_missing").alias("product_measurement_missing_item_count"),
         F.count_if("product_category_fallback").alias("product_category_fallback_item_count"),
         all_or_nothing(F.col("product_weight_g"), rows).alias("product_weight_g_total"),
@@ -76,9 +76,9 @@ def primary_value(
     """
     payload = [carry] if carry else []
     totals = rows.where(F.col(key).isNotNull()).groupBy(label, key, *payload).agg(
-        F.sum(money.to_cents(F.col(amount))).alias("cents"), F.count("*").alias("n")
+        F.sum(money.exact(F.col(amount))).alias("amount"), F.count("*").alias("n")
     )
-    best = F.min(F.struct(-F.col("cents"), -F.col("n"), F.col(key).alias("key"), *payload))
+    best = F.min(F.struct(-F.col("amount"), -F.col("n"), F.col(key).alias("key"), *payload))
     return totals.groupBy(label).agg(best.alias("best")).select(
         label, F.col("best")[carry or "key"].alias(output)
     )
@@ -102,9 +102,9 @@ PRODUCT, SELLER, CATEGORY = 0, 1, 2
 _FACET_KEYS = ("product_id", "seller_id", "normalized_product_category", "seller_state")
 
 
-def with_cents(items: DataFrame) -> DataFrame:
+def with_amounts(items: DataFrame) -> DataFrame:
     return items.withColumns({
-        "cents": money.to_cents(F.col("price")), "freight_cents": money.to_cents(F.col("freight_value")),
+        "amount": money.exact(F.col("price")), "freight": money.exact(F.col("freight_value")),
     })
 
 
@@ -132,8 +132,8 @@ def facet_subtotals(
     rest = [c for c in lines.columns if c not in _FACET_KEYS]
     return lines.select(*rest, fan_out).groupBy("order_id", "facet", *_FACET_KEYS, *also_by).agg(
         F.count("*").alias("n"),
-        F.sum("cents").alias("cents"),
-        F.sum("freight_cents").alias("freight_cents"),
+        F.sum("amount").alias("amount"),
+        F.sum("freight").alias("freight"),
         F.count_if("product_measurement_missing").alias("gaps"),
         F.count_if("product_category_fallback").alias("fallbacks"),
         F.sum("product_weight_g").alias("weight"), F.count("product_weight_g").alias("weighed"),
@@ -149,15 +149,15 @@ def facet_totals() -> list[Column]:
     rows = total("n")
 
     def best(number: int, key: str, *more: str) -> Column:
-        rank = F.struct(-F.col("cents"), -F.col("n"), F.col(key).alias("key"), *more)
+        rank = F.struct(-F.col("amount"), -F.col("n"), F.col(key).alias("key"), *more)
         return F.min(F.when((facet == number) & F.col(key).isNotNull(), rank))
 
     return [
         rows.alias("item_row_count"),
         F.count("product_id").alias("distinct_product_count"),
         F.count("seller_id").alias("distinct_seller_count"),
-        money.from_cents(total("cents")).alias("item_price_total"),
-        money.from_cents(total("freight_cents")).alias("freight_value_total"),
+        money.rounded(total("amount")).alias("item_price_total"),
+        money.rounded(total("freight")).alias("freight_value_total"),
         total("gaps").alias("product_measurement_missing_item_count"),
         total("fallbacks").alias("product_category_fallback_item_count"),
         F.when(total("weighed") == rows, total("weight")).alias("product_weight_g_total"),
@@ -169,7 +169,7 @@ def facet_totals() -> list[Column]:
 
 def item_rollup(lines: DataFrame) -> DataFrame:
     """Totals plus primary category and primary seller state, one row per order."""
-    return facet_subtotals(with_cents(lines)).groupBy("order_id").agg(*facet_totals())
+    return facet_subtotals(with_amounts(lines)).groupBy("order_id").agg(*facet_totals())
 
 
 def seller_pairs(lines: DataFrame) -> DataFrame:

@@ -16,14 +16,14 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
     """
     by_type = payments.groupBy("order_id", "payment_type").agg(
         F.count("*").alias("n"),
-        F.sum(money.to_cents(F.col("payment_value"))).alias("cents"),
+        F.sum(money.exact(F.col("payment_value"))).alias("amount"),
         F.max("payment_installments").alias("installments"),
     )
-    rank = F.struct(-F.col("cents"), -F.col("n"), F.col("payment_type").alias("key"))
+    rank = F.struct(-F.col("amount"), -F.col("n"), F.col("payment_type").alias("key"))
     return by_type.groupBy("order_id").agg(
         F.sum("n").alias("payment_row_count"),
         F.count("payment_type").alias("distinct_payment_type_count"),
-        money.from_cents(F.sum("cents")).alias("payment_value_total"),
+        money.rounded(F.sum("amount")).alias("payment_value_total"),
         F.max("installments").alias("max_payment_installments"),
         F.min(F.when(F.col("payment_type").isNotNull(), rank)).getField("key").alias("primary_payment_type"),
     )

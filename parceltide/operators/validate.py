@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import contracts as C
-from parceltide.functions import money, parsing as P
+from parceltide.functions import parsing as P
 
 VIOLATION_COLUMNS = ("table", "rule", "column", "violations")
 Rule = tuple[str, str, Column]  # (rule, column, "this row violates it")
@@ -81,13 +81,12 @@ def parse_rules(source: str) -> list[Rule]:
 
 
 def value_rules(source: str) -> list[Rule]:
-    """Non-missing, sign, money-scale and coordinate rules of a typed source."""
+    """Non-missing, sign and coordinate rules of a typed source."""
     optional = C.NULLABLE_SOURCE_COLUMNS.get(source, ())
     rules: list[Rule] = [
         ("nonmissing", c, F.col(c).isNull()) for c in C.USED_COLUMNS[source] if c not in optional
     ]
     rules += [("nonnegative", c, F.col(c) < 0) for c in C.NONNEGATIVE_COLUMNS.get(source, ())]
-    rules += [("two_decimals", c, money.has_extra_decimals(F.col(c))) for c in C.MONEY_COLUMNS.get(source, ())]
     if source == "geolocation":
         rules += [
             ("world_bounds", "geolocation_lat", ~F.col("geolocation_lat").between(-90, 90)),

@@ -56,8 +56,8 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
         "sellers",
     )
     lines = (
-        item_ops.with_cents(sources["items"])
-        .select("order_id", "product_id", "seller_id", "cents", "freight_cents")
+        item_ops.with_amounts(sources["items"])
+        .select("order_id", "product_id", "seller_id", "amount", "freight")
         .join(placed, "order_id")
         .join(products, "product_id", "left")
         .join(sellers, "seller_id", "left")

@@ -37,8 +37,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     return apply_skew_settings(spark)
 
 
-def size_shuffles(spark: SparkSession, path: str, bytes_each: int = 256 << 20, most: int = 50_000) -> int:
-    """Raise the shuffle partition count to fit the files below ``path``.
+def size_shuffles(spark: SparkSession, path: str, bytes_each: int = 256 << 20) -> int:
+    """Raise the shuffle partition count to fit the files below ``path``, for the jobs of this session.
 
     The default of 200 would mean hundreds of gigabytes per partition on a large
     input. File sizes come from a listing; adaptive execution merges what turns
@@ -46,7 +46,7 @@ def size_shuffles(spark: SparkSession, path: str, bytes_each: int = 256 << 20, m
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     total = files.agg(F.sum("length")).first()[0] or 0
-    partitions = min(most, max(shuffle_width(spark), total // bytes_each))
+    partitions = max(shuffle_width(spark), total // bytes_each)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return partitions
 
@@ -81,9 +81,12 @@ def staging_root(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    local = context.master.startswith("local")
     if folder:
+        if not local and folder.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir {folder} is a folder of one machine")
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return _local_folder(context.applicationId)
 

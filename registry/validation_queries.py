@@ -66,7 +66,6 @@ def _rule_sql() -> str:
         view, optional = _VIEW[name], C.NULLABLE_SOURCE_COLUMNS.get(name, ())
         rows += [_row(name, "nonmissing", c, f"{c} IS NULL", view) for c in C.USED_COLUMNS[name] if c not in optional]
         rows += [_row(name, "nonnegative", c, f"{c} < 0", view) for c in C.NONNEGATIVE_COLUMNS.get(name, ())]
-        rows += [_row(name, "two_decimals", c, f"{c} <> round({c}, 2)", view) for c in C.MONEY_COLUMNS.get(name, ())]
     rows.append(_row("geolocation", "world_bounds", "geolocation_lat", "geolocation_lat NOT BETWEEN -90 AND 90", "v_geo"))
     rows.append(_row("geolocation", "world_bounds", "geolocation_lng", "geolocation_lng NOT BETWEEN -180 AND 180", "v_geo"))
     return compose(" UNION ALL ".join(rows))

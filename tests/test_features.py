@@ -6,6 +6,7 @@ from parceltide import contracts as C
 from parceltide.functions.geo import haversine_km
 from parceltide.operators import geography, items as I, quality as Q, validate as V
 from parceltide.operators.orders import elapsed_seconds, eligible_orders
+from parceltide.operators.payments import payment_rollup
 from parceltide.plans.order_features import build_order_features, composed_features, order_features
 from pyspark.sql import functions as F
 
@@ -136,26 +137,29 @@ def points(spark, rows):
     )
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_centroids(spark, limit):
+def test_centroids(spark):
     frame = points(spark, [
         ("1", -23.0, -46.0), ("1", -21.0, -44.0), ("1", -23.0, -46.0),
         ("2", 42.184003, -8.723762), ("2", -23.5, -46.6), ("3", 42.184003, -8.723762),
         ("4", -34.0, -74.0), ("4", 6.0, -28.0),
     ])
-    got = {r[0]: (r[1], r[2]) for r in geography.zip_centroids(frame, limit).collect()}
+    got = {r[0]: (r[1], r[2]) for r in geography.zip_centroids(frame).collect()}
     assert got == {"1": (-22.0, -45.0), "2": (-23.5, -46.6), "4": (-14.0, -51.0)}
 
 
-def test_crowded_zip_has_the_same_median(spark):
+def test_crowded_zip_has_the_built_in_median(spark):
     crowd = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 200).cast("string")).alias("geolocation_zip_code_prefix"),
         (F.lit(-30.0) + (F.col("id") * 7919 % 2500) / 100).alias("geolocation_lat"),
         (F.lit(-70.0) + (F.col("id") * 104729 % 3900) / 100).alias("geolocation_lng"),
     )
-    plain = sorted(geography.zip_centroids(crowd).collect())
-    mixed = sorted(geography.zip_centroids(crowd, group_limit=100).collect())
-    assert plain == mixed and len(plain) > 100
+    sliced = sorted(geography.zip_centroids(crowd).collect())
+    built_in = sorted(crowd.distinct().groupBy("geolocation_zip_code_prefix").agg(
+        F.median("geolocation_lat"), F.median("geolocation_lng")
+    ).collect())
+    assert len(sliced) == len(built_in) > 100
+    for x, y in zip(sliced, built_in):
+        assert x[0] == y[0] and x[1] == pytest.approx(y[1], abs=1e-9) and x[2] == pytest.approx(y[2], abs=1e-9)
 
 
 def test_haversine(spark):
@@ -169,3 +173,9 @@ def test_haversine(spark):
 def test_seller_pairs_are_distinct(mini):
     lines = I.enrich_items(mini["items"], mini["products"], mini["translations"], mini["sellers"])
     assert I.seller_pairs(lines.unionByName(lines)).count() == 5
+
+
+def test_totals_are_rounded_once(spark):
+    rows = [("o1", k, "voucher", 1, 0.005) for k in range(3)]
+    frame = spark.createDataFrame(rows, "order_id string, payment_sequential long, payment_type string, payment_installments long, payment_value double")
+    assert payment_rollup(frame).first()["payment_value_total"] == 0.02
