@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from parceltide import contracts as C
 from parceltide.operators import evaluate as E, scoring as S
 from registry.common import cohort, feature_table, register, scored
+from registry.broken_sources import BROKEN_SCORE
 from registry.views import compose
 
 THRESHOLD = 0.6
@@ -179,9 +180,9 @@ def _(spark, folder):
 @register("score_rules", compose("""
 SELECT 'scores' AS "table", 'unit_interval' AS rule, 'risk_score' AS "column",
   count(*) FILTER (WHERE risk_score IS NULL OR NOT isfinite(risk_score) OR risk_score NOT BETWEEN 0 AND 1) AS violations
-FROM scored"""))
+FROM b_scored""", b_scored=f"SELECT {BROKEN_SCORE} AS risk_score FROM scored"))
 def _(spark, folder):
-    return E.score_violations(scored(spark, folder))
+    return E.score_violations(scored(spark, folder).withColumn("risk_score", F.expr(BROKEN_SCORE)))
 
 
 @register("score_search", compose(

@@ -17,65 +17,97 @@ _SEVERITY_SQL = "CASE p_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _
 _CVE = "concat('CVE-{}-', lpad(CAST(p_partkey AS VARCHAR), 6, '0'))"
 
 
+# Bad rows by ``p_partkey % 40``: 0 an unreadable document, 1 a clean scan, 2 no list of findings, 3 to 9 a bad
+# finding, 10 to 18 a bad exception.
+def _is(kind: int):
+    return F.col("p_partkey") % 40 == kind
+
+
+def _when(kind: int, bad, good):
+    return F.when(_is(kind), bad).otherwise(good)
+
+
 def scan_documents(spark, folder):
-    """One scan document per part, holding two findings."""
+    """One scan document per part, holding two findings, some of them broken."""
     attribute = lambda key, value: F.struct(F.lit(key).alias("key"), value.alias("value"))
 
-    def finding(year, severity, package, version):
+    def finding(name, severity, package, version):
+        attributes = [attribute("package_name", package), attribute("package_version", version)]
         return F.struct(
-            F.format_string(f"CVE-{year}-%06d", "p_partkey").alias("name"), severity.alias("severity"),
-            F.lit("").alias("uri"),
-            F.array(attribute("package_name", package), attribute("package_version", version)).alias("attributes"),
+            name.alias("name"), severity.alias("severity"), F.lit("").alias("uri"),
+            _when(7, F.array(attributes[0], *attributes), F.array(*attributes)).alias("attributes"),
         )
 
     part = read_table(spark, folder, "part")
-    size = F.col("p_size").cast("string")
-    found = F.array(
-        finding(2020, F.expr(_SEVERITY_SQL), F.col("p_name"), size),
-        finding(2021, F.when(F.col("p_retailprice") > 1000, "CRITICAL").otherwise("MEDIUM"), F.col("p_brand"), F.col("p_type")),
+    cve = lambda year: F.format_string(f"CVE-{year}-%06d", "p_partkey")
+    first = finding(
+        _when(3, F.format_string("CVE-20-%d", "p_partkey"), _when(9, F.lit(None), cve(2020))), F.expr(_SEVERITY_SQL),
+        _when(5, F.concat(F.lit(" "), "p_name"), F.col("p_name")), _when(6, F.lit(""), F.col("p_size").cast("string")),
+    )
+    second = finding(
+        _when(8, cve(2020), cve(2021)),
+        _when(4, F.lit("ODD"), F.when(F.col("p_retailprice") > 1000, "CRITICAL").otherwise("MEDIUM")),
+        F.col("p_brand"), F.col("p_type"),
     )
+    found = F.when(_is(1), F.array_repeat(first, 0)).when(~_is(2), F.array(first, second))
     status = F.when(F.col("p_size") == 50, "FAILED").otherwise("COMPLETE")
     return part.select(
         F.col("p_partkey").alias("image_id"),
-        F.to_json(F.struct(
+        _when(0, F.lit('{"imageScanStatus": '), F.to_json(F.struct(
             F.struct(status.alias("status")).alias("imageScanStatus"),
             F.struct(found.alias("findings")).alias("imageScanFindings"),
-        )).alias("document"),
+        ))).alias("document"),
     )
 
 
 def allowlist(spark, folder):
-    """Exceptions for gated findings of small parts, plus stale ones for big parts."""
+    """Exceptions for gated findings of small parts, stale ones for big parts, and some broken ones."""
     part = read_table(spark, folder, "part").withColumn("found_severity", F.expr(_SEVERITY_SQL))
     stale = F.col("p_size") > 45
     cve = F.format_string("CVE-%d-%06d", F.when(stale, 2019).otherwise(2020), F.col("p_partkey"))
+    listed = _when(10, F.format_string("CVE-20-%d", "p_partkey"), _when(18, F.lit(None), cve))
     host = F.when(F.col("p_brand") == "Brand#2", "https://example.org/").otherwise(
         "https://security-tracker.debian.org/tracker/"
     )
-    return part.where(F.col("found_severity").isin(*N.GATED) & ((F.col("p_size") <= 40) | stale)).select(
-        cve.alias("cve"), F.col("found_severity").alias("severity"), F.col("p_name").alias("package"),
-        F.when(F.col("p_brand") == "Brand#1", "old").otherwise(F.col("p_size").cast("string")).alias("version"),
-        F.col("p_name").alias("rationale"), F.concat(host, cve).alias("source"),
-        F.date_add(F.lit("2024-01-01").cast("date"), "p_size").cast("string").alias("review_by"),
+    version = F.when(F.col("p_brand") == "Brand#1", "old").otherwise(F.col("p_size").cast("string"))
+    rows = part.where(F.col("found_severity").isin(*N.GATED) & ((F.col("p_size") <= 40) | stale)).select(
+        "p_partkey", listed.alias("cve"), _when(11, F.lit("LOW"), F.col("found_severity")).alias("severity"),
+        _when(12, F.concat(F.lit(" "), "p_name"), F.col("p_name")).alias("package"),
+        _when(13, F.concat(version, F.lit(" ")), version).alias("version"),
+        _when(14, F.lit(""), _when(15, F.repeat(F.lit("r"), 1001), F.col("p_name"))).alias("rationale"),
+        F.concat(host, listed).alias("source"),
+        _when(16, F.lit("2024"), F.date_add(F.lit("2024-01-01").cast("date"), "p_size").cast("string")).alias("review_by"),
     )
+    return rows.unionByName(rows.where(_is(17))).drop("p_partkey")
 
 
 def _findings(spark, folder):
     return N.flatten_findings(N.parse_scans(scan_documents(spark, folder)))
 
 
+_K = "p_partkey % 40"
+_STATUS = "CASE WHEN p_size = 50 THEN 'FAILED' ELSE 'COMPLETE' END AS status"
 FINDING_SQL = {
     "findings": f"""
-SELECT p_partkey AS image_id, CASE WHEN p_size = 50 THEN 'FAILED' ELSE 'COMPLETE' END AS status,
-  {_CVE.format(2020)} AS cve, {_SEVERITY_SQL} AS severity, p_name AS package, p_size::VARCHAR AS version,
-  false AS duplicate_attribute FROM part
+SELECT p_partkey AS image_id, {_STATUS},
+  CASE {_K} WHEN 3 THEN 'CVE-20-' || p_partkey WHEN 9 THEN NULL ELSE {_CVE.format(2020)} END AS cve,
+  {_SEVERITY_SQL} AS severity,
+  CASE {_K} WHEN 5 THEN ' ' || p_name WHEN 7 THEN NULL ELSE p_name END AS package,
+  CASE {_K} WHEN 6 THEN '' WHEN 7 THEN NULL ELSE p_size::VARCHAR END AS version,
+  {_K} = 7 AS duplicate_attribute FROM part WHERE {_K} > 2
 UNION ALL
-SELECT p_partkey, CASE WHEN p_size = 50 THEN 'FAILED' ELSE 'COMPLETE' END, {_CVE.format(2021)},
-  CASE WHEN p_retailprice > 1000 THEN 'CRITICAL' ELSE 'MEDIUM' END, p_brand, p_type, false FROM part""",
-    "allowed": f"""
-SELECT concat('CVE-', CASE WHEN p_size > 45 THEN '2019' ELSE '2020' END, '-', lpad(p_partkey::VARCHAR, 6, '0')) AS cve,
-  {_SEVERITY_SQL} AS severity, p_name AS package, CASE WHEN p_brand = 'Brand#1' THEN 'old' ELSE p_size::VARCHAR END AS version,
-  p_brand, p_size FROM part WHERE {_SEVERITY_SQL} IN ('CRITICAL', 'HIGH') AND (p_size <= 40 OR p_size > 45)""",
+SELECT p_partkey, {_STATUS}, CASE {_K} WHEN 8 THEN {_CVE.format(2020)} ELSE {_CVE.format(2021)} END,
+  CASE WHEN {_K} = 4 THEN 'ODD' WHEN p_retailprice > 1000 THEN 'CRITICAL' ELSE 'MEDIUM' END,
+  CASE WHEN {_K} <> 7 THEN p_brand END, CASE WHEN {_K} <> 7 THEN p_type END, {_K} = 7 FROM part WHERE {_K} > 2""",
+    "listed": f"""
+SELECT p_partkey, CASE {_K} WHEN 10 THEN 'CVE-20-' || p_partkey WHEN 18 THEN NULL
+    ELSE concat('CVE-', CASE WHEN p_size > 45 THEN '2019' ELSE '2020' END, '-', lpad(p_partkey::VARCHAR, 6, '0')) END AS cve,
+  CASE {_K} WHEN 11 THEN 'LOW' ELSE {_SEVERITY_SQL} END AS severity,
+  CASE {_K} WHEN 12 THEN ' ' || p_name ELSE p_name END AS package,
+  CASE WHEN p_brand = 'Brand#1' THEN 'old' ELSE p_size::VARCHAR END || CASE {_K} WHEN 13 THEN ' ' ELSE '' END AS version,
+  CASE {_K} WHEN 14 THEN '' WHEN 15 THEN repeat('r', 1001) ELSE p_name END AS rationale, p_brand, p_size
+FROM part WHERE {_SEVERITY_SQL} IN ('CRITICAL', 'HIGH') AND (p_size <= 40 OR p_size > 45)""",
+    "allowed": f"SELECT * FROM listed UNION ALL SELECT * FROM listed WHERE {_K} = 17",
 }
 
 
@@ -93,7 +125,7 @@ def _(spark, folder):
 
 @register("findings_reconcile", compose(
     """
-SELECT coalesce(f.cve, a.cve) AS cve, CASE WHEN a.cve IS NULL THEN 'unexpected' WHEN f.cve IS NULL THEN 'stale'
+SELECT coalesce(f.cve, a.cve) AS cve, CASE WHEN a.p_size IS NULL THEN 'unexpected' WHEN f.image_id IS NULL THEN 'stale'
     WHEN f.severity = a.severity AND f.package = a.package AND f.version = a.version THEN 'approved'
     ELSE 'mismatch' END AS outcome, f.version AS found_version, a.version AS allowed_version
 FROM (SELECT * FROM findings WHERE severity IN ('CRITICAL', 'HIGH')) f FULL JOIN allowed a ON f.cve = a.cve""",
@@ -111,28 +143,38 @@ def _counted(table, rule, column, condition, view):
 
 
 _TRACKED = "https://security-tracker.debian.org/tracker/"
+def _duplicates(table, keys, view):
+    known = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return (
+        f"SELECT '{table}', 'duplicate_key', '{','.join(keys)}', coalesce(sum(n), 0)::BIGINT FROM "
+        f"(SELECT count(*) AS n FROM {view} WHERE {known} GROUP BY {', '.join(keys)}) WHERE n > 1"
+    )
+
+
+_BAD_CVE = "cve IS NULL OR NOT regexp_full_match(cve, 'CVE-[0-9]{4}-[0-9]{4,}')"
+_UNTIDY = "{0} IS NULL OR {0} = '' OR {0} <> trim({0})"
 _RULES = [
-    _counted("findings", "complete", "status", "status <> 'COMPLETE'", "findings"),
-    _counted("findings", "cve_format", "cve", "NOT regexp_full_match(cve, 'CVE-[0-9]{4}-[0-9]{4,}')", "findings"),
+    _counted("findings", "cve_format", "cve", _BAD_CVE, "findings"),
     _counted("findings", "known_severity", "severity", "severity NOT IN ('CRITICAL', 'HIGH', 'MEDIUM', 'LOW')", "findings"),
     _counted("findings", "duplicate_attribute", "attributes", "duplicate_attribute", "findings"),
-    _counted("findings", "tidy_text", "package", "package <> trim(package) OR package = ''", "findings"),
-    _counted("findings", "tidy_text", "version", "version <> trim(version) OR version = ''", "findings"),
+    _counted("findings", "tidy_text", "package", _UNTIDY.format("package"), "findings"),
+    _counted("findings", "tidy_text", "version", _UNTIDY.format("version"), "findings"),
     _counted("findings", "missing_key", "image_id,cve", "image_id IS NULL OR cve IS NULL", "findings"),
-    "SELECT 'findings', 'duplicate_key', 'image_id,cve', coalesce(sum(n), 0)::BIGINT FROM "
-    "(SELECT count(*) AS n FROM findings GROUP BY image_id, cve) WHERE n > 1",
-    _counted("allowlist", "cve_format", "cve", "NOT regexp_full_match(cve, 'CVE-[0-9]{4}-[0-9]{4,}')", "allowed"),
+    _duplicates("findings", ("image_id", "cve"), "findings"),
+    _counted("allowlist", "cve_format", "cve", _BAD_CVE, "allowed"),
     _counted("allowlist", "gated_severity", "severity", "severity NOT IN ('CRITICAL', 'HIGH')", "allowed"),
-    _counted("allowlist", "tidy_text", "package", "package <> trim(package)", "allowed"),
-    _counted("allowlist", "tidy_text", "version", "version <> trim(version)", "allowed"),
-    _counted("allowlist", "tidy_text", "rationale", "package <> trim(package)", "allowed"),
-    _counted("allowlist", "length", "rationale", "length(package) > 1000", "allowed"),
-    _counted("allowlist", "tracker_url", "source", "p_brand = 'Brand#2'", "allowed"),
-    _counted("allowlist", "date", "review_by", "p_size IS NULL", "allowed"),
-    _counted("allowlist", "expired", "review_by", f"DATE '2024-01-01' + p_size < DATE '{TODAY}'", "allowed"),
+    _counted("allowlist", "tidy_text", "package", _UNTIDY.format("package"), "allowed"),
+    _counted("allowlist", "tidy_text", "version", _UNTIDY.format("version"), "allowed"),
+    _counted("allowlist", "tidy_text", "rationale", _UNTIDY.format("rationale"), "allowed"),
+    _counted("allowlist", "length", "rationale", "length(rationale) > 1000", "allowed"),
+    _counted("allowlist", "tracker_url", "source", f"p_brand = 'Brand#2' OR {_K} IN (10, 18)", "allowed"),
+    _counted("allowlist", "date", "review_by", f"{_K} = 16", "allowed"),
+    _counted("allowlist", "expired", "review_by", f"{_K} <> 16 AND DATE '2024-01-01' + p_size < DATE '{TODAY}'", "allowed"),
     _counted("allowlist", "missing_key", "cve", "cve IS NULL", "allowed"),
-    "SELECT 'allowlist', 'duplicate_key', 'cve', coalesce(sum(n), 0)::BIGINT FROM "
-    "(SELECT count(*) AS n FROM allowed GROUP BY cve) WHERE n > 1",
+    _duplicates("allowlist", ("cve",), "allowed"),
+    _counted("scans", "readable", "document", f"{_K} = 0", "part"),
+    _counted("scans", "complete", "status", f"{_K} <> 0 AND p_size = 50", "part"),
+    _counted("scans", "nonmissing", "findings", f"{_K} = 2", "part"),
 ]
 
 
@@ -140,4 +182,4 @@ _RULES = [
 def _(spark, folder):
     return N.finding_violations(_findings(spark, folder), ("image_id", "cve")).unionByName(
         N.allowlist_violations(allowlist(spark, folder), TODAY)
-    )
+    ).unionByName(N.scan_violations(N.parse_scans(scan_documents(spark, folder))))

@@ -8,8 +8,9 @@ from parceltide import contracts as C
 from parceltide.functions import parsing as P
 from parceltide.operators import scoring, validate as V
 from parceltide.operators.orders import delivered_cohort
-from registry.common import feature_table, read_table, register, retail_sources
-from registry.views import compose
+from registry.broken_sources import broken_features, broken_features_view, broken_sources, broken_view
+from registry.common import feature_table, read_table, register
+from registry.views import VIEWS, compose
 
 _STAMP = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 
@@ -57,7 +58,10 @@ def _row(table: str, rule: str, column: str, condition: str, view: str) -> str:
     )
 
 
-_VIEW = {"geolocation": "v_geo", **{n: f"v_{n}" for n in C.SOURCE_FILES if n != "geolocation"}}
+_VIEW = {n: f"b_{n}" for n in C.SOURCE_FILES}
+# The sources with known bad rows, over the clean views.
+_BROKEN = {f"b_{n}": broken_view(n, "v_geo" if n == "geolocation" else f"v_{n}") for n in C.SOURCE_FILES}
+_BROKEN["b_eligible"] = VIEWS["eligible"].replace("v_orders", "b_orders")
 
 
 def _rule_sql() -> str:
@@ -66,14 +70,14 @@ def _rule_sql() -> str:
         view, optional = _VIEW[name], C.NULLABLE_SOURCE_COLUMNS.get(name, ())
         rows += [_row(name, "nonmissing", c, f"{c} IS NULL", view) for c in C.USED_COLUMNS[name] if c not in optional]
         rows += [_row(name, "nonnegative", c, f"{c} < 0", view) for c in C.NONNEGATIVE_COLUMNS.get(name, ())]
-    rows.append(_row("geolocation", "world_bounds", "geolocation_lat", "geolocation_lat NOT BETWEEN -90 AND 90", "v_geo"))
-    rows.append(_row("geolocation", "world_bounds", "geolocation_lng", "geolocation_lng NOT BETWEEN -180 AND 180", "v_geo"))
-    return compose(" UNION ALL ".join(rows))
+    rows.append(_row("geolocation", "world_bounds", "geolocation_lat", "geolocation_lat NOT BETWEEN -90 AND 90", "b_geolocation"))
+    rows.append(_row("geolocation", "world_bounds", "geolocation_lng", "geolocation_lng NOT BETWEEN -180 AND 180", "b_geolocation"))
+    return compose(" UNION ALL ".join(rows), **_BROKEN)
 
 
 @register("rule_violations", _rule_sql())
 def _(spark, folder):
-    return V.source_violations(retail_sources(spark, folder))
+    return V.source_violations(broken_sources(spark, folder))
 
 
 def _key_sql(table: str, keys: tuple[str, ...], view: str) -> str:
@@ -90,10 +94,10 @@ def _key_sql(table: str, keys: tuple[str, ...], view: str) -> str:
 @register("duplicate_keys", compose(" UNION ALL ".join(
     [_key_sql(n, k, _VIEW[n]) for n, k in C.UNIQUE_KEYS.items()]
     + [_key_sql("lineitem", ("l_orderkey", "l_linenumber"), "lineitem")]
-)))
+), **_BROKEN))
 def _(spark, folder):
     raw = V.key_violations(read_table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
-    return V.all_key_violations(retail_sources(spark, folder)).unionByName(raw)
+    return V.all_key_violations(broken_sources(spark, folder)).unionByName(raw)
 
 
 def _orphan_sql(relation: str, child: str, parent: str, key: str, parent_key: str) -> str:
@@ -105,11 +109,11 @@ def _orphan_sql(relation: str, child: str, parent: str, key: str, parent_key: st
 
 @register("fk_orphans", compose(" UNION ALL ".join(
     [_orphan_sql(f"{c}->{p}", _VIEW[c], _VIEW[p], k, pk) for c, p, k, pk in C.REFERENCES]
-    + [_orphan_sql("eligible->items", "eligible", "v_items", "order_id", "order_id"),
-       _orphan_sql("customers->orders", "v_customers", "v_orders", "customer_id", "customer_id")]
-)))
+    + [_orphan_sql("eligible->items", "b_eligible", "b_items", "order_id", "order_id"),
+       _orphan_sql("customers->orders", "b_customers", "b_orders", "customer_id", "customer_id")]
+), **_BROKEN))
 def _(spark, folder):
-    src = retail_sources(spark, folder)
+    src = broken_sources(spark, folder)
     return V.union_all([
         V.reference_violations(src),
         V.itemless_violations(delivered_cohort(src["orders"]), src["items"]),
@@ -119,18 +123,19 @@ def _(spark, folder):
 
 @register("feature_contract", compose("""
 SELECT 'features' AS "table", 'nonmissing' AS rule, 'delay_flag' AS "column",
-  count(*) FILTER (WHERE delay_flag IS NULL) AS violations FROM features
+  count(*) FILTER (WHERE delay_flag IS NULL) AS violations FROM b_features
 UNION ALL SELECT 'features', 'nonmissing', 'order_purchase_timestamp',
-  count(*) FILTER (WHERE order_purchase_timestamp IS NULL) FROM features
+  count(*) FILTER (WHERE order_purchase_timestamp IS NULL) FROM b_features
 UNION ALL SELECT 'features', 'binary', 'delay_flag',
-  count(*) FILTER (WHERE delay_flag IS NULL OR delay_flag NOT IN (0, 1)) FROM features
-UNION ALL SELECT 'features', 'missing_key', 'order_id', count(*) FILTER (WHERE order_id IS NULL) FROM features
+  count(*) FILTER (WHERE delay_flag IS NULL OR delay_flag NOT IN (0, 1)) FROM b_features
+UNION ALL SELECT 'features', 'missing_key', 'order_id', count(*) FILTER (WHERE order_id IS NULL) FROM b_features
 UNION ALL SELECT 'features', 'duplicate_key', 'order_id',
-  (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT count(*) AS n FROM features GROUP BY order_id) WHERE n > 1)"""))
+  (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT count(*) AS n FROM b_features WHERE order_id IS NOT NULL GROUP BY order_id)
+   WHERE n > 1)""", b_features=broken_features_view()))
 def _(spark, folder):
     features = feature_table(spark, folder)
     V.check_feature_layout(features)
-    return V.feature_violations(features)
+    return V.feature_violations(broken_features(features))
 
 
 # Bounds of the registered request check: the years and state names of the retail tables.
