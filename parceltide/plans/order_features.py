@@ -24,16 +24,18 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
     The items are the largest input and move through the network once:
 
     1. cohort + customer + customer centroid: one narrow row per order;
-    2. items join that row on order_id (the one exchange of the items) and
-       pick up product and seller attributes; the centroid is attached to the
-       seller dimension, not to the items;
-    3. each line fans out to its product, seller and category facet, and facets
+    2. items pick up product and seller attributes, by broadcast where the
+       dimension is small; the centroid is attached to the seller dimension,
+       not to the items;
+    3. last they join the order row on order_id, so that what follows finds its
+       rows together; each line fans out to its product, seller and category facet, and facets
        are combined per (order, facet key): distinct counts, primary values and
        distinct-seller distances all come from these subtotals;
     4. subtotals are combined per order and meet the payment rollup.
 
-    Steps 3 and 4 reuse the order_id partitioning of step 2. A hot order is
-    split by adaptive execution, which then adds a combining exchange.
+    Steps 3 and 4 share one order_id partitioning, also where the dimensions are
+    too large to broadcast. A hot order is split by adaptive execution, which
+    then adds a combining exchange.
     """
     apply_skew_settings(sources["orders"].sparkSession)
     # The dimensions are stored first. Their size is then a measured number, and
@@ -58,9 +60,9 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
     lines = (
         item_ops.with_amounts(sources["items"])
         .select("order_id", "product_id", "seller_id", "amount", "freight")
-        .join(placed, "order_id")
         .join(products, "product_id", "left")
         .join(sellers, "seller_id", "left")
+        .join(placed, "order_id")
     )
     facets = item_ops.facet_subtotals(
         lines, carried=(*_ORDER_COLUMNS, "seller_latitude", "seller_longitude"), also_by=("customer_state",)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from parceltide.operators import geography, items as I, orders as O, payments as P
 from parceltide.plans.order_features import composed_features, order_features
+from parceltide.session import stage
 from registry.common import cohort, register, retail_sources
 from registry.views import compose
 
@@ -98,11 +99,14 @@ def _(spark, folder):
     return geography.geo_quality(retail_sources(spark, folder)["geolocation"])
 
 
-def _placed_orders(spark, folder):
-    customers = retail_sources(spark, folder)["customers"]
-    return cohort(spark, folder).join(customers, "customer_id", "left").select(
+def _orders_and_pairs(spark, folder):
+    """(cohort with customer columns, distinct order-seller pairs with the seller's ZIP), from one pass over the items."""
+    src = retail_sources(spark, folder)
+    pairs = stage(src["items"].select("order_id", "seller_id").distinct(), "pairs")
+    orders = O.eligible_orders(src["orders"]).join(pairs.select("order_id"), "order_id", "left_semi")
+    return orders.join(src["customers"], "customer_id", "left").select(
         "order_id", "customer_state", "customer_zip_code_prefix"
-    )
+    ), pairs.join(src["sellers"], "seller_id", "left").select("order_id", "seller_id", "seller_zip_code_prefix")
 
 
 @register("distance_features", compose("""
@@ -114,16 +118,17 @@ SELECT l.order_id, l.customer_state, l.customer_zip_code_prefix,
 FROM placed l LEFT JOIN dist_agg d ON l.order_id = d.order_id"""))
 def _(spark, folder):
     src = retail_sources(spark, folder)
-    orders = _placed_orders(spark, folder)
-    pairs = I.eligible_pairs(I.seller_pairs(_lines(spark, folder)), orders)
-    return geography.distance_features(orders, pairs, geography.zip_centroids(src["geolocation"]))
+    orders, pairs = _orders_and_pairs(spark, folder)
+    orders = stage(orders, "orders")
+    centroids = stage(geography.zip_centroids(src["geolocation"]), "centroids")
+    return geography.distance_features(orders, I.eligible_pairs(pairs, orders), centroids)
 
 
 @register("haversine", compose("SELECT order_id, seller_id, round(km, 6) AS km FROM pair_km"))
 def _(spark, folder):
-    centroids = geography.zip_centroids(retail_sources(spark, folder)["geolocation"])
-    orders = geography.located(_placed_orders(spark, folder), centroids, "customer_zip_code_prefix", "customer")
-    pairs = I.seller_pairs(_lines(spark, folder))
+    centroids = stage(geography.zip_centroids(retail_sources(spark, folder)["geolocation"]), "centroids")
+    orders, pairs = _orders_and_pairs(spark, folder)
+    orders = geography.located(orders, centroids, "customer_zip_code_prefix", "customer")
     return geography.located(pairs, centroids, "seller_zip_code_prefix", "seller").join(orders, "order_id").select(
         "order_id", "seller_id", F.round(geography.pair_distance(), 6).alias("km")
     )

@@ -76,3 +76,12 @@ def test_hot_order_is_split(spark, settings, dimension_limit):
     assert tuple(expected) == (
         got["item_row_count"], got["distinct_product_count"], got["distinct_seller_count"], got["item_price_total"]
     )
+
+
+def test_facets_reuse_the_order_partitioning_without_broadcasts(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = plan_of(order_features(retail_sources(spark, FOLDER)))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    # the items by product, by seller and by order; no exchange on the facets of an order
+    assert len([e for e in exchanges if e.startswith("order_id")]) == 4, exchanges
+    assert not any("facet" in e for e in exchanges)
