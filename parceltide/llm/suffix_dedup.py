@@ -262,6 +262,7 @@ def repeated_spans(
     groups = runs.groupBy("seg_group").agg(
         F.count("*").alias("n"), (F.min("segment") == F.max("segment")).alias("same")
     ).where("n > 1").select("seg_group", "same")
+    groups = stage(groups, "groups")  # read back, it is a join side that leaves the other one free to be split
     runs = _released(stage(runs.join(groups, "seg_group"), "runs"))
     found = _released(_repeated_segments(keyed, runs, cut, most_together))
     row = [F.col("doc"), _tag().alias("tag")]
