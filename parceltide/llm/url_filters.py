@@ -8,13 +8,14 @@ DataFrame work: one join on tokens and one aggregate per distinct URL.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parceltide.session import stage
 
+MOST_BROADCAST_RULES = 50_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
 
@@ -92,12 +93,13 @@ def _tokens(target: Column) -> Column:
     return F.array_distinct(F.concat(F.split(lower_ascii(target), "[^a-z0-9]+"), F.array(F.lit(""))))
 
 
-def rarest_token_index(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per rule with the literal ``token`` that the fewest URLs hold."""
+def rarest_token_index(urls: DataFrame, rules: DataFrame, sent: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row per rule with the literal ``token`` that the fewest URLs hold; ``sent`` may broadcast a rule table."""
     literals = rules.select("rule_id", F.explode_outer("tokens").alias("token")).fillna("", ["token"])
-    counts = urls.select(F.explode("tokens").alias("token")).join(literals.select("token").distinct(), "token").groupBy(
-        "token"
-    ).agg(F.count("*").alias("n"))
+    wanted = sent(literals.select("token").distinct())
+    counts = urls.select(F.explode("tokens").alias("token")).join(wanted, "token").groupBy("token").agg(
+        F.count("*").alias("n")
+    )
     ranked = literals.join(counts, "token", "left").groupBy("rule_id").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("rarest")
     )
@@ -120,7 +122,9 @@ def url_verdicts(
         "url", host.alias("host"), path.alias("path")
     )
     urls = stage(urls.withColumn("tokens", _tokens(F.concat("host", "path"))), "urls")
-    index = stage(rarest_token_index(urls, rule_table(spark, paths, patterns)), "rules")
+    # rules up to a checked number travel to the URLs; a larger list meets them in a shuffle
+    sent = F.broadcast if len(paths) + len(patterns) <= MOST_BROADCAST_RULES else lambda frame: frame
+    index = sent(stage(rarest_token_index(urls, rule_table(spark, paths, patterns), sent), "rules"))
     fits = (
         urls.select("url", F.concat("host", "path").alias("target"), F.explode("tokens").alias("token"))
         .join(index, "token").where(F.expr("target RLIKE pattern"))
