@@ -28,8 +28,9 @@ def apply_skew_settings(spark: SparkSession) -> SparkSession:
 def prepare(spark: SparkSession) -> SparkSession:
     """Skew settings, and Python workers that find this package where it lies on every machine.
 
-    Elsewhere ship it with ``--py-files``.
+    Elsewhere ship it with ``--py-files``. Batches of whole texts are kept small on their way to Python.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     if home not in paths:
