@@ -52,8 +52,9 @@ def token_count(text: Column) -> Column:
 def source_shares(rows: DataFrame) -> DataFrame:
     """(source, tokens, share) of the sources that have tokens; a null source is one of its own."""
     sums = rows.groupBy("source").agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
-    total = sums.agg(F.sum("tokens").alias("total"))
-    return stage(sums.join(F.broadcast(total)).withColumn("share", F.col("tokens") / F.col("total")), "shares")
+    stored = stage(sums, "sources")
+    total = stored.agg(F.sum("tokens")).first()[0] or 1
+    return stored.withColumn("share", F.col("tokens") / F.lit(float(total)))
 
 
 def _figures(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
