@@ -3,14 +3,16 @@
 A few bits of a 64-bit fingerprint only catch copies that are almost equal. For
 pairs that share 0.8 of their five-word shingles, two wider ones are used:
 
-* 240 bits over the set of words, which an edit hardly moves, are cut into ten
-  blocks. Close pairs share a block; ``tests/llm`` measures how many.
-* 256 bits over the set of shingles, whose share of differing bits estimates the
-  similarity, verify every pair that shares a block.
+* 384 bits over the set of words, which an edit hardly moves, are cut into
+  sixteen blocks. Close pairs share a block; the README has measured shares.
+* 1024 bits over the set of shingles verify: the share of differing bits tells
+  the similarity to about two hundredths. Their first 256 bits go to the blocks.
 
 A block shared by more than ``most_together`` fingerprints is split by each
-further block, so that large groups of copies never meet whole. Groups return a
-spanning forest of their verified links.
+further block, so that large groups of copies never meet whole. Groups return
+the edges of a minimum spanning forest over all their pairs: for any limit, its
+short edges connect what all short pairs connect. Those edges, never all pairs,
+are verified with the whole fingerprints.
 """
 
 from __future__ import annotations
@@ -21,33 +23,34 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from parceltide.llm.bytes_math import Joined, byte_table, lower_ascii, mixed, run_hashes, text_chunks, window_hashes
 from parceltide.llm.components import components
 from parceltide.session import stage
 
 WORDS, SIMILARITY = 5, 0.8
-BLOCKS, BLOCK_BITS, MOST_TOGETHER = 10, 24, 4096
+BLOCKS, BLOCK_BITS, MOST_TOGETHER = 16, 24, 2048
+BITS, FIRST_BITS = 1024, 256
 _WORD_BYTES = byte_table((0x20, 0x20), (0x09, 0x0D))
-_LANES = np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
 
 
-def most_differing(similarity: float) -> int:
-    """Bits of 256 in which sets of that similarity differ on average, plus one standard deviation.
+def most_differing(similarity: float, bits: int, deviations: float) -> int:
+    """Bits in which sets of that similarity differ on average, plus some standard deviations.
 
     Jaccard j of equally large sets is a cosine of 2 j / (1 + j); each bit differs
     with probability angle / pi.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(256 * p + math.sqrt(256 * p * (1 - p)))
+    return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
 
 
-def _wide(hashes: np.ndarray) -> np.ndarray:
-    """256-bit SimHash, as four words, of a set of 64-bit hashes."""
-    total = np.zeros(256, dtype=np.int64)
-    for low in range(0, len(hashes), 1 << 14):
-        lanes = mixed(hashes[low : low + (1 << 14), None] ^ _LANES)
+def _wide(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """SimHash of that many bits, as 64-bit words, of a set of 64-bit hashes."""
+    salts = np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    total = np.zeros(bits, dtype=np.int64)
+    for low in range(0, len(hashes), 1 << 12):
+        lanes = mixed(hashes[low : low + (1 << 12), None] ^ salts)
         total += np.unpackbits(lanes.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)
 
@@ -59,15 +62,15 @@ def _prints(words: int):
                 joined = Joined(texts)
                 joined.buffer = lower_ascii(joined.buffer)
                 starts, ends = joined.runs(_WORD_BYTES)
-                hashes, cuts = run_hashes(joined.buffer, starts, ends), None
+                hashes = run_hashes(joined.buffer, starts, ends)
                 cuts = np.searchsorted(joined.owner(starts), np.arange(len(texts) + 1))
                 same, prints, blocks = [], [], []
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     own = hashes[a:b]
                     shingles = window_hashes(own, max(1, min(words, b - a)))
                     same.append(int(np.add.reduce(mixed(shingles * np.arange(1, len(shingles) + 1, dtype=np.uint64))).view(np.int64)))
-                    prints.append(_wide(np.unique(shingles)).tobytes())
-                    bits = int.from_bytes(_wide(np.unique(own)).tobytes(), "little")
+                    prints.append(_wide(np.unique(shingles), BITS).tobytes())
+                    bits = int.from_bytes(_wide(np.unique(own), BLOCKS * BLOCK_BITS).tobytes(), "little")
                     blocks.append([bits >> (BLOCK_BITS * k) & ((1 << BLOCK_BITS) - 1) for k in range(BLOCKS)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)),
@@ -80,17 +83,20 @@ def _prints(words: int):
 
 
 def forest(prints: np.ndarray, most_bits: int) -> list[tuple[int, int]]:
-    """Links (member, first of its component) over all pairs of rows within ``most_bits``."""
-    left, links = np.arange(len(prints)), []
-    while len(left) > 1:
-        start, front, left = left[0], left[:1], left[1:]
-        while len(front) and len(left):
-            near = np.zeros(len(left), dtype=bool)
-            for k in front:
-                near |= np.bitwise_count(prints[left] ^ prints[k]).sum(axis=1) <= most_bits
-            front, left = left[near], left[~near]
-            links += [(int(k), int(start)) for k in front]
-    return links
+    """Edges of the minimum spanning forest of all pairs of rows within ``most_bits`` (Prim)."""
+    count = len(prints)
+    nearest, apart = np.zeros(count, dtype=np.int64), np.full(count, np.iinfo(np.int64).max)
+    left, edges, last = np.arange(1, count), [], 0
+    while len(left):
+        distance = np.bitwise_count(prints[left] ^ prints[last]).sum(axis=1, dtype=np.int64)
+        closer = distance < apart[left]
+        apart[left[closer]], nearest[left[closer]] = distance[closer], last
+        at = int(np.argmin(apart[left]))
+        last = int(left[at])
+        if apart[last] <= most_bits:
+            edges.append((last, int(nearest[last])))
+        left = np.delete(left, at)
+    return edges
 
 
 def _forests(most_bits: int):
@@ -99,7 +105,7 @@ def _forests(most_bits: int):
         out = []
         for group in nodes:
             group = sorted(group, key=lambda r: r["node"])
-            prints = np.frombuffer(b"".join(r["print"] for r in group), np.uint64).reshape(-1, 4)
+            prints = np.frombuffer(b"".join(r["print"] for r in group), np.uint64).reshape(len(group), -1)
             ids = [r["node"] for r in group]
             out.append([{"a": ids[k], "b": ids[s]} for k, s in forest(prints, most_bits)])
         return pd.Series(out, dtype=object)
@@ -107,9 +113,24 @@ def _forests(most_bits: int):
     return links
 
 
+@F.pandas_udf(T.IntegerType())
+def differing_bits(a: pd.Series, b: pd.Series) -> pd.Series:
+    if not len(a):
+        return pd.Series([], dtype="int32")
+    words = [np.frombuffer(b"".join(c), np.uint64).reshape(len(a), -1) for c in (a, b)]
+    return pd.Series(np.bitwise_count(words[0] ^ words[1]).sum(axis=1, dtype=np.int64).astype(np.int32))
+
+
+def _verified(links: DataFrame, nodes: DataFrame, most_bits: int) -> DataFrame:
+    side = lambda name: nodes.select(F.col("node").alias(name), F.col("print").alias(f"{name}_print"))
+    both = links.join(side("a"), "a").join(side("b"), "b")
+    return both.where(differing_bits("a_print", "b_print") <= most_bits).select("a", "b")
+
+
 def _links(nodes: DataFrame, most_bits: int, most_together: int) -> DataFrame:
-    """Verified links of distinct texts that share a block: (a, b)."""
-    rows = nodes.select("node", "print", "blocks", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("at"))
+    """Likely links of distinct texts that share a block: (a, b)."""
+    first = F.substring("print", 1, FIRST_BITS // 8).alias("print")
+    rows = nodes.select("node", first, "blocks", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("at"))
     rows = rows.withColumn("key", F.xxhash64("at", F.get("blocks", F.col("at"))))
     solved: list[DataFrame] = []
     for _ in range(BLOCKS):
@@ -120,11 +141,11 @@ def _links(nodes: DataFrame, most_bits: int, most_together: int) -> DataFrame:
             F.collect_list(F.struct("node", "print")).alias("nodes")
         )
         solved.append(small.select(F.inline(_forests(most_bits)("nodes"))))
-        # all ten blocks agree: compare with the smallest of the group only
+        # all blocks agree: compare with the smallest of the group only
         full = shared.where(few & (F.col("n") > most_together))
         least = full.groupBy("key").agg(F.min(F.struct("node", "print")).alias("least"))
         apart = F.lit(0)
-        for k in range(4):
+        for k in range(FIRST_BITS // 64):
             word = [F.conv(F.hex(F.substring(c, 8 * k + 1, 8)), 16, -10).cast("long") for c in ("print", "least.print")]
             apart = apart + F.bit_count(word[0].bitwiseXOR(word[1]))
         solved.append(full.join(least, "key").where((apart <= most_bits) & (F.col("node") != F.col("least.node"))).select(
@@ -158,8 +179,9 @@ def similar_documents(
     )
     stored = stage(prints.withColumn("node", F.xxhash64("same", "n_words")).drop("same", "n_words"), "prints")
     nodes = stored.groupBy("node").agg(F.min(F.struct("print", "blocks")).alias("p")).select("node", "p.print", "p.blocks")
-    links = _links(nodes, most_differing(similarity), most_together)
-    roots = components(links)
+    nodes = stage(nodes, "nodes")
+    links = _links(nodes, most_differing(similarity, FIRST_BITS, 2.0), most_together)
+    roots = components(_verified(links, nodes, most_differing(similarity, BITS, 1.5)))
     return stored.select("id", "row", "node").join(roots, "node", "left").select(
         "id", "row", F.coalesce("root", "node").alias("component")
     )
