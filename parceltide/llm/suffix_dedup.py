@@ -221,11 +221,12 @@ def _released(frame: DataFrame) -> DataFrame:
 def _repeated_segments(keyed: DataFrame, runs: DataFrame, cut: Cut, most_together: int) -> DataFrame:
     """(seg_group, segment, lows, highs) of the segments of mixed groups; offsets from the first window."""
     mixed_runs = runs.where("not same")
-    segments = mixed_runs.groupBy("seg_group", "segment").agg(
+    segments = stage(mixed_runs.groupBy("seg_group", "segment").agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "place")).alias("held_by")
-    )
-    crowds = segments.groupBy("seg_group").agg((F.count("*") > most_together).alias("crowded"))
-    wanted = segments.join(crowds, "seg_group").select(
+    ), "shapes")
+    crowds = segments.groupBy("seg_group").agg(F.count("*").alias("shapes")).where(F.col("shapes") > most_together)
+    crowds = stage(crowds.select("seg_group", F.lit(True).alias("crowded")), "crowds")
+    wanted = segments.join(crowds, "seg_group", "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))).select(
         F.col("held_by.doc").alias("doc"), F.shiftright("held_by.place", 48).alias("tag"),
         F.struct("seg_group", "segment", "n", "crowded", F.col("held_by.place").alias("place")).alias("run"),
     ).groupBy("doc", "tag").agg(F.collect_list("run").alias("runs"))
