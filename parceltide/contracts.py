@@ -19,19 +19,38 @@ SOURCE_FILES = {
 }
 
 SOURCE_HEADERS = {
-    "orders": "order_id customer_id order_status order_purchase_timestamp order_approved_at "
-    "order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date",
-    "customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
-    "items": "order_id order_item_id product_id seller_id shipping_limit_date price freight_value",
-    "products": "product_id product_category_name product_name_lenght product_description_lenght "
-    "product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm",
-    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
-    "payments": "order_id payment_sequential payment_type payment_installments payment_value",
-    "geolocation": "geolocation_zip_code_prefix geolocation_lat geolocation_lng "
-    "geolocation_city geolocation_state",
-    "translations": "product_category_name product_category_name_english",
+    "orders": (
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+        "order_delivered_carrier_date", "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ),
+    "customers": (
+        "customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city",
+        "customer_state",
+    ),
+    "items": (
+        "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price",
+        "freight_value",
+    ),
+    "products": (
+        "product_id", "product_category_name", "product_name_lenght", "product_description_lenght",
+        "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm",
+        "product_width_cm",
+    ),
+    "sellers": (
+        "seller_id", "seller_zip_code_prefix", "seller_city", "seller_state",
+    ),
+    "payments": (
+        "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value",
+    ),
+    "geolocation": (
+        "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng", "geolocation_city",
+        "geolocation_state",
+    ),
+    "translations": (
+        "product_category_name", "product_category_name_english",
+    ),
 }
-SOURCE_HEADERS = {name: tuple(text.split()) for name, text in SOURCE_HEADERS.items()}
 
 # Columns of each source that no operator reads; everything else is scanned.
 UNUSED_COLUMNS = {
@@ -159,12 +178,12 @@ NULLABLE_FEATURES = (
 FLOAT_FEATURES = tuple(c for c in FEATURE_ROW if FEATURE_TYPES[c] == "double")
 
 # Columns that must never become model inputs.
-FORBIDDEN_FEATURES = frozenset(
-    "order_id customer_id customer_unique_id order_item_id product_id seller_id "
-    "payment_sequential review_id order_status order_delivered_carrier_date "
-    "order_delivered_customer_date shipping_limit_date review_score review_comment_title "
-    "review_comment_message review_creation_date review_answer_timestamp delay_flag".split()
-)
+FORBIDDEN_FEATURES = frozenset((
+    "order_id", "customer_id", "customer_unique_id", "order_item_id", "product_id", "seller_id",
+    "payment_sequential", "review_id", "order_status", "order_delivered_carrier_date",
+    "order_delivered_customer_date", "shipping_limit_date", "review_score", "review_comment_title",
+    "review_comment_message", "review_creation_date", "review_answer_timestamp", "delay_flag",
+))
 
 # Metrics of the audited dataset, used by the known-metric gate.
 AUDITED_METRICS = {
