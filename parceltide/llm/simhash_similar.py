@@ -1,166 +1,212 @@
-"""Near-duplicate documents at a set similarity, by wide SimHash fingerprints.
+"""Near-duplicate documents at a set similarity: MinHash bands propose, exact Jaccard decides.
 
-A few bits of a 64-bit fingerprint only catch copies that are almost equal. For
-pairs that share 0.8 of their five-word shingles, two wider ones are used:
+A few bits of a SimHash only catch copies that are almost equal, and wider ones only
+estimate. For pairs that share 0.8 of their five-word shingles:
 
-* 384 bits over the set of words, which an edit hardly moves, are cut into
-  sixteen blocks. Close pairs share a block; the README has measured shares.
-* 1024 bits over the set of shingles verify: the share of differing bits tells
-  the similarity to about two hundredths. Their first 256 bits go to the blocks.
+* 160 minima over the set of shingles are cut into 32 bands of five. A pair of similarity
+  s shares a band with probability 1 - (1 - s^5)^32: all but 3 of a million pairs at 0.8.
+  All texts of a band are linked to its smallest, so no band is too crowded, and the
+  components of these links, which hold every proposed pair, are the groups.
+* Inside a group the exact Jaccard similarity of the shingle sets decides, for all pairs
+  whose ends are not linked already.
 
-A block shared by more than ``most_together`` fingerprints is split by each
-further block, so that large groups of copies never meet whole. Groups return
-the edges of a minimum spanning forest over all their pairs: for any limit, its
-short edges connect what all short pairs connect. Those edges, never all pairs,
-are verified with the whole fingerprints.
+A group above ``most_together`` is first compared with its smallest text. What is linked to
+it is one component; the rest is compared slice by slice with itself and with all others,
+each two slices in one bounded task. Only the rest counts twice in the cost.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from parceltide.llm.bytes_math import Joined, byte_table, lower_ascii, mixed, run_hashes, text_chunks, window_hashes
 from parceltide.llm.components import components
 from parceltide.session import stage
 
 WORDS, SIMILARITY = 5, 0.8
-BLOCKS, BLOCK_BITS, MOST_TOGETHER = 16, 24, 2048
-BITS, FIRST_BITS = 1024, 256
+BANDS, BAND_ROWS = 32, 5
+MOST_TOGETHER, MOST_BYTES = 1024, 16 << 20
+# A list of texts up to this length is sent to all tasks instead of shuffling all texts.
+MOST_SENT = 1_000_000
 _WORD_BYTES = byte_table((0x20, 0x20), (0x09, 0x0D))
+_FACTORS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-def most_differing(similarity: float, bits: int, deviations: float) -> int:
-    """Bits in which sets of that similarity differ on average, plus some standard deviations.
+def _bands(shingles: np.ndarray) -> np.ndarray:
+    """One key per band for a set of 64-bit hashes; none for the empty set."""
+    if not len(shingles):
+        return np.zeros(0, dtype=np.int64)
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for low in range(0, len(shingles), 1 << 11):
+        lanes = shingles[None, low : low + (1 << 11)] * _FACTORS[:, None]
+        lanes ^= lanes >> np.uint64(32)
+        lanes *= np.uint64(0x94D049BB133111EB)
+        np.minimum(least, lanes.min(axis=1), out=least)
+    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for row in least.reshape(BANDS, BAND_ROWS).T:
+        key = mixed(key ^ row) + row
+    return key.view(np.int64)
 
-    Jaccard j of equally large sets is a cosine of 2 j / (1 + j); each bit differs
-    with probability angle / pi.
-    """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
+
+def _word_hashes(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first row, hashes of the words of each text) by chunks of a column."""
+    for first, texts in text_chunks(column):
+        joined = Joined(texts)
+        joined.buffer = lower_ascii(joined.buffer)
+        starts, ends = joined.runs(_WORD_BYTES)
+        hashes = run_hashes(joined.buffer, starts, ends)
+        cuts = np.searchsorted(joined.owner(starts), np.arange(len(texts) + 1))
+        yield first, [hashes[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def _wide(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """SimHash of that many bits, as 64-bit words, of a set of 64-bit hashes."""
-    salts = np.arange(1, bits // 64 + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
-    total = np.zeros(bits, dtype=np.int64)
-    for low in range(0, len(hashes), 1 << 12):
-        lanes = mixed(hashes[low : low + (1 << 12), None] ^ salts)
-        total += np.unpackbits(lanes.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)
+def _shingles(own: np.ndarray, words: int) -> np.ndarray:
+    return window_hashes(own, max(1, min(words, len(own))))
 
 
 def _prints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in text_chunks(batch.column(2)):
-                joined = Joined(texts)
-                joined.buffer = lower_ascii(joined.buffer)
-                starts, ends = joined.runs(_WORD_BYTES)
-                hashes = run_hashes(joined.buffer, starts, ends)
-                cuts = np.searchsorted(joined.owner(starts), np.arange(len(texts) + 1))
-                same, prints, blocks = [], [], []
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    own = hashes[a:b]
-                    shingles = window_hashes(own, max(1, min(words, b - a)))
+            for first, texts in _word_hashes(batch.column(2)):
+                same, bands = [], []
+                for own in texts:
+                    shingles = _shingles(own, words)
                     same.append(int(np.add.reduce(mixed(shingles * np.arange(1, len(shingles) + 1, dtype=np.uint64))).view(np.int64)))
-                    prints.append(_wide(np.unique(shingles), BITS).tobytes())
-                    bits = int.from_bytes(_wide(np.unique(own), BLOCKS * BLOCK_BITS).tobytes(), "little")
-                    blocks.append([bits >> (BLOCK_BITS * k) & ((1 << BLOCK_BITS) - 1) for k in range(BLOCKS)])
+                    bands.append(_bands(np.unique(shingles)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)),
-                     pa.array(same, pa.int64()), pa.array([int(b - a) for a, b in zip(cuts[:-1], cuts[1:])], pa.int64()),
-                     pa.array(prints, pa.binary()), pa.array(blocks, pa.list_(pa.int32()))],
-                    ["id", "row", "same", "n_words", "print", "blocks"],
+                     pa.array(same, pa.int64()), pa.array([len(own) for own in texts], pa.int64()),
+                     pa.array(bands, pa.list_(pa.int64()))],
+                    ["id", "row", "same", "n_words", "bands"],
                 )
 
     return run
 
 
-def forest(prints: np.ndarray, most_bits: int) -> list[tuple[int, int]]:
-    """Edges of the minimum spanning forest of all pairs of rows within ``most_bits`` (Prim)."""
-    count = len(prints)
-    nearest, apart = np.zeros(count, dtype=np.int64), np.full(count, np.iinfo(np.int64).max)
-    left, edges, last = np.arange(1, count), [], 0
+def _sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, texts in _word_hashes(batch.column(2)):
+                sets = pa.array([np.unique(_shingles(own, words)).tobytes() for own in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)), sets],
+                    ["node", "root", "shingles"],
+                )
+
+    return run
+
+
+def _alike(shared, sizes, similarity: float):
+    """Whether sets with together ``sizes`` members, of which they share ``shared``, are that similar."""
+    return shared >= similarity * (sizes - shared) - 1e-9
+
+
+def forest(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Edges of similar sets that connect what all similar pairs connect; the sets are not empty."""
+    sizes = np.array([len(s) for s in sets])
+    names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    marked = np.zeros(len(names), dtype=bool)
+    left, flat_left, edges, reached = np.arange(len(sets)), flat, [], []
     while len(left):
-        distance = np.bitwise_count(prints[left] ^ prints[last]).sum(axis=1, dtype=np.int64)
-        closer = distance < apart[left]
-        apart[left[closer]], nearest[left[closer]] = distance[closer], last
-        at = int(np.argmin(apart[left]))
-        last = int(left[at])
-        if apart[last] <= most_bits:
-            edges.append((last, int(nearest[last])))
-        left = np.delete(left, at)
+        if reached:
+            last = reached.pop()
+        else:
+            last = int(left[0])
+            left, flat_left = left[1:], flat_left[sizes[last] :]
+            if not len(left):
+                break
+        own = flat[ends[last] - sizes[last] : ends[last]]
+        marked[own] = True
+        starts = np.cumsum(sizes[left]) - sizes[left]
+        shared = np.add.reduceat(marked[flat_left], starts, dtype=np.int64)
+        marked[own] = False
+        found = _alike(shared, sizes[left] + sizes[last], similarity)
+        if found.any():
+            edges += [(last, int(k)) for k in left[found]]
+            reached += left[found].tolist()
+            flat_left, left = flat_left[np.repeat(~found, sizes[left])], left[~found]
     return edges
 
 
-def _forests(most_bits: int):
+def _forests(similarity: float):
     @F.pandas_udf("array<struct<a:long,b:long>>")
     def links(nodes: pd.Series) -> pd.Series:
         out = []
         for group in nodes:
             group = sorted(group, key=lambda r: r["node"])
-            prints = np.frombuffer(b"".join(r["print"] for r in group), np.uint64).reshape(len(group), -1)
             ids = [r["node"] for r in group]
-            out.append([{"a": ids[k], "b": ids[s]} for k, s in forest(prints, most_bits)])
+            edges = forest([np.frombuffer(r["shingles"], np.uint64) for r in group], similarity)
+            out.append([{"a": ids[k], "b": ids[s]} for k, s in edges])
         return pd.Series(out, dtype=object)
 
     return links
 
 
-@F.pandas_udf(T.IntegerType())
-def differing_bits(a: pd.Series, b: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype="int32")
-    words = [np.frombuffer(b"".join(c), np.uint64).reshape(len(a), -1) for c in (a, b)]
-    return pd.Series(np.bitwise_count(words[0] ^ words[1]).sum(axis=1, dtype=np.int64).astype(np.int32))
-
-
-def _verified(links: DataFrame, nodes: DataFrame, most_bits: int) -> DataFrame:
-    side = lambda name: nodes.select(F.col("node").alias(name), F.col("print").alias(f"{name}_print"))
-    both = links.join(side("a"), "a").join(side("b"), "b")
-    return both.where(differing_bits("a_print", "b_print") <= most_bits).select("a", "b")
-
-
-def _links(nodes: DataFrame, most_bits: int, most_together: int) -> DataFrame:
-    """Likely links of distinct texts that share a block: (a, b)."""
-    first = F.substring("print", 1, FIRST_BITS // 8).alias("print")
-    rows = nodes.select("node", first, "blocks", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).alias("at"))
-    rows = rows.withColumn("key", F.xxhash64("at", F.get("blocks", F.col("at"))))
-    solved: list[DataFrame] = []
-    for _ in range(BLOCKS):
-        sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        shared = stage(rows.join(sizes, "key"), "shared")
-        few = (F.col("n") <= most_together) | (F.col("at") == BLOCKS - 1)
-        small = shared.where(few & (F.col("n") <= most_together)).groupBy("key").agg(
-            F.collect_list(F.struct("node", "print")).alias("nodes")
-        )
-        solved.append(small.select(F.inline(_forests(most_bits)("nodes"))))
-        # all blocks agree: compare with the smallest of the group only
-        full = shared.where(few & (F.col("n") > most_together))
-        least = full.groupBy("key").agg(F.min(F.struct("node", "print")).alias("least"))
-        apart = F.lit(0)
-        for k in range(FIRST_BITS // 64):
-            word = [F.conv(F.hex(F.substring(c, 8 * k + 1, 8)), 16, -10).cast("long") for c in ("print", "least.print")]
-            apart = apart + F.bit_count(word[0].bitwiseXOR(word[1]))
-        solved.append(full.join(least, "key").where((apart <= most_bits) & (F.col("node") != F.col("least.node"))).select(
-            F.col("node").alias("a"), F.col("least.node").alias("b")
-        ))
-        large = shared.where(~few)
-        if large.limit(1).count() == 0:
-            break
-        rows = large.select(
-            "node", "print", "blocks", "key", F.explode(F.sequence(F.col("at") + 1, F.lit(BLOCKS - 1))).alias("at")
-        ).withColumn("key", F.xxhash64("key", "at", F.get("blocks", F.col("at"))))
-    out = solved[0]
-    for more in solved[1:]:
-        out = out.union(more)
-    return out.distinct()
+def _similar_sets(similarity: float):
+    @F.pandas_udf(T.BooleanType())
+    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for one, other in zip(a, b):
+            one, other = np.frombuffer(one, np.uint64), np.frombuffer(other, np.uint64)
+            shared = len(np.intersect1d(one, other, assume_unique=True))
+            out.append(bool(_alike(shared, len(one) + len(other), similarity)))
+        return pd.Series(out, dtype=bool)
+
+    return similar
+
+
+def _groups(nodes: DataFrame) -> DataFrame:
+    """(node, root) of the texts that share a band with others, directly or by a chain."""
+    rows = nodes.select("node", F.explode("bands").alias("key"))
+    least = rows.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return components(rows.join(least, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct())
+
+
+def _slices(count: Column, size: Column, most_together: int) -> Column:
+    return F.ceil(F.greatest(count / most_together, size / MOST_BYTES)).cast("int")
+
+
+def _links(sets: DataFrame, similarity: float, most_together: int) -> DataFrame:
+    """Edges (a, b) of similar sets that connect what all similar pairs of each ``root`` connect."""
+    member = F.collect_list(F.struct("node", "shingles")).alias("nodes")
+    forests = _forests(similarity)
+    size = F.sum(F.octet_length("shingles"))
+    sizes = sets.groupBy("root").agg(_slices(F.count("*"), size, most_together).alias("k"))
+    sized = sets.join(sizes, "root")
+    small = sized.where("k = 1").groupBy("root").agg(member).select(F.inline(forests("nodes")))
+    large = sized.where("k > 1").drop("k")
+    if large.limit(1).count() == 0:
+        return small
+    hubs = large.groupBy("root").agg(F.min(F.struct("node", "shingles")).alias("hub"))
+    with_hub = large.join(hubs, "root")
+    large = stage(with_hub.select(
+        "root", "node", "shingles", F.col("hub.node").alias("hub"), _similar_sets(similarity)("shingles", "hub.shingles").alias("near")
+    ), "large")
+    # slices of the texts near the hub, and of the others; two near ones are never compared
+    counts = large.groupBy("root").agg(*[
+        F.coalesce(
+            _slices(F.count_if(flag), F.coalesce(F.sum(F.when(flag, F.octet_length("shingles"))), F.lit(0)), most_together), F.lit(0)
+        ).alias(name) for name, flag in (("k_near", F.col("near")), ("k_far", ~F.col("near")))
+    ]).where("k_far > 0")
+    own = lambda k: F.pmod(F.xxhash64("node"), k).cast("int")
+    placed = large.join(counts, "root").withColumn("own", F.when(F.col("near"), own("k_near")).otherwise(own("k_far")))
+    to = lambda k: F.sequence(F.lit(0), F.col(k) - 1)
+    task = lambda near, i, j: F.struct(F.lit(near).alias("near"), i.alias("i"), j.alias("j"))
+    near_tasks = F.transform(to("k_far"), lambda j: task(True, F.col("own"), j))
+    far_tasks = F.concat(
+        F.transform(to("k_near"), lambda i: task(True, i, F.col("own"))),
+        F.transform(to("k_far"), lambda j: task(False, F.least("own", j), F.greatest("own", j))),
+    )
+    dealt = placed.select(
+        "root", "node", "shingles", F.explode(F.when(F.col("near"), near_tasks).otherwise(far_tasks)).alias("task")
+    )
+    across = dealt.groupBy("root", "task").agg(member).select(F.inline(forests("nodes")))
+    return small.union(large.where("near and node <> hub").select("node", "hub")).union(across)
 
 
 def similar_documents(
@@ -175,13 +221,17 @@ def similar_documents(
     kind = docs.schema[id_column].dataType.simpleString()
     text = F.coalesce(F.col(text_column), F.lit(""))
     prints = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("row"), text.alias("text")).mapInArrow(
-        _prints(words), f"id {kind}, row long, same long, n_words long, print binary, blocks array<int>"
+        _prints(words), f"id {kind}, row long, same long, n_words long, bands array<long>"
     )
     stored = stage(prints.withColumn("node", F.xxhash64("same", "n_words")).drop("same", "n_words"), "prints")
-    nodes = stored.groupBy("node").agg(F.min(F.struct("print", "blocks")).alias("p")).select("node", "p.print", "p.blocks")
+    nodes = stored.groupBy("node").agg(F.min(F.struct("row", "bands")).alias("p")).select("node", "p.row", "p.bands")
     nodes = stage(nodes, "nodes")
-    links = _links(nodes, most_differing(similarity, FIRST_BITS, 2.0), most_together)
-    roots = components(_verified(links, nodes, most_differing(similarity, BITS, 1.5)))
+    looked_at = stage(nodes.select("node", "row").join(_groups(nodes), "node"), "looked_at")
+    few = looked_at.count() <= MOST_SENT
+    texts = docs.select(F.xxhash64(text).alias("row"), text.alias("text")).join(F.broadcast(looked_at) if few else looked_at, "row")
+    one_each = texts.groupBy("node", "root").agg(F.first("text").alias("text"))
+    sets = stage(one_each.mapInArrow(_sets(words), "node long, root long, shingles binary"), "sets")
+    roots = components(_links(sets, similarity, most_together))
     return stored.select("id", "row", "node").join(roots, "node", "left").select(
         "id", "row", F.coalesce("root", "node").alias("component")
     )

@@ -294,6 +294,46 @@ def test_similar_texts_keep_one(llm, documents):
     assert simhash_similar.keep_one(documents([])).count() == 0
 
 
+def jaccard_components(texts, similarity=0.8):
+    """Smallest index of every text's component by exact Jaccard of five-word shingles, all pairs."""
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if label[i] != label[j] and len(a & sets[j]) >= similarity * len(a | sets[j]) - 1e-9:
+                low, high = sorted((label[i], label[j]))
+                label = [low if c == high else c for c in label]
+    return label
+
+
+def edited(words, rnd, changes):
+    words = list(words)
+    for at in rnd.sample(range(len(words)), changes):
+        words[at] = f"w{rnd.getrandbits(32)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("together", [2, 5, 1024])
+def test_similar_texts_like_brute_force(llm, documents, together):
+    """Edited copies around 0.8 with chains, crowded bands and texts near a hub, near each other or neither."""
+    rnd = random.Random(31)
+    texts = []
+    for centre in range(3):
+        base = prose(70 + centre, 120).split()
+        texts += [edited(base, rnd, rnd.randint(0, 5)) for _ in range(25)]
+        step = base
+        for _ in range(6):
+            step = edited(step, rnd, 2).split()
+            texts.append(" ".join(step))
+    found = {r.id: r.component for r in simhash_similar.similar_documents(documents(list(enumerate(texts))), most_together=together).collect()}
+    want = jaccard_components(texts)
+    assert len(set(want)) > 10
+    smallest = {}
+    for i in range(len(texts)):
+        smallest.setdefault(found[i], i)
+    assert [smallest[found[i]] for i in range(len(texts))] == want
+
+
 # -- 9 quality rules
 
 
