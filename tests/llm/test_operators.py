@@ -1,5 +1,6 @@
 """Edge cases of the text operators: nulls, empty and long texts, ties, repeated rows, empty tables, extra columns."""
 
+import base64
 import hashlib
 import random
 import zlib
@@ -347,6 +348,18 @@ def test_bands_reject_both_ends(llm, documents):
     assert quality_rules.quality_verdicts(documents([])).count() == 0
 
 
+def test_noise_or_repeats_in_one_chunk_reject(llm, documents):
+    noise = base64.b64encode(random.Random(5).randbytes(15_000)).decode()
+    text = prose(4, 8000)
+    rows = [
+        (1, text[:40_000]), (2, noise[:20_000] + text[:20_000]), (3, text[:36_000] + noise[:4_000]),
+        (4, text[:20_000] + "again and " * 800 + text[20_000:32_000]),
+    ]
+    found = {r.id: r for r in quality_rules.quality_verdicts(documents(rows)).collect()}
+    assert {i: r.band_ok for i, r in found.items()} == {1: True, 2: False, 3: False, 4: False}
+    assert found[1].n_chunks == 10 and found[1].n_bad_chunks == 0
+
+
 # -- 10 HTML
 
 
