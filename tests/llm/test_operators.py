@@ -378,6 +378,15 @@ def test_main_text():
     assert html_text.main_text("<nav><ul><li>never closed<article><p>body</p></article>") == "body"
 
 
+def test_class_words_and_teasers_do_not_drop_the_body():
+    body = "A long body of the page, sentence after sentence. " * 20
+    for names in ('class="content with-sidebar"', 'id="search-page"', 'class="widget-area main-text"'):
+        page = f"<body><div {names}><p>{body}</p><div class='share'>Share this</div></div><div class='sidebar'>More</div></body>"
+        assert html_text.main_text(page) == body.strip()
+    teaser = f"<body><article><p>A teaser</p></article><div><p>{body}</p></div></body>"
+    assert body.strip() in html_text.main_text(teaser)
+
+
 def test_surge_and_dive_points():
     how = html_text.Distribution(window=3, least_chars=50)
     assert html_text.surge_and_dive(np.array([5, 0, 0, 0, 80, 60, 0, 70, 0, 0, 0, 9]), how) == [(2, 8)]
