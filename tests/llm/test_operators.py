@@ -335,6 +335,27 @@ def test_similar_texts_like_brute_force(llm, documents, together):
     assert [smallest[found[i]] for i in range(len(texts))] == want
 
 
+def test_links_of_a_group_survive_a_borderline_member():
+    """a and c are alike, b is near both but similar to neither; its place in the group must not matter."""
+    a, c = np.arange(100, dtype=np.uint64), np.arange(9, 109, dtype=np.uint64)
+    b = np.concatenate((np.arange(4, 92, dtype=np.uint64), np.arange(500, 530, dtype=np.uint64)))
+    for order in ([a, b, c], [b, a, c], [a, c, b], [c, b, a]):
+        edges = simhash_similar.forest(order, 0.8)
+        assert len(edges) == 1 and all(order[k] is not b for k in edges[0])
+
+
+def test_pairs_around_the_limit_are_decided_exactly(llm, documents):
+    rnd = random.Random(8)
+    texts = []
+    for k in range(120):
+        base = prose(1000 + k, 150).split()
+        texts += [" ".join(base), edited(base, rnd, rnd.choice((1, 2, 3, 4, 5)))]
+    found = {r.id: r.component for r in simhash_similar.similar_documents(documents(list(enumerate(texts)))).collect()}
+    want = jaccard_components(texts)
+    assert 30 < sum(want[2 * k] == want[2 * k + 1] for k in range(120)) < 110
+    assert [found[2 * k] == found[2 * k + 1] for k in range(120)] == [want[2 * k] == want[2 * k + 1] for k in range(120)]
+
+
 # -- 9 quality rules
 
 
