@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from parceltide.llm import (
     decontaminate, html_text, line_dedup, mixing, quality_rules, secrets, simhash, suffix_dedup, toxicity, url_filters,
 )
+from parceltide.llm import more_queries  # noqa: F401
 from registry.common import register
 
 
