@@ -2,11 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parceltide.llm import prefix_trie
+from parceltide.llm import hard_negatives, prefix_trie, quality_gam
 from registry.common import register
 
+
+@register("op11_quality_gam")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    model = quality_gam.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    return quality_gam.scores(docs, model).select(
+        F.col("id").alias("doc_id"), quality_gam.held_out("id").alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+OP12_SQL = """
+WITH usable AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+numbered AS (SELECT *, row_number() OVER () AS row FROM usable),
+scores AS (
+    SELECT a.row AS anchor_row, a.vec_id AS anchor_id, b.row, b.vec_id, a.label = b.label AS same,
+           coalesce(list_sum(list_transform(list_zip(a.v, b.v, true), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+    FROM numbered a JOIN numbered b ON a.row <> b.row WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT * FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_row ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_row, p.row ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n
+  ON n.anchor_row = p.anchor_row AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3"""
+
+
+@register("op12_hard_negatives", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(
+        spark.read.parquet(f"{folder}/embeddings.parquet"), anchor=F.col("vec_id") % 50 == 0, label=moved
+    )
+
+
 OP13_SQL = r"""
 WITH turns AS (
     SELECT conv_id::BIGINT AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
