@@ -5,8 +5,9 @@ pass: tasks sum gradient and hessian per (node, feature, bin), Spark adds the su
 the driver, which only sees those sums, picks the splits. Their number is bounded by
 nodes x features x bins, whatever the number of rows. Leaf values and the loss reduction of
 a split come from the same sums. Sums are whole numbers (fixed point), so that a fit does
-not depend on the order in which tasks finish; scores of earlier trees are worked out again
-in every pass, so a lost executor costs its part of one pass.
+not depend on the order in which tasks finish. Scores are written back to the blocks every few
+trees; those of the trees since are worked out in each pass, so a lost executor costs its
+part of one pass.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from parceltide.session import stage
 
 BLOCK_ROWS = 4096
 PARTITION_BLOCKS = 32
+REFRESH = 32  # trees between two writings of the scores
 
 
 @dataclass(frozen=True)
@@ -134,7 +136,7 @@ def _blocked(cuts: list[np.ndarray]):
             ids, features, label, weight = batch.columns
             matrix = np.array(features.to_pylist(), dtype=np.float64).reshape(len(ids), len(cuts))
             bins = np.stack([np.searchsorted(c, matrix[:, k], side="right") for k, c in enumerate(cuts)], axis=1).astype(np.uint8)
-            numbers = np.stack((label.to_numpy(), weight.to_numpy())).astype(np.float64)
+            numbers = np.stack((label.to_numpy(), weight.to_numpy(), np.zeros(len(ids)))).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[0].as_py()]), pa.array([len(ids)]), pa.array([bins.tobytes()], pa.binary()),
                  pa.array([numbers.tobytes()], pa.binary())], ["block", "n", "bins", "numbers"],
@@ -143,17 +145,32 @@ def _blocked(cuts: list[np.ndarray]):
     return run
 
 
-def _histograms(trees: list[Tree], partial: Tree | None, level: int, columns: np.ndarray, how: Boosting, scale: float):
+def _refreshed(trees: list[Tree]):
+    """Blocks whose scores hold these trees too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = []
+            for n, bins, known in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3)]):
+                label, weight, margin = np.frombuffer(known).reshape(3, n)
+                margin = margin + _margin(trees, np.frombuffer(bins, np.uint8).reshape(n, -1))
+                numbers.append(np.stack((label, weight, margin)).tobytes())
+            yield batch.set_column(3, "numbers", pa.array(numbers, pa.binary()))
+
+    return run
+
+
+def _histograms(trees: list[Tree], turn: int, partial: Tree | None, level: int, columns: np.ndarray, how: Boosting, scale: float):
     """Fixed-point sums of gradient and hessian per slot, (node of the level x column) x bin."""
-    turn, width = len(trees), len(columns) * how.bins
+    width = len(columns) * how.bins
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, (1 << level) * width), dtype=np.int64)
         for batch in batches:
             for block, n, bins, numbers in zip(*[c.to_pylist() for c in batch.columns]):
                 bins = np.frombuffer(bins, np.uint8).reshape(n, -1)
-                label, weight = np.frombuffer(numbers).reshape(2, n)
-                g, h = _slopes(_margin(trees, bins), label, weight)
+                label, weight, margin = np.frombuffer(numbers).reshape(3, n)
+                g, h = _slopes(margin + _margin(trees, bins), label, weight)
                 seen = _drawn(block, n, turn, how)
                 at = _leaves(partial, bins) if partial else np.zeros(n, dtype=np.int64)
                 slot = at[:, None] * width + np.arange(len(columns)) * how.bins + bins[:, columns]
@@ -167,10 +184,10 @@ def _histograms(trees: list[Tree], partial: Tree | None, level: int, columns: np
     return run
 
 
-def _summed(blocks: DataFrame, trees, partial, level, columns, how: Boosting, scale: float) -> tuple[np.ndarray, np.ndarray]:
+def _summed(blocks: DataFrame, trees, turn, partial, level, columns, how: Boosting, scale: float) -> tuple[np.ndarray, np.ndarray]:
     shape = (1 << level, len(columns), how.bins)
     found = blocks.mapInArrow(
-        _histograms(trees, partial, level, columns, how, scale), "slot long, g long, h long"
+        _histograms(trees, turn, partial, level, columns, how, scale), "slot long, g long, h long"
     ).groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()  # at most nodes x columns x bins rows
     out = np.zeros((2, int(np.prod(shape))))
     for k, name in enumerate(("g", "h")):
@@ -178,9 +195,12 @@ def _summed(blocks: DataFrame, trees, partial, level, columns, how: Boosting, sc
     return out[0].reshape(shape), out[1].reshape(shape)
 
 
-def grow(blocks: DataFrame, trees: list[Tree], cuts: list[np.ndarray], how: Boosting, scale: float) -> Tree:
-    """The next tree: level by level the best cut of every node, then pruning, then leaf values."""
-    rng = np.random.default_rng([how.seed, len(trees)])
+def grow(blocks: DataFrame, trees: list[Tree], turn: int, cuts: list[np.ndarray], how: Boosting, scale: float) -> Tree:
+    """The tree of this turn: level by level the best cut of every node, then pruning, then leaf values.
+
+    ``trees`` are those that the scores in the blocks do not hold yet.
+    """
+    rng = np.random.default_rng([how.seed, turn])
     many = max(1, round(how.column_share * len(cuts)))
     columns = np.sort(rng.choice(len(cuts), many, replace=False))
     size = 2**how.depth - 1
@@ -189,7 +209,7 @@ def grow(blocks: DataFrame, trees: list[Tree], cuts: list[np.ndarray], how: Boos
     for level in range(how.depth):
         done = 2**level - 1
         partial = Tree(features[:done], [], first[:done], []) if level else None
-        g, h = _summed(blocks, trees, partial, level, columns, how, scale)
+        g, h = _summed(blocks, trees, turn, partial, level, columns, how, scale)
         gain = split_gains(g, h, how)
         for k in range(1 << level):
             node = done + k
@@ -224,11 +244,10 @@ def grow(blocks: DataFrame, trees: list[Tree], cuts: list[np.ndarray], how: Boos
 
 def cut_points(rows: DataFrame, dims: int, bins: int) -> list[np.ndarray]:
     """Ascending cuts of every feature at its quantiles, at most bins - 1; its least value is none."""
-    shares = [k / bins for k in range(1, bins)]
-    found = rows.agg(*[
-        F.struct(F.percentile_approx(F.col("x")[k], shares, 10_000).alias("q"), F.min(F.col("x")[k]).alias("low"),
-                 F.max(F.col("x")[k]).alias("high")).alias(f"c{k}") for k in range(dims)
-    ]).first()
+    shares = ", ".join(f"{k / bins!r}D" for k in range(1, bins))
+    found = {r["pos"]: r for r in rows.select(F.posexplode("x")).groupBy("pos").agg(
+        F.expr(f"percentile_approx(col, array({shares}), 10000)").alias("q"), F.min("col").alias("low"), F.max("col").alias("high")
+    ).collect()}  # one row per feature
     out = []
     for k in range(dims):
         cuts = np.unique([*(found[k]["q"] or []), found[k]["high"]])
@@ -236,6 +255,14 @@ def cut_points(rows: DataFrame, dims: int, bins: int) -> list[np.ndarray]:
     return out
 
 
+_BLOCK = "block long, n long, bins binary, numbers binary"
+
+
+def _held(blocks: DataFrame, parts: int) -> DataFrame:
+    """Written blocks, kept in memory or on the executors' disks while they are read again and again."""
+    return stage(blocks, "blocks").coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     """Trees over (x array<double>, label double, weight double); x has no gaps.
 
@@ -251,17 +278,20 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK_ROWS))
     try:
-        blocks = stage(
+        blocks = _held(
             stored.withColumn("id", F.monotonically_increasing_id()).repartition(parts, "id").sortWithinPartitions("id")
-            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts), "block long, n long, bins binary, numbers binary"), "blocks",
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts), _BLOCK), parts,
+        )
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     scale = 2.0 ** min(36, int(52 - np.log2(BLOCK_ROWS * max(size["weight"], 1.0))), int(61 - np.log2(size["n"] * max(size["weight"], 1.0))))
     trees: list[Tree] = []
     try:
-        for _ in range(how.rounds):
-            trees.append(grow(blocks, trees, cuts, how, scale))
+        for turn in range(how.rounds):
+            if turn and turn % REFRESH == 0:
+                older, blocks = blocks, _held(blocks.mapInArrow(_refreshed(trees[-REFRESH:]), _BLOCK), parts)
+                older.unpersist()
+            trees.append(grow(blocks, trees[turn - turn % REFRESH :], turn, cuts, how, scale))
     finally:
         blocks.unpersist()
     return trees

@@ -91,6 +91,7 @@ def test_weak_splits_collapse_and_light_children_are_refused(spark):
 def test_blocks_and_samples_do_not_change_with_the_partitions(spark, monkeypatch):
     monkeypatch.setattr(B, "BLOCK_ROWS", 64)
     monkeypatch.setattr(B, "PARTITION_BLOCKS", 1)
+    monkeypatch.setattr(B, "REFRESH", 3)
     x, y, w = made(300)
     trees = B.fit_trees(as_frame(spark, x, y, w), PLAIN)
     assert np.allclose(B.margins(trees, x), brute(x, y, w, PLAIN)[1], atol=1e-5)
