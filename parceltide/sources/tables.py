@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from parceltide import contracts as C
+from parceltide.sources import digests
 
 
 def read_external(spark: SparkSession, path: str, order_key_type: str = "string") -> DataFrame:
@@ -37,7 +38,7 @@ def _below(root: str) -> Column:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Every data file below ``path`` with its relative name and size; contents are not read."""
+    """Every file below ``path`` with its relative name and size; contents are not read, files without bytes not listed."""
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
         .select(_below(path).alias("filename"), "path", "length", "modificationTime")
@@ -70,38 +71,41 @@ def expected_inventory(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, layout)
 
 
-def build_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def build_manifest(spark: SparkSession, path: str, glob: str = "*", block_bytes: int = digests.BLOCK_BYTES) -> DataFrame:
     """(filename, size_bytes, sha256_hex, sha256_base64) for each file below ``path``.
 
-    ``filename`` is the path below the root, so equal names in two folders stay
-    apart. Each file is hashed whole in one row, so this fits files below the
-    2 GB limit of a binary value, such as table part files.
+    ``filename`` is the path below the root, so equal names in two folders stay apart. Files are read as streams of
+    ``block_bytes``, whatever their size; only under a scheme that tasks cannot open themselves they are loaded whole.
     """
-    digest = F.sha2("content", 256)
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True).load(path)
-        .select(
-            _below(path).alias("filename"), F.col("length").alias("size_bytes"),
-            digest.alias("sha256_hex"), F.base64(F.unhex(digest)).alias("sha256_base64"),
+    scheme = path.partition("://")[0] if "://" in path else spark.conf.get("spark.hadoop.fs.defaultFS", "file://").partition("://")[0]
+    if scheme in digests.STREAMED:
+        found = digests.file_digests(list_files(spark, path, glob), block_bytes)
+    else:
+        found = digests.whole_file_digests(
+            spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+            .select(_below(path).alias("filename"), "content")
         )
-    )
+    return found.withColumn("sha256_base64", F.base64(F.unhex("sha256_hex")))
+
+
+_ENTRY = ("size_bytes", "sha256_hex", "sha256_base64")
 
 
 def verify_manifest(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """One row per filename with its status: ok, missing, unexpected, size or checksum."""
-    e, a = expected.alias("e"), actual.alias("a")
-    status = (
-        F.when(F.col("a.filename").isNull(), "missing")
-        .when(F.col("e.filename").isNull(), "unexpected")
-        .when(F.col("e.size_bytes") != F.col("a.size_bytes"), "size")
-        .when(
-            (F.col("e.sha256_hex") != F.col("a.sha256_hex"))
-            | (F.col("e.sha256_base64") != F.col("a.sha256_base64")),
-            "checksum",
-        )
-        .otherwise("ok")
+    """One row per filename with its status: ok, missing, unexpected, size or checksum.
+
+    Both sides are tagged and grouped by name, so that names listed very often combine before the shuffle. Entries of
+    one name must all agree, also within one side. Entries without a name count as one name.
+    """
+    tagged = expected.select("filename", *_ENTRY, F.lit(1).alias("e"), F.lit(0).alias("a")).unionByName(
+        actual.select("filename", *_ENTRY, F.lit(0).alias("e"), F.lit(1).alias("a"))
     )
-    return e.join(a, F.col("e.filename") == F.col("a.filename"), "full_outer").select(
-        F.coalesce("e.filename", "a.filename").alias("filename"), status.alias("status")
+    spread = lambda c: (F.min(c) != F.max(c)) | (F.count(c) != F.count("*"))
+    return tagged.groupBy("filename").agg(
+        F.max("e").alias("e"), F.max("a").alias("a"), spread("size_bytes").alias("size"),
+        (spread("sha256_hex") | spread("sha256_base64")).alias("checksum"),
+    ).select(
+        "filename",
+        F.when(F.col("a") == 0, "missing").when(F.col("e") == 0, "unexpected").when(F.coalesce("size", F.lit(True)), "size")
+        .when(F.coalesce("checksum", F.lit(True)), "checksum").otherwise("ok").alias("status"),
     )

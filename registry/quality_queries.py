@@ -38,7 +38,13 @@ def _(spark, folder):
     return T.list_files(spark, folder, "*.parquet")
 
 
-@register("manifest_verify")
+_STATUS = {"nation.parquet": "size", "part.parquet": "checksum", "region.parquet": "unexpected", "gone/region.parquet": "missing"}
+_STATUS |= {f"{t}.parquet": "ok" for t in (
+    "customer", "supplier", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)}
+
+
+@register("manifest_verify", "SELECT * FROM (VALUES " + ", ".join(f"('{f}', '{s}')" for f, s in _STATUS.items()) + ") t(filename, status)")
 def _(spark, folder):
     """The given table files against a stored manifest in which some entries were changed.
 

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from conftest import ROWS, write_sources
@@ -192,3 +194,47 @@ def test_manifest_tells_folders_apart(spark, tmp_path):
     (tmp_path / "y" / "part-0.csv").unlink()
     found = {r["filename"]: r["status"] for r in tables.verify_manifest(before, tables.build_manifest(spark, str(tmp_path))).collect()}
     assert found == {"x/part-0.csv": "ok", "y/part-0.csv": "missing"}
+
+
+def test_files_are_read_as_streams_of_blocks(spark, tmp_path):
+    import hashlib
+
+    from parceltide.sources import digests
+
+    (tmp_path / "sub").mkdir()
+    rows = {"empty": b"", "one block": bytes(100), "sub/many": os.urandom(1 << 20) + b"\n\r\x00", "sub/a b%20c=é": os.urandom(4097)}
+    for name, data in rows.items():
+        (tmp_path / name).write_bytes(data)
+    found = {r.filename: r for r in tables.build_manifest(spark, str(tmp_path), block_bytes=4096).collect()}
+    assert set(found) == set(rows) - {"empty"}  # Spark's file sources pass over files without bytes
+    for name, data in rows.items():
+        if not data:
+            continue
+        assert (found[name].size_bytes, found[name].sha256_hex) == (len(data), hashlib.sha256(data).hexdigest())
+
+    class Counted:
+        """A stream that remembers how much was asked for at once."""
+
+        def __init__(self, data):
+            self.data, self.asked = data, []
+
+        def read(self, n):
+            self.asked.append(n)
+            out, self.data = self.data[:n], self.data[n:]
+            return out
+
+    stream = Counted(bytes(10_000))
+    assert digests.digest_of(stream, 512)[1] == 10_000 and set(stream.asked) == {512} and len(stream.asked) == 21
+    contents = spark.createDataFrame([("x", bytearray(b"abc"))], "filename string, content binary")
+    whole = digests.whole_file_digests(contents).first()
+    assert (whole.size_bytes, whole.sha256_hex) == (3, hashlib.sha256(b"abc").hexdigest())
+
+
+def test_entries_of_a_name_must_agree(spark):
+    layout = "filename string, size_bytes long, sha256_hex string, sha256_base64 string"
+    make = lambda *rows: spark.createDataFrame(rows, layout)
+    listed = make(("twice", 1, "a", "a"), ("twice", 1, "a", "a"), ("odd", 1, "a", "a"), ("odd", 1, "b", "a"), ("gap", 1, None, "a"))
+    there = make(("twice", 1, "a", "a"), ("odd", 1, "a", "a"), ("gap", 1, "a", "a"))
+    got = {r.filename: r.status for r in tables.verify_manifest(listed, there).collect()}
+    assert got == {"twice": "ok", "odd": "checksum", "gap": "checksum"}
+    assert tables.verify_manifest(make(), make()).count() == 0
