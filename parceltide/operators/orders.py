@@ -7,12 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parceltide import contracts as C
 
 
+def is_eligible() -> Column:
+    """Delivered, with both dates known."""
+    delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
+    return (F.col("order_status") == C.DELIVERED) & delivered.isNotNull() & estimated.isNotNull()
+
+
 def delivered_cohort(orders: DataFrame) -> DataFrame:
-    """Delivered orders with both dates known, and the calendar-date target."""
+    """Eligible orders with the calendar-date target."""
     delivered, estimated = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
-    return orders.where(
-        (F.col("order_status") == C.DELIVERED) & delivered.isNotNull() & estimated.isNotNull()
-    ).select(
+    return orders.where(is_eligible()).select(
         "order_id", "customer_id", "order_purchase_timestamp", "order_approved_at",
         F.to_date(estimated).alias("estimated_date"),
         (F.to_date(delivered) > F.to_date(estimated)).cast("int").alias(C.TARGET),

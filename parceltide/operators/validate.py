@@ -6,13 +6,15 @@ turns a positive count into an error.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import contracts as C
 from parceltide.functions import parsing as P
+from parceltide.operators.orders import is_eligible
 
 VIOLATION_COLUMNS = ("table", "rule", "column", "violations")
 Rule = tuple[str, str, Column]  # (rule, column, "this row violates it")
@@ -109,79 +111,144 @@ def parse_violations(raw: dict[str, DataFrame]) -> DataFrame:
 
 # -- keys and references -----------------------------------------------------
 
-def key_violations(frame: DataFrame, keys: Iterable[str], table: str) -> DataFrame:
-    """Rows with a NULL key part, and all rows that share their key with another row.
+@dataclass(frozen=True)
+class KeyRule:
+    """A key of a table: unique or, with a ``parent`` (table, keys), present there. Rows outside ``where`` do not count."""
+
+    label: str
+    table: str
+    keys: tuple[str, ...]
+    parent: tuple[str, tuple[str, ...]] | None = None
+    where: Column | None = None
+
+
+def _key_text(keys: Sequence[str], kinds: dict[str, str]) -> Column:
+    """One text per key, NULL where a part is; parts of several columns keep their lengths, so that none can be mistaken."""
+    parts = [F.col(k).cast(kinds[k]).cast("string") for k in keys]
+    if len(parts) == 1:
+        return parts[0]
+    return F.concat(*[x for p in parts for x in (F.char_length(p).cast("string"), F.lit(":"), p)])
 
-    Equal keys are combined before the shuffle, so a key owning most of the
-    rows still arrives as a few partial counts.
+
+def key_rule_violations(tables: dict[str, DataFrame], rules: Sequence[KeyRule]) -> DataFrame:
+    """Violations of all key rules in one pass: each table is read once, and all rules share one shuffle.
+
+    A row gives one entry (rule, side, key) for every rule it takes part in. Entries are counted per (rule, key), in
+    part before the shuffle, so a key that owns most of the rows arrives as a few counts. Unique keys yield the rules
+    ``missing_key`` (rows with a NULL part) and ``duplicate_key`` (all rows that share their key), references the rule
+    ``unmatched``: child rows without a parent, NULL keys among them.
     """
-    keys = list(keys)
-    null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    groups = frame.groupBy(*keys).agg(F.count("*").alias("n"))
-    counts = groups.agg(
-        F.coalesce(F.sum(F.when(null_key, F.col("n"))), F.lit(0)).alias("missing"),
-        F.coalesce(F.sum(F.when(~null_key & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("dup"),
-    )
-    row = lambda rule, c: F.struct(
-        F.lit(table).alias("table"), F.lit(rule).alias("rule"),
-        F.lit(",".join(keys)).alias("column"), F.col(c).cast("bigint").alias("violations"),
+    entries: dict[str, list[Column]] = {}
+
+    def enter(table: str, number: int, keys: Sequence[str], kinds: dict[str, str], child: int, where: Column | None) -> None:
+        entry = F.struct(F.lit(number).alias("rule"), _key_text(keys, kinds).alias("key"), F.lit(child).alias("child"))
+        entries.setdefault(table, []).append(entry if where is None else F.when(where, entry))
+
+    for number, rule in enumerate(rules):
+        kinds = dict(tables[rule.table].dtypes)
+        if rule.parent:
+            parent, parent_keys = rule.parent
+            theirs = dict(tables[parent].dtypes)
+            enter(parent, number, parent_keys, theirs, 0, None)
+            kinds = {k: theirs[p] for k, p in zip(rule.keys, parent_keys)}
+        enter(rule.table, number, rule.keys, kinds, 1, rule.where)
+    streams = [tables[t].select(F.inline(F.array_compact(F.array(*found)))) for t, found in entries.items()]
+    keys = union_all(streams).groupBy("rule", "key").agg(
+        F.sum("child").alias("n"), F.max(F.lit(1) - F.col("child")).alias("known")
     )
-    return counts.select(F.inline(F.array(row("missing_key", "missing"), row("duplicate_key", "dup"))))
+    no_key = F.col("key").isNull()
+    counts, rows = [], []
+    for number, rule in enumerate(rules):
+        bad = {"unmatched": no_key | (F.col("known") == 0)} if rule.parent else {
+            "missing_key": no_key, "duplicate_key": ~no_key & (F.col("n") > 1),
+        }
+        for name, condition in bad.items():
+            column = f"{name}{number}"
+            counts.append(F.coalesce(F.sum(F.when((F.col("rule") == number) & condition, F.col("n"))), F.lit(0)).alias(column))
+            rows.append(F.struct(
+                F.lit(rule.label).alias("table"), F.lit(name).alias("rule"), F.lit(",".join(rule.keys)).alias("column"),
+                F.col(column).cast("bigint").alias("violations"),
+            ))
+    return keys.agg(*counts).select(F.inline(F.array(*rows)))
+
+
+def key_violations(frame: DataFrame, keys: Iterable[str], table: str) -> DataFrame:
+    """Rows with a NULL key part, and all rows that share their key with another row."""
+    return key_rule_violations({table: frame}, [KeyRule(table, table, tuple(keys))])
 
 
 def orphan_violations(
     child: DataFrame, parent: DataFrame, key: str, relation: str, parent_key: str | None = None
 ) -> DataFrame:
-    """Child rows without a parent. NULL keys never match.
+    """Child rows without a parent. NULL keys never match."""
+    rule = KeyRule(relation, "child", (key,), ("parent", (parent_key or key,)))
+    return key_rule_violations({"child": child, "parent": parent}, [rule])
 
-    Both sides are reduced to one row per key before they meet, so neither a
-    hot child key nor a repeated parent key reaches a single task in full.
-    """
-    parent_key = parent_key or key
-    keys = child.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("n"))
-    orphans = keys.join(parent.select(F.col(parent_key).alias("_key")).distinct(), "_key", "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
-        F.lit(relation).alias("table"), F.lit("unmatched").alias("rule"),
-        F.lit(key).alias("column"), "violations",
-    )
 
+UNIQUE_RULES = tuple(KeyRule(n, n, keys) for n, keys in C.UNIQUE_KEYS.items())
+REFERENCE_RULES = tuple(
+    KeyRule(f"{child}->{parent}", child, (key,), (parent, (parent_key,))) for child, parent, key, parent_key in C.REFERENCES
+)
 
-def all_key_violations(sources: dict[str, DataFrame]) -> DataFrame:
-    return union_all(key_violations(sources[n], keys, n) for n, keys in C.UNIQUE_KEYS.items())
 
+def itemless_rule() -> KeyRule:
+    """Eligible orders own item rows."""
+    return KeyRule("eligible->items", "orders", ("order_id",), ("items", ("order_id",)), is_eligible())
 
-def reference_violations(sources: dict[str, DataFrame]) -> DataFrame:
-    return union_all(
-        orphan_violations(sources[child], sources[parent], key, f"{child}->{parent}", parent_key)
-        for child, parent, key, parent_key in C.REFERENCES
-    )
+
+def assignment_rule() -> KeyRule:
+    """A customer record belongs to one order."""
+    return KeyRule("orders->customers", "orders", ("customer_id",), where=F.col("customer_id").isNotNull())
 
 
 def customer_assignment_violations(sources: dict[str, DataFrame]) -> DataFrame:
-    """A customer record belongs to one order: rows of customers with several orders."""
-    orders = sources["orders"].where(F.col("customer_id").isNotNull())
-    return key_violations(orders, ["customer_id"], "orders->customers")
+    """Rows of customers with several orders."""
+    return key_rule_violations(sources, [assignment_rule()])
+
+
+_COPIES = "_copies"
 
 
-def itemless_violations(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Eligible orders without item rows."""
-    return orphan_violations(orders, items, "order_id", "eligible->items")
+def one_per_key(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key with the number of rows it stands for; the key columns must not be NULL to match anything."""
+    rest = [c for c in frame.columns if c not in keys]
+    return frame.groupBy(*keys).agg(F.count("*").alias(_COPIES), *[F.first(c).alias(c) for c in rest])
+
+
+def join_counted(left: DataFrame, counted: DataFrame, keys: Sequence[str], how: str = "left", name: str = "join") -> DataFrame:
+    """Join with a side reduced by ``one_per_key``; reading a column of a repeated key that was met raises an error."""
+    told = F.concat_ws(" ", F.lit(f"{name}: repeated key"), *[F.col(k).cast("string") for k in keys])
+    rest = [c for c in counted.columns if c not in (*keys, _COPIES)]
+    return left.join(counted, list(keys), how).select(
+        *left.columns, *[F.when(F.col(_COPIES) > 1, F.raise_error(told)).otherwise(F.col(c)).alias(c) for c in rest]
+    )
 
 
 def join_checked(
-    left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left",
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left",
     cardinality: str = "many_to_one", name: str = "join",
 ) -> DataFrame:
-    """Join after proving the stated cardinality: many_to_one, one_to_one or one_to_many."""
+    """Join that proves the stated cardinality while it runs: many_to_one, one_to_one or one_to_many.
+
+    The side that must be unique is reduced to a row and a count per key, by an aggregate that shares the partitioning
+    of the join, and the count is judged where its columns are read: no extra job, no second look at the table.
+    Repeated keys that nothing meets do no harm.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    unique_sides = {
-        "many_to_one": [right], "one_to_many": [left], "one_to_one": [left, right],
-    }[cardinality]
-    enforce(
-        union_all(key_violations(side, keys, name) for side in unique_sides)
-        .where(F.col("rule") == "duplicate_key")
-    )
-    return left.join(right, keys, how)
+    if cardinality == "many_to_one":
+        return join_counted(left, one_per_key(right, keys), keys, how, name)
+    swapped = {"left": "right", "right": "left"}.get(how, how)
+    columns = [*left.columns, *[c for c in right.columns if c not in keys]]
+    if cardinality == "one_to_many":
+        return join_counted(right, one_per_key(left, keys), keys, swapped, name).select(*columns)
+    if cardinality != "one_to_one":
+        raise ValueError(f"unknown cardinality {cardinality}")
+    first = one_per_key(left, keys).withColumnRenamed(_COPIES, "_left_copies")
+    both = join_counted(first, one_per_key(right, keys), keys, how, name)
+    told = F.concat_ws(" ", F.lit(f"{name}: repeated key"), *[F.col(k).cast("string") for k in keys])
+    return both.select(*keys, *[
+        F.when(F.col("_left_copies") > 1, F.raise_error(told)).otherwise(F.col(c)).alias(c) for c in columns if c not in keys
+    ])
 
 
 # -- feature rows ------------------------------------------------------------
@@ -227,13 +294,16 @@ def check_split(summary: DataFrame) -> None:
 
 
 def validate_sources(
-    sources: dict[str, DataFrame], one_order_per_customer: bool = True, row_rules: bool = True
+    sources: dict[str, DataFrame], one_order_per_customer: bool = True, row_rules: bool = True, items_of_eligible: bool = False
 ) -> None:
     """Key, reference and (unless already checked) row rules; one report, then raise."""
     require_sources(sources)
-    checks = [all_key_violations(sources), reference_violations(sources)]
+    rules = [*UNIQUE_RULES, *REFERENCE_RULES]
+    if one_order_per_customer:
+        rules.append(assignment_rule())
+    if items_of_eligible:
+        rules.append(itemless_rule())
+    checks = [key_rule_violations(sources, rules)]
     if row_rules:
         checks.append(source_violations(sources))
-    if one_order_per_customer:
-        checks.append(customer_assignment_violations(sources))
     enforce(union_all(checks))

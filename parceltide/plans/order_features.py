@@ -45,25 +45,20 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
         centroids = stage(geography.zip_centroids(sources["geolocation"]), "centroids")
 
     placed = geography.located(
-        delivered_cohort(sources["orders"]).join(sources["customers"], "customer_id", "left"),
+        validate.join_checked(delivered_cohort(sources["orders"]), sources["customers"], "customer_id", name="customers"),
         centroids, "customer_zip_code_prefix", "customer",
     ).select("order_id", *_ORDER_COLUMNS, "customer_state")
-    products = stage(
-        item_ops.product_profiles(sources["products"], sources["translations"]), "products"
-    )
-    sellers = stage(
+    products = stage(validate.one_per_key(
+        item_ops.product_profiles(sources["products"], sources["translations"]), ["product_id"]
+    ), "products")
+    sellers = stage(validate.one_per_key(
         geography.located(sources["sellers"], centroids, "seller_zip_code_prefix", "seller").select(
             "seller_id", "seller_state", "seller_latitude", "seller_longitude"
-        ),
-        "sellers",
-    )
-    lines = (
-        item_ops.with_amounts(sources["items"])
-        .select("order_id", "product_id", "seller_id", "amount", "freight")
-        .join(products, "product_id", "left")
-        .join(sellers, "seller_id", "left")
-        .join(placed, "order_id")
-    )
+        ), ["seller_id"],
+    ), "sellers")
+    lines = item_ops.with_amounts(sources["items"]).select("order_id", "product_id", "seller_id", "amount", "freight")
+    lines = validate.join_counted(lines, products, ["product_id"], name="products")
+    lines = validate.join_counted(lines, sellers, ["seller_id"], name="sellers").join(placed, "order_id")
     facets = item_ops.facet_subtotals(
         lines, carried=(*_ORDER_COLUMNS, "seller_latitude", "seller_longitude"), also_by=("customer_state",)
     )
@@ -134,9 +129,8 @@ def build_order_features(sources: dict[str, DataFrame], one_order_per_customer:
 
     Row rules are not repeated for sources that come from ``ingest``.
     """
-    validate.validate_sources(sources, one_order_per_customer, row_rules=not is_ingested(sources))
-    validate.enforce(
-        validate.itemless_violations(delivered_cohort(sources["orders"]), sources["items"])
+    validate.validate_sources(
+        sources, one_order_per_customer, row_rules=not is_ingested(sources), items_of_eligible=True
     )
     features = order_features(sources)
     validate.check_feature_layout(features)

@@ -69,9 +69,8 @@ def broken_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The typed sources with their bad rows."""
     out = {}
     for name, frame in retail_sources(spark, folder).items():
-        out[name] = frame.selectExpr(*_columns(name)).unionByName(
-            frame.where(_twice(name)).selectExpr(*_columns(name))
-        )
+        copies = f"explode(array_repeat(0, CASE WHEN {_twice(name)} THEN 2 ELSE 1 END)) AS copy"
+        out[name] = frame.selectExpr("*", copies).selectExpr(*_columns(name))
     return out
 
 

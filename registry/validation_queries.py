@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from parceltide import contracts as C
 from parceltide.functions import parsing as P
 from parceltide.operators import scoring, validate as V
-from parceltide.operators.orders import delivered_cohort
 from registry.broken_sources import broken_features, broken_features_view, broken_sources, broken_view
 from registry.common import feature_table, read_table, register
 from registry.views import VIEWS, compose
@@ -96,8 +95,9 @@ def _key_sql(table: str, keys: tuple[str, ...], view: str) -> str:
     + [_key_sql("lineitem", ("l_orderkey", "l_linenumber"), "lineitem")]
 ), **_BROKEN))
 def _(spark, folder):
-    raw = V.key_violations(read_table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem")
-    return V.all_key_violations(broken_sources(spark, folder)).unionByName(raw)
+    tables = {**broken_sources(spark, folder), "lineitem": read_table(spark, folder, "lineitem")}
+    raw = V.KeyRule("lineitem", "lineitem", ("l_orderkey", "l_linenumber"))
+    return V.key_rule_violations(tables, [*V.UNIQUE_RULES, raw])
 
 
 def _orphan_sql(relation: str, child: str, parent: str, key: str, parent_key: str) -> str:
@@ -113,12 +113,8 @@ def _orphan_sql(relation: str, child: str, parent: str, key: str, parent_key: st
        _orphan_sql("customers->orders", "b_customers", "b_orders", "customer_id", "customer_id")]
 ), **_BROKEN))
 def _(spark, folder):
-    src = broken_sources(spark, folder)
-    return V.union_all([
-        V.reference_violations(src),
-        V.itemless_violations(delivered_cohort(src["orders"]), src["items"]),
-        V.orphan_violations(src["customers"], src["orders"], "customer_id", "customers->orders"),
-    ])
+    back = V.KeyRule("customers->orders", "customers", ("customer_id",), ("orders", ("customer_id",)))
+    return V.key_rule_violations(broken_sources(spark, folder), [*V.REFERENCE_RULES, V.itemless_rule(), back])
 
 
 @register("feature_contract", compose("""

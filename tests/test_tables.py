@@ -31,15 +31,46 @@ def test_orphans_count_child_rows(spark):
 
 
 def test_join_checked(spark):
-    left = spark.createDataFrame([(1, "a"), (1, "b")], "k int, x string")
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (3, "e")], "k int, x string")
     right = spark.createDataFrame([(1, "c"), (1, "d")], "k int, y string")
-    with pytest.raises(V.ContractViolation, match="duplicate_key"):
-        V.join_checked(left, right, "k")
+    with pytest.raises(Exception, match="dims: repeated key 1"):
+        V.join_checked(left, right, "k", name="dims").collect()
     once = right.limit(1)
-    assert V.join_checked(left, once, "k").count() == 2
-    with pytest.raises(V.ContractViolation):
-        V.join_checked(left, once, "k", cardinality="one_to_one")
+    assert sorted(r.x for r in V.join_checked(left, once, "k").collect()) == ["a", "b", "e"]
+    with pytest.raises(Exception, match="repeated key"):
+        V.join_checked(left, once, "k", cardinality="one_to_one").collect()
+    assert sorted(V.join_checked(left.where("x <> 'b'"), once, "k", cardinality="one_to_one").collect())[0][1:] == ("a", once.first().y)
+    assert V.join_checked(once, left, "k", cardinality="one_to_many").columns == ["k", "y", "x"]
     assert V.join_checked(once, left, "k", cardinality="one_to_many").count() == 2
+    # a repeated key that nothing meets, and NULL keys, do no harm
+    spare = spark.createDataFrame([(1, "c"), (9, "d"), (9, "e"), (None, "f"), (None, "g")], "k int, y string")
+    assert len(V.join_checked(left, spare, "k").collect()) == 3
+    assert len(V.join_checked(spark.createDataFrame([(None, "n")], "k int, x string"), spare, "k").collect()) == 1
+
+
+def test_key_pass_reads_every_table_once(spark, mini):
+    import re
+
+    from conftest import ROWS
+    from parceltide.session import stage
+
+    stored = {n: stage(f, n) for n, f in mini.items()}
+    rules = [*V.UNIQUE_RULES, *V.REFERENCE_RULES, V.assignment_rule(), V.itemless_rule()]
+    found = V.key_rule_violations(stored, rules)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("FileScan", plan)) == len([n for n in ROWS if n != "geolocation"])
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1 and "Join" not in plan
+    rows = {(r.table, r.rule): r.violations for r in found.collect()}
+    assert not any(rows.values()) and len(rows) == 2 * (len(V.UNIQUE_RULES) + 1) + len(V.REFERENCE_RULES) + 1
+
+
+def test_key_parts_are_not_mistaken(spark):
+    frame = spark.createDataFrame([("1:a", "b"), ("1", "a:b"), ("", "x"), ("x", "")], "a string, b string")
+    assert set(counts(V.key_violations(frame, ["a", "b"], "t")).values()) == {0}
+    child = spark.createDataFrame([("7",), ("07",)], "k string")  # compared as the parent's whole numbers
+    parent = spark.createDataFrame([(7,)], "k int")
+    assert V.orphan_violations(child, parent, "k", "c->p").first()["violations"] == 0
+    assert counts(V.key_violations(frame.limit(0), ["a", "b"], "t")) == {("missing_key", "a,b"): 0, ("duplicate_key", "a,b"): 0}
 
 
 def test_missing_sources_and_columns(mini):
