@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import contracts as C
 from parceltide.functions.geo import haversine_km, within
-from parceltide.operators.ranking import exact_quantiles
+from parceltide.operators.selection import quantiles
 
 _ZIP, _LAT, _LNG = "geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"
 
@@ -18,8 +18,8 @@ def inside_envelope() -> Column:
 def zip_centroids(geolocation: DataFrame) -> DataFrame:
     """Exact coordinate-wise median per ZIP over distinct in-envelope points.
 
-    Slices of the sorted values, not ZIPs, are the unit of work, so a ZIP of any
-    size is as good as many small ones.
+    Points of a small ZIP meet in one row; those of a large one are only counted,
+    so a ZIP of any size is as good as many small ones.
     """
     points = geolocation.where(inside_envelope()).select(_ZIP, _LAT, _LNG).distinct()
     axes = points.select(
@@ -29,7 +29,7 @@ def zip_centroids(geolocation: DataFrame) -> DataFrame:
             F.struct(F.lit("lng").alias("axis"), F.col(_LNG).alias("degrees")),
         )),
     )
-    medians = exact_quantiles(axes, "degrees", {"mid": 0.5}, within=[_ZIP, "axis"])
+    medians = quantiles(axes, "degrees", {"mid": 0.5}, within=[_ZIP, "axis"])
     return medians.groupBy(_ZIP).agg(
         F.max(F.when(F.col("axis") == "lat", F.col("mid"))).alias("zip_latitude"),
         F.max(F.when(F.col("axis") == "lng", F.col("mid"))).alias("zip_longitude"),

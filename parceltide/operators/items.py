@@ -45,27 +45,6 @@ def enrich_items(
     )
 
 
-def all_or_nothing(value: Column, rows: Column) -> Column:
-    """Sum of a per-item value, NULL unless every item has it."""
-    return F.when(F.count(value) == rows, F.sum(value))
-
-
-def item_totals(lines: DataFrame) -> DataFrame:
-    """Counts, distinct counts and sums per order from enriched items."""
-    rows = F.count("*")
-    return lines.groupBy("order_id").agg(
-        rows.alias("item_row_count"),
-        F.count_distinct("product_id").alias("distinct_product_count"),
-        F.count_distinct("seller_id").alias("distinct_seller_count"),
-        money.rounded(F.sum(money.exact(F.col("price")))).alias("item_price_total"),
-        money.rounded(F.sum(money.exact(F.col("freight_value")))).alias("freight_value_total"),
-        F.count_if("product_measurement_missing").alias("product_measurement_missing_item_count"),
-        F.count_if("product_category_fallback").alias("product_category_fallback_item_count"),
-        all_or_nothing(F.col("product_weight_g"), rows).alias("product_weight_g_total"),
-        all_or_nothing(F.col("product_volume_cm3"), rows).alias("product_volume_cm3_total"),
-    )
-
-
 def primary_value(
     rows: DataFrame, key: str, amount: str, *, label: str, output: str, carry: str | None = None
 ) -> DataFrame:
@@ -109,28 +88,30 @@ def with_amounts(items: DataFrame) -> DataFrame:
 
 
 def facet_subtotals(
-    lines: DataFrame, carried: tuple[str, ...] = (), also_by: tuple[str, ...] = ()
+    lines: DataFrame, of_order: tuple[str, ...] = (), of_seller: tuple[str, ...] = ()
 ) -> DataFrame:
     """Subtotals per (order, facet key): each line counts once per facet.
 
     Facets are the product, the seller and the category of a line. One pass
     yields the distinct counts and the ranking inputs of every facet, where
-    separate aggregates would read and join the items again. ``carried`` columns
-    are constant within a facet; ``also_by`` columns are constant within an order.
+    separate aggregates would read and join the items again. ``of_order`` columns
+    are constant within an order, ``of_seller`` columns within a seller; as keys they cost
+    no aggregate of their own.
     """
     kinds = dict(lines.dtypes)
+    keys = (*_FACET_KEYS, *of_seller)
 
     def facet(number: int, *kept: str) -> Column:
         return F.struct(F.lit(number).alias("facet"), *[
-            (F.col(c) if c in kept else F.lit(None).cast(kinds[c])).alias(c) for c in _FACET_KEYS
+            (F.col(c) if c in kept else F.lit(None).cast(kinds[c])).alias(c) for c in keys
         ])
 
     fan_out = F.inline(F.array(
-        facet(PRODUCT, "product_id"), facet(SELLER, "seller_id", "seller_state"),
+        facet(PRODUCT, "product_id"), facet(SELLER, "seller_id", "seller_state", *of_seller),
         facet(CATEGORY, "normalized_product_category"),
     ))
-    rest = [c for c in lines.columns if c not in _FACET_KEYS]
-    return lines.select(*rest, fan_out).groupBy("order_id", "facet", *_FACET_KEYS, *also_by).agg(
+    rest = [c for c in lines.columns if c not in keys]
+    return lines.select(*rest, fan_out).groupBy("order_id", "facet", *keys, *of_order).agg(
         F.count("*").alias("n"),
         F.sum("amount").alias("amount"),
         F.sum("freight").alias("freight"),
@@ -138,7 +119,6 @@ def facet_subtotals(
         F.count_if("product_category_fallback").alias("fallbacks"),
         F.sum("product_weight_g").alias("weight"), F.count("product_weight_g").alias("weighed"),
         F.sum("product_volume_cm3").alias("volume"), F.count("product_volume_cm3").alias("sized"),
-        *[F.max(c).alias(c) for c in carried],
     )
 
 

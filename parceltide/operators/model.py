@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import contracts as C
 from parceltide.operators.boosting import Boosting, SecondOrderBoosting
-from parceltide.operators.ranking import exact_quantiles
-from parceltide.session import staging_root
+from parceltide.operators.selection import quantiles
+from parceltide.session import stage, staging_root
 
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
 
@@ -51,9 +51,9 @@ def numeric_frame(frame: DataFrame, columns=C.NUMERIC_FEATURES) -> DataFrame:
 
 
 def exact_medians(train: DataFrame, columns=C.NUMERIC_FEATURES) -> DataFrame:
-    """(feature, median) over the non-missing training values."""
-    values = numeric_frame(train, columns).unpivot([], list(columns), "feature", "value")
-    return exact_quantiles(values, "value", {"median": 0.5}, within=["feature"])
+    """(feature, median) over the non-missing training values; a few counting passes for all columns together."""
+    values = stage(numeric_frame(train, columns), "numeric").unpivot([], list(columns), "feature", "value")
+    return quantiles(values, "value", {"median": 0.5}, within=["feature"], read_out=1000)
 
 
 def scale_statistics(train: DataFrame, medians: dict[str, float], columns=C.NUMERIC_FEATURES) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from parceltide import contracts as C
-from parceltide.operators.ranking import exact_quantiles
+from parceltide.operators.selection import quantiles
 
 DISTANCE = "seller_customer_distance_km_mean"
 QUANTILES = {"minimum": 0.0, "median": 0.5, "p95": 0.95, "p99": 0.99, "maximum": 1.0}
@@ -50,7 +50,7 @@ def quality_counts(features: DataFrame) -> DataFrame:
 
 def distance_distribution(features: DataFrame) -> DataFrame:
     """Exact minimum, median, p95, p99 and maximum of the mean distance."""
-    return exact_quantiles(features.select(DISTANCE), DISTANCE, QUANTILES)
+    return quantiles(features.select(DISTANCE), DISTANCE, QUANTILES)
 
 
 def quality_summary(features: DataFrame, geo_counts: DataFrame) -> DataFrame:

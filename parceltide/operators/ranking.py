@@ -1,4 +1,4 @@
-"""Global order at scale: running totals, ranks, exact quantiles.
+"""Global order at scale: running totals and ranks.
 
 A window without partition columns, or over one hot key, sorts everything in
 one task. Here rows are range-partitioned on the full sort key and written
@@ -55,40 +55,3 @@ def running_totals(
 def global_rank(frame: DataFrame, order_by: Sequence[Column], output: str = "rank") -> DataFrame:
     """Dense 1..n position of every row in a total order."""
     return running_totals(frame.withColumn("_one", F.lit(1)), order_by, {output: "_one"}).drop("_one")
-
-
-def exact_quantiles(
-    frame: DataFrame, value: str, probabilities: dict[str, float], within: Sequence[str] = ()
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group; NULLs are skipped.
-
-    One output column per entry of ``probabilities``. Groups of any size are
-    fine: only distinct values with their counts are ordered, spread over all
-    slices, and each quantile keeps the one or two rows that cover its rank.
-    """
-    within = list(within)
-    counted = (
-        frame.where(F.col(value).isNotNull()).groupBy(*within, value).agg(F.count("*").alias("_n"))
-    )
-    ordered = running_totals(counted, [F.col(value)], {"_upto": "_n"}, within)
-    sizes = ordered.groupBy(*within).agg(F.max("_upto").alias("_size"))
-    if within:
-        placed = ordered.join(sizes, within)
-    else:
-        placed = ordered.withColumn("_size", sizes.scalar())
-
-    def value_at(rank: Column) -> Column:
-        covers = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(covers, F.col(value)))
-
-    parts, picks = [], []
-    for i, (name, p) in enumerate(probabilities.items()):
-        position = (F.col("_size") - 1) * F.lit(float(p))
-        parts += [
-            value_at(F.floor(position)).alias(f"_lo{i}"),
-            value_at(F.ceil(position)).alias(f"_hi{i}"),
-            F.max(position - F.floor(position)).alias(f"_w{i}"),
-        ]
-        low, high, weight = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_w{i}")
-        picks.append((low + (high - low) * weight).alias(name))
-    return placed.groupBy(*within).agg(*parts).select(*within, *picks)

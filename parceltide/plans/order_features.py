@@ -60,7 +60,7 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
     lines = validate.join_counted(lines, products, ["product_id"], name="products")
     lines = validate.join_counted(lines, sellers, ["seller_id"], name="sellers").join(placed, "order_id")
     facets = item_ops.facet_subtotals(
-        lines, carried=(*_ORDER_COLUMNS, "seller_latitude", "seller_longitude"), also_by=("customer_state",)
+        lines, of_order=(*_ORDER_COLUMNS, "customer_state"), of_seller=("seller_latitude", "seller_longitude")
     )
     per_order = _combine(facets)
     return per_order.join(payment_rollup(sources["payments"]), "order_id", "left").select(
@@ -75,8 +75,7 @@ def _combine(facets: DataFrame) -> DataFrame:
     carried = (
         "order_purchase_timestamp", "order_approved_at", "estimated_date", "customer_state", C.TARGET,
     )
-    return facets.groupBy("order_id").agg(
-        *[F.max(c).alias(c) for c in carried],
+    return facets.groupBy("order_id", *carried).agg(
         F.max(F.col("customer_latitude").isNull() | F.col("customer_longitude").isNull())
         .alias("customer_geolocation_missing"),
         *item_ops.facet_totals(),

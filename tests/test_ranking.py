@@ -3,7 +3,8 @@ import random
 import numpy as np
 import pytest
 
-from parceltide.operators.ranking import exact_quantiles, global_rank, running_totals
+from parceltide.operators.ranking import global_rank, running_totals
+from parceltide.operators.selection import quantiles
 from pyspark.sql import functions as F
 
 
@@ -27,18 +28,35 @@ def test_running_totals_with_a_hot_group(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("read_out", [10_000, 20])
 @pytest.mark.parametrize("within", [[], ["g"]])
-def test_exact_quantiles(spark, within):
+def test_exact_quantiles(spark, within, read_out):
     random.seed(2)
-    rows = [("a" if i % 4 else "b", random.choice([1.5, 2.0, random.random() * 10, None])) for i in range(400)]
-    frame = spark.createDataFrame(rows, "g string, v double")
+    rows = [("a" if i % 4 else "b", random.choice([1.5, 2.0, random.random() * 10, 10 ** random.uniform(-3, 3), None])) for i in range(400)]
+    frame = spark.createDataFrame([*rows, ("none", None)], "g string, v double")
     probabilities = {"low": 0.0, "mid": 0.5, "p95": 0.95, "high": 1.0}
-    for r in exact_quantiles(frame, "v", probabilities, within).collect():
+    got = quantiles(frame, "v", probabilities, within, read_out).collect()
+    assert len(got) == (2 if within else 1)
+    for r in got:
         values = [v for g, v in rows if v is not None and (not within or g == r["g"])]
         for name, p in probabilities.items():
-            assert r[name] == pytest.approx(np.quantile(values, p), abs=1e-12)
+            assert r[name] == pytest.approx(np.quantile(values, p), rel=1e-12)
+
+
+@pytest.mark.parametrize("read_out", [10_000, 1])
+def test_quantiles_of_infinities_equal_values_and_nothing(spark, read_out):
+    inf, nan = float("inf"), float("nan")
+    odd = [-inf, -inf, -1.7e308, -5e-324, 0.0, 5e-324, 1.7e308, inf, nan]
+    frame = spark.createDataFrame([(float(v),) for v in odd], "v double")
+    places = {f"p{k}": k / 8 for k in (0, 2, 3, 4, 5, 6)}
+    row = quantiles(frame, "v", places, read_out=read_out).first()
+    assert [row[f"p{k}"] for k in (2, 3, 4, 5, 6)] == [odd[k] for k in (2, 3, 4, 5, 6)]
+    same = spark.createDataFrame([("x", 7.0)] * 50 + [("y", 1.0), ("y", 2.0)], "g string, v double")
+    assert {r.g: r.m for r in quantiles(same, "v", {"m": 0.5}, ["g"], read_out).collect()} == {"x": 7.0, "y": 1.5}
+    assert quantiles(frame.limit(0), "v", {"m": 0.5}, read_out=read_out).first()["m"] is None
+    assert quantiles(same.limit(0), "v", {"m": 0.5}, ["g"], read_out).count() == 0
 
 
 def test_even_count_interpolates(spark):
     frame = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "v double")
-    assert exact_quantiles(frame, "v", {"m": 0.5}).first()["m"] == 2.5
+    assert quantiles(frame, "v", {"m": 0.5}).first()["m"] == 2.5
