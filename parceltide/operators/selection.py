@@ -37,7 +37,7 @@ def _read_out(rows: DataFrame, value: str, probabilities: dict[str, float], with
     gathered = rows.groupBy(*within).agg(F.sort_array(F.collect_list(value)).alias("_all"))
     size = F.size("_all")
     picks = [
-        F.when(size > 0, _between(_at(F.col("_all"), F.floor(p)), _at(F.col("_all"), F.ceil(p)), p - F.floor(p))).alias(name)
+        _between(_at(F.col("_all"), F.floor(p)), _at(F.col("_all"), F.ceil(p)), p - F.floor(p)).alias(name)
         for name, p in zip(probabilities, _positions(size, probabilities))
     ]
     return gathered.select(*within, *picks)
@@ -61,12 +61,15 @@ def _bin(value: Column, low: Column, high: Column) -> Column:
     return F.when(F.isnan(value), BINS + 1).when(value == infinity, BINS).when(value == -infinity, -1).otherwise(inside).cast("int")
 
 
+def _met(rows: DataFrame, ranks: DataFrame, value: str, within: list[str]) -> DataFrame:
+    """Each value beside the ranks whose bracket holds it; the ranks are few and broadcast below the planner's limit."""
+    return rows.join(ranks, within).where((F.col(value) >= F.col("low")) & (F.col(value) <= F.col("high")))
+
+
 def _refined(rows: DataFrame, ranks: DataFrame, value: str, within: list[str]) -> DataFrame:
     """The next bracket of every rank: (within, rank, low, high, below, inside)."""
-    asked = ranks.groupBy(*within).agg(F.collect_list(F.struct("rank", "low", "high", "below", "inside")).alias("_asked"))
-    meets = F.filter("_asked", lambda a: (F.col(value) >= a["low"]) & (F.col(value) <= a["high"]))
     counted = (
-        _joined(rows, asked, within).select(*within, value, F.inline(meets))
+        _met(rows, ranks, value, within)
         .groupBy(*within, "rank", "below", _bin(F.col(value), F.col("low"), F.col("high")).alias("_bin"))
         .agg(F.count("*").alias("_n"), F.min(value).alias("_low"), F.max(value).alias("_high"))
     )
@@ -80,10 +83,6 @@ def _refined(rows: DataFrame, ranks: DataFrame, value: str, within: list[str]) -
     )
 
 
-def _joined(rows: DataFrame, groups: DataFrame, within: list[str]) -> DataFrame:
-    return rows.join(groups, within) if within else rows.withColumn("_asked", groups.select("_asked").scalar())
-
-
 def quantiles(
     frame: DataFrame, value: str, probabilities: dict[str, float], within: Sequence[str] = (), read_out: int = READ_OUT
 ) -> DataFrame:
@@ -93,23 +92,27 @@ def quantiles(
     not be NULL. The frame is read once per pass. Groups and brackets above ``read_out`` values are counted, smaller ones gathered: the result is the same.
     """
     within = list(within)
+    if not within:  # one group, named by a constant
+        return _quantiles(frame.select(F.lit(0).alias("_all"), value), value, probabilities, ["_all"], read_out).agg(
+            *[F.max(name).alias(name) for name in probabilities]
+        )
+    return _quantiles(frame, value, probabilities, within, read_out)
+
+
+def _quantiles(frame: DataFrame, value: str, probabilities: dict[str, float], within: list[str], read_out: int) -> DataFrame:
+    keys = [f"_g{i}" for i in range(len(within))]
     rows = frame.where(F.col(value).isNotNull()).select(
-        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(within)], F.col(value).cast("double").alias("_v")
+        *[F.col(c).alias(k) for c, k in zip(within, keys)], F.col(value).cast("double").alias("_v")
     )
-    keys = [f"_g{i}" for i in range(len(within))]
     sizes = stage(rows.groupBy(*keys).agg(
         F.count("*").alias("_size"), F.min("_v").alias("low"), F.max("_v").alias("high"),
-    ).where("_size > 0"), "sizes")
+    ), "sizes")
     large = sizes.where(F.col("_size") > read_out)
     names = [F.col(k).alias(c) for k, c in zip(keys, within)]
     if large.limit(1).count() == 0:
         return _read_out(rows, "_v", probabilities, keys).select(*names, *probabilities)
-    done = None
-    if keys:
-        done = _read_out(rows.join(large.select(*keys), keys, "left_anti"), "_v", probabilities, keys)
-    found = _selected(rows, large, "_v", probabilities, keys, read_out)
-    out = found if done is None else done.unionByName(found)
-    return out.select(*names, *probabilities)
+    small = _read_out(rows.join(large.select(*keys), keys, "left_anti"), "_v", probabilities, keys)
+    return small.unionByName(_selected(rows, large, "_v", probabilities, keys, read_out)).select(*names, *probabilities)
 
 
 def _selected(
@@ -118,26 +121,21 @@ def _selected(
     positions = _positions(F.col("_size"), probabilities)
     both = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in positions])))
     ranks = stage(large.select(
-        *within, "low", "high", F.lit(0).cast("long").alias("below"), F.col("_size").alias("inside"), F.explode(both).alias("rank")
+        *within, F.explode(both).alias("rank"), "low", "high", F.lit(0).cast("long").alias("below"), F.col("_size").alias("inside")
     ), "ranks")
     settled = F.col("low").eqNullSafe(F.col("high"))
-    while (open_ranks := ranks.where(~settled & (F.col("inside") > read_out))).limit(1).count():
-        # ranks that are settled or small enough wait for the end
-        rest = ranks.where(settled | (F.col("inside") <= read_out))
-        ranks = stage(_refined(rows, open_ranks, value, within).unionByName(rest.select(*within, "rank", "low", "high", "below", "inside")), "ranks")
+    wide = ~settled & (F.col("inside") > read_out)
+    while ranks.where(wide).limit(1).count():
+        ranks = stage(_refined(rows, ranks.where(wide), value, within).unionByName(ranks.where(~wide)), "ranks")
     known = ranks.where(settled).select(*within, "rank", F.col("low").alias("_at"))
-    few = ranks.where(~settled)
-    asked = few.groupBy(*within).agg(F.collect_list(F.struct("rank", "low", "high", "below")).alias("_asked"))
-    meets = F.filter("_asked", lambda a: (F.col(value) >= a["low"]) & (F.col(value) <= a["high"]))
-    gathered = _joined(rows, asked, within).select(*within, value, F.inline(meets)).groupBy(*within, "rank", "below").agg(
+    gathered = _met(rows, ranks.where(~settled), value, within).groupBy(*within, "rank", "below").agg(
         F.sort_array(F.collect_list(value)).alias("_few")
     ).select(*within, "rank", _at(F.col("_few"), F.col("rank") - F.col("below")).alias("_at"))
     values = known.unionByName(gathered).groupBy(*within).agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "_at"))).alias("_ranks")  # two per quantile
     )
-    sized = large.join(values, within) if within else large.withColumn("_ranks", values.select("_ranks").scalar())
     picks = [
         _between(F.col("_ranks")[F.floor(p)], F.col("_ranks")[F.ceil(p)], p - F.floor(p)).alias(name)
         for name, p in zip(probabilities, positions)
     ]
-    return sized.select(*within, *picks)
+    return large.join(values, within).select(*within, *picks)
