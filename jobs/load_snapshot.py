@@ -10,7 +10,7 @@ from parceltide import contracts as C
 from parceltide.operators.reconcile import reconcile_rows, schema_diff
 from parceltide.operators.validate import ContractViolation
 from parceltide.session import apply_skew_settings, size_shuffles
-from parceltide.sinks import create_snapshot, merge_snapshot
+from parceltide.snapshots import create_snapshot, merge_snapshot
 from parceltide.sources.tables import expected_inventory, read_external, schema_inventory
 
 

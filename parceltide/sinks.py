@@ -1,15 +1,13 @@
-"""Writers: feature files, the snapshot table and its merge, reports, models."""
+"""Writers: feature files, reports, models. The snapshot table is in ``snapshots``."""
 
 from __future__ import annotations
 
 import math
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from parceltide import contracts as C
-from parceltide.operators.reconcile import rows_to_insert
-from parceltide.operators.validate import count_violations, enforce
 
 
 def write_features(features: DataFrame, path: str) -> None:
@@ -22,31 +20,6 @@ def replace_features(features: DataFrame, path: str) -> None:
     features.orderBy(C.PURCHASE_TIME, C.ORDER_KEY).write.mode("overwrite").parquet(path)
 
 
-def require_not_null(frame: DataFrame) -> None:
-    """Parquet tables do not enforce NOT NULL, so count before writing."""
-    enforce(count_violations(
-        "snapshot", frame, [("not_null", c, F.col(c).isNull()) for c in C.NOT_NULL_FEATURES]
-    ))
-
-
-def create_snapshot(spark: SparkSession, table: str, location: str, order_key_type: str = "string") -> None:
-    kinds = {**C.FEATURE_TYPES, C.ORDER_KEY: order_key_type}
-    columns = ", ".join(
-        f"{c} {kinds[c]}{' NOT NULL' if c in C.NOT_NULL_FEATURES else ''}" for c in C.FEATURE_ROW
-    )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{location}'")
-
-
-def merge_snapshot(source: DataFrame, table: str) -> None:
-    """Append the orders the snapshot does not hold; existing rows never change.
-
-    A rerun appends nothing. Only the key column of the snapshot is read.
-    """
-    require_not_null(source)
-    target = source.sparkSession.table(table)
-    rows_to_insert(source, target, C.ORDER_KEY).select(*target.columns).write.insertInto(table)
-
-
 def write_report(report: DataFrame, path: str) -> None:
     report.write.mode("overwrite").json(path)
 

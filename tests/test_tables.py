@@ -2,7 +2,7 @@
 
 import pytest
 
-from parceltide import contracts as C, sinks
+from parceltide import contracts as C, sinks, snapshots
 from parceltide.operators import audit as A, reconcile as R, scoring as S, validate as V
 from parceltide.plans.order_features import order_features
 from parceltide.session import stage, staging_root
@@ -155,19 +155,60 @@ def test_load_features_rejects(spark, features, tmp_path):
             tables.load_features(spark, path)
 
 
-def test_snapshot_merge_is_insert_only(spark, features, tmp_path):
-    sinks.create_snapshot(spark, "snapshot_test", str(tmp_path / "snapshot"))
-    try:
-        sinks.merge_snapshot(features.where("order_id = 'o1'"), "snapshot_test")
-        drifted = features.withColumn("item_price_total", F.lit(99.0))
-        for _ in range(2):
-            sinks.merge_snapshot(drifted, "snapshot_test")
-        rows = {r["order_id"]: r["item_price_total"] for r in spark.table("snapshot_test").collect()}
-        assert rows == {"o1": 20.0, "o2": 99.0, "o3": 99.0}
-        with pytest.raises(V.ContractViolation, match="primary_payment_type"):
-            sinks.merge_snapshot(features.withColumn("primary_payment_type", F.lit(None).cast("string")), "snapshot_test")
-    finally:
-        spark.sql("DROP TABLE snapshot_test")
+@pytest.fixture
+def snapshot(spark, tmp_path):
+    snapshots.create_snapshot(spark, "snapshot_test", str(tmp_path / "snapshot"))
+    yield "snapshot_test"
+    spark.sql("DROP TABLE snapshot_test")
+
+
+def prices(spark, table):
+    return sorted((r["order_id"], r["item_price_total"]) for r in spark.table(table).collect())
+
+
+def test_snapshot_merge_is_insert_only(spark, features, snapshot):
+    assert snapshots.merge_snapshot(features.where("order_id = 'o1'"), snapshot) == 1
+    drifted = features.withColumn("item_price_total", F.lit(99.0))
+    assert [snapshots.merge_snapshot(drifted, snapshot) for _ in range(2)] == [2, None]
+    assert prices(spark, snapshot) == [("o1", 20.0), ("o2", 99.0), ("o3", 99.0)]
+    with pytest.raises(V.ContractViolation, match="primary_payment_type"):
+        snapshots.merge_snapshot(features.withColumn("primary_payment_type", F.lit(None).cast("string")), snapshot)
+    with pytest.raises(V.ContractViolation, match="duplicate_key"):
+        snapshots.merge_snapshot(features.unionByName(drifted), snapshot)
+    assert snapshots.published_versions(spark, snapshot) == {1, 2}
+
+
+def test_two_merges_at_once_insert_no_order_twice(spark, features, snapshot, monkeypatch):
+    plain = snapshots.publish
+    others = [features.where("order_id = 'o1'").withColumn("item_price_total", F.lit(1.0)), features.where("order_id = 'o2'")]
+
+    def late(*args):  # twice another merge gets in between the write and the publishing
+        if others:
+            other = others.pop(0)
+            monkeypatch.setattr(snapshots, "publish", plain)
+            assert snapshots.merge_snapshot(other, snapshot) is not None
+            monkeypatch.setattr(snapshots, "publish", late)
+        return plain(*args)
+
+    monkeypatch.setattr(snapshots, "publish", late)
+    assert snapshots.merge_snapshot(features, snapshot) == 3
+    got = prices(spark, snapshot)
+    assert [k for k, _ in got] == ["o1", "o2", "o3"] and got[0] == ("o1", 1.0)
+
+
+def test_merge_lost_between_write_and_publishing(spark, features, snapshot, monkeypatch):
+    plain = snapshots.publish
+
+    def lost(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(snapshots, "publish", lost)
+    with pytest.raises(KeyboardInterrupt):
+        snapshots.merge_snapshot(features, snapshot)
+    assert spark.table(snapshot).count() == 0  # what was written is not seen
+    monkeypatch.setattr(snapshots, "publish", plain)
+    assert snapshots.merge_snapshot(features, snapshot) == 1
+    assert [k for k, _ in prices(spark, snapshot)] == ["o1", "o2", "o3"]
 
 
 class FakeSession:
