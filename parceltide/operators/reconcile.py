@@ -39,27 +39,36 @@ def _differs(low: Column, high: Column, gap: Column, tolerant: bool) -> Column:
     )
 
 
+_PRINT_BITS = 36  # of a value's hash; sums of 134 million copies of a key still fit
+
+
+def _signed_print(column: Column) -> Column:
+    """Hash of a value, counted positively on the left and negatively on the right: equal multisets add up to 0."""
+    return F.col("sign") * F.xxhash64(column).bitwiseAND((1 << _PRINT_BITS) - 1)
+
+
 def reconcile_keyed(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Per column: mismatches among matched keys and, for floats, the largest gap.
 
-    Two extra rows count keys found on one side only. NULL placement is exact.
-    Both sides are tagged and grouped by key, so that repeated keys combine before
-    the shuffle; a repeated key counts once, by its largest row of each side. A
-    NULL key is one key.
+    Two extra rows count keys found on one side only. NULL placement is exact. Both sides are tagged and grouped by
+    key, so that repeated keys combine before the shuffle. A key with one row on each side is compared value by value,
+    floats within a tolerance. The copies of a repeated key are compared as multisets, column by column and exactly,
+    by sums of value hashes that do not depend on their order. A NULL key is one key.
     """
     compared = [c for c in columns if c != key]
     floats = {f.name for f in left.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    row = lambda frame, side: frame.select(
-        F.col(key).alias("key"), F.lit(side).alias("side"), F.struct(*compared).alias("row")
+    row = lambda frame, sign: frame.select(
+        F.col(key).alias("key"), F.lit(sign).cast("long").alias("sign"), F.struct(*compared).alias("row")
     )
-    keys = row(left, "l").unionByName(row(right, "r")).groupBy("key").agg(
-        F.max(F.when(F.col("side") == "l", F.col("row"))).alias("l"),
-        F.max(F.when(F.col("side") == "r", F.col("row"))).alias("r"),
+    on_left = F.col("sign") > 0
+    keys = row(left, 1).unionByName(row(right, -1)).groupBy("key").agg(
+        F.max(F.when(on_left, F.col("row"))).alias("l"), F.max(F.when(~on_left, F.col("row"))).alias("r"),
+        F.count_if(on_left).alias("n_l"), F.count_if(~on_left).alias("n_r"),
+        *[F.sum(_signed_print(F.struct(F.col("row")[c].isNull(), F.col("row")[c]))).alias(f"print{i}") for i, c in enumerate(compared)],
     )
-    both = F.col("l").isNotNull() & F.col("r").isNotNull()
-    aggregates = [
-        F.count_if(F.col("r").isNull()).alias("only_left"), F.count_if(F.col("l").isNull()).alias("only_right"),
-    ]
+    both = (F.col("n_l") > 0) & (F.col("n_r") > 0)
+    single = (F.col("n_l") == 1) & (F.col("n_r") == 1)
+    aggregates = [F.count_if(F.col("n_r") == 0).alias("only_left"), F.count_if(F.col("n_l") == 0).alias("only_right")]
     rows = [
         F.struct(F.lit(label).alias("column_name"), F.col(c).alias("mismatches"),
                  F.lit(None).cast("double").alias("max_abs_difference"))
@@ -68,10 +77,11 @@ def reconcile_keyed(left: DataFrame, right: DataFrame, key: str, columns: Sequen
     for i, c in enumerate(compared):
         x, y = F.col("l")[c], F.col("r")[c]
         gap = F.abs(x - y) if c in floats else F.lit(None).cast("double")
-        aggregates.append(F.count_if(both & _differs(x, y, gap, c in floats)).alias(f"bad{i}"))
+        differs = F.when(single, _differs(x, y, gap, c in floats)).otherwise(both & (F.col(f"print{i}") != 0))
+        aggregates.append(F.count_if(differs).alias(f"bad{i}"))
         largest = F.lit(None).cast("double")
         if c in floats:
-            aggregates.append(F.max(F.when(both, gap)).alias(f"gap{i}"))
+            aggregates.append(F.max(F.when(single, gap)).alias(f"gap{i}"))
             largest = F.col(f"gap{i}")
         rows.append(F.struct(
             F.lit(c).alias("column_name"), F.col(f"bad{i}").alias("mismatches"), largest.alias("max_abs_difference"),

@@ -58,6 +58,71 @@ def judge_requests(requests: DataFrame, **bounds) -> DataFrame:
     return requests.withColumn("reasons", reasons).withColumn("valid", F.size("reasons") == 0)
 
 
+def _typed(column: str, found: Column, kind: Column) -> tuple[Column, Column]:
+    """(typed value, "this value has another type") of a field; a JSON null is no type error.
+
+    Flags must be booleans and texts strings. Numbers may also come as text that reads as a number or as a boolean,
+    and whole numbers with a zero fraction.
+    """
+    wanted = C.FEATURE_TYPES.get(column, "string")
+    given = kind.isNotNull() & (kind != "VOID")
+    if wanted in ("boolean", "string"):
+        fits = kind == wanted.upper()
+        value = F.when(fits, F.try_variant_get(found, "$", wanted))
+        return value, given & ~fits
+    simple = kind.isin("STRING", "BOOLEAN", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
+    number = F.when(simple, F.try_variant_get(found, "$", "double"))
+    if wanted == "double":
+        return number, given & number.isNull()
+    whole = F.when(number == F.floor(number), F.try_variant_get(found, "$", "decimal(38,0)").try_cast(wanted))
+    return whole, given & whole.isNull()
+
+
+def read_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
+    """Typed model features, the order id and ``problems`` of JSON requests, each read on its own.
+
+    ``problems`` lists, in this order, ``body:json`` for a text that is no JSON object, ``<key>:extra`` for keys beyond
+    the contract, and per field ``<field>:missing`` or ``<field>:type``. Other columns of ``bodies`` stay in front.
+    """
+    fields = (C.ORDER_KEY, *C.MODEL_FEATURES)
+    kept = [c for c in bodies.columns if c not in (body, *fields)]
+    parsed = bodies.select(
+        *[F.col(c) for c in kept], F.try_parse_json(F.col(body)).alias("_v"), F.json_object_keys(F.col(body)).alias("_keys")
+    )
+    is_object = F.col("_v").isNotNull() & F.col("_keys").isNotNull()
+    found = parsed.select(
+        *kept, F.when(is_object, F.col("_keys")).alias("_keys"),
+        *[F.try_variant_get("_v", f"$.{c}", "variant").alias(f"_at_{c}") for c in fields],
+    )
+    extra = F.transform(
+        F.array_sort(F.array_distinct(F.array_except("_keys", F.array(*map(F.lit, fields))))), lambda k: F.concat(k, F.lit(":extra"))
+    )
+    values, problems = [], []
+    for c in fields:
+        value, other = _typed(c, F.col(f"_at_{c}"), F.schema_of_variant(f"_at_{c}"))
+        values.append(value.alias(c))
+        if c != C.ORDER_KEY:
+            problems.append(F.when(~F.array_contains("_keys", c), F.lit(f"{c}:missing")))
+        problems.append(F.when(other, F.lit(f"{c}:type")))
+    listed = F.concat(extra, F.array_compact(F.array(*problems)))
+    return found.select(*kept, *values, F.when(F.col("_keys").isNull(), F.array(F.lit("body:json"))).otherwise(listed).alias("problems"))
+
+
+def judge_bodies(bodies: DataFrame, body: str = "body", **bounds) -> DataFrame:
+    """``read_requests`` with ``reasons`` (problems, then broken rules of the fields that have none) and ``valid``."""
+    typed = read_requests(bodies, body)
+
+    def unread(field: str) -> Column:
+        return F.exists("problems", lambda p: p.startswith(f"{field}:"))
+
+    broken = [
+        F.when(bad & ~unread(name.partition(":")[0]), F.lit(name)) for name, bad in request_rules(**bounds).items()
+    ]
+    no_json = F.array_contains("problems", "body:json")
+    reasons = F.when(no_json, F.col("problems")).otherwise(F.concat("problems", F.array_compact(F.array(*broken))))
+    return typed.withColumn("reasons", reasons).drop("problems").withColumn("valid", F.size("reasons") == 0)
+
+
 def decisions(scored: DataFrame, threshold: float, model_name: str) -> DataFrame:
     """Response rows: score, threshold and the inclusive decision.
 

@@ -118,7 +118,15 @@ def compare_candidates(
 
 def score_batch(outcome_or_model, requests: DataFrame, threshold: float, name: str, **bounds) -> tuple[DataFrame, DataFrame]:
     """(decisions of valid requests, quarantined requests with their reasons)."""
-    judged = scoring.judge_requests(requests, **bounds)
+    return _score_judged(outcome_or_model, scoring.judge_requests(requests, **bounds), threshold, name)
+
+
+def score_bodies(outcome_or_model, bodies: DataFrame, threshold: float, name: str, body: str = "body", **bounds) -> tuple[DataFrame, DataFrame]:
+    """The same for JSON requests: one with missing, extra or mistyped keys is quarantined alone."""
+    return _score_judged(outcome_or_model, scoring.judge_bodies(bodies, body, **bounds), threshold, name)
+
+
+def _score_judged(outcome_or_model, judged: DataFrame, threshold: float, name: str) -> tuple[DataFrame, DataFrame]:
     valid = judged.where("valid").drop("valid", "reasons")
     scored = M.score(outcome_or_model, valid)
     return scoring.decisions(scored, threshold, name), judged.where(~F.col("valid"))

@@ -401,3 +401,45 @@ def _(spark, folder):
     path = f"{staging_root(spark)}/parceltide/sink-{uuid.uuid4().hex}"
     write_features(feature_table(spark, folder), path)
     return spark.read.parquet(path)
+
+
+# Some orders come twice on both sides: as equal copies in another order, or with copies that differ.
+_COPIED = ("item_price_total", "customer_state", "payment_row_count", "approval_delay_hours")
+_COPY_CHANGES = {
+    "left": {"item_price_total": "item_price_total + 1", "customer_state": "'twice'"},
+    "right": {
+        "item_price_total": "CASE WHEN order_id % 74 = 5 THEN item_price_total + 2 ELSE item_price_total + 1 END",
+        "customer_state": "'twice'", "payment_row_count": "CASE WHEN order_id % 111 = 5 THEN 77 ELSE payment_row_count END",
+    },
+}
+
+
+def _copy_columns(side: str) -> list[str]:
+    return ["order_id", *[f"{_COPY_CHANGES[side].get(c, c)} AS {c}" for c in _COPIED]]
+
+
+def _copies_sql() -> str:
+    plain = ", ".join(("order_id", *_COPIED))
+    sides = {
+        s: f"SELECT {plain} FROM features UNION ALL SELECT {', '.join(_copy_columns(s))} FROM features WHERE order_id % 37 = 5"
+        for s in ("left", "right")
+    }
+    rows = ["SELECT '<only in left>' AS column_name, 0::BIGINT AS mismatches, NULL::DOUBLE AS max_abs_difference",
+            "SELECT '<only in right>', 0::BIGINT, NULL::DOUBLE"]
+    for c in _COPIED:
+        gap = "0.0::DOUBLE" if C.FEATURE_TYPES[c] == "double" else "NULL::DOUBLE"
+        grouped = lambda side: f"(SELECT order_id, list_sort(list({c})) AS v FROM {side} GROUP BY order_id)"  # noqa: E731, B023
+        rows.append(
+            f"SELECT '{c}', count(*) FILTER (WHERE a.v IS DISTINCT FROM b.v), {gap} "
+            f"FROM {grouped('left_copies')} a JOIN {grouped('right_copies')} b ON a.order_id = b.order_id"
+        )
+    return compose(" UNION ALL ".join(rows), left_copies=sides["left"], right_copies=sides["right"])
+
+
+@register("reconcile_copies", _copies_sql())
+def _(spark, folder):
+    features = feature_table(spark, folder).select("order_id", *_COPIED)
+    sides = [
+        features.unionByName(features.where("order_id % 37 = 5").selectExpr(*_copy_columns(side))) for side in ("left", "right")
+    ]
+    return R.reconcile_keyed(*sides, "order_id", ("order_id", *_COPIED))

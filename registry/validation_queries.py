@@ -138,11 +138,14 @@ def _(spark, folder):
 BOUNDS = {"years": (1996, 2000), "state_pattern": "^NATION_[0-9]$"}
 
 
-def _request_sql() -> str:
+def _request_sql(broken: dict[str, str] = {}, extra: str = "", no_json: str = "false") -> str:
+    """Reasons per order; ``broken`` maps ``field:problem`` to the rows that have it, ``extra`` and ``no_json`` likewise."""
     def rule(name, condition):
         return f"CASE WHEN {condition} THEN '{name}' END"
 
-    cases = []
+    cases = [rule(name, condition) for name, condition in broken.items()]
+    if extra:
+        cases.insert(0, rule("surprise:extra", extra))
     one = ("item_row_count", "distinct_product_count", "distinct_seller_count")
     ranges = {"purchase_year": BOUNDS["years"], "purchase_month": (1, 12), "purchase_day_of_week": (0, 6), "purchase_hour": (0, 23)}
     for c in C.MODEL_FEATURES:
@@ -161,7 +164,7 @@ def _request_sql() -> str:
             cases.append(rule(f"{c}:range", f"{c} < {low}" if high is None else f"{c} NOT BETWEEN {low} AND {high}"))
     return compose(
         "SELECT order_id, reasons = '' AS valid, reasons FROM "
-        f"(SELECT order_id, concat_ws(',', {', '.join(cases)}) AS reasons FROM features)"
+        f"(SELECT order_id, CASE WHEN {no_json} THEN 'body:json' ELSE concat_ws(',', {', '.join(cases)}) END AS reasons FROM features)"
     )
 
 
@@ -171,3 +174,35 @@ def _(spark, folder):
     return scoring.judge_requests(requests, **BOUNDS).select(
         "order_id", "valid", F.array_join("reasons", ",").alias("reasons")
     )
+
+
+# Rows with a bad body: a lost key, a flag given as text, a fraction where a whole number belongs, a strange key, cut JSON.
+_BAD = {
+    "payment_row_count:missing": "order_id % 31 = 1", "payment_data_missing:type": "order_id % 31 = 2",
+    "distinct_payment_type_count:type": "order_id % 31 = 3",
+}
+
+
+@register("raw_requests", _request_sql(
+    {k: _BAD[k] for k in ("payment_row_count:missing", "distinct_payment_type_count:type", "payment_data_missing:type")},
+    "order_id % 31 = 4", "order_id % 31 = 5",
+))
+def _(spark, folder):
+    """The feature rows as JSON requests, some of them damaged, each judged alone."""
+    hit = lambda name: F.expr(_BAD[name])
+    whole = F.struct(*[
+        F.when(hit("distinct_payment_type_count:type"), 1.5).otherwise(F.col(c).cast("double")).alias(c)
+        if c == "distinct_payment_type_count" else F.col(c) for c in C.MODEL_FEATURES
+    ])
+    body = F.to_json(whole, {"ignoreNullFields": "false"})
+    body = F.when(hit("payment_row_count:missing"), F.regexp_replace(body, '"payment_row_count":[0-9]+,', "")).when(
+        hit("payment_data_missing:type"), F.regexp_replace(body, '"payment_data_missing":(true|false)', '"payment_data_missing":"$1"')
+    ).when(F.expr("order_id % 31 = 4"), F.regexp_replace(body, "^[{]", '{"surprise":1,')).when(
+        F.expr("order_id % 31 = 5"), F.expr("substring(b, 1, length(b) - 1)")
+    ).otherwise(body)
+    bodies = feature_table(spark, folder).withColumn("b", F.to_json(whole, {"ignoreNullFields": "false"})).select(
+        F.col("order_id").alias("request_id"), body.alias("body")
+    )
+    return scoring.judge_bodies(bodies, **BOUNDS).select(
+        F.col("request_id").alias("order_id"), "valid", F.array_join("reasons", ",").alias("reasons")
+    )
