@@ -13,7 +13,7 @@ from parceltide.operators.validate import check_known_metrics, enforce, feature_
 from parceltide.plans.ingest import ingest
 from parceltide.plans.order_features import build_order_features
 from parceltide.session import apply_skew_settings, size_shuffles, stage
-from parceltide.sinks import write_features, write_report
+from parceltide.sinks import replace_features, write_features, write_report
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -22,11 +22,14 @@ def parse_args(argv=None) -> argparse.Namespace:
     parser.add_argument("--source-root", required=True)
     parser.add_argument("--output", required=True)
     parser.add_argument("--expect-audited-metrics", action="store_true")
+    parser.add_argument("--replace", action="store_true", help="write in chronological order over earlier output")
     known, _ = parser.parse_known_args(argv)
     return known
 
 
-def run(spark: SparkSession, source_root: str, output: str, expected: dict[str, int] | None = None):
+def run(
+    spark: SparkSession, source_root: str, output: str, expected: dict[str, int] | None = None, replace: bool = False
+):
     """Build, check the staged table, publish it and its quality report; returns its one-row summary.
 
     A failing check leaves no output behind.
@@ -38,7 +41,7 @@ def run(spark: SparkSession, source_root: str, output: str, expected: dict[str,
     summary = feature_summary(built)
     if expected:
         check_known_metrics(summary, expected)
-    write_features(built, output)
+    (replace_features if replace else write_features)(built, output)
     write_report(quality_report(built, sources), f"{output.rstrip('/')}_quality")
     return summary
 
@@ -59,7 +62,7 @@ def main(argv=None) -> None:
     spark = apply_skew_settings(SparkSession.builder.appName("order-features").getOrCreate())
     try:
         expected = AUDITED_METRICS if args.expect_audited_metrics else None
-        print(run(spark, args.source_root, args.output, expected).first().asDict())
+        print(run(spark, args.source_root, args.output, expected, args.replace).first().asDict())
     finally:
         spark.stop()
 

@@ -63,6 +63,27 @@ def file_digests(
     return dealt.mapInArrow(_digests(block_bytes, opened), "filename string, size_bytes long, sha256_hex string")
 
 
+def _heads(limit: int, opened: Callable[[str], pa.NativeFile]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for path in batch.column(1).to_pylist():
+                with opened(path) as stream:
+                    head = b""
+                    while b"\n" not in head and len(head) < limit and (block := stream.read(min(4096, limit))):
+                        head += block
+                lines.append(head.split(b"\n")[0][:limit].decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lines, pa.string())], ["source", "path", "line"])
+
+    return run
+
+
+def first_lines(files: DataFrame, limit: int = 1 << 20, opened: Callable[[str], pa.NativeFile] = open_stream) -> DataFrame:
+    """(source, path, line): the first line of every listed file, of which no more than its head is read."""
+    dealt = files.select("source", "path").repartition(shuffle_width(files.sparkSession), "path")
+    return dealt.mapInArrow(_heads(limit, opened), "source string, path string, line string")
+
+
 def whole_file_digests(contents: DataFrame) -> DataFrame:
     """The same from loaded contents, for schemes that only Spark's readers know; a file must stay below 2 GB."""
     return contents.select(

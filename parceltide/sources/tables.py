@@ -71,14 +71,20 @@ def expected_inventory(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, layout)
 
 
+def stream_scheme(spark: SparkSession, path: str) -> bool:
+    """Whether tasks can open the files below ``path`` by themselves."""
+    if "://" not in path:
+        path = "file://" if path.startswith("file:") else spark.conf.get("spark.hadoop.fs.defaultFS", "file://")
+    return path.partition("://")[0] in digests.STREAMED
+
+
 def build_manifest(spark: SparkSession, path: str, glob: str = "*", block_bytes: int = digests.BLOCK_BYTES) -> DataFrame:
     """(filename, size_bytes, sha256_hex, sha256_base64) for each file below ``path``.
 
     ``filename`` is the path below the root, so equal names in two folders stay apart. Files are read as streams of
     ``block_bytes``, whatever their size; only under a scheme that tasks cannot open themselves they are loaded whole.
     """
-    scheme = path.partition("://")[0] if "://" in path else spark.conf.get("spark.hadoop.fs.defaultFS", "file://").partition("://")[0]
-    if scheme in digests.STREAMED:
+    if stream_scheme(spark, path):
         found = digests.file_digests(list_files(spark, path, glob), block_bytes)
     else:
         found = digests.whole_file_digests(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from parceltide import contracts as C
@@ -9,7 +11,7 @@ from parceltide.operators import audit as A, quality as Q, reconcile as R
 from parceltide.operators.geography import geo_quality
 from parceltide.operators.validate import union_all
 from parceltide.session import stage, staging_root
-from parceltide.sinks import write_features
+from parceltide.sinks import order_check, replace_features, write_features
 from parceltide.sources import tables as T
 from registry.common import (
     SNAPSHOT_SQL, earlier_snapshot, feature_table, read_table, register, retail_sources,
@@ -396,7 +398,7 @@ def _(spark, folder):
 @register("feature_sink", compose("SELECT * FROM features"))
 def _(spark, folder):
     """Written once with the error-if-exists sink, then read back."""
-    import uuid
+
 
     path = f"{staging_root(spark)}/parceltide/sink-{uuid.uuid4().hex}"
     write_features(feature_table(spark, folder), path)
@@ -443,3 +445,17 @@ def _(spark, folder):
         features.unionByName(features.where("order_id % 37 = 5").selectExpr(*_copy_columns(side))) for side in ("left", "right")
     ]
     return R.reconcile_keyed(*sides, "order_id", ("order_id", *_COPIED))
+
+
+@register("order_check", compose("""
+SELECT count(*) AS n_rows, 0::BIGINT AS inversions_within, 0::BIGINT AS inversions_between,
+  (SELECT order_purchase_timestamp FROM features ORDER BY order_purchase_timestamp, order_id LIMIT 1) AS first_order_purchase_timestamp,
+  (SELECT order_id FROM features ORDER BY order_purchase_timestamp, order_id LIMIT 1) AS first_order_id,
+  (SELECT order_purchase_timestamp FROM features ORDER BY order_purchase_timestamp DESC, order_id DESC LIMIT 1) AS last_order_purchase_timestamp,
+  (SELECT order_id FROM features ORDER BY order_purchase_timestamp DESC, order_id DESC LIMIT 1) AS last_order_id
+FROM features"""))
+def _(spark, folder):
+    """The feature table written in chronological order, and the proof of it from the files."""
+    path = f"{staging_root(spark)}/parceltide/sorted-{uuid.uuid4().hex}"
+    replace_features(feature_table(spark, folder), path)
+    return order_check(spark, path)

@@ -121,3 +121,24 @@ def test_gate(spark):
     ):
         with pytest.raises(N.ContractViolation, match=message):
             N.gate(scans(spark, *found), listed, day)
+
+
+def test_gate_job(spark, tmp_path):
+    import json
+
+    from jobs import scan_gate
+
+    high, low = ("CVE-2020-0001", "HIGH", package()), ("CVE-2020-0002", "LOW", package("a", "2"))
+    (tmp_path / "scans").mkdir()
+    for name in ("x", "y"):  # the same findings in two images
+        (tmp_path / "scans" / f"{name}.json").write_text(json.dumps(json.loads(document(high, low)), indent=1))
+    listed = [r.asDict() for r in allow(spark, entry("CVE-2020-0001")).collect()]
+    (tmp_path / "allow.json").write_text(json.dumps(listed))
+    places = (str(tmp_path / "scans"), str(tmp_path / "allow.json"), str(tmp_path / "out"))
+    assert [tuple(r) for r in scan_gate.run(spark, *places, "2024-01-01", 1).collect()] == [("LOW", 2)]
+    (tmp_path / "allow.json").write_text("[]")
+    with pytest.raises(N.ContractViolation, match="unexpected"):
+        scan_gate.run(spark, places[0], places[1], str(tmp_path / "again"), "2024-01-01")
+    assert not (tmp_path / "again").exists()
+    args = scan_gate.parse_args(["--scans", "s", "--allowlist", "a", "--output", "o", "--as-of", "2024-01-01", "--odd"])
+    assert (args.scans, args.as_of, args.expected_entries) == ("s", "2024-01-01", None)

@@ -66,6 +66,26 @@ def test_rows_with_another_field_count_fail(spark, csv_root, line):
         ingest(spark, csv_root)
 
 
+def test_the_bad_file_is_named_before_the_scan(spark, tmp_path):
+    root = write_sources(tmp_path / "raw")
+    sellers = tmp_path / "raw" / C.SOURCE_FILES["sellers"]
+    rows = sellers.read_text()
+    sellers.unlink()
+    sellers.mkdir()
+    (sellers / "part-0.csv").write_text(rows)
+    (sellers / "part-1.csv").write_text(rows.replace("seller_city", "seller_town"))
+    (sellers / "part-2.csv").write_bytes(b'"seller_id","seller_zip_code_prefix"\r\nx,1\r\n')
+    (tmp_path / "raw" / C.SOURCE_FILES["translations"]).write_bytes(b"")
+    paths = {n: csv_files.uri_join(root, f) for n, f in C.SOURCE_FILES.items()}
+    got = {(r.source, r.path and r.path[-10:], r.position, r.expected, r.found) for r in csv_files.header_differences(spark, paths).collect()}
+    assert got == {
+        ("sellers", "part-1.csv", 3, "seller_city", "seller_town"), ("sellers", "part-2.csv", 3, "seller_city", None),
+        ("translations", None, 1, "product_category_name", None),
+    }
+    with pytest.raises(ValueError, match="part-1.csv: column 3 is 'seller_town', not 'seller_city'"):
+        csv_files.check_headers(spark, root)
+
+
 def test_every_file_of_a_source_needs_the_header(spark, tmp_path):
     root = write_sources(tmp_path / "raw")
     path = tmp_path / "raw" / C.SOURCE_FILES["sellers"]

@@ -319,3 +319,72 @@ def test_decisions_search_and_report(spark):
         ("Ab-2", "50.00%", "12.3 km", True), ("ab-1", "50.00%", "—", True), ("x", "49.00%", "1.0 km", False)]
     assert S.risk_counts(scored, decided).first().asDict() == {
         "scored_orders": 3, "predicted_delays": 2, "total_orders": 3}
+
+
+# -- repeated keys, order of files, raw requests
+
+
+def test_copies_of_a_key_are_compared_as_multisets(spark):
+    def differing(left, right):
+        make = lambda rows: spark.createDataFrame(rows, "k int, v double, s string")
+        found = R.reconcile_keyed(make(left), make(right), "k", ("k", "v", "s"))
+        return {r.column_name: r.mismatches for r in found.collect()}
+
+    one, two = (1, 5.0, "a"), (1, 1.0, "b")
+    assert set(differing([one, two], [two, one]).values()) == {0}
+    assert differing([one, two], [one, (1, 2.0, "b")]) == {"<only in left>": 0, "<only in right>": 0, "v": 1, "s": 0}
+    assert differing([one, one, two], [one, two, two])["v"] == 1  # another number of copies of the same rows
+    assert differing([one, one], [one])["s"] == 1
+    assert differing([(1, None, "a"), (1, 0.0, "a")], [(1, 0.0, "a"), (1, 0.0, "a")])["v"] == 1
+    assert differing([(2, 1.0, "x")], [(2, 1.0 + 1e-12, "x")])["v"] == 0  # single rows keep their tolerance
+    assert differing([(None, 1.0, "x")], [(None, 2.0, "x")])["v"] == 1
+    assert differing([one, one], [(3, 1.0, "c")]) == {"<only in left>": 1, "<only in right>": 1, "v": 0, "s": 0}
+
+
+def test_order_is_proved_from_the_files(spark, tmp_path):
+    order = ("t", "k")
+    rows = spark.range(1000).select((F.col("id") % 50).alias("t"), F.col("id").alias("k"))
+    good, within, between = (str(tmp_path / n) for n in ("good", "within", "between"))
+    rows.orderBy("t", "k").write.parquet(good)
+    found = sinks.order_check(spark, good, order).first()
+    assert (found.n_rows, found.inversions_within, found.inversions_between) == (1000, 0, 0)
+    assert (found.first_t, found.first_k, found.last_t, found.last_k) == (0, 0, 49, 999)
+    rows.coalesce(1).write.parquet(within)
+    assert sinks.order_check(spark, within, order).first().inversions_within == 19
+    rows.repartitionByRange(4, F.col("t").desc()).sortWithinPartitions("t", "k").write.parquet(between)
+    found = sinks.order_check(spark, between, order).first()
+    assert found.inversions_within == 0 and found.inversions_between == 3
+    assert sum(r.n for r in sinks.file_bounds(spark, between, order).collect()) == 1000
+
+
+def test_every_request_is_read_on_its_own(spark, features):
+    import json
+
+    row = features.where("order_id = 'o1'").first().asDict()
+    good = {c: row[c] for c in C.MODEL_FEATURES} | {"order_id": "o1"}
+    dropped = {k: v for k, v in good.items() if k != "approval_delay_hours"}
+    cases = {
+        "good": (good, []),
+        "no id": ({k: v for k, v in good.items() if k != "order_id"}, []),
+        "as text": ({**good, "item_row_count": "2", "purchase_hour": 10.0}, []),
+        "null gap": ({**good, "approval_delay_hours": None}, []),
+        "missing": (dropped, ["approval_delay_hours:missing"]),
+        "extra": ({**good, "zeta": 1, "alpha": None}, ["alpha:extra", "zeta:extra"]),
+        "flag": ({**good, "payment_data_missing": 1}, ["payment_data_missing:type"]),
+        "fraction": ({**good, "item_row_count": 1.5}, ["item_row_count:type"]),
+        "word": ({**good, "item_price_total": "many", "customer_state": 7}, ["customer_state:type", "item_price_total:type"]),
+        "nested": ({**good, "purchase_month": [1], "order_id": {}}, ["order_id:type", "purchase_month:type"]),
+        "null": ({**good, "item_row_count": None}, ["item_row_count:required"]),
+        "range": ({**good, "purchase_month": 13}, ["purchase_month:range"]),
+    }
+    bodies = [(n, json.dumps(b)) for n, (b, _) in cases.items()]
+    bodies += [("cut", "{\"a\":"), ("list", "[1]"), ("none", None), ("empty", ""), ("text", "\"x\"")]
+    frame = spark.createDataFrame(bodies, "name string, body string")
+    got = {r.name: (r.valid, r.reasons) for r in S.judge_bodies(frame).collect()}
+    for name, (_, reasons) in cases.items():
+        assert got[name] == (not reasons, reasons), name
+    assert all(got[n] == (False, ["body:json"]) for n in ("cut", "list", "none", "empty", "text"))
+    typed = {r.name: r for r in S.read_requests(frame).collect()}
+    assert typed["as text"].item_row_count == 2 and typed["as text"].purchase_hour == 10
+    assert typed["good"].item_price_total == row["item_price_total"] and typed["good"].order_id == "o1"
+    assert dict(S.read_requests(frame).dtypes)["item_row_count"] == C.FEATURE_TYPES["item_row_count"]
