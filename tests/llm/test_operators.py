@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -409,9 +410,39 @@ def test_class_words_and_teasers_do_not_drop_the_body():
 
 
 def test_surge_and_dive_points():
-    how = html_text.Distribution(window=3, least_chars=50)
-    assert html_text.surge_and_dive(np.array([5, 0, 0, 0, 80, 60, 0, 70, 0, 0, 0, 9]), how) == [(2, 8)]
-    assert html_text.surge_and_dive(np.array([], dtype=int), how) == []
+    how = html_text.Distribution(window=3, surge=0.5, dive=0.1)
+    assert html_text.surge_and_dive(np.array([5, 0, 0, 0, 80, 60, 0, 70, 0, 0, 0, 9]), how) == [(4, 8)]
+    assert html_text.surge_and_dive(np.array([], dtype=int), how) == html_text.surge_and_dive(np.zeros(4, int), how) == []
+    rnd, how = random.Random(4), html_text.Distribution()
+    for _ in range(300):
+        lengths = [rnd.choice([0, 0, rnd.randint(1, 30), rnd.randint(50, 400)]) for _ in range(rnd.randint(1, 25))]
+        sums = [sum(lengths[i : i + how.window]) for i in range(len(lengths))]
+        want, inside = [], False
+        for length, total in zip(lengths, sums):  # every line on its own
+            inside = total > how.dive * max(sums) if inside else length > 0 and total >= how.surge * max(sums)
+            want.append(inside)
+        got = [False] * len(lengths)
+        for first, last in html_text.surge_and_dive(np.array(lengths), how) if any(lengths) else []:
+            got[first:last] = [True] * (last - first)
+        assert got == (want if any(lengths) else got)
+
+
+def test_plain_divs_are_decided_by_text_lengths():
+    body = [f"Sentence {k} of a body that goes on for a while and says something." * 2 for k in range(8)]
+    menu = "".join(f"<div><a href='/{k}'>{k}</a></div>" for k in ("Home", "Products", "About", "Imprint"))
+    page = f"<body><div>{menu}</div><div>Top</div><br>" + "".join(f"<div>{b}</div>" for b in body)
+    page += "<div>Buy</div><div><a href='p'>Privacy</a></div><div>(c) me</div></body>"
+    got = html_text.main_text(page).split("\n")
+    assert [x for x in got if x in body] == body and not {"Home", "Products", "About", "Imprint", "Privacy", "(c) me"} & set(got)
+
+
+def test_hostile_pages_take_linear_time():
+    for piece in ('<a b="', "<a ", "<a b='", "<!", "<script ", "<script></script ", "<div>", "<b></i>", "<nav><article></article>", "<p class='ad'>x</p>"):
+        for end in ("", ">", '">', "'>"):
+            start = time.process_time()
+            html_text.main_text(piece * (1_000_000 // len(piece)) + end)
+            assert time.process_time() - start < 4, (piece, end)
+    assert html_text.main_text('<p>one</p><a b="x<p>two</p><i c=">three</i><p>four</p>"') == 'one\nthree\nfour\n"'
 
 
 def test_pages_of_odd_rows(llm):
