@@ -109,7 +109,9 @@ def dropped_lines(
     Ids are whole numbers; a null id counts as one document below all others,
     and rows of the same id are one document.
     """
-    rows = line_rows(docs, id_column, text_column, least_chars).withColumn("doc", F.col("doc").cast("long"))
+    rows = stage(  # the texts are read once, not again for the borders of the ranges
+        line_rows(docs, id_column, text_column, least_chars).withColumn("doc", F.col("doc").cast("long")), "linerows"
+    )
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc_nulls_last(), F.col("row"), F.col("pos")]
     ranged = rows.repartitionByRange(shuffle_width(docs.sparkSession), *order).sortWithinPartitions(*order)
     seen = stage(ranged.mapInArrow(_stream(least_docs), "what int, h1 long, h2 long, doc long, row long, pos long, part int"), "lines")
@@ -160,18 +162,18 @@ def kept_text(text: pd.Series, bitmap: pd.Series) -> pd.Series:
 def with_bitmaps(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **limits) -> DataFrame:
     """``docs`` plus ``_n_lines``, ``_n_dropped`` and ``_keep`` (null: every line stays).
 
-    Null and empty texts are one empty line. All columns of ``docs`` stay.
+    Null and empty texts are one empty line. All columns of ``docs`` stay but those with the names of the new ones.
     """
-    gone = dropped_lines(docs, id_column, text_column, **limits).groupBy("doc", "row").agg(
-        F.collect_list("pos").alias("_gone")
-    ).withColumnsRenamed({"doc": "_doc", "row": "_row"})
+    gone = dropped_lines(docs, id_column, text_column, **limits).groupBy("doc", "row").agg(F.collect_list("pos").alias("gone"))
     text = F.coalesce(F.col(text_column), F.lit(""))
-    keyed = docs.withColumn("_n_lines", F.size(F.split(text, "\n", -1)).cast("long")).withColumn("_text_hash", F.xxhash64(text))
-    joined = keyed.join(
-        gone, F.col(id_column).cast("long").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_row")), "left"
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("all"), F.col(id_column).cast("long").alias("id"),
+        F.xxhash64(text).alias("hash"), F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"),
     )
+    joined = keyed.join(gone, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("row")), "left")
+    new = ("_n_lines", "_n_dropped", "_keep")
     return joined.select(
-        *docs.columns, "_n_lines",
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_n_dropped"),
-        F.when(F.col("_gone").isNotNull(), packed_bitmap("_n_lines", F.coalesce("_gone", F.array().cast("array<int>")))).alias("_keep"),
+        *[F.col("all")[c].alias(c) for c in docs.columns if c not in new], F.col("n_lines").alias("_n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("_n_dropped"),
+        F.when(F.col("gone").isNotNull(), packed_bitmap("n_lines", F.coalesce("gone", F.array().cast("array<int>")))).alias("_keep"),
     )

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from parceltide.operators.ranking import running_totals
 from parceltide.session import stage
 
 
@@ -38,6 +39,7 @@ class Mix:
     keep_all: bool = False
     budget: float | None = None
     block_tokens: int = 1_000_000
+    block_rows: int = 50_000
     seed: int = 17
 
 
@@ -128,48 +130,63 @@ def mixed_rows(
     Reading order is (mix_round, mix_block, hash order in the block); a source
     stops with the document that reaches its budget. Equal rows are told apart by
     nothing but their place, so they count one by one. Documents without tokens,
-    and sources without any, are read once.
+    and sources without any, are read once. Columns of ``docs`` with the names of
+    the three new ones are left out.
     """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    key = F.xxhash64(F.col(source_column).isNull(), F.col(source_column))  # of the source; never null
     row_hash = F.xxhash64(F.col(id_column), F.col(text_column))
-    base = docs.withColumns({
-        "_tokens": token_count(F.col(text_column)), "_hash": row_hash, "_source": F.col(source_column),
-    })
-    narrow = base.select(F.col("_source").alias("source"), F.col("_tokens").alias("tokens"), F.col("_hash").alias("hash"))
-    keys = stage(
-        narrow.groupBy("source", "hash").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("copies")), "mixkeys"
+    base = docs.select(whole, key.alias("key"), row_hash.alias("hash"))
+    narrow = docs.select(
+        key.alias("key"), row_hash.alias("hash"), F.col(source_column).alias("source"), token_count(F.col(text_column)).alias("tokens")
     )
-    plan = source_plan(source_shares(keys), mix).select(
-        F.col("source").alias("_s"), F.col("tokens").alias("all"), "weight", "budget"
+    lumps = stage(  # equal rows combine before the shuffle
+        narrow.groupBy("key", "source", "hash").agg(F.max("tokens").alias("each"), F.count("*").alias("copies"))
+        .withColumn("tokens", F.col("each") * F.col("copies")), "mixkeys",
     )
-    placed = keys.join(plan, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    # a block holds about ``block_tokens``; its place in the permutation is its hashed number
-    many = F.greatest(F.ceil(F.coalesce("all", F.lit(0)) / F.lit(mix.block_tokens)), F.lit(1)).cast("long")
-    block = F.pmod(F.xxhash64(F.lit(mix.seed), "hash"), many)
-    placed = stage(placed.withColumn("block", block), "mixblocks")
-    sums = placed.groupBy("source", "block").agg(F.sum("tokens").alias("in_block"))
-    order = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(mix.seed), "block"), "block").rowsBetween(
-        Window.unboundedPreceding, -1
+    plan = source_plan(source_shares(lumps), mix).select(
+        F.xxhash64(F.col("source").isNull(), F.col("source")).alias("key"), F.col("tokens").alias("all"), "weight", "budget"
     )
-    starts = sums.select(
-        F.col("source").alias("_s"), F.col("block").alias("_b"), F.coalesce(F.sum("in_block").over(order), F.lit(0)).alias("before")
+    numbers = lumps.groupBy("key").agg(F.count("*").alias("n")).join(plan, "key", "left")
+    # a block holds about ``block_tokens`` and ``block_rows``; its place in the permutation is its hashed number
+    many = F.greatest(
+        F.ceil(F.coalesce("all", F.lit(0)) / F.lit(mix.block_tokens)), F.ceil(F.col("n") / F.lit(mix.block_rows)), F.lit(1)
+    ).cast("long")
+    placed = stage(
+        lumps.drop("source").join(numbers, "key").withColumn("block", F.pmod(F.xxhash64(F.lit(mix.seed), "hash"), many)).drop("n"),
+        "mixblocks",
     )
-    inside = Window.partitionBy("source", "block").orderBy(F.xxhash64(F.lit(mix.seed + 1), "hash"), "hash").rowsBetween(
+    sums = placed.groupBy("key", "block").agg(F.sum("tokens").alias("in_block"))
+    starts = running_totals(
+        sums.withColumn("turn", F.xxhash64(F.lit(mix.seed), "block")), [F.col("turn"), F.col("block")], {"upto": "in_block"}, ["key"]
+    ).select("key", "block", (F.col("upto") - F.col("in_block")).alias("before"))
+    inside = Window.partitionBy("key", "block").orderBy(F.xxhash64(F.lit(mix.seed + 1), "hash"), "hash").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    at = placed.withColumn("ahead", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(
-        starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block") == F.col("_b"))
-    )
-    # read in round r if the tokens before it, r whole passes included, are below the budget
+    at = placed.withColumn("ahead", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(starts, ["key", "block"])
+    # A copy is read in round r if the tokens before it, r whole passes included, are below the budget: the first
+    # ``full`` copies of a lump come in ``rounds`` rounds, the others in one less.
     free = F.col("budget") - F.col("before") - F.col("ahead")
-    rounds = F.when(F.col("tokens") == 0, 1).when(F.col("budget").isNull(), 1).otherwise(
-        F.greatest(F.ceil(free / F.col("all")), F.lit(0))
-    ).cast("int")
-    chosen = at.withColumn("rounds", rounds).where("rounds > 0").select(
-        F.col("source").alias("_s"), F.col("hash").alias("_h"), F.col("block").alias("mix_block"),
-        F.col("weight").alias("mix_weight"), "rounds",
-    )
-    joined = base.join(chosen, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_hash") == F.col("_h")))
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+    once = (F.col("each") == 0) | F.col("budget").isNull()
+    rounds = F.when(once, 1).otherwise(F.greatest(F.ceil(free / F.col("all")), F.lit(0))).cast("int")
+    left = free - (F.col("rounds") - 1) * F.col("all")
+    full = F.when(once, F.col("copies")).otherwise(F.least(F.ceil(left / F.col("each")), F.col("copies")))
+    chosen = stage(at.withColumn("rounds", rounds).where("rounds > 0").withColumn("full", full.cast("long")).select(
+        "key", "hash", "rounds", "full", "copies", F.col("block").alias("mix_block"), F.col("weight").alias("mix_weight")
+    ), "mixchosen")
+    cut = F.col("full") < F.col("copies")  # at most one lump per source
+    found = base.join(chosen.where(~cut), ["key", "hash"]).select("row", "rounds", "mix_block", "mix_weight")
+    if chosen.where(cut).limit(1).count():
+        parts = stage(base.join(chosen.where(cut), ["key", "hash"]).withColumn("place", F.monotonically_increasing_id()), "mixcut")
+        nth = running_totals(
+            parts.select("key", "hash", "place", F.lit(1).alias("one")), [F.col("place")], {"nth": "one"}, ["key", "hash"]
+        )
+        counted = parts.join(nth.select("place", "nth"), "place").withColumn(
+            "rounds", F.when(F.col("nth") <= F.col("full"), F.col("rounds")).otherwise(F.col("rounds") - 1)
+        ).where("rounds > 0")
+        found = found.unionByName(counted.select(*found.columns))
+    new = ("mix_round", "mix_block", "mix_weight")
+    return found.select(
+        *[F.col("row")[c].alias(c) for c in docs.columns if c not in new],
         F.explode(F.sequence(F.lit(0), F.col("rounds") - 1)).alias("mix_round"), "mix_block", "mix_weight",
     )

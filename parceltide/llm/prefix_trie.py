@@ -34,12 +34,12 @@ def turns_of(
     conversation id take no part; repeated rows are turns of their own. Other columns are not read.
     """
     who, said = F.coalesce(F.col(role), F.lit("")), F.coalesce(F.col(text), F.lit(""))
-    rows = conversations.where(F.col(conv).isNotNull()).select(
+    rows = stage(conversations.where(F.col(conv).isNotNull()).select(
         F.col(conv).cast("long").alias("conv"), F.col(turn).alias("turn"),
         F.md5(F.concat(F.char_length(who).cast("string"), F.lit(":"), who, said).cast("binary")).alias("key"),
         F.regexp_count(said, F.lit(WORD)).cast("long").alias("words"),
         F.monotonically_increasing_id().alias("tie"), F.lit(1).alias("one"),
-    )
+    ), "turns")  # the texts are read once, not again for the borders of the ranges
     placed = running_totals(rows, [F.col("turn").asc_nulls_first(), F.col("key"), F.col("tie")], {"upto": "one"}, ["conv"])
     return placed.select("conv", (F.col("upto") - 1).cast("long").alias("pos"), "key", "words")
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from parceltide.llm.bytes_math import Joined, byte_table, lower_ascii, run_hashes, text_chunks
 
@@ -199,5 +199,10 @@ def without_toxic(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_column).alias("text")
     )
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
-    schema = f"id {narrow.schema['row'].dataType.simpleString()}, text string, score double"
-    return narrow.mapInArrow(_scoring(shared), schema).where("score < 0.5").select("id.*")
+    schema = T.StructType([
+        T.StructField("id", narrow.schema["row"].dataType), T.StructField("text", T.StringType()),
+        T.StructField("score", T.DoubleType()),
+    ])
+    return narrow.mapInArrow(_scoring(shared), schema).where("score < 0.5").select(
+        *[F.col("id")[c].alias(c) for c in docs.columns]
+    )

@@ -469,6 +469,51 @@ def test_mixing_limits_and_rounds(llm, documents):
     assert mixing.mixed_rows(documents([]), mixing.Mix(entropy=0.9)).count() == 0
 
 
+def test_mixing_counts_equal_rows_one_by_one(llm, documents):
+    ten = "w " * 10
+    rows = [(7, ten, "a")] * 50
+    read = mixing.mixed_rows(documents(rows), mixing.Mix(budget=50.0)).collect()
+    assert len(read) == 5 and {r.doc_id for r in read} == {7}
+    again = mixing.mixed_rows(documents(rows), mixing.Mix(budget=1_230.0)).collect()  # two rounds and 23 more
+    assert len(again) == 123 and Counter(r.mix_round for r in again) == {0: 50, 1: 50, 2: 23}
+    none = mixing.mixed_rows(documents([(i, None, "empty") for i in range(40)] + rows), mixing.Mix(block_rows=10)).collect()
+    assert Counter(r.source for r in none) == {"empty": 40, "a": 50} and len({r.mix_block for r in none if r.source == "empty"}) > 1
+
+
+def test_mixing_equals_brute_force(llm, documents):
+    rows = [(i, "w " * (i % 9), f"s{i % 3}") for i in range(60)] + [(3, "w w w ", "s0")] * 7
+    how = mixing.Mix(entropy=0.99, budget=700.0, block_tokens=40)
+    got = mixing.mixed_rows(documents(rows), how)
+    # the order of reading, from the operator's own blocks and the hashes it sorts by
+    order = got.select(
+        "source", "doc_id", "mix_round", "mix_weight", mixing.token_count(F.col("text")).alias("tokens"),
+        F.xxhash64(F.lit(how.seed), "mix_block").alias("turn"),
+        F.xxhash64(F.lit(how.seed + 1), F.xxhash64("doc_id", "text")).alias("place"),
+    ).collect()
+    have = Counter((i, s) for i, _, s in rows)
+    for source in ("s0", "s1", "s2"):
+        read = sorted((r for r in order if r.source == source and r.tokens), key=lambda r: (r.mix_round, r.turn, r.place))
+        budget = np.ceil(round(read[0].mix_weight * 700, 6))
+        before = np.cumsum([0] + [r.tokens for r in read])[:-1]
+        assert (before < budget).all() and before[-1] + read[-1].tokens >= budget
+        for rnd in range(read[-1].mix_round):  # every round but the last is whole
+            assert Counter(r.doc_id for r in read if r.mix_round == rnd) == {
+                i: n for (i, s), n in have.items() if s == source and i % 9}
+
+
+def test_clashing_and_odd_column_names(llm, documents, tmp_path):
+    line = "a line that many texts repeat"
+    docs = documents([(i, f"{prose(i, 30)}\n{line}", "a") for i in range(4)])
+    odd = docs.selectExpr("*", "1 AS rounds", "2 AS mix_block", "3 AS key", "4 AS `row`", "5 AS _row", "6 AS _doc", "7 AS _gone",
+                          "8 AS `a-b`", "9 AS `a b`", "10 AS `all`", "11 AS hash", "12 AS _keep")
+    mixed = mixing.mixed_rows(odd, mixing.Mix(entropy=0.9)).collect()
+    assert len(mixed) == 4 and all((r.rounds, r.key, r["a-b"], r["a b"], r.hash) == (1, 3, 8, 9, 11) for r in mixed)
+    lined = line_dedup.with_bitmaps(odd).collect()
+    assert sorted(r._n_dropped for r in lined) == [0, 1, 1, 1] and all((r._row, r._doc, r._gone, r["all"]) == (5, 6, 7, 10) for r in lined)
+    labels = llm.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.without_toxic(odd, labels).columns == odd.columns and toxicity.without_toxic(odd, labels).count() == 4
+
+
 def test_exponent_by_bisection(llm):
     shares = llm.createDataFrame([("a", 800, 0.8), ("b", 150, 0.15), ("c", 50, 0.05)], "source string, tokens long, share double")
     a = mixing.find_exponent(shares, mixing.Mix(entropy=0.9))
