@@ -176,14 +176,14 @@ def _links(sets: DataFrame, similarity: float, most_together: int) -> DataFrame:
     member = F.collect_list(F.struct("node", "shingles")).alias("nodes")
     forests = _forests(similarity)
     size = F.sum(F.octet_length("shingles"))
-    sizes = sets.groupBy("root").agg(_slices(F.count("*"), size, most_together).alias("k"))
-    sized = sets.join(sizes, "root")
-    small = sized.where("k = 1").groupBy("root").agg(member).select(F.inline(forests("nodes")))
-    large = sized.where("k > 1").drop("k")
-    if large.limit(1).count() == 0:
+    # counts and smallest members combine before their shuffle; a root of a third of all rows is a few numbers here
+    sizes = sets.groupBy("root").agg(_slices(F.count("*"), size, most_together).alias("k"), F.min("node").alias("first"))
+    small = sets.join(sizes.where("k = 1"), "root").groupBy("root").agg(member).select(F.inline(forests("nodes")))
+    crowded = sizes.where("k > 1").select("root", F.col("first").alias("node"))
+    if crowded.limit(1).count() == 0:
         return small
-    hubs = large.groupBy("root").agg(F.min(F.struct("node", "shingles")).alias("hub"))
-    with_hub = large.join(hubs, "root")
+    hubs = sets.join(crowded, ["root", "node"]).select("root", F.struct("node", "shingles").alias("hub"))
+    with_hub = sets.join(hubs, "root")  # only written next, so adaptive execution can split a hot root
     large = stage(with_hub.select(
         "root", "node", "shingles", F.col("hub.node").alias("hub"), _similar_sets(similarity)("shingles", "hub.shingles").alias("near")
     ), "large")
