@@ -52,18 +52,22 @@ SOURCE_HEADERS = {
     ),
 }
 
-# Columns of each source that no operator reads; everything else is scanned.
-UNUSED_COLUMNS = {
-    "orders": {"order_delivered_carrier_date"},
-    "customers": {"customer_unique_id", "customer_city"},
-    "items": {"shipping_limit_date"},
-    "products": {"product_name_lenght", "product_description_lenght", "product_photos_qty"},
-    "sellers": {"seller_city"},
-    "geolocation": {"geolocation_city", "geolocation_state"},
-}
+# The columns of each source that are read.
 USED_COLUMNS = {
-    name: tuple(c for c in header if c not in UNUSED_COLUMNS.get(name, ()))
-    for name, header in SOURCE_HEADERS.items()
+    "orders": (
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+        "order_delivered_customer_date", "order_estimated_delivery_date",
+    ),
+    "customers": ("customer_id", "customer_zip_code_prefix", "customer_state"),
+    "items": ("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"),
+    "products": (
+        "product_id", "product_category_name", "product_weight_g", "product_length_cm", "product_height_cm",
+        "product_width_cm",
+    ),
+    "sellers": ("seller_id", "seller_zip_code_prefix", "seller_state"),
+    "payments": ("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"),
+    "geolocation": ("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"),
+    "translations": ("product_category_name", "product_category_name_english"),
 }
 
 # Parsed types; columns not named here stay strings.

@@ -87,17 +87,18 @@ def _combine(facets: DataFrame) -> DataFrame:
 
 
 def _output_columns(per_order: DataFrame) -> list:
-    computed = {"purchase": purchase_features(), "payment": payment_features()}
     kinds = {**C.FEATURE_TYPES, C.ORDER_KEY: dict(per_order.dtypes)[C.ORDER_KEY]}
     # Same column names in both lists of expressions, so look them up by output name.
-    names = (
-        "purchase_year purchase_month purchase_day_of_week purchase_hour approval_delay_hours "
-        "approval_timestamp_missing promised_delivery_window_days".split(),
-        "payment_row_count distinct_payment_type_count payment_value_total "
-        "max_payment_installments primary_payment_type payment_data_missing".split(),
+    purchase = (
+        "purchase_year", "purchase_month", "purchase_day_of_week", "purchase_hour", "approval_delay_hours",
+        "approval_timestamp_missing", "promised_delivery_window_days",
+    )
+    payment = (
+        "payment_row_count", "distinct_payment_type_count", "payment_value_total", "max_payment_installments",
+        "primary_payment_type", "payment_data_missing",
     )
     derived = {
-        **dict(zip(names[0], computed["purchase"])), **dict(zip(names[1], computed["payment"])),
+        **dict(zip(purchase, purchase_features())), **dict(zip(payment, payment_features())),
     }
     return [derived.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in C.FEATURE_ROW]
 
