@@ -147,7 +147,8 @@ def mixed_rows(
     plan = source_plan(source_shares(lumps), mix).select(
         F.xxhash64(F.col("source").isNull(), F.col("source")).alias("key"), F.col("tokens").alias("all"), "weight", "budget"
     )
-    numbers = lumps.groupBy("key").agg(F.count("*").alias("n")).join(plan, "key", "left")
+    # stored, so that the planner knows its size and sends it to the rows instead of dealing these out by source
+    numbers = stage(lumps.groupBy("key").agg(F.count("*").alias("n")).join(plan, "key", "left"), "mixsources")
     # a block holds about ``block_tokens`` and ``block_rows``; its place in the permutation is its hashed number
     many = F.greatest(
         F.ceil(F.coalesce("all", F.lit(0)) / F.lit(mix.block_tokens)), F.ceil(F.col("n") / F.lit(mix.block_rows)), F.lit(1)
