@@ -115,3 +115,17 @@ def verify_manifest(expected: DataFrame, actual: DataFrame) -> DataFrame:
         F.when(F.col("a") == 0, "missing").when(F.col("e") == 0, "unexpected").when(F.coalesce("size", F.lit(True)), "size")
         .when(F.coalesce("checksum", F.lit(True)), "checksum").otherwise("ok").alias("status"),
     )
+
+
+_WORST_FIRST = ("missing", "unexpected", "size", "checksum", "ok")
+
+
+def table_status(verified: DataFrame) -> DataFrame:
+    """(filename, status) per table of ``verify_manifest``: a Parquet folder is one entry, with the worst status of its files."""
+    table = F.regexp_extract("filename", r"^(.*?\.parquet)(/|$)", 1)
+    name = F.when(table != "", table).otherwise(F.col("filename"))
+    ranks = F.array(*map(F.lit, _WORST_FIRST))
+    worst = F.min(F.array_position(ranks, F.col("status"))).cast("int")
+    return verified.groupBy(name.alias("filename")).agg(worst.alias("rank")).select(
+        "filename", F.element_at(ranks, F.col("rank")).alias("status")
+    )

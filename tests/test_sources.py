@@ -258,3 +258,28 @@ def test_entries_of_a_name_must_agree(spark):
     got = {r.filename: r.status for r in tables.verify_manifest(listed, there).collect()}
     assert got == {"twice": "ok", "odd": "checksum", "gap": "checksum"}
     assert tables.verify_manifest(make(), make()).count() == 0
+
+
+def test_a_table_stored_as_a_folder_is_one_entry(spark, tmp_path):
+    from registry.quality_queries import _STATUS
+
+    for name in _STATUS:
+        if name.startswith("gone/"):
+            continue
+        if name in ("documents.parquet", "region.parquet", "nation.parquet"):
+            (tmp_path / name).mkdir()
+            for k in range(3):
+                (tmp_path / name / f"part-{k}.parquet").write_text(f"{name} {k}")
+        else:
+            (tmp_path / name).write_text(name)
+    import __spark_entry__ as entry
+
+    found = {r.filename: r.status for r in entry.queries()["manifest_verify"](spark, str(tmp_path)).collect()}
+    assert found == _STATUS
+    verified = spark.createDataFrame(
+        [("a.parquet/x", "ok"), ("a.parquet/y", "checksum"), ("b.parquet/x", "unexpected"), ("b.parquet/y", "missing"), ("c.csv", "ok"), (None, "size")],
+        "filename string, status string",
+    )
+    assert {tuple(r) for r in tables.table_status(verified).collect()} == {
+        ("a.parquet", "checksum"), ("b.parquet", "missing"), ("c.csv", "ok"), (None, "size")
+    }
