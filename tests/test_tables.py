@@ -321,6 +321,16 @@ def test_decisions_search_and_report(spark):
         "scored_orders": 3, "predicted_delays": 2, "total_orders": 3}
 
 
+def test_report_texts_round_like_printf(spark):
+    from parceltide.functions.display import distance_text, percent_text
+
+    values = [0.25, 12.35, 0.35, 1234.25, 1234.75, 0.0, 99.95, 1e7 + 0.05]
+    rows = spark.createDataFrame([(v, v / 100) for v in values], "km double, share double")
+    got = rows.select(distance_text(F.col("km")).alias("km"), percent_text(F.col("share")).alias("share"), (F.col("share") * 100).alias("p")).collect()
+    assert [r.km for r in got] == [f"{v:.1f} km" for v in values]
+    assert [r.share for r in got] == [f"{r.p:.2f}%" for r in got]
+
+
 # -- repeated keys, order of files, raw requests
 
 
