@@ -1,7 +1,7 @@
 """Second-order boosted trees: regularised leaves, pruned splits, histograms by one aggregate per level.
 
 Rows are binned once and stored in blocks of a few thousand. A level of a tree costs one
-pass: tasks sum gradient and hessian per (node, feature, bin), Spark adds the sums up, and
+pass of one small job: tasks sum gradient and hessian per (node, feature, bin), Spark adds the sums up, and
 the driver, which only sees those sums, picks the splits. Their number is bounded by
 nodes x features x bins, whatever the number of rows. Leaf values and the loss reduction of
 a split come from the same sums. Sums are whole numbers (fixed point), so that a fit does
@@ -19,7 +19,7 @@ from dataclasses import asdict, dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -30,6 +30,7 @@ from parceltide.session import stage
 
 BLOCK_ROWS = 4096
 PARTITION_BLOCKS = 32
+DIRECT_TASKS = 32  # whose sums the driver adds up by itself
 REFRESH = 32  # trees between two writings of the scores
 
 
@@ -99,22 +100,20 @@ def pruned(features: list[int], gains: dict[int, float], least_gain: float) -> l
     return out
 
 
-def _leaves(tree: Tree, bins: np.ndarray) -> np.ndarray:
-    """Position of the leaf of every row of bins."""
-    node = np.zeros(len(bins), dtype=np.int64)
-    rows = np.arange(len(bins))
-    features, cuts = np.array(tree.features), np.array(tree.bins)
-    while len(features) and node[0] < len(features):
-        feature = features[node]
-        right = (feature >= 0) & (bins[rows, feature] >= cuts[node])
-        node = 2 * node + 1 + right
-    return node - len(features)
+def _reached(node: int, features: list[int], cuts: list[int], bins: np.ndarray, out: list) -> np.ndarray:
+    """``out`` of the leaf of every row; ``bins`` holds a row of numbers per feature."""
+    if node >= len(features):
+        return out[node - len(features)]
+    left = _reached(2 * node + 1, features, cuts, bins, out)
+    if features[node] < 0:
+        return left
+    return np.where(bins[features[node]] >= cuts[node], _reached(2 * node + 2, features, cuts, bins, out), left)
 
 
 def _margin(trees: list[Tree], bins: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(bins))
+    out = np.zeros(bins.shape[1])
     for tree in trees:
-        out += np.array(tree.values)[_leaves(tree, bins)]
+        out += _reached(0, tree.features, tree.bins, bins, tree.values)
     return out
 
 
@@ -134,11 +133,11 @@ def _blocked(cuts: list[np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, features, label, weight = batch.columns
-            matrix = np.array(features.to_pylist(), dtype=np.float64).reshape(len(ids), len(cuts))
+            matrix = features.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), len(cuts))
             bins = np.stack([np.searchsorted(c, matrix[:, k], side="right") for k, c in enumerate(cuts)], axis=1).astype(np.uint8)
             numbers = np.stack((label.to_numpy(), weight.to_numpy(), np.zeros(len(ids)))).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[0].as_py()]), pa.array([len(ids)]), pa.array([bins.tobytes()], pa.binary()),
+                [pa.array([ids[0].as_py()]), pa.array([len(ids)]), pa.array([bins.T.tobytes()], pa.binary()),
                  pa.array([numbers.tobytes()], pa.binary())], ["block", "n", "bins", "numbers"],
             )
 
@@ -146,56 +145,54 @@ def _blocked(cuts: list[np.ndarray]):
 
 
 def _refreshed(trees: list[Tree]):
-    """Blocks whose scores hold these trees too."""
+    """A block whose scores hold these trees too."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers = []
-            for n, bins, known in zip(*[batch.column(k).to_pylist() for k in (1, 2, 3)]):
-                label, weight, margin = np.frombuffer(known).reshape(3, n)
-                margin = margin + _margin(trees, np.frombuffer(bins, np.uint8).reshape(n, -1))
-                numbers.append(np.stack((label, weight, margin)).tobytes())
-            yield batch.set_column(3, "numbers", pa.array(numbers, pa.binary()))
+    def run(row: tuple) -> tuple:
+        block, n, bins, known = row
+        label, weight, margin = np.frombuffer(known).reshape(3, n)
+        margin = margin + _margin(trees, np.frombuffer(bins, np.uint8).reshape(-1, n))
+        return block, n, bins, np.stack((label, weight, margin)).tobytes()
 
     return run
 
 
-def _histograms(trees: list[Tree], turn: int, partial: Tree | None, level: int, columns: np.ndarray, how: Boosting, scale: float):
-    """Fixed-point sums of gradient and hessian per slot, (node of the level x column) x bin."""
-    width = len(columns) * how.bins
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, (1 << level) * width), dtype=np.int64)
-        for batch in batches:
-            for block, n, bins, numbers in zip(*[c.to_pylist() for c in batch.columns]):
-                bins = np.frombuffer(bins, np.uint8).reshape(n, -1)
-                label, weight, margin = np.frombuffer(numbers).reshape(3, n)
-                g, h = _slopes(margin + _margin(trees, bins), label, weight)
-                seen = _drawn(block, n, turn, how)
-                at = _leaves(partial, bins) if partial else np.zeros(n, dtype=np.int64)
-                slot = at[:, None] * width + np.arange(len(columns)) * how.bins + bins[:, columns]
-                slot = slot[seen].ravel()
+def _histograms(trees: list[Tree], turn: int, partial: Tree | None, level: int, columns: np.ndarray, many: np.ndarray, how: Boosting, scale: float):
+    """Fixed-point sums of gradient and hessian per slot, (node of the level, column, bin); ``many`` bins per column."""
+    first = np.cumsum(many) - many
+    width = int(many.sum())
+
+    def run(rows: Iterator[tuple]) -> Iterator[np.ndarray]:
+        sums = np.zeros((2, 1 << level, width), dtype=np.int64)
+        for block, n, bins, numbers in rows:
+            seen = _drawn(block, n, turn, how)
+            bins = np.frombuffer(bins, np.uint8).reshape(-1, n)[:, seen]
+            label, weight, margin = np.frombuffer(numbers).reshape(3, n)[:, seen]
+            g, h = _slopes(margin + _margin(trees, bins), label, weight)
+            g, h = np.rint(g * scale), np.rint(h * scale)  # sums of a block stay below 2^53 and are exact
+            node = [np.int64(k) for k in range(1 << level)]
+            at = _reached(0, partial.features, partial.bins, bins, node) if partial else np.int64(0)
+            for column, low, count in zip(columns, first, many):
+                slot = at * count + bins[column]
                 for k, values in enumerate((g, h)):
-                    whole = np.rint(values[seen] * scale)  # sums of a block stay below 2^53 and are exact
-                    sums[k] += np.bincount(slot, np.repeat(whole, len(columns)), minlength=sums.shape[1]).astype(np.int64)
-        used = np.flatnonzero(sums.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[0, used]), pa.array(sums[1, used])], ["slot", "g", "h"])
+                    found = np.bincount(slot, values, minlength=int(count) << level)
+                    sums[k, :, low : low + count] += found.astype(np.int64).reshape(-1, count)
+        yield sums
 
     return run
 
 
-def _summed(blocks: DataFrame, trees, turn, partial, level, columns, how: Boosting, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    shape = (1 << level, len(columns), how.bins)
-    found = blocks.mapInArrow(
-        _histograms(trees, turn, partial, level, columns, how, scale), "slot long, g long, h long"
-    ).groupBy("slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()  # at most nodes x columns x bins rows
-    out = np.zeros((2, int(np.prod(shape))))
-    for k, name in enumerate(("g", "h")):
-        out[k, found["slot"].to_numpy()] = found[name].to_numpy() / scale
-    return out[0].reshape(shape), out[1].reshape(shape)
+def _summed(blocks: RDD, trees, turn, partial, level, columns, cuts, how: Boosting, scale: float) -> tuple[np.ndarray, np.ndarray]:
+    many = np.array([len(cuts[c]) + 1 for c in columns])
+    # a task's sums are at most nodes x columns x bins numbers; those of many tasks meet in a few before the driver
+    parts = blocks.mapPartitions(_histograms(trees, turn, partial, level, columns, many, how, scale))
+    found = parts.reduce(np.add) if blocks.getNumPartitions() <= DIRECT_TASKS else parts.treeReduce(np.add)
+    out = np.zeros((2, 1 << level, len(columns), how.bins))
+    for k, low in enumerate(np.cumsum(many) - many):
+        out[:, :, k, : many[k]] = found[:, :, low : low + many[k]] / scale
+    return out[0], out[1]
 
 
-def grow(blocks: DataFrame, trees: list[Tree], turn: int, cuts: list[np.ndarray], how: Boosting, scale: float) -> Tree:
+def grow(blocks: RDD, trees: list[Tree], turn: int, cuts: list[np.ndarray], how: Boosting, scale: float) -> Tree:
     """The tree of this turn: level by level the best cut of every node, then pruning, then leaf values.
 
     ``trees`` are those that the scores in the blocks do not hold yet.
@@ -209,7 +206,7 @@ def grow(blocks: DataFrame, trees: list[Tree], turn: int, cuts: list[np.ndarray]
     for level in range(how.depth):
         done = 2**level - 1
         partial = Tree(features[:done], [], first[:done], []) if level else None
-        g, h = _summed(blocks, trees, turn, partial, level, columns, how, scale)
+        g, h = _summed(blocks, trees, turn, partial, level, columns, cuts, how, scale)
         gain = split_gains(g, h, how)
         for k in range(1 << level):
             node = done + k
@@ -258,9 +255,20 @@ def cut_points(rows: DataFrame, dims: int, bins: int) -> list[np.ndarray]:
 _BLOCK = "block long, n long, bins binary, numbers binary"
 
 
-def _held(blocks: DataFrame, parts: int) -> DataFrame:
-    """Written blocks, kept in memory or on the executors' disks while they are read again and again."""
-    return stage(blocks, "blocks").coalesce(parts).persist(StorageLevel.MEMORY_AND_DISK)
+def _kept(blocks: RDD) -> RDD:
+    """Kept in memory or on the executors' disks while they are read again and again; what is lost is made again from the stored blocks."""
+    held = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    held.count()
+    return held
+
+
+def _held(blocks: DataFrame) -> RDD:
+    """Stored blocks as (block, n, bins, numbers), dealt over all cores, or at ``PARTITION_BLOCKS`` a task over more."""
+    stored = stage(blocks, "blocks")
+    count = stored.count()
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    parts = max(-(-count // PARTITION_BLOCKS), min(count, cores))
+    return _kept(stored.repartition(parts).rdd.map(lambda r: (r["block"], r["n"], bytes(r["bins"]), bytes(r["numbers"]))))
 
 
 def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
@@ -280,7 +288,7 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     try:
         blocks = _held(
             stored.withColumn("id", F.monotonically_increasing_id()).repartition(parts, "id").sortWithinPartitions("id")
-            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts), _BLOCK), parts,
+            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts), _BLOCK)
         )
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
@@ -289,7 +297,7 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     try:
         for turn in range(how.rounds):
             if turn and turn % REFRESH == 0:
-                older, blocks = blocks, _held(blocks.mapInArrow(_refreshed(trees[-REFRESH:]), _BLOCK), parts)
+                older, blocks = blocks, _kept(blocks.map(_refreshed(trees[-REFRESH:])))
                 older.unpersist()
             trees.append(grow(blocks, trees[turn - turn % REFRESH :], turn, cuts, how, scale))
     finally:

@@ -113,3 +113,25 @@ def test_model_is_saved_with_its_pipeline(spark, tmp_path):
     want = 1 / (1 + np.exp(-brute(x, y, w, replace(PLAIN, rounds=2))[1]))
     assert np.allclose([p[1] for p in one], want, atol=1e-5)
     assert json.loads(again.stages[-1].getOrDefault("trees_json"))
+
+
+def test_a_pass_is_one_small_job_over_all_cores(spark):
+    """Every pass was a planned query of two stages, over one task per 32 blocks."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 40, (9 * B.BLOCK_ROWS // 2, 3)).astype(float)
+    y = (x[:, 0] > 20).astype(float)
+    how = replace(PLAIN, rounds=3)
+    held = []
+    kept = B._kept
+    B._kept = lambda blocks: held.append(kept(blocks)) or held[-1]
+    try:
+        trees = B.fit_trees(as_frame(spark, x, y, np.ones(len(x))), how)
+    finally:
+        B._kept = kept
+    assert held[0].getNumPartitions() > 1
+    assert np.allclose(B.margins(trees, x), brute(x, y, np.ones(len(x)), how)[1], atol=1e-5)
+    direct, B.DIRECT_TASKS = B.DIRECT_TASKS, 1  # sums that meet in a few tasks first
+    try:
+        assert B.fit_trees(as_frame(spark, x, y, np.ones(len(x))), how) == trees
+    finally:
+        B.DIRECT_TASKS = direct
