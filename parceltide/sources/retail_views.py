@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from parceltide.session import bound_tasks
+
 TRANSLATIONS = (
     ("ECONOMY", "economy"), ("STANDARD", "standard"), ("MEDIUM", "medium"), ("LARGE", "large"),
 )
@@ -37,6 +39,7 @@ def _zip(expression: str):
 
 
 def retail_sources(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    bound_tasks(spark, [f"{folder}/{name}.parquet" for name in ("orders", "lineitem", "events")])
     table = lambda name: read_table(spark, folder, name)
     states = table("nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("state"))
     orders, lineitem, events, part = (table(n) for n in ("orders", "lineitem", "events", "part"))

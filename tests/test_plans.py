@@ -85,3 +85,21 @@ def test_facets_reuse_the_order_partitioning_without_broadcasts(spark, settings)
     # the items by product, by seller and by order; no exchange on the facets of an order
     assert len([e for e in exchanges if e.startswith("order_id")]) == 4, exchanges
     assert not any("facet" in e for e in exchanges)
+
+
+def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    from parceltide import session
+
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in range(3):
+        (tmp_path / f"{k}.parquet").write_bytes(bytes(1000))
+    paths = [str(tmp_path / f"{k}.parquet") for k in range(3)]
+    try:
+        few = int(before[keys[0]])
+        assert session.bound_tasks(spark, paths) == few  # small inputs keep the number
+        monkeypatch.setattr(session, "PARTITION_INPUT", 10)
+        assert session.bound_tasks(spark, paths) == 300 and spark.conf.get(keys[0]) == "300"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
