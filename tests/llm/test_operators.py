@@ -545,3 +545,32 @@ def test_pipeline_on_planted_cases(llm, documents, tmp_path):
 
 def test_digest_of_items():
     assert decontaminate.digest(["1", "2"]) == hashlib.sha256(b"1,2").hexdigest()
+
+
+def test_the_pipeline_drops_what_simhash_links(llm, documents):
+    """Equal fingerprints of different texts: letters in another case, and one changed word in a long text."""
+    words = [f"w{k}" for k in range(400)]
+    other = words[:200] + ["x"] + words[201:]
+    rows = [(5, " ".join(words)), (3, " ".join(words).upper()), (9, " ".join(other)), (1, "a b c d e f g"), (2, None), (4, " ")]
+    rows += [(k, " ".join(f"{k}v{j * (k + 3) % 101}" for j in range(30))) for k in range(20, 24)]
+    edited = " ".join("1 2 3 4 5 6 7 8".split() + ["y"])
+    rows += [(30, "1 2 3 4 5 6 7 8"), (31, edited)]
+    docs = documents(rows)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(llm, docs, "").collect()}
+    linked = {r.id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    near = {r.id: r.component for r in simhash_similar.similar_documents(docs).collect()}
+    groups = {k: {k} for k, _ in rows}
+    for a, _ in rows:
+        for b, _ in rows:
+            if linked[a] == linked[b] or near[a] == near[b]:
+                union = groups[a] | groups[b]
+                for k in union:
+                    groups[k] = union
+    assert kept == {min(g) for g in groups.values()}
+    assert len({linked[k] for k in (3, 5, 9)}) == 1
+    # the same three-word shingles in another order: equal fingerprints, few five-word shingles in common
+    one, two = (f"x y {' x y '.join(order)} x y" for order in ("abcdefghijkl", "acegikbdfhjl"))
+    assert simhash._fingerprint(one.encode(), 3) == simhash._fingerprint(two.encode(), 3)
+    pair = documents([(1, one), (2, two)])
+    assert simhash_similar.keep_one(pair).count() == 2
+    assert [r.doc_id for r in corpus_pipeline.drop_near_copies(llm, pair, "").collect()] == [1]
