@@ -8,6 +8,10 @@ a split come from the same sums. Sums are whole numbers (fixed point), so that a
 not depend on the order in which tasks finish. Scores are written back to the blocks every few
 trees; those of the trees since are worked out in each pass, so a lost executor costs its
 part of one pass.
+
+Features of two bins of which no row has more than one in its upper bin, such as the columns of a one-hot
+vector, share a lane: one number per row that names the feature. Of two children only the lighter
+one is summed up; the other one is the rest of its parent. Both give the same sums as whole numbers.
 """
 
 from __future__ import annotations
@@ -30,8 +34,9 @@ from parceltide.session import stage
 
 BLOCK_ROWS = 4096
 PARTITION_BLOCKS = 32
+TOGETHER = 4  # blocks that a task works on at once
 DIRECT_TASKS = 32  # whose sums the driver adds up by itself
-REFRESH = 32  # trees between two writings of the scores
+REFRESH = 8  # trees between two writings of the scores
 
 
 @dataclass(frozen=True)
@@ -100,20 +105,42 @@ def pruned(features: list[int], gains: dict[int, float], least_gain: float) -> l
     return out
 
 
-def _reached(node: int, features: list[int], cuts: list[int], bins: np.ndarray, out: list) -> np.ndarray:
-    """``out`` of the leaf of every row; ``bins`` holds a row of numbers per feature."""
-    if node >= len(features):
-        return out[node - len(features)]
-    left = _reached(2 * node + 1, features, cuts, bins, out)
-    if features[node] < 0:
-        return left
-    return np.where(bins[features[node]] >= cuts[node], _reached(2 * node + 2, features, cuts, bins, out), left)
+@dataclass(frozen=True)
+class Lanes:
+    """Where the bins of every feature are: in a lane of its own, or as the number ``code`` of a shared lane."""
 
+    lane: list[int]
+    code: list[int]  # 0 in a lane of its own
+    many: list[int]  # numbers a lane can hold
 
-def _margin(trees: list[Tree], bins: np.ndarray) -> np.ndarray:
-    out = np.zeros(bins.shape[1])
-    for tree in trees:
-        out += _reached(0, tree.features, tree.bins, bins, tree.values)
+    def tests(self, tree: Tree) -> list[tuple[int, int, int] | None]:
+        """Per node (lane, code, first bin of the right side), None where it is not split."""
+        return [(self.lane[f], self.code[f], b) if f >= 0 else None for f, b in zip(tree.features, tree.bins)]
+
+
+def _leaf(right: list[np.ndarray | None]):
+    """Number of the leaf of every row; ``right`` tells per node which rows go right. Choices are made bit by bit."""
+    kind = np.uint8 if len(right) < 256 else np.uint16
+
+    def below(node: int):
+        if node >= len(right):
+            return kind(node - len(right))
+        left = below(2 * node + 1)
+        if right[node] is None:
+            return left
+        return left ^ ((left ^ below(2 * node + 2)) & np.negative(right[node].astype(kind)))
+
+    return below(0)
+
+
+def _leaves(tests: list, lanes: np.ndarray):
+    return _leaf([None if t is None else lanes[t[0]] == t[1] if t[1] else lanes[t[0]] >= t[2] for t in tests])
+
+
+def _margin(trees: list[tuple[list, np.ndarray]], lanes: np.ndarray) -> np.ndarray:
+    out = np.zeros(lanes.shape[1])
+    for tests, values in trees:
+        out += values[_leaves(tests, lanes)]
     return out
 
 
@@ -129,70 +156,162 @@ def _drawn(block: int, rows: int, turn: int, how: Boosting) -> np.ndarray:
     return np.random.default_rng([how.seed, turn, block]).random(rows) < how.row_share
 
 
-def _blocked(cuts: list[np.ndarray]):
+def _bins(features: pa.Array, rows: int, cuts: list[np.ndarray]) -> np.ndarray:
+    """A row of bin numbers per feature."""
+    matrix = features.flatten().to_numpy(zero_copy_only=False).reshape(rows, len(cuts))
+    return np.stack([np.searchsorted(c, matrix[:, k], side="right") for k, c in enumerate(cuts)]).astype(np.uint8)
+
+
+def _next_upper(cuts: list[np.ndarray], two: np.ndarray):
+    """Per feature of two bins the next one that shares an upper bin with it in any row of the task; their number if none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        after = np.full(len(two), len(two))
+        for batch in batches:
+            rows, upper = np.nonzero(_bins(batch.column(0), batch.num_rows, cuts)[two].T)
+            same = rows[1:] == rows[:-1]
+            np.minimum.at(after, upper[:-1][same], upper[1:][same])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(two))), pa.array(after)], ["pos", "after"])
+
+    return run
+
+
+def shared_lanes(rows: DataFrame, cuts: list[np.ndarray], bins: int) -> Lanes:
+    """Runs of features of two bins share a lane where no row of all the rows has two of them in their upper bin."""
+    two = np.array([k for k, c in enumerate(cuts) if len(c) == 1], dtype=np.int64)
+    found = {
+        r["pos"]: r["after"] for r in rows.select("x").mapInArrow(_next_upper(cuts, two), "pos long, after long")
+        .groupBy("pos").agg(F.min("after").alias("after")).collect()
+    } if len(two) else {}
+    lane, code, many = [0] * len(cuts), [0] * len(cuts), []
+    for k, c in enumerate(cuts):
+        if len(c) != 1:
+            lane[k] = len(many)
+            many.append(len(c) + 1)
+    start, stop = 0, 0  # the run and the first feature that may not join it
+    for k, feature in enumerate(two):
+        if k == 0 or k >= stop or k - start >= bins - 1:
+            start, stop = k, len(two)
+            many.append(1)
+        stop = min(stop, found.get(k, len(two)))
+        lane[feature], code[feature] = len(many) - 1, k - start + 1
+        many[-1] += 1
+    return Lanes(lane, code, many)
+
+
+def _blocked(cuts: list[np.ndarray], where: Lanes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, features, label, weight = batch.columns
-            matrix = features.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), len(cuts))
-            bins = np.stack([np.searchsorted(c, matrix[:, k], side="right") for k, c in enumerate(cuts)], axis=1).astype(np.uint8)
+            lanes = np.zeros((len(where.many), len(ids)), dtype=np.uint8)
+            for bins, lane, code in zip(_bins(features, len(ids), cuts), where.lane, where.code):
+                lanes[lane] += bins * np.uint8(code) if code else bins
             numbers = np.stack((label.to_numpy(), weight.to_numpy(), np.zeros(len(ids)))).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[0].as_py()]), pa.array([len(ids)]), pa.array([bins.T.tobytes()], pa.binary()),
+                [pa.array([ids[0].as_py()]), pa.array([len(ids)]), pa.array([lanes.tobytes()], pa.binary()),
                  pa.array([numbers.tobytes()], pa.binary())], ["block", "n", "bins", "numbers"],
             )
 
     return run
 
 
-def _refreshed(trees: list[Tree]):
-    """A block whose scores hold these trees too."""
+def _joined(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """Blocks of a task, some at a time side by side, as (their ids and lengths, lanes, numbers)."""
+    rows = list(rows)
+    for first in range(0, len(rows), TOGETHER):
+        some = rows[first : first + TOGETHER]
+        lanes = np.hstack([np.frombuffer(bins, np.uint8).reshape(-1, n) for _, n, bins, _ in some])
+        numbers = np.hstack([np.frombuffer(known).reshape(3, n) for _, n, _, known in some])
+        yield [(block, n) for block, n, _, _ in some], lanes.tobytes(), numbers.tobytes()
+
+
+def _refreshed(trees: list[tuple[list, np.ndarray]]):
+    """Blocks whose scores hold these trees too."""
 
     def run(row: tuple) -> tuple:
-        block, n, bins, known = row
+        blocks, lanes, known = row
+        n = sum(n for _, n in blocks)
         label, weight, margin = np.frombuffer(known).reshape(3, n)
-        margin = margin + _margin(trees, np.frombuffer(bins, np.uint8).reshape(-1, n))
-        return block, n, bins, np.stack((label, weight, margin)).tobytes()
+        margin = margin + _margin(trees, np.frombuffer(lanes, np.uint8).reshape(-1, n))
+        return blocks, lanes, np.stack((label, weight, margin)).tobytes()
 
     return run
 
 
-def _histograms(trees: list[Tree], turn: int, partial: Tree | None, level: int, columns: np.ndarray, many: np.ndarray, how: Boosting, scale: float):
-    """Fixed-point sums of gradient and hessian per slot, (node of the level, column, bin); ``many`` bins per column."""
+def _histograms(trees: list, turn: int, partial: list, wanted: np.ndarray, used: np.ndarray, many: np.ndarray, how: Boosting, scale: float):
+    """Fixed-point sums of gradient and hessian per (node, slot of a used lane), of the nodes with a place in ``wanted``."""
     first = np.cumsum(many) - many
-    width = int(many.sum())
+    nodes = int(wanted.max()) + 1
+    width = int(many.max())
 
     def run(rows: Iterator[tuple]) -> Iterator[np.ndarray]:
-        sums = np.zeros((2, 1 << level, width), dtype=np.int64)
-        for block, n, bins, numbers in rows:
-            seen = _drawn(block, n, turn, how)
-            bins = np.frombuffer(bins, np.uint8).reshape(-1, n)[:, seen]
-            label, weight, margin = np.frombuffer(numbers).reshape(3, n)[:, seen]
-            g, h = _slopes(margin + _margin(trees, bins), label, weight)
-            g, h = np.rint(g * scale), np.rint(h * scale)  # sums of a block stay below 2^53 and are exact
-            node = [np.int64(k) for k in range(1 << level)]
-            at = _reached(0, partial.features, partial.bins, bins, node) if partial else np.int64(0)
-            for column, low, count in zip(columns, first, many):
-                slot = at * count + bins[column]
+        sums = np.zeros((2, nodes, int(many.sum())), dtype=np.int64)
+        for blocks, lanes, numbers in rows:
+            n = sum(n for _, n in blocks)
+            lanes = np.frombuffer(lanes, np.uint8).reshape(-1, n)
+            label, weight, margin = np.frombuffer(numbers).reshape(3, n)
+            seen = np.concatenate([_drawn(block, k, turn, how) for block, k in blocks])
+            at = wanted[_leaves(partial, lanes)] if partial else np.zeros(n, dtype=np.int64)
+            rows_in = np.flatnonzero(seen & (at >= 0))
+            g, h = _slopes(margin + _margin(trees, lanes), label, weight)
+            # sums of blocks that are worked on together stay below 2^53 and are exact
+            g, h = np.rint(g[rows_in] * scale), np.rint(h[rows_in] * scale)
+            base = at[rows_in] * width
+            for lane, low, count in zip(used, first, many):
+                slot = base + lanes[lane].take(rows_in)
                 for k, values in enumerate((g, h)):
-                    found = np.bincount(slot, values, minlength=int(count) << level)
-                    sums[k, :, low : low + count] += found.astype(np.int64).reshape(-1, count)
+                    found = np.bincount(slot, values, minlength=nodes * width)
+                    sums[k, :, low : low + count] += found.reshape(nodes, width)[:, :count].astype(np.int64)
         yield sums
 
     return run
 
 
-def _summed(blocks: RDD, trees, turn, partial, level, columns, cuts, how: Boosting, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    many = np.array([len(cuts[c]) + 1 for c in columns])
+def _summed(blocks: RDD, trees: list, turn: int, partial: list, wanted: np.ndarray, columns, where: Lanes, how: Boosting, scale: float) -> np.ndarray:
+    """Whole-number sums (gradient or hessian, wanted node, column, bin)."""
+    used = np.unique([where.lane[c] for c in columns])
+    many = np.array([where.many[k] for k in used])
     # a task's sums are at most nodes x columns x bins numbers; those of many tasks meet in a few before the driver
-    parts = blocks.mapPartitions(_histograms(trees, turn, partial, level, columns, many, how, scale))
+    parts = blocks.mapPartitions(_histograms(trees, turn, partial, wanted, used, many, how, scale))
     found = parts.reduce(np.add) if blocks.getNumPartitions() <= DIRECT_TASKS else parts.treeReduce(np.add)
-    out = np.zeros((2, 1 << level, len(columns), how.bins))
-    for k, low in enumerate(np.cumsum(many) - many):
-        out[:, :, k, : many[k]] = found[:, :, low : low + many[k]] / scale
-    return out[0], out[1]
+    low = dict(zip(used.tolist(), (np.cumsum(many) - many).tolist()))
+    out = np.zeros((2, found.shape[1], len(columns), how.bins), dtype=np.int64)
+    total = found[:, :, : many[0]].sum(axis=-1)
+    for k, c in enumerate(columns):
+        start = low[where.lane[c]]
+        if where.code[c]:
+            out[:, :, k, 1] = found[:, :, start + where.code[c]]
+            out[:, :, k, 0] = total - out[:, :, k, 1]
+        else:
+            out[:, :, k, : where.many[where.lane[c]]] = found[:, :, start : start + where.many[where.lane[c]]]
+    return out
 
 
-def grow(blocks: RDD, trees: list[Tree], turn: int, cuts: list[np.ndarray], how: Boosting, scale: float) -> Tree:
+def _level_sums(above: np.ndarray | None, features: list[int], first: list[int], columns: np.ndarray, summed) -> np.ndarray:
+    """Sums of all nodes of a level: of the lighter child of every split by a pass, of the other one as the rest of its parent."""
+    if above is None:
+        return summed(np.zeros(1, dtype=np.int64))
+    parents = above.shape[1]
+    done = parents - 1
+    wanted = np.full(2 * parents, -1, dtype=np.int64)
+    for k in range(parents):
+        if (f := features[done + k]) >= 0:
+            sides = above[1, k, int(np.searchsorted(columns, f))]
+            lighter = 2 * k + int(sides[: first[done + k]].sum() > sides[first[done + k] :].sum())
+            wanted[lighter] = wanted.max() + 1
+    found = summed(wanted)
+    out = np.zeros((2, 2 * parents, *above.shape[2:]), dtype=np.int64)
+    for k in range(parents):
+        if features[done + k] < 0:
+            out[:, 2 * k] = above[:, k]
+            continue
+        own = 2 * k + int(wanted[2 * k] < 0)
+        out[:, own] = found[:, wanted[own]]
+        out[:, own ^ 1] = above[:, k] - out[:, own]
+    return out
+
+
+def grow(blocks: RDD, trees: list[Tree], turn: int, cuts: list[np.ndarray], where: Lanes, how: Boosting, scale: float) -> Tree:
     """The tree of this turn: level by level the best cut of every node, then pruning, then leaf values.
 
     ``trees`` are those that the scores in the blocks do not hold yet.
@@ -203,10 +322,13 @@ def grow(blocks: RDD, trees: list[Tree], turn: int, cuts: list[np.ndarray], how:
     size = 2**how.depth - 1
     features, first, gains = [-1] * size, [0] * size, {}
     sums: dict[int, tuple[float, float]] = {}
+    known = _for_tasks(trees, where)
+    whole = None
     for level in range(how.depth):
         done = 2**level - 1
-        partial = Tree(features[:done], [], first[:done], []) if level else None
-        g, h = _summed(blocks, trees, turn, partial, level, columns, cuts, how, scale)
+        partial = where.tests(Tree(features[:done], [], first[:done], [])) if level else []
+        whole = _level_sums(whole, features, first, columns, lambda wanted: _summed(blocks, known, turn, partial, wanted, columns, where, how, scale))
+        g, h = whole / scale
         gain = split_gains(g, h, how)
         for k in range(1 << level):
             node = done + k
@@ -239,16 +361,46 @@ def grow(blocks: RDD, trees: list[Tree], turn: int, cuts: list[np.ndarray], how:
     return Tree(kept, edges, [b if f >= 0 else 0 for f, b in zip(kept, first)], values)
 
 
+def _for_tasks(trees: list[Tree], where: Lanes) -> list[tuple[list, np.ndarray]]:
+    return [(where.tests(tree), np.array(tree.values)) for tree in trees]
+
+
+def _spread(dims: int):
+    """Per feature the least and the largest value of a task, and whether others lie between."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high, other = np.full(dims, np.inf), np.full(dims, -np.inf), np.zeros(dims, dtype=bool)
+        for batch in filter(lambda b: b.num_rows, batches):
+            matrix = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dims)
+            ends = np.stack((low, high, matrix.min(axis=0), matrix.max(axis=0)))
+            low, high = np.minimum(ends[0], ends[2]), np.maximum(ends[1], ends[3])
+            met = np.vstack((ends[np.isfinite(ends).all(axis=1)], matrix))
+            other |= ((met > low) & (met < high)).any(axis=0)
+        if np.isfinite(low).all():
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, (np.arange(dims), low, high, other))), ["pos", "low", "high", "other"])
+
+    return run
+
+
 def cut_points(rows: DataFrame, dims: int, bins: int) -> list[np.ndarray]:
-    """Ascending cuts of every feature at its quantiles, at most bins - 1; its least value is none."""
+    """Ascending cuts of every feature at its quantiles, at most bins - 1; its least value is none.
+
+    The only cut of a feature of two values is the larger one, which needs no quantiles.
+    """
+    spread = rows.select("x").mapInArrow(_spread(dims), "pos long, low double, high double, other boolean").groupBy("pos").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("other").alias("other"),
+        F.array_union(F.collect_set("low"), F.collect_set("high")).alias("ends"),
+    ).select("pos", "low", "high", (F.col("other") | (F.size("ends") > 2)).alias("other")).collect()  # one row per feature
+    most = [r["pos"] for r in spread if r["other"]]
     shares = ", ".join(f"{k / bins!r}D" for k in range(1, bins))
-    found = {r["pos"]: r for r in rows.select(F.posexplode("x")).groupBy("pos").agg(
-        F.expr(f"percentile_approx(col, array({shares}), 10000)").alias("q"), F.min("col").alias("low"), F.max("col").alias("high")
-    ).collect()}  # one row per feature
-    out = []
-    for k in range(dims):
-        cuts = np.unique([*(found[k]["q"] or []), found[k]["high"]])
-        out.append(cuts[cuts > found[k]["low"]][: bins - 1])
+    wide = rows.select(F.explode(F.array(*[F.struct(F.lit(k).alias("pos"), F.col("x")[k].alias("col")) for k in most])).alias("v")) if most else None
+    found = {r["pos"]: r["q"] for r in wide.groupBy("v.pos").agg(
+        F.expr(f"percentile_approx(v.col, array({shares}), 10000)").alias("q")
+    ).collect()} if most else {}
+    out = [np.zeros(0)] * dims
+    for r in spread:
+        cuts = np.unique([*(found.get(r["pos"]) or []), r["high"]])
+        out[r["pos"]] = cuts[cuts > r["low"]][: bins - 1]
     return out
 
 
@@ -263,12 +415,13 @@ def _kept(blocks: RDD) -> RDD:
 
 
 def _held(blocks: DataFrame) -> RDD:
-    """Stored blocks as (block, n, bins, numbers), dealt over all cores, or at ``PARTITION_BLOCKS`` a task over more."""
+    """Stored blocks, joined, dealt over all cores, or at ``PARTITION_BLOCKS`` a task over more."""
     stored = stage(blocks, "blocks")
     count = stored.count()
     cores = stored.sparkSession.sparkContext.defaultParallelism
     parts = max(-(-count // PARTITION_BLOCKS), min(count, cores))
-    return _kept(stored.repartition(parts).rdd.map(lambda r: (r["block"], r["n"], bytes(r["bins"]), bytes(r["numbers"]))))
+    rows = stored.repartition(parts).rdd.map(lambda r: (r["block"], r["n"], bytes(r["bins"]), bytes(r["numbers"])))
+    return _kept(rows.mapPartitions(_joined))
 
 
 def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
@@ -281,6 +434,7 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     if not size["n"]:
         return []
     cuts = cut_points(stored, size["dims"], how.bins)
+    where = shared_lanes(stored, cuts, how.bins)
     parts = max(1, -(-size["n"] // (BLOCK_ROWS * PARTITION_BLOCKS)))
     spark = rows.sparkSession
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -288,18 +442,18 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     try:
         blocks = _held(
             stored.withColumn("id", F.monotonically_increasing_id()).repartition(parts, "id").sortWithinPartitions("id")
-            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts), _BLOCK)
+            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts, where), _BLOCK)
         )
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    scale = 2.0 ** min(36, int(52 - np.log2(BLOCK_ROWS * max(size["weight"], 1.0))), int(61 - np.log2(size["n"] * max(size["weight"], 1.0))))
+    scale = 2.0 ** min(36, int(52 - np.log2(TOGETHER * BLOCK_ROWS * max(size["weight"], 1.0))), int(61 - np.log2(size["n"] * max(size["weight"], 1.0))))
     trees: list[Tree] = []
     try:
         for turn in range(how.rounds):
             if turn and turn % REFRESH == 0:
-                older, blocks = blocks, _kept(blocks.map(_refreshed(trees[-REFRESH:])))
+                older, blocks = blocks, _kept(blocks.map(_refreshed(_for_tasks(trees[-REFRESH:], where))))
                 older.unpersist()
-            trees.append(grow(blocks, trees[turn - turn % REFRESH :], turn, cuts, how, scale))
+            trees.append(grow(blocks, trees[turn - turn % REFRESH :], turn, cuts, where, how, scale))
     finally:
         blocks.unpersist()
     return trees
@@ -307,14 +461,10 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
 
 def margins(trees: list[Tree], x: np.ndarray) -> np.ndarray:
     """Sums of leaf values of raw feature rows."""
-    out, rows = np.zeros(len(x)), np.arange(len(x))
+    out, columns = np.zeros(len(x)), np.ascontiguousarray(x.T)
     for tree in trees:
-        node = np.zeros(len(x), dtype=np.int64)
-        features, cuts = np.array(tree.features), np.array(tree.cuts)
-        for _ in range((len(features) + 1).bit_length() - 1):
-            feature = features[node]
-            node = 2 * node + 1 + ((feature >= 0) & (x[rows, feature] >= cuts[node]))
-        out += np.array(tree.values)[node - len(features)]
+        leaf = _leaf([columns[f] >= c if f >= 0 else None for f, c in zip(tree.features, tree.cuts)])
+        out += np.array(tree.values)[leaf]
     return out
 
 
@@ -338,7 +488,7 @@ class BoostedTrees(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable
 
         @F.pandas_udf("double")
         def late(x: pd.Series) -> pd.Series:
-            rows = np.array(x.tolist(), dtype=np.float64)
+            rows = np.stack(x.to_list()) if len(x) else np.zeros((0, 0))
             return pd.Series(0.5 * (1.0 + np.tanh(0.5 * margins(trees, rows))) if len(rows) else [], dtype=float)
 
         p = late(vector_to_array(self.getOrDefault(self.featuresCol)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from parceltide import contracts as C
 from parceltide.operators.boosting import Boosting, SecondOrderBoosting
 from parceltide.operators.selection import quantiles
-from parceltide.session import stage, staging_root
+from parceltide.session import stage
 
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
 
@@ -23,21 +23,21 @@ class Candidate:
     """One model family with its fixed parameters."""
 
     name: str
-    kind: str  # "boosted", "regularised" or "logistic"
+    kind: str  # "boosted" or "regularised", both second-order trees, or "logistic"
     scaled: bool = False
     iterations: int = 300
     depth: int = 4
     step: float = 0.05
     row_share: float = 0.8
     column_share: float = 0.8
-    min_rows: int = 1  # of a child; "regularised" reads it as the hessian sum of a child
+    min_rows: int = 1  # the least hessian sum of a child
     penalty: float = 0.0
     least_gain: float = 0.0
     strength: float = 1.0
 
 
 # Parameters of the three candidates.
-BASELINE = Candidate("xgboost_baseline", "boosted")
+BASELINE = Candidate("xgboost_baseline", "boosted", penalty=1.0)
 SHALLOW = Candidate(
     "xgboost_shallow_regularized", "regularised",
     iterations=400, depth=2, step=0.03, min_rows=5, penalty=5.0, least_gain=0.1,
@@ -80,12 +80,6 @@ def impute(frame: DataFrame, medians: dict[str, float]) -> DataFrame:
     return frame.select(*[filled.get(c, F.col(c)).alias(c) for c in frame.columns])
 
 
-def keep_lineage_short(spark) -> None:
-    """Boosting checkpoints every few rounds, if there is a shared folder for it."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(staging_root(spark))
-
-
 def preparation(train: DataFrame, scaled: bool) -> list:
     """Fitted imputation (and scaling) as a saveable SQL stage, then the encoders.
 
@@ -126,15 +120,7 @@ def class_balance(train: DataFrame) -> tuple[int, int]:
 def classifier(candidate: Candidate, on_time: int, late: int):
     """(estimator, weight of a late row, weight of an on-time row)."""
     shared = dict(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT)
-    if candidate.kind == "boosted":
-        estimator = GBTClassifier(
-            maxIter=candidate.iterations, maxDepth=candidate.depth, stepSize=candidate.step,
-            subsamplingRate=candidate.row_share, featureSubsetStrategy=str(candidate.column_share),
-            minInstancesPerNode=candidate.min_rows,
-            seed=C.SEED, **shared,
-        )
-        return estimator, on_time / late, 1.0
-    if candidate.kind == "regularised":
+    if candidate.kind != "logistic":
         how = Boosting(
             rounds=candidate.iterations, depth=candidate.depth, rate=candidate.step, row_share=candidate.row_share,
             column_share=candidate.column_share, least_weight=float(candidate.min_rows), penalty=candidate.penalty,
@@ -152,7 +138,6 @@ def classifier(candidate: Candidate, on_time: int, late: int):
 
 def fit_candidate(candidate: Candidate, train: DataFrame) -> PipelineModel:
     """Fit preprocessing and classifier on the training rows only."""
-    keep_lineage_short(train.sparkSession)
     estimator, late_weight, on_time_weight = classifier(candidate, *class_balance(train))
     labelled = train.select(
         *C.MODEL_FEATURES, F.col(C.TARGET).cast("double").alias(LABEL),

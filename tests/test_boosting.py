@@ -135,3 +135,30 @@ def test_a_pass_is_one_small_job_over_all_cores(spark):
         assert B.fit_trees(as_frame(spark, x, y, np.ones(len(x))), how) == trees
     finally:
         B.DIRECT_TASKS = direct
+
+
+def test_one_hot_features_share_lanes_and_give_the_same_trees(spark):
+    """Every column of a one-hot vector was summed up on its own in every pass."""
+    rng = np.random.default_rng(9)
+    x, y, w = made(300)
+    kind, other = rng.integers(0, 6, 300), rng.integers(0, 3, 300)
+    hot = np.concatenate([x, (kind[:, None] == range(6)).astype(float), (other[:, None] == range(1, 3)).astype(float), np.ones((300, 1))], axis=1)
+    y = np.where(kind == 2, 1.0, y)
+    frame = as_frame(spark, hot, y, w)
+    cuts = B.cut_points(frame, 12, 256)
+    where = B.shared_lanes(frame, cuts, 256)
+    assert [len(c) for c in cuts[2:]] == [1] * 9 + [0]
+    assert len(where.many) < 8 and len({k for k, c in zip(where.lane, where.code) if c}) >= 3
+    for k in range(12):  # no row has two features of a lane in their upper bin
+        same = [f for f in range(12) if where.code[f] and where.code[k] and where.lane[f] == where.lane[k]]
+        assert hot[:, same].sum(axis=1).max(initial=0) <= 1
+    how = replace(PLAIN, depth=3, rounds=3)
+    want, margin = brute(hot, y, w, how)
+    trees = B.fit_trees(frame, how)
+    assert np.allclose(B.margins(trees, hot), margin, atol=1e-5)
+    alone = B.shared_lanes
+    try:  # a lane per feature
+        B.shared_lanes = lambda rows, cuts, bins: B.Lanes(list(range(12)), [0] * 12, [len(c) + 1 for c in cuts])
+        assert B.fit_trees(frame, how) == trees
+    finally:
+        B.shared_lanes = alone

@@ -144,3 +144,11 @@ def test_score_and_snapshot_jobs(spark, tmp_path):
     decided, held = (spark.read.parquet(str(tmp_path / "out" / n)) for n in ("decisions", "quarantine"))
     assert decided.count() + held.count() == 60 and "order-003" in {r["order_id"] for r in held.collect()}
     assert all(r["reasons"] for r in held.collect())
+
+
+def test_baseline_is_fitted_by_histogram_passes(spark):
+    """Its 300 trees of depth 4 took too long as planned queries of pyspark.ml; the leaf penalty is that of the reference."""
+    model = M.fit_candidate(small(M.BASELINE), made_features(spark, 30)).stages[-1]
+    assert len(model.trees) == 3 and len(model.trees[0].values) == 16
+    how = json.loads(M.classifier(M.BASELINE, 2, 1)[0].getOrDefault("how_json"))
+    assert (how["penalty"], how["least_weight"], how["least_gain"], how["rounds"]) == (1.0, 1.0, 0.0, 300)
