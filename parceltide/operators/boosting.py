@@ -437,15 +437,18 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     where = shared_lanes(stored, cuts, how.bins)
     parts = max(1, -(-size["n"] // (BLOCK_ROWS * PARTITION_BLOCKS)))
     spark = rows.sparkSession
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK_ROWS))
+    whole = {"spark.sql.execution.arrow.maxRecordsPerBatch": BLOCK_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": 2**31 - 1}
+    before = {key: spark.conf.get(key) for key in whole}  # a batch is a block
+    for key, value in whole.items():
+        spark.conf.set(key, str(value))
     try:
         blocks = _held(
             stored.withColumn("id", F.monotonically_increasing_id()).repartition(parts, "id").sortWithinPartitions("id")
             .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts, where), _BLOCK)
         )
     finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     scale = 2.0 ** min(36, int(52 - np.log2(TOGETHER * BLOCK_ROWS * max(size["weight"], 1.0))), int(61 - np.log2(size["n"] * max(size["weight"], 1.0))))
     trees: list[Tree] = []
     try:

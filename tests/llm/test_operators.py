@@ -574,3 +574,20 @@ def test_the_pipeline_drops_what_simhash_links(llm, documents):
     pair = documents([(1, one), (2, two)])
     assert simhash_similar.keep_one(pair).count() == 2
     assert [r.doc_id for r in corpus_pipeline.drop_near_copies(llm, pair, "").collect()] == [1]
+
+
+def test_texts_meet_python_in_small_chunks(spark):
+    """A worker held arrays of two million numbers for chunks of a megabyte, and batches of up to 64 MB."""
+    import pyarrow as pa
+    from parceltide.llm import bytes_math
+    from parceltide.session import prepare
+
+    chunks = list(bytes_math.text_chunks(pa.array(["x" * 1000] * 1000)))
+    assert len(chunks) > 3 and sum(len(texts) for _, texts in chunks) == 1000
+    assert len(bytes_math._powers_for(1000)[0]) * 8 <= 4 << 20
+    assert int(prepare(spark).conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+    texts, word = [b"one two", b"two " * 150_000], [(0, 3), (4, 7)]
+    starts, ends = (bytes_math.np.array(k) for k in zip(*word))
+    short = bytes_math.run_hashes(bytes_math.Joined(texts[:1]).buffer, starts, ends)
+    long = bytes_math.run_hashes(bytes_math.Joined(texts).buffer, starts, ends)
+    assert (short == long).all()  # whatever the length of the chunk
