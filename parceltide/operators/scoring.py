@@ -58,24 +58,33 @@ def judge_requests(requests: DataFrame, **bounds) -> DataFrame:
     return requests.withColumn("reasons", reasons).withColumn("valid", F.size("reasons") == 0)
 
 
-def _typed(column: str, found: Column, kind: Column) -> tuple[Column, Column]:
-    """(typed value, "this value has another type") of a field; a JSON null is no type error.
+def _number(column: str) -> Column:
+    """A number, or a text or boolean that reads as one, as a double."""
+    kind = F.col(f"_kind_{column}")
+    simple = kind.isin("STRING", "BOOLEAN", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
+    return F.when(simple, F.try_variant_get(f"_at_{column}", "$", "double"))
+
+
+def _typed(column: str) -> Column:
+    """Typed value of a field, null where it has another type.
 
     Flags must be booleans and texts strings. Numbers may also come as text that reads as a number or as a boolean,
     and whole numbers with a zero fraction.
     """
     wanted = C.FEATURE_TYPES.get(column, "string")
-    given = kind.isNotNull() & (kind != "VOID")
     if wanted in ("boolean", "string"):
-        fits = kind == wanted.upper()
-        value = F.when(fits, F.try_variant_get(found, "$", wanted))
-        return value, given & ~fits
-    simple = kind.isin("STRING", "BOOLEAN", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
-    number = F.when(simple, F.try_variant_get(found, "$", "double"))
+        return F.when(F.col(f"_kind_{column}") == wanted.upper(), F.try_variant_get(f"_at_{column}", "$", wanted))
+    number = F.col(f"_number_{column}")
     if wanted == "double":
-        return number, given & number.isNull()
-    whole = F.when(number == F.floor(number), F.try_variant_get(found, "$", "decimal(38,0)").try_cast(wanted))
-    return whole, given & whole.isNull()
+        return number
+    return F.when(number == F.floor(number), F.try_variant_get(f"_at_{column}", "$", "decimal(38,0)").try_cast(wanted))
+
+
+def _mistyped(column: str) -> Column:
+    """"This value has another type"; a JSON null is no type error."""
+    kind, wanted = F.col(f"_kind_{column}"), C.FEATURE_TYPES.get(column, "string")
+    other = kind != wanted.upper() if wanted in ("boolean", "string") else F.col(column).isNull()
+    return kind.isNotNull() & (kind != "VOID") & other
 
 
 def read_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
@@ -97,15 +106,18 @@ def read_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
     extra = F.transform(
         F.array_sort(F.array_distinct(F.array_except("_keys", F.array(*map(F.lit, fields))))), lambda k: F.concat(k, F.lit(":extra"))
     )
-    values, problems = [], []
+    # Step by step, so that the kind and the number of a field are worked out once and not wherever they are looked at.
+    numbers = [c for c in fields if C.FEATURE_TYPES.get(c, "string") not in ("boolean", "string")]
+    step = found.select("*", *[F.schema_of_variant(f"_at_{c}").alias(f"_kind_{c}") for c in fields])
+    step = step.select("*", *[_number(c).alias(f"_number_{c}") for c in numbers])
+    step = step.select(*kept, "_keys", *[f"_kind_{c}" for c in fields], *[_typed(c).alias(c) for c in fields])
+    problems = []
     for c in fields:
-        value, other = _typed(c, F.col(f"_at_{c}"), F.schema_of_variant(f"_at_{c}"))
-        values.append(value.alias(c))
         if c != C.ORDER_KEY:
             problems.append(F.when(~F.array_contains("_keys", c), F.lit(f"{c}:missing")))
-        problems.append(F.when(other, F.lit(f"{c}:type")))
+        problems.append(F.when(_mistyped(c), F.lit(f"{c}:type")))
     listed = F.concat(extra, F.array_compact(F.array(*problems)))
-    return found.select(*kept, *values, F.when(F.col("_keys").isNull(), F.array(F.lit("body:json"))).otherwise(listed).alias("problems"))
+    return step.select(*kept, *fields, F.when(F.col("_keys").isNull(), F.array(F.lit("body:json"))).otherwise(listed).alias("problems"))
 
 
 def judge_bodies(bodies: DataFrame, body: str = "body", **bounds) -> DataFrame:

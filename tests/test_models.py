@@ -152,3 +152,19 @@ def test_baseline_is_fitted_by_histogram_passes(spark):
     assert len(model.trees) == 3 and len(model.trees[0].values) == 16
     how = json.loads(M.classifier(M.BASELINE, 2, 1)[0].getOrDefault("how_json"))
     assert (how["penalty"], how["least_weight"], how["least_gain"], how["rounds"]) == (1.0, 1.0, 0.0, 300)
+
+
+def test_kind_of_a_json_field_is_worked_out_once(spark):
+    """It was worked out again wherever a value or a problem looked at it."""
+    from parceltide.operators.scoring import read_requests
+
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        frame = read_requests(spark.createDataFrame([("{}",), ('{"payment_row_count": "2", "purchase_hour": 1.5}',)], "body string"))
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    assert 0 < plan.lower().count("schemaofvariant(") <= len(C.MODEL_FEATURES) + 1
+    rows = {r["payment_row_count"]: r["problems"] for r in frame.collect()}
+    assert "purchase_hour:type" in rows[2] and "purchase_hour:missing" in rows[None] and "payment_row_count:type" not in rows[2]
