@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import contracts as C
 from parceltide.functions import money
+from parceltide.session import stage
 
 _MEASURES = C.DECIMAL_NUMBER_COLUMNS["products"]
 
@@ -36,13 +37,11 @@ def enrich_items(
 ) -> DataFrame:
     """Item rows with product and seller attributes.
 
-    No join is hinted: the planner broadcasts a dimension only when its size is
-    known to be small, and otherwise sort-merges with adaptive skew splitting
-    on the item side.
+    No join is hinted: the dimensions are stored, so the planner knows their size. It broadcasts one
+    only when that is small, and otherwise sort-merges with adaptive skew splitting on the item side.
     """
-    return items.join(product_profiles(products, translations), "product_id", "left").join(
-        sellers, "seller_id", "left"
-    )
+    profiles = stage(product_profiles(products, translations), "products")
+    return items.join(profiles, "product_id", "left").join(stage(sellers, "sellers"), "seller_id", "left")
 
 
 def primary_value(
@@ -78,13 +77,8 @@ def primary_seller_state(lines: DataFrame) -> DataFrame:
 
 
 PRODUCT, SELLER, CATEGORY = 0, 1, 2
-_FACET_KEYS = ("product_id", "seller_id", "normalized_product_category", "seller_state")
-
-
-def with_amounts(items: DataFrame) -> DataFrame:
-    return items.withColumns({
-        "amount": money.exact(F.col("price")), "freight": money.exact(F.col("freight_value")),
-    })
+_FACET_KEYS = ("product_id", "seller_id", "normalized_product_category")
+_AMOUNT, _FREIGHT = ("amount", "amount_rest"), ("freight", "freight_rest")
 
 
 def facet_subtotals(
@@ -94,50 +88,61 @@ def facet_subtotals(
 
     Facets are the product, the seller and the category of a line. One pass
     yields the distinct counts and the ranking inputs of every facet, where
-    separate aggregates would read and join the items again. ``of_order`` columns
-    are constant within an order, ``of_seller`` columns within a seller; as keys they cost
-    no aggregate of their own.
+    separate aggregates would read and join the items again. A facet carries only what it
+    is asked for: the product its key, the seller its money, the category all sums. ``of_order``
+    columns are constant within an order; as keys they cost no aggregate of their own.
+    ``of_seller`` columns are constant within a seller.
+
+    The state of a seller is text, so the rows are aggregated by sorting. Lines that arrive sorted by
+    order are almost in that order, and what is then grouped by the order and ``of_order``, or the
+    first of them, needs no other sort.
     """
+    amount, freight = money.split(F.col("price")), money.split(F.col("freight_value"))
+    lines = lines.withColumns(dict(zip((*_AMOUNT, *_FREIGHT), (*amount, *freight))))
     kinds = dict(lines.dtypes)
-    keys = (*_FACET_KEYS, *of_seller)
+    of_seller = ("seller_state", *of_seller)
+    sums = (*_FREIGHT, "product_measurement_missing", "product_category_fallback", "product_weight_g", "product_volume_cm3")
+    fanned = (*_FACET_KEYS, *of_seller, *_AMOUNT, *sums)
 
     def facet(number: int, *kept: str) -> Column:
         return F.struct(F.lit(number).alias("facet"), *[
-            (F.col(c) if c in kept else F.lit(None).cast(kinds[c])).alias(c) for c in keys
+            (F.col(c) if c in kept else F.lit(None).cast(kinds[c])).alias(c) for c in fanned
         ])
 
     fan_out = F.inline(F.array(
-        facet(PRODUCT, "product_id"), facet(SELLER, "seller_id", "seller_state", *of_seller),
-        facet(CATEGORY, "normalized_product_category"),
+        facet(PRODUCT, "product_id"), facet(SELLER, "seller_id", *of_seller, *_AMOUNT),
+        facet(CATEGORY, "normalized_product_category", *_AMOUNT, *sums),
     ))
-    rest = [c for c in lines.columns if c not in keys]
-    return lines.select(*rest, fan_out).groupBy("order_id", "facet", *keys, *of_order).agg(
+    return lines.select("order_id", *of_order, fan_out).groupBy("order_id", *of_order, "facet", *_FACET_KEYS).agg(
         F.count("*").alias("n"),
-        F.sum("amount").alias("amount"),
-        F.sum("freight").alias("freight"),
+        *[F.sum(c).alias(c) for c in (*_AMOUNT, *_FREIGHT)],
         F.count_if("product_measurement_missing").alias("gaps"),
         F.count_if("product_category_fallback").alias("fallbacks"),
         F.sum("product_weight_g").alias("weight"), F.count("product_weight_g").alias("weighed"),
         F.sum("product_volume_cm3").alias("volume"), F.count("product_volume_cm3").alias("sized"),
+        *[F.min(c).alias(c) for c in of_seller],
     )
 
 
 def facet_totals() -> list[Column]:
     """Per-order item features from facet subtotals."""
     facet = F.col("facet")
-    total = lambda c: F.sum(F.when(facet == PRODUCT, F.col(c)))
+    total = lambda c: F.sum(F.when(facet == CATEGORY, F.col(c)))
     rows = total("n")
 
     def best(number: int, key: str, *more: str) -> Column:
-        rank = F.struct(-F.col("amount"), -F.col("n"), F.col(key).alias("key"), *more)
+        places = F.lit(10**10)
+        rest = F.col("amount_rest") % places
+        units = F.col("amount") + F.rint((F.col("amount_rest") - rest) / places).cast("bigint")
+        rank = F.struct(-units, -rest, -F.col("n"), F.col(key).alias("key"), *more)
         return F.min(F.when((facet == number) & F.col(key).isNotNull(), rank))
 
     return [
         rows.alias("item_row_count"),
         F.count("product_id").alias("distinct_product_count"),
         F.count("seller_id").alias("distinct_seller_count"),
-        money.rounded(total("amount")).alias("item_price_total"),
-        money.rounded(total("freight")).alias("freight_value_total"),
+        money.rounded(money.joined(*map(total, _AMOUNT))).alias("item_price_total"),
+        money.rounded(money.joined(*map(total, _FREIGHT))).alias("freight_value_total"),
         total("gaps").alias("product_measurement_missing_item_count"),
         total("fallbacks").alias("product_category_fallback_item_count"),
         F.when(total("weighed") == rows, total("weight")).alias("product_weight_g_total"),
@@ -148,8 +153,14 @@ def facet_totals() -> list[Column]:
 
 
 def item_rollup(lines: DataFrame) -> DataFrame:
-    """Totals plus primary category and primary seller state, one row per order."""
-    return facet_subtotals(with_amounts(lines)).groupBy("order_id").agg(*facet_totals())
+    """Totals plus primary category and primary seller state, one row per order.
+
+    The lines move to their order before they fan out to facets, which triples them. They do so by a join with the
+    order keys, since adaptive execution can split a hot order there.
+    """
+    orders = lines.select("order_id").distinct().withColumn("_known", F.lit(True))
+    facets = facet_subtotals(lines.join(orders, "order_id", "left"), of_order=("_known",))
+    return facets.groupBy("order_id", "_known").agg(*facet_totals()).drop("_known")
 
 
 def seller_pairs(lines: DataFrame) -> DataFrame:

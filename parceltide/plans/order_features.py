@@ -12,10 +12,9 @@ from parceltide.plans.ingest import is_ingested
 from parceltide.session import apply_skew_settings, stage
 
 # Columns of the order row that ride along with its lines.
-_ORDER_COLUMNS = (
-    "order_purchase_timestamp", "order_approved_at", "estimated_date", C.TARGET,
-    "customer_latitude", "customer_longitude",
-)
+_CARRIED = ("order_purchase_timestamp", "order_approved_at", "estimated_date", "customer_state", C.TARGET)
+# Keys of the facets too; no floats, whose normalisation would hide the order of the rows from the planner.
+_ORDER_KEYS = (*_CARRIED, "customer_zip_code_prefix", "customer_geolocation_missing")
 
 
 def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None = None) -> DataFrame:
@@ -47,7 +46,7 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
     placed = geography.located(
         validate.join_checked(delivered_cohort(sources["orders"]), sources["customers"], "customer_id", name="customers"),
         centroids, "customer_zip_code_prefix", "customer",
-    ).select("order_id", *_ORDER_COLUMNS, "customer_state")
+    ).select("order_id", *_CARRIED, "customer_zip_code_prefix", "customer_latitude", "customer_longitude")
     products = stage(validate.one_per_key(
         item_ops.product_profiles(sources["products"], sources["translations"]), ["product_id"]
     ), "products")
@@ -56,12 +55,14 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
             "seller_id", "seller_state", "seller_latitude", "seller_longitude"
         ), ["seller_id"],
     ), "sellers")
-    lines = item_ops.with_amounts(sources["items"]).select("order_id", "product_id", "seller_id", "amount", "freight")
+    lines = sources["items"].select("order_id", "product_id", "seller_id", "price", "freight_value")
     lines = validate.join_counted(lines, products, ["product_id"], name="products")
     lines = validate.join_counted(lines, sellers, ["seller_id"], name="sellers").join(placed, "order_id")
-    facets = item_ops.facet_subtotals(
-        lines, of_order=(*_ORDER_COLUMNS, "customer_state"), of_seller=("seller_latitude", "seller_longitude")
-    )
+    lines = lines.withColumns({
+        "km": geography.pair_distance(),
+        "customer_geolocation_missing": F.col("customer_latitude").isNull() | F.col("customer_longitude").isNull(),
+    })
+    facets = item_ops.facet_subtotals(lines, _ORDER_KEYS, ("km",))
     per_order = _combine(facets)
     return per_order.join(payment_rollup(sources["payments"]), "order_id", "left").select(
         *_output_columns(per_order)
@@ -71,13 +72,9 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
 def _combine(facets: DataFrame) -> DataFrame:
     """Facet subtotals to one row per order, with distances to its distinct sellers."""
     at_seller = F.col("facet") == item_ops.SELLER
-    km = F.when(at_seller, geography.pair_distance())
-    carried = (
-        "order_purchase_timestamp", "order_approved_at", "estimated_date", "customer_state", C.TARGET,
-    )
-    return facets.groupBy("order_id", *carried).agg(
-        F.max(F.col("customer_latitude").isNull() | F.col("customer_longitude").isNull())
-        .alias("customer_geolocation_missing"),
+    km = F.col("km")  # NULL in the other facets
+    return facets.groupBy("order_id", *_CARRIED).agg(
+        F.max("customer_geolocation_missing").alias("customer_geolocation_missing"),
         *item_ops.facet_totals(),
         F.count_if(at_seller & km.isNull()).alias("seller_customer_distance_missing_count"),
         F.round(F.min(km), 6).alias("seller_customer_distance_km_min"),

@@ -103,3 +103,29 @@ def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rollup_moves_lines_before_they_fan_out(spark, settings):
+    from parceltide.operators.items import enrich_items, item_rollup
+
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    src = retail_sources(spark, FOLDER)
+    plan = plan_of(item_rollup(enrich_items(src["items"], src["products"], src["translations"], src["sellers"])))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert exchanges and not any("facet" in e for e in exchanges), exchanges
+    # the orders of the lines, the lines; totals are combined where the lines are
+    assert len([e for e in exchanges if e.startswith("order_id")]) == 2, exchanges
+    assert len(re.findall(r"Sort \[[^\]]*facet", plan)) == 1
+
+
+def test_split_amounts_are_exact(spark):
+    from parceltide.functions import money
+
+    amounts = [0.1, 0.2, 84197.04, -0.01, -7.005, 1e9, 123456789012.34, 0.005, 1e-10, -1e-11, 999999999.99, None, float("nan")]
+    rows = spark.createDataFrame([(x,) for x in amounts], "x double")
+    parts = money.split(F.col("x"))
+    for r in rows.select(money.exact(F.col("x")).alias("want"), money.joined(*parts).alias("got")).collect():
+        assert r.want == r.got
+    sums = rows.agg(F.sum(parts[0]).alias("units"), F.sum(parts[1]).alias("rest"), F.sum(money.exact(F.col("x"))).alias("want"))
+    got = sums.select("want", money.joined(F.col("units"), F.col("rest")).alias("got")).first()
+    assert got.want == got.got
