@@ -82,7 +82,7 @@ _AMOUNT, _FREIGHT = ("amount", "amount_rest"), ("freight", "freight_rest")
 
 
 def facet_subtotals(
-    lines: DataFrame, of_order: tuple[str, ...] = (), of_seller: tuple[str, ...] = ()
+    lines: DataFrame, of_order: tuple[str, ...] = (), of_seller: tuple[str, ...] = (), one_state: bool = False
 ) -> DataFrame:
     """Subtotals per (order, facet key): each line counts once per facet.
 
@@ -93,13 +93,15 @@ def facet_subtotals(
     columns are constant within an order; as keys they cost no aggregate of their own.
     ``of_seller`` columns are constant within a seller.
 
-    The state of a seller is text, so the rows are aggregated by sorting. Lines that arrive sorted by
-    order are almost in that order, and what is then grouped by the order and ``of_order``, or the
-    first of them, needs no other sort.
+    With ``one_state`` a seller is known to have one state, which is then a key: all else is numbers, and
+    the rows are hashed, never sorted. Otherwise the least state is taken, which is text, so the rows are
+    aggregated by sorting. Lines that arrive sorted by order are almost in that order, and what is then
+    grouped by the order and ``of_order``, or the first of them, needs no other sort.
     """
     amount, freight = money.split(F.col("price")), money.split(F.col("freight_value"))
     lines = lines.withColumns(dict(zip((*_AMOUNT, *_FREIGHT), (*amount, *freight))))
     kinds = dict(lines.dtypes)
+    keys = ("order_id", *of_order, "facet", *_FACET_KEYS, *(["seller_state"] if one_state else []))
     of_seller = ("seller_state", *of_seller)
     sums = (*_FREIGHT, "product_measurement_missing", "product_category_fallback", "product_weight_g", "product_volume_cm3")
     fanned = (*_FACET_KEYS, *of_seller, *_AMOUNT, *sums)
@@ -113,19 +115,22 @@ def facet_subtotals(
         facet(PRODUCT, "product_id"), facet(SELLER, "seller_id", *of_seller, *_AMOUNT),
         facet(CATEGORY, "normalized_product_category", *_AMOUNT, *sums),
     ))
-    return lines.select("order_id", *of_order, fan_out).groupBy("order_id", *of_order, "facet", *_FACET_KEYS).agg(
+    return lines.select("order_id", *of_order, fan_out).groupBy(*keys).agg(
         F.count("*").alias("n"),
         *[F.sum(c).alias(c) for c in (*_AMOUNT, *_FREIGHT)],
         F.count_if("product_measurement_missing").alias("gaps"),
         F.count_if("product_category_fallback").alias("fallbacks"),
         F.sum("product_weight_g").alias("weight"), F.count("product_weight_g").alias("weighed"),
         F.sum("product_volume_cm3").alias("volume"), F.count("product_volume_cm3").alias("sized"),
-        *[F.min(c).alias(c) for c in of_seller],
+        *[F.min(c).alias(c) for c in of_seller if c not in keys],
     )
 
 
 def facet_totals() -> list[Column]:
-    """Per-order item features from facet subtotals."""
+    """Per-order item features from facet subtotals.
+
+    Rows and money stand in several facets; all other sums stand in the category alone.
+    """
     facet = F.col("facet")
     total = lambda c: F.sum(F.when(facet == CATEGORY, F.col(c)))
     rows = total("n")
@@ -142,11 +147,11 @@ def facet_totals() -> list[Column]:
         F.count("product_id").alias("distinct_product_count"),
         F.count("seller_id").alias("distinct_seller_count"),
         money.rounded(money.joined(*map(total, _AMOUNT))).alias("item_price_total"),
-        money.rounded(money.joined(*map(total, _FREIGHT))).alias("freight_value_total"),
-        total("gaps").alias("product_measurement_missing_item_count"),
-        total("fallbacks").alias("product_category_fallback_item_count"),
-        F.when(total("weighed") == rows, total("weight")).alias("product_weight_g_total"),
-        F.when(total("sized") == rows, total("volume")).alias("product_volume_cm3_total"),
+        money.rounded(money.joined(*map(F.sum, _FREIGHT))).alias("freight_value_total"),
+        F.sum("gaps").alias("product_measurement_missing_item_count"),
+        F.sum("fallbacks").alias("product_category_fallback_item_count"),
+        F.when(F.sum("weighed") == rows, F.sum("weight")).alias("product_weight_g_total"),
+        F.when(F.sum("sized") == rows, F.sum("volume")).alias("product_volume_cm3_total"),
         best(CATEGORY, "normalized_product_category").getField("key").alias("primary_product_category"),
         best(SELLER, "seller_id", "seller_state").getField("seller_state").alias("primary_seller_state"),
     ]

@@ -62,7 +62,7 @@ def order_features(sources: dict[str, DataFrame], centroids: DataFrame | None =
         "km": geography.pair_distance(),
         "customer_geolocation_missing": F.col("customer_latitude").isNull() | F.col("customer_longitude").isNull(),
     })
-    facets = item_ops.facet_subtotals(lines, _ORDER_KEYS, ("km",))
+    facets = item_ops.facet_subtotals(lines, _ORDER_KEYS, ("km",), one_state=True)
     per_order = _combine(facets)
     return per_order.join(payment_rollup(sources["payments"]), "order_id", "left").select(
         *_output_columns(per_order)

@@ -105,6 +105,35 @@ def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_facets_of_the_build_are_not_sorted(spark, settings):
+    """A stored seller has one state, so its facets hold numbers beside their keys and are hashed."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = plan_of(order_features(retail_sources(spark, FOLDER)))
+    assert not re.findall(r"Sort \[[^\]]*facet", plan) and re.findall(r"HashAggregate\(keys=\[order_id[^\]]*facet", plan)
+
+
+def test_hashed_facets_equal_sorted_ones(spark):
+    from parceltide.operators.items import facet_subtotals, facet_totals
+
+    kinds = (
+        "order_id long, product_id long, seller_id string, seller_state string, normalized_product_category string, price double, "
+        "freight_value double, product_measurement_missing boolean, product_category_fallback boolean, product_weight_g double, "
+        "product_volume_cm3 double"
+    )
+    lines = spark.createDataFrame([
+        (1, 1, "a", "SP", "x", 10.0, 1.0, False, True, 5.0, 2.0), (1, 1, "a", "SP", "x", 0.005, 1.0, False, False, 5.0, None),
+        (1, 2, "b", None, "y", 10.005, 0.5, True, False, 1.0, 2.0), (2, None, None, None, None, 3.0, 0.0, True, True, None, None),
+        (2, 4, "c", "RJ", None, 3.0, 0.0, False, False, 1.0, 1.0), (3, 4, "b", None, "x", None, None, False, False, None, 1.0),
+        (None, 4, "c", "RJ", "x", 1.0, 2.0, None, None, 1.0, 1.0),
+    ], kinds)
+    rows = [
+        {tuple(r) for r in facet_subtotals(lines, one_state=known).groupBy("order_id").agg(*facet_totals()).collect()}
+        for known in (False, True)
+    ]
+    assert rows[0] == rows[1] and len(rows[0]) == 4
+    assert (1, 3, 2, 2, 20.01, 2.5, 1, 1, 11.0, None, "x", "SP") in rows[1]
+
+
 def test_rollup_moves_lines_before_they_fan_out(spark, settings):
     from parceltide.operators.items import enrich_items, item_rollup
 
