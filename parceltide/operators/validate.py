@@ -152,7 +152,8 @@ def key_rule_violations(tables: dict[str, DataFrame], rules: Sequence[KeyRule])
             enter(parent, number, parent_keys, theirs, 0, None)
             kinds = {k: theirs[p] for k, p in zip(rule.keys, parent_keys)}
         enter(rule.table, number, rule.keys, kinds, 1, rule.where)
-    streams = [tables[t].select(F.inline(F.array_compact(F.array(*found)))) for t, found in entries.items()]
+    # A row outside ``where`` gives an entry without a rule; dropping it here keeps the fan-out compiled.
+    streams = [tables[t].select(F.inline(F.array(*found))).where("rule IS NOT NULL") for t, found in entries.items()]
     keys = union_all(streams).groupBy("rule", "key").agg(
         F.sum("child").alias("n"), F.max(F.lit(1) - F.col("child")).alias("known")
     )

@@ -112,6 +112,20 @@ def test_facets_of_the_build_are_not_sorted(spark, settings):
     assert not re.findall(r"Sort \[[^\]]*facet", plan) and re.findall(r"HashAggregate\(keys=\[order_id[^\]]*facet", plan)
 
 
+def test_key_entries_need_no_array_functions(spark):
+    from parceltide.operators.validate import KeyRule, key_rule_violations
+
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (None, "c"), (3, None)], "k int, v string")
+    found = key_rule_violations({"t": rows}, [
+        KeyRule("all", "t", ("k",)), KeyRule("some", "t", ("v",), where=F.col("k") == 1), KeyRule("ref", "t", ("v",), ("t", ("v",)), F.col("k") == 3),
+    ])
+    assert "filter(" not in plan_of(found) and "lambda" not in plan_of(found)
+    counts = {(r["table"], r["rule"]): r["violations"] for r in found.collect()}
+    assert counts == {
+        ("all", "missing_key"): 1, ("all", "duplicate_key"): 2, ("some", "missing_key"): 0, ("some", "duplicate_key"): 0, ("ref", "unmatched"): 1,
+    }
+
+
 def test_hashed_facets_equal_sorted_ones(spark):
     from parceltide.operators.items import facet_subtotals, facet_totals
 
