@@ -5,19 +5,27 @@ pass of one small job: tasks sum gradient and hessian per (node, feature, bin),
 the driver, which only sees those sums, picks the splits. Their number is bounded by
 nodes x features x bins, whatever the number of rows. Leaf values and the loss reduction of
 a split come from the same sums. Sums are whole numbers (fixed point), so that a fit does
-not depend on the order in which tasks finish. Scores are written back to the blocks every few
-trees; those of the trees since are worked out in each pass, so a lost executor costs its
-part of one pass.
+not depend on the order in which tasks finish.
+
+A task lays its blocks down as files in Spark's own folder of its machine and streams them in each pass, so that no
+pass sends rows to Python. The first pass of a tree adds the tree before to the scores and keeps the slopes for the
+passes that follow. A pass that does not find its files, since a machine was lost, says so; the files are then made again from the
+stored blocks and the trees, and the tree begins anew.
 
 Features of two bins of which no row has more than one in its upper bin, such as the columns of a one-hot
 vector, share a lane: one number per row that names the feature. Of two children only the lighter
-one is summed up; the other one is the rest of its parent. Both give the same sums as whole numbers.
+one is summed up; the other one is the rest of its parent. Lanes are counted some at a time, as one number of a few thousand, and their
+own sums are added up from those. All of this gives the same sums as whole numbers.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -28,15 +36,18 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from parceltide.session import stage
 
 BLOCK_ROWS = 4096
 PARTITION_BLOCKS = 32
+TASK_BLOCKS = 4096  # at most in a task, which streams them
 TOGETHER = 4  # blocks that a task works on at once
+JOINT = 4096  # numbers of lanes that are counted together
 DIRECT_TASKS = 32  # whose sums the driver adds up by itself
-REFRESH = 8  # trees between two writings of the scores
+MOST_LOSSES = 4  # of files, in a row, within one tree
+REFRESH = 8  # trees whose values are added up before they are added to the scores
 
 
 @dataclass(frozen=True)
@@ -113,9 +124,27 @@ class Lanes:
     code: list[int]  # 0 in a lane of its own
     many: list[int]  # numbers a lane can hold
 
-    def tests(self, tree: Tree) -> list[tuple[int, int, int] | None]:
-        """Per node (lane, code, first bin of the right side), None where it is not split."""
-        return [(self.lane[f], self.code[f], b) if f >= 0 else None for f, b in zip(tree.features, tree.bins)]
+    def joint(self) -> list[list[int]]:
+        """Lanes that are counted together, so that their numbers make up one of at most ``JOINT``; the largest first."""
+        groups: list[tuple[int, list[int]]] = []
+        for lane in sorted(range(len(self.many)), key=lambda k: (-self.many[k], k)):
+            at = next((k for k, (size, _) in enumerate(groups) if size * self.many[lane] <= JOINT), None)
+            if at is None:
+                groups.append((self.many[lane], [lane]))
+            else:
+                groups[at] = groups[at][0] * self.many[lane], [*groups[at][1], lane]
+        return [lanes for _, lanes in groups]
+
+    def tests(self, tree: Tree) -> list[tuple[int, int, int, int, int] | None]:
+        """Per node (joint number, what to divide it by, numbers of the lane or 0 if nothing is above it, code,
+        first bin of the right side), None where the node is not split."""
+        at = {}
+        for number, lanes in enumerate(self.joint()):
+            stride = 1
+            for lane in reversed(lanes):
+                at[lane] = number, stride, self.many[lane] if lane != lanes[0] else 0
+                stride *= self.many[lane]
+        return [(*at[self.lane[f]], self.code[f], b) if f >= 0 else None for f, b in zip(tree.features, tree.bins)]
 
 
 def _leaf(right: list[np.ndarray | None]):
@@ -133,15 +162,16 @@ def _leaf(right: list[np.ndarray | None]):
     return below(0)
 
 
-def _leaves(tests: list, lanes: np.ndarray):
-    return _leaf([None if t is None else lanes[t[0]] == t[1] if t[1] else lanes[t[0]] >= t[2] for t in tests])
+def _goes_right(test: tuple[int, int, int, int, int], joint: np.ndarray) -> np.ndarray:
+    number, stride, many, code, first = test
+    bins = joint[number] // np.uint16(stride) if stride > 1 else joint[number]
+    if many:
+        bins = bins - bins // np.uint16(many) * np.uint16(many)
+    return bins == code if code else bins >= first
 
 
-def _margin(trees: list[tuple[list, np.ndarray]], lanes: np.ndarray) -> np.ndarray:
-    out = np.zeros(lanes.shape[1])
-    for tests, values in trees:
-        out += values[_leaves(tests, lanes)]
-    return out
+def _leaves(tests: list, joint: np.ndarray):
+    return _leaf([None if t is None else _goes_right(t, joint) for t in tests])
 
 
 def _slopes(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,7 +236,7 @@ def _blocked(cuts: list[np.ndarray], where: Lanes):
             lanes = np.zeros((len(where.many), len(ids)), dtype=np.uint8)
             for bins, lane, code in zip(_bins(features, len(ids), cuts), where.lane, where.code):
                 lanes[lane] += bins * np.uint8(code) if code else bins
-            numbers = np.stack((label.to_numpy(), weight.to_numpy(), np.zeros(len(ids)))).astype(np.float64)
+            numbers = np.stack((label.to_numpy(), weight.to_numpy())).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[0].as_py()]), pa.array([len(ids)]), pa.array([lanes.tobytes()], pa.binary()),
                  pa.array([numbers.tobytes()], pa.binary())], ["block", "n", "bins", "numbers"],
@@ -215,65 +245,171 @@ def _blocked(cuts: list[np.ndarray], where: Lanes):
     return run
 
 
-def _joined(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """Blocks of a task, some at a time side by side, as (their ids and lengths, lanes, numbers)."""
-    rows = list(rows)
-    for first in range(0, len(rows), TOGETHER):
-        some = rows[first : first + TOGETHER]
-        lanes = np.hstack([np.frombuffer(bins, np.uint8).reshape(-1, n) for _, n, bins, _ in some])
-        numbers = np.hstack([np.frombuffer(known).reshape(3, n) for _, n, _, known in some])
-        yield [(block, n) for block, n, _, _ in some], lanes.tobytes(), numbers.tobytes()
-
+def _laid_down(where: Lanes):
+    """Writes the blocks of a task to files beside each other, some joined at a time; tells their folder."""
+    groups = where.joint()
 
-def _refreshed(trees: list[tuple[list, np.ndarray]]):
-    """Blocks whose scores hold these trees too."""
-
-    def run(row: tuple) -> tuple:
-        blocks, lanes, known = row
-        n = sum(n for _, n in blocks)
-        label, weight, margin = np.frombuffer(known).reshape(3, n)
-        margin = margin + _margin(trees, np.frombuffer(lanes, np.uint8).reshape(-1, n))
-        return blocks, lanes, np.stack((label, weight, margin)).tobytes()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folders = os.environ.get("SPARK_LOCAL_DIRS", tempfile.gettempdir()).split(",")  # Spark removes them at its end
+        folder = tempfile.mkdtemp(prefix="boosting-", dir=folders[os.getpid() % len(folders)])
+        parts, some = [], []
+        with open(f"{folder}/lanes", "wb") as lanes_file, open(f"{folder}/known", "wb") as known_file:
+
+            def write() -> None:
+                lanes = np.hstack([np.frombuffer(bins, np.uint8).reshape(-1, n) for _, n, bins, _ in some])
+                for group in groups:
+                    number = lanes[group[0]].astype(np.uint16)
+                    for lane in group[1:]:
+                        number = number * np.uint16(where.many[lane]) + lanes[lane]
+                    number.tofile(lanes_file)
+                np.hstack([np.frombuffer(numbers).reshape(2, n) for _, n, _, numbers in some]).tofile(known_file)
+                parts.append([(block, n) for block, n, _, _ in some])
+                some.clear()
+
+            for batch in batches:
+                for row in zip(*(column.to_pylist() for column in batch.columns)):
+                    some.append(row)
+                    if len(some) == TOGETHER:
+                        write()
+            if some:
+                write()
+        with open(f"{folder}/parts", "w") as f:
+            json.dump(parts, f)
+        yield pa.RecordBatch.from_arrays([pa.array([folder])], ["folder"])
 
     return run
 
 
-def _histograms(trees: list, turn: int, partial: list, wanted: np.ndarray, used: np.ndarray, many: np.ndarray, how: Boosting, scale: float):
-    """Fixed-point sums of gradient and hessian per (node, slot of a used lane), of the nodes with a place in ``wanted``."""
-    first = np.cumsum(many) - many
-    nodes = int(wanted.max()) + 1
-    width = int(many.max())
-
-    def run(rows: Iterator[tuple]) -> Iterator[np.ndarray]:
-        sums = np.zeros((2, nodes, int(many.sum())), dtype=np.int64)
-        for blocks, lanes, numbers in rows:
+class _Sums:
+    """Whole-number sums of gradient and hessian per (node, joint number)."""
+
+    def __init__(self, nodes: int, groups: list[list[int]], many: list[int]):
+        self.nodes, self.groups, self.many = nodes, groups, many
+        self.sizes = [int(np.prod([many[k] for k in lanes])) for lanes in groups]
+        self.sums = [np.zeros((2, nodes * size), dtype=np.int64) for size in self.sizes]
+
+    def add(self, joint: np.ndarray, node: np.ndarray | None, g: np.ndarray, h: np.ndarray) -> None:
+        """``joint`` holds a row per number; sums of the rows of one call stay below 2^53 and are exact."""
+        for numbers, size, sums in zip(joint, self.sizes, self.sums):
+            slot = numbers.astype(np.intp)
+            if node is not None:
+                slot += node * size
+            for k, values in enumerate((g, h)):
+                sums[k] += np.bincount(slot, values, minlength=self.nodes * size).astype(np.int64)
+
+    def of_lanes(self, used: np.ndarray) -> np.ndarray:
+        """(gradient or hessian, node, slots of the used lanes side by side)."""
+        out = {}
+        for lanes, sums in zip(self.groups, self.sums):
+            whole = sums.reshape(2, self.nodes, *[self.many[k] for k in lanes])
+            for axis, lane in enumerate(lanes, 2):
+                out[lane] = whole.sum(axis=tuple(k for k in range(2, whole.ndim) if k != axis))
+        return np.concatenate([out[k] for k in used], axis=-1)
+
+
+def _streamed(folder: str, names: list[str], groups: int) -> Iterator[tuple]:
+    """Joined blocks with their ids and lengths, joint numbers, and two rows of numbers per further file."""
+    with open(f"{folder}/parts") as f:
+        parts = json.load(f)
+    files = [open(f"{folder}/{name}", "rb") for name in ("lanes", *names)]
+    try:
+        for blocks in parts:
             n = sum(n for _, n in blocks)
-            lanes = np.frombuffer(lanes, np.uint8).reshape(-1, n)
-            label, weight, margin = np.frombuffer(numbers).reshape(3, n)
-            seen = np.concatenate([_drawn(block, k, turn, how) for block, k in blocks])
-            at = wanted[_leaves(partial, lanes)] if partial else np.zeros(n, dtype=np.int64)
-            rows_in = np.flatnonzero(seen & (at >= 0))
-            g, h = _slopes(margin + _margin(trees, lanes), label, weight)
-            # sums of blocks that are worked on together stay below 2^53 and are exact
-            g, h = np.rint(g[rows_in] * scale), np.rint(h[rows_in] * scale)
-            base = at[rows_in] * width
-            for lane, low, count in zip(used, first, many):
-                slot = base + lanes[lane].take(rows_in)
-                for k, values in enumerate((g, h)):
-                    found = np.bincount(slot, values, minlength=nodes * width)
-                    sums[k, :, low : low + count] += found.reshape(nodes, width)[:, :count].astype(np.int64)
-        yield sums
-
-    return run
-
-
-def _summed(blocks: RDD, trees: list, turn: int, partial: list, wanted: np.ndarray, columns, where: Lanes, how: Boosting, scale: float) -> np.ndarray:
+            yield blocks, np.fromfile(files[0], np.uint16, groups * n).reshape(groups, n), *[np.fromfile(f, count=2 * n).reshape(2, n) for f in files[1:]]
+    finally:
+        for f in files:
+            f.close()
+
+
+def _removed(folder: str, *names: str) -> None:
+    for name in names:
+        try:
+            os.remove(f"{folder}/{name}")
+        except FileNotFoundError:
+            pass
+
+
+def _found_or_lost(run):
+    """Sums of the folders of a task, None where files are missing."""
+
+    def over(folders: Iterator[str]) -> Iterator[np.ndarray | None]:
+        try:
+            yield run(list(folders))
+        except FileNotFoundError:
+            yield None
+
+    return over
+
+
+def _first_pass(trees: list, start: int, turn: int, used: np.ndarray, where: Lanes, how: Boosting, scale: float, refresh: int):
+    """Adds the trees from ``start`` to ``turn`` to the scores, writes them and their slopes, and sums up the whole rows."""
+    groups, many = where.joint(), where.many
+
+    def run(folders: list[str]) -> np.ndarray:
+        sums = _Sums(1, groups, many)
+        for folder in folders:
+            before = [f"scores-{start}"] if start else []
+            scores, slopes = (tempfile.NamedTemporaryFile(dir=folder, delete=False) for _ in range(2))
+            with scores, slopes:
+                for blocks, joint, (label, weight), *last in _streamed(folder, ["known", *before], len(groups)):
+                    score, since = last[0] if last else np.zeros((2, len(label)))
+                    for k, (tests, values) in enumerate(trees, start + 1):
+                        since += values[_leaves(tests, joint)]
+                        if k % refresh == 0:
+                            score += since
+                            since[:] = 0.0
+                    np.stack((score, since)).tofile(scores)
+                    seen = np.concatenate([_drawn(block, k, turn, how) for block, k in blocks])
+                    g, h = (np.rint(v * scale) * seen for v in _slopes(score + since, label, weight))
+                    np.stack((g, h)).tofile(slopes)
+                    sums.add(joint, None, g, h)
+            os.replace(scores.name, f"{folder}/scores-{turn}")
+            os.replace(slopes.name, f"{folder}/slopes-{turn}")
+            _removed(folder, f"scores-{turn - 2}", f"slopes-{turn - 1}")
+        return sums.of_lanes(used)
+
+    return _found_or_lost(run)
+
+
+def _next_pass(turn: int, partial: list, wanted: np.ndarray, used: np.ndarray, where: Lanes):
+    """Sums up the rows of the nodes with a place in ``wanted``."""
+    groups, many = where.joint(), where.many
+
+    def run(folders: list[str]) -> np.ndarray:
+        sums = _Sums(int(wanted.max()) + 1, groups, many)
+        most, held, count = TOGETHER * BLOCK_ROWS, [], 0
+        for folder in folders:
+            for _, joint, (g, h) in _streamed(folder, [f"slopes-{turn}"], len(groups)):
+                node = wanted[_leaves(partial, joint)]
+                rows = np.flatnonzero((node >= 0) & ((g != 0.0) | (h != 0.0)))
+                if count + len(rows) > most and held:
+                    sums.add(*(np.concatenate(part, axis=-1) for part in zip(*held)))
+                    held, count = [], 0
+                held.append((joint.take(rows, axis=1), node[rows], g[rows], h[rows]))
+                count += len(rows)
+        if held:
+            sums.add(*(np.concatenate(part, axis=-1) for part in zip(*held)))
+        return sums.of_lanes(used)
+
+    return _found_or_lost(run)
+
+
+class _Lost(Exception):
+    """A pass did not find the files of its rows."""
+
+
+def _both(a: np.ndarray | None, b: np.ndarray | None) -> np.ndarray | None:
+    return None if a is None or b is None else a + b
+
+
+def _summed(places: RDD, one_pass, columns, used: np.ndarray, where: Lanes, how: Boosting) -> np.ndarray:
     """Whole-number sums (gradient or hessian, wanted node, column, bin)."""
-    used = np.unique([where.lane[c] for c in columns])
     many = np.array([where.many[k] for k in used])
     # a task's sums are at most nodes x columns x bins numbers; those of many tasks meet in a few before the driver
-    parts = blocks.mapPartitions(_histograms(trees, turn, partial, wanted, used, many, how, scale))
-    found = parts.reduce(np.add) if blocks.getNumPartitions() <= DIRECT_TASKS else parts.treeReduce(np.add)
+    parts = places.mapPartitions(one_pass)
+    found = parts.reduce(_both) if places.getNumPartitions() <= DIRECT_TASKS else parts.treeReduce(_both)
+    if found is None:
+        raise _Lost
     low = dict(zip(used.tolist(), (np.cumsum(many) - many).tolist()))
     out = np.zeros((2, found.shape[1], len(columns), how.bins), dtype=np.int64)
     total = found[:, :, : many[0]].sum(axis=-1)
@@ -311,23 +447,33 @@ def _level_sums(above: np.ndarray | None, features: list[int], first: list[int],
     return out
 
 
-def grow(blocks: RDD, trees: list[Tree], turn: int, cuts: list[np.ndarray], where: Lanes, how: Boosting, scale: float) -> Tree:
-    """The tree of this turn: level by level the best cut of every node, then pruning, then leaf values.
+def grow(places: RDD, trees: list[Tree], start: int, cuts: list[np.ndarray], where: Lanes, how: Boosting, scale: float) -> Tree:
+    """The next tree: level by level the best cut of every node, then pruning, then leaf values.
 
-    ``trees`` are those that the scores in the blocks do not hold yet.
+    The scores beside the blocks hold the trees before ``start``.
     """
+    turn = len(trees)
     rng = np.random.default_rng([how.seed, turn])
     many = max(1, round(how.column_share * len(cuts)))
     columns = np.sort(rng.choice(len(cuts), many, replace=False))
     size = 2**how.depth - 1
     features, first, gains = [-1] * size, [0] * size, {}
     sums: dict[int, tuple[float, float]] = {}
-    known = _for_tasks(trees, where)
+    used = np.unique([where.lane[c] for c in columns])
+    known = [(where.tests(tree), np.array(tree.values)) for tree in trees[start:]]
     whole = None
+
+    def summed(wanted: np.ndarray) -> np.ndarray:
+        one_pass = (
+            _next_pass(turn, partial, wanted, used, where) if partial
+            else _first_pass(known, start, turn, used, where, how, scale, REFRESH)
+        )
+        return _summed(places, one_pass, columns, used, where, how)
+
     for level in range(how.depth):
         done = 2**level - 1
         partial = where.tests(Tree(features[:done], [], first[:done], [])) if level else []
-        whole = _level_sums(whole, features, first, columns, lambda wanted: _summed(blocks, known, turn, partial, wanted, columns, where, how, scale))
+        whole = _level_sums(whole, features, first, columns, summed)
         g, h = whole / scale
         gain = split_gains(g, h, how)
         for k in range(1 << level):
@@ -361,10 +507,6 @@ def grow(blocks: RDD, trees: list[Tree], turn: int, cuts: list[np.ndarray], wher
     return Tree(kept, edges, [b if f >= 0 else 0 for f, b in zip(kept, first)], values)
 
 
-def _for_tasks(trees: list[Tree], where: Lanes) -> list[tuple[list, np.ndarray]]:
-    return [(where.tests(tree), np.array(tree.values)) for tree in trees]
-
-
 def _spread(dims: int):
     """Per feature the least and the largest value of a task, and whether others lie between."""
 
@@ -407,21 +549,39 @@ def cut_points(rows: DataFrame, dims: int, bins: int) -> list[np.ndarray]:
 _BLOCK = "block long, n long, bins binary, numbers binary"
 
 
-def _kept(blocks: RDD) -> RDD:
-    """Kept in memory or on the executors' disks while they are read again and again; what is lost is made again from the stored blocks."""
-    held = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+def _kept(places: RDD) -> RDD:
+    """Kept, so that tasks run where their files are; what is lost is made again from the stored blocks."""
+    held = places.persist(StorageLevel.MEMORY_AND_DISK)
     held.count()
     return held
 
 
-def _held(blocks: DataFrame) -> RDD:
-    """Stored blocks, joined, dealt over all cores, or at ``PARTITION_BLOCKS`` a task over more."""
-    stored = stage(blocks, "blocks")
+@contextmanager
+def _batches(spark: SparkSession, rows: int):
+    """Batches for Python hold this many rows, whatever their size."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": 2**31 - 1}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _held(stored: DataFrame, where: Lanes) -> RDD:
+    """Folders of stored blocks, dealt over all cores, or at ``TASK_BLOCKS`` a task over more."""
     count = stored.count()
-    cores = stored.sparkSession.sparkContext.defaultParallelism
-    parts = max(-(-count // PARTITION_BLOCKS), min(count, cores))
-    rows = stored.repartition(parts).rdd.map(lambda r: (r["block"], r["n"], bytes(r["bins"]), bytes(r["numbers"])))
-    return _kept(rows.mapPartitions(_joined))
+    spark = stored.sparkSession
+    parts = max(-(-count // TASK_BLOCKS), min(count, spark.sparkContext.defaultParallelism))
+    with _batches(spark, TOGETHER):
+        return _kept(stored.repartition(parts).mapInArrow(_laid_down(where), "folder string").rdd.map(lambda r: r["folder"]))
+
+
+def _let_go(places: RDD) -> None:
+    places.foreach(lambda folder: shutil.rmtree(folder, ignore_errors=True))
+    places.unpersist()
 
 
 def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
@@ -436,29 +596,26 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     cuts = cut_points(stored, size["dims"], how.bins)
     where = shared_lanes(stored, cuts, how.bins)
     parts = max(1, -(-size["n"] // (BLOCK_ROWS * PARTITION_BLOCKS)))
-    spark = rows.sparkSession
-    whole = {"spark.sql.execution.arrow.maxRecordsPerBatch": BLOCK_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": 2**31 - 1}
-    before = {key: spark.conf.get(key) for key in whole}  # a batch is a block
-    for key, value in whole.items():
-        spark.conf.set(key, str(value))
-    try:
-        blocks = _held(
+    with _batches(rows.sparkSession, BLOCK_ROWS):  # a batch is a block
+        blocks = stage(
             stored.withColumn("id", F.monotonically_increasing_id()).repartition(parts, "id").sortWithinPartitions("id")
-            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts, where), _BLOCK)
+            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts, where), _BLOCK), "blocks"
         )
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
     scale = 2.0 ** min(36, int(52 - np.log2(TOGETHER * BLOCK_ROWS * max(size["weight"], 1.0))), int(61 - np.log2(size["n"] * max(size["weight"], 1.0))))
     trees: list[Tree] = []
-    try:
-        for turn in range(how.rounds):
-            if turn and turn % REFRESH == 0:
-                older, blocks = blocks, _kept(blocks.map(_refreshed(_for_tasks(trees[-REFRESH:], where))))
-                older.unpersist()
-            trees.append(grow(blocks, trees[turn - turn % REFRESH :], turn, cuts, where, how, scale))
-    finally:
-        blocks.unpersist()
+    places = _held(blocks, where)
+    start, losses = 0, 0
+    while len(trees) < how.rounds:
+        try:
+            trees.append(grow(places, trees, start, cuts, where, how, scale))
+            start, losses = len(trees) - 1, 0
+        except _Lost:
+            losses += 1
+            if losses > MOST_LOSSES:
+                raise RuntimeError("the files of the rows are lost again and again") from None
+            _let_go(places)
+            places, start = _held(blocks, where), 0
+    _let_go(places)
     return trees
 
 
