@@ -44,6 +44,7 @@ BLOCK_ROWS = 4096
 PARTITION_BLOCKS = 32
 TASK_BLOCKS = 4096  # at most in a task, which streams them
 TOGETHER = 4  # blocks that a task works on at once
+POINTS = 1 << 16  # different values of a feature whose ranks are exact
 JOINT = 4096  # numbers of lanes that are counted together
 DIRECT_TASKS = 32  # whose sums the driver adds up by itself
 MOST_LOSSES = 4  # of files, in a row, within one tree
@@ -186,19 +187,18 @@ def _drawn(block: int, rows: int, turn: int, how: Boosting) -> np.ndarray:
     return np.random.default_rng([how.seed, turn, block]).random(rows) < how.row_share
 
 
-def _bins(features: pa.Array, rows: int, cuts: list[np.ndarray]) -> np.ndarray:
-    """A row of bin numbers per feature."""
-    matrix = features.flatten().to_numpy(zero_copy_only=False).reshape(rows, len(cuts))
-    return np.stack([np.searchsorted(c, matrix[:, k], side="right") for k, c in enumerate(cuts)]).astype(np.uint8)
+def _matrix(features: pa.Array) -> np.ndarray:
+    return features.flatten().to_numpy(zero_copy_only=False).reshape(len(features), -1)
 
 
 def _next_upper(cuts: list[np.ndarray], two: np.ndarray):
     """Per feature of two bins the next one that shares an upper bin with it in any row of the task; their number if none."""
+    edges = np.array([cuts[k][0] for k in two])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         after = np.full(len(two), len(two))
-        for batch in batches:
-            rows, upper = np.nonzero(_bins(batch.column(0), batch.num_rows, cuts)[two].T)
+        for batch in filter(lambda b: b.num_rows, batches):
+            rows, upper = np.nonzero(_matrix(batch.column(0)).take(two, axis=1) >= edges)
             same = rows[1:] == rows[:-1]
             np.minimum.at(after, upper[:-1][same], upper[1:][same])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(two))), pa.array(after)], ["pos", "after"])
@@ -229,22 +229,37 @@ def shared_lanes(rows: DataFrame, cuts: list[np.ndarray], bins: int) -> Lanes:
     return Lanes(lane, code, many)
 
 
-def _blocked(cuts: list[np.ndarray], where: Lanes):
+def _binned(cuts: list[np.ndarray], where: Lanes):
+    """A byte per lane of every row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in filter(lambda b: b.num_rows, batches):
             ids, features, label, weight = batch.columns
             lanes = np.zeros((len(where.many), len(ids)), dtype=np.uint8)
-            for bins, lane, code in zip(_bins(features, len(ids), cuts), where.lane, where.code):
-                lanes[lane] += bins * np.uint8(code) if code else bins
-            numbers = np.stack((label.to_numpy(), weight.to_numpy())).astype(np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[0].as_py()]), pa.array([len(ids)]), pa.array([lanes.tobytes()], pa.binary()),
-                 pa.array([numbers.tobytes()], pa.binary())], ["block", "n", "bins", "numbers"],
-            )
+            for values, c, lane, code in zip(np.ascontiguousarray(_matrix(features).T), cuts, where.lane, where.code):
+                if len(c) == 1:
+                    lanes[lane] += (values >= c[0]).astype(np.uint8) * np.uint8(code or 1)
+                elif len(c):
+                    lanes[lane] = np.searchsorted(c, values, side="right")
+            ends = np.arange(len(ids) + 1, dtype=np.int32) * len(where.many)
+            bins = pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(lanes.T.tobytes())])
+            yield pa.RecordBatch.from_arrays([ids, bins, label, weight], ["id", "bins", "label", "weight"])
 
     return run
 
 
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch of rows as a block: a row of bytes per lane."""
+    for batch in filter(lambda b: b.num_rows, batches):
+        ids, bins, label, weight = batch.columns
+        lanes = np.frombuffer(b"".join(bins.to_pylist()), np.uint8).reshape(len(ids), -1).T
+        numbers = np.stack((label.to_numpy(), weight.to_numpy())).astype(np.float64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([ids[0].as_py()]), pa.array([len(ids)]), pa.array([lanes.tobytes()], pa.binary()),
+             pa.array([numbers.tobytes()], pa.binary())], ["block", "n", "bins", "numbers"],
+        )
+
+
 def _laid_down(where: Lanes):
     """Writes the blocks of a task to files beside each other, some joined at a time; tells their folder."""
     groups = where.joint()
@@ -507,19 +522,82 @@ def grow(places: RDD, trees: list[Tree], start: int, cuts: list[np.ndarray], whe
     return Tree(kept, edges, [b if f >= 0 else 0 for f, b in zip(kept, first)], values)
 
 
-def _spread(dims: int):
-    """Per feature the least and the largest value of a task, and whether others lie between."""
+class _Points:
+    """Values of a feature with their counts; beyond ``POINTS`` different ones, values at even ranks stand for those before them.
+
+    As long as there are fewer, ranks are exact; above, a merge moves a rank by at most one in ``POINTS``.
+    """
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        self.held.append((values, counts))
+        if sum(len(v) for v, _ in self.held) > 4 * POINTS:
+            self.held = [self.merged()]
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        values, counts = (np.concatenate(part) for part in zip(*self.held))
+        values, at = np.unique(values, return_inverse=True)
+        counts = np.bincount(at, counts)
+        if len(values) > POINTS:
+            ends = np.cumsum(counts)
+            ranks = np.minimum(np.ceil(np.arange(1, POINTS) * (ends[-1] / (POINTS - 1))), ends[-1])
+            stay = np.unique(np.append(0, np.searchsorted(ends, ranks)))
+            values, counts = values[stay], np.diff(ends[stay], prepend=0.0)
+        return values, counts
+
+
+def _points(dims: int):
+    """Per feature the points of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low, high, other = np.full(dims, np.inf), np.full(dims, -np.inf), np.zeros(dims, dtype=bool)
+        points, some, count = [_Points() for _ in range(dims)], [], 0
+
+        def take() -> None:
+            columns = np.ascontiguousarray(np.concatenate(some).T)
+            low, high = columns.min(axis=1), columns.max(axis=1)
+            between = ((columns > low[:, None]) & (columns < high[:, None])).any(axis=1)
+            upper = (columns == high[:, None]).sum(axis=1)
+            for k, column in enumerate(columns):
+                if between[k]:
+                    points[k].add(*np.unique(column, return_counts=True))
+                else:
+                    points[k].add(np.array([low[k], high[k]]), np.array([len(column) - upper[k], upper[k]]))
+            some.clear()
+
         for batch in filter(lambda b: b.num_rows, batches):
-            matrix = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dims)
-            ends = np.stack((low, high, matrix.min(axis=0), matrix.max(axis=0)))
-            low, high = np.minimum(ends[0], ends[2]), np.maximum(ends[1], ends[3])
-            met = np.vstack((ends[np.isfinite(ends).all(axis=1)], matrix))
-            other |= ((met > low) & (met < high)).any(axis=0)
-        if np.isfinite(low).all():
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, (np.arange(dims), low, high, other))), ["pos", "low", "high", "other"])
+            some.append(_matrix(batch.column(0)))
+            count += batch.num_rows
+            if count >= POINTS:
+                take()
+                count = 0
+        if some:
+            take()
+        for pos, known in enumerate(points):
+            if known.held:
+                values, counts = known.merged()
+                yield pa.RecordBatch.from_arrays([pa.array([pos]), pa.array([values]), pa.array([counts])], ["pos", "values", "counts"])
+
+    return run
+
+
+def _cuts(bins: int):
+    """Cuts of the features whose points a task has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points: dict[int, _Points] = {}
+        for batch in batches:
+            for k, pos in enumerate(batch.column(0).to_pylist()):
+                values, counts = (batch.column(c)[k].values.to_numpy() for c in (1, 2))
+                points.setdefault(pos, _Points()).add(values, counts)
+        for pos, known in points.items():
+            values, counts = known.merged()
+            values, counts = values[counts > 0], counts[counts > 0]
+            ends = np.cumsum(counts)
+            cuts = values[np.searchsorted(ends, np.ceil(np.arange(1, bins) / bins * ends[-1]))] if len(values) > 2 else values
+            cuts = np.unique([*cuts, values[-1]])
+            yield pa.RecordBatch.from_arrays([pa.array([pos]), pa.array([cuts[cuts > values[0]][: bins - 1]])], ["pos", "cuts"])
 
     return run
 
@@ -527,25 +605,20 @@ def _spread(dims: int):
 def cut_points(rows: DataFrame, dims: int, bins: int) -> list[np.ndarray]:
     """Ascending cuts of every feature at its quantiles, at most bins - 1; its least value is none.
 
-    The only cut of a feature of two values is the larger one, which needs no quantiles.
+    The only cut of a feature of two values is the larger one. One pass sums every feature up as points, which
+    meet in a task per feature.
     """
-    spread = rows.select("x").mapInArrow(_spread(dims), "pos long, low double, high double, other boolean").groupBy("pos").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.max("other").alias("other"),
-        F.array_union(F.collect_set("low"), F.collect_set("high")).alias("ends"),
-    ).select("pos", "low", "high", (F.col("other") | (F.size("ends") > 2)).alias("other")).collect()  # one row per feature
-    most = [r["pos"] for r in spread if r["other"]]
-    shares = ", ".join(f"{k / bins!r}D" for k in range(1, bins))
-    wide = rows.select(F.explode(F.array(*[F.struct(F.lit(k).alias("pos"), F.col("x")[k].alias("col")) for k in most])).alias("v")) if most else None
-    found = {r["pos"]: r["q"] for r in wide.groupBy("v.pos").agg(
-        F.expr(f"percentile_approx(v.col, array({shares}), 10000)").alias("q")
-    ).collect()} if most else {}
-    out = [np.zeros(0)] * dims
-    for r in spread:
-        cuts = np.unique([*(found.get(r["pos"]) or []), r["high"]])
-        out[r["pos"]] = cuts[cuts > r["low"]][: bins - 1]
-    return out
+    spark = rows.sparkSession
+    with _batches(spark, 1000, 4 << 20):
+        found = {
+            r["pos"]: np.array(r["cuts"], dtype=float)
+            for r in rows.select("x").mapInArrow(_points(dims), "pos long, values array<double>, counts array<double>")
+            .repartition(min(dims, spark.sparkContext.defaultParallelism), "pos").mapInArrow(_cuts(bins), "pos long, cuts array<double>").collect()
+        }  # one row per feature
+    return [found.get(k, np.zeros(0)) for k in range(dims)]
 
 
+_BINNED = "id long, bins binary, label double, weight double"
 _BLOCK = "block long, n long, bins binary, numbers binary"
 
 
@@ -557,9 +630,9 @@ def _kept(places: RDD) -> RDD:
 
 
 @contextmanager
-def _batches(spark: SparkSession, rows: int):
-    """Batches for Python hold this many rows, whatever their size."""
-    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": 2**31 - 1}
+def _batches(spark: SparkSession, rows: int, size: int = 2**31 - 1):
+    """Batches for Python hold this many rows, or bytes."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, str(value))
@@ -598,8 +671,8 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     parts = max(1, -(-size["n"] // (BLOCK_ROWS * PARTITION_BLOCKS)))
     with _batches(rows.sparkSession, BLOCK_ROWS):  # a batch is a block
         blocks = stage(
-            stored.withColumn("id", F.monotonically_increasing_id()).repartition(parts, "id").sortWithinPartitions("id")
-            .select("id", "x", "label", "weight").mapInArrow(_blocked(cuts, where), _BLOCK), "blocks"
+            stored.select(F.monotonically_increasing_id().alias("id"), "x", "label", "weight").mapInArrow(_binned(cuts, where), _BINNED)
+            .repartition(parts, "id").sortWithinPartitions("id").mapInArrow(_blocked, _BLOCK), "blocks"
         )
     scale = 2.0 ** min(36, int(52 - np.log2(TOGETHER * BLOCK_ROWS * max(size["weight"], 1.0))), int(61 - np.log2(size["n"] * max(size["weight"], 1.0))))
     trees: list[Tree] = []

@@ -191,3 +191,23 @@ def test_a_pass_reads_files_of_its_machine_and_lost_ones_are_made_again(spark, m
     assert B.fit_trees(frame, PLAIN) == whole and len(held) == 2
     assert {"lanes", "known", "scores-2", "slopes-2"} <= set(hits) and "scores-0" not in hits
     assert last and not any(Path(folder).exists() for folder in last)
+
+
+def test_cuts_are_at_exact_ranks_and_merged_points_stay_close(spark, monkeypatch):
+    """Every value of every feature was moved into a row of its own; ranks of 20000 values were not exact."""
+    rng = np.random.default_rng(3)
+    x = np.stack((rng.normal(size=20000), rng.integers(0, 300, 20000) ** 2, np.full(20000, 7.0), rng.integers(1, 3, 20000)), axis=1)
+    cuts = B.cut_points(as_frame(spark, x, x[:, 2], x[:, 2]), 4, 256)
+    for k in (0, 1):
+        values = np.sort(x[:, k])
+        want = np.unique([*values[np.ceil(np.arange(1, 256) / 256 * 20000).astype(int) - 1], values[-1]])
+        assert (cuts[k] == want[want > values[0]][:255]).all()
+    assert len(cuts[2]) == 0 and cuts[3].tolist() == [2.0]
+    monkeypatch.setattr(B, "POINTS", 1000)
+    points = B._Points()
+    for part in np.split(x[:, 0], 40):
+        points.add(*np.unique(part, return_counts=True))
+    values, counts = points.merged()
+    assert len(values) <= 1000 and counts.sum() == 20000 and values[0] == x[:, 0].min() and values[-1] == x[:, 0].max()
+    ranks = np.searchsorted(np.sort(x[:, 0]), values, side="right")
+    assert abs(ranks - np.cumsum(counts)).max() <= 20000 * 8 / 1000
