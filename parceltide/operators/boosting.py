@@ -25,7 +25,6 @@ import os
 import shutil
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -36,15 +35,15 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from parceltide.session import stage
+from parceltide.operators.selection import POINTS, Points
+from parceltide.session import batches, stage
 
 BLOCK_ROWS = 4096
 PARTITION_BLOCKS = 32
 TASK_BLOCKS = 4096  # at most in a task, which streams them
 TOGETHER = 4  # blocks that a task works on at once
-POINTS = 1 << 16  # different values of a feature whose ranks are exact
 JOINT = 4096  # numbers of lanes that are counted together
 DIRECT_TASKS = 32  # whose sums the driver adds up by itself
 MOST_LOSSES = 4  # of files, in a row, within one tree
@@ -522,37 +521,11 @@ def grow(places: RDD, trees: list[Tree], start: int, cuts: list[np.ndarray], whe
     return Tree(kept, edges, [b if f >= 0 else 0 for f, b in zip(kept, first)], values)
 
 
-class _Points:
-    """Values of a feature with their counts; beyond ``POINTS`` different ones, values at even ranks stand for those before them.
-
-    As long as there are fewer, ranks are exact; above, a merge moves a rank by at most one in ``POINTS``.
-    """
-
-    def __init__(self):
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
-        self.held.append((values, counts))
-        if sum(len(v) for v, _ in self.held) > 4 * POINTS:
-            self.held = [self.merged()]
-
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        values, counts = (np.concatenate(part) for part in zip(*self.held))
-        values, at = np.unique(values, return_inverse=True)
-        counts = np.bincount(at, counts)
-        if len(values) > POINTS:
-            ends = np.cumsum(counts)
-            ranks = np.minimum(np.ceil(np.arange(1, POINTS) * (ends[-1] / (POINTS - 1))), ends[-1])
-            stay = np.unique(np.append(0, np.searchsorted(ends, ranks)))
-            values, counts = values[stay], np.diff(ends[stay], prepend=0.0)
-        return values, counts
-
-
 def _points(dims: int):
     """Per feature the points of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        points, some, count = [_Points() for _ in range(dims)], [], 0
+        points, some, count = [Points() for _ in range(dims)], [], 0
 
         def take() -> None:
             columns = np.ascontiguousarray(np.concatenate(some).T)
@@ -586,11 +559,11 @@ def _cuts(bins: int):
     """Cuts of the features whose points a task has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        points: dict[int, _Points] = {}
+        points: dict[int, Points] = {}
         for batch in batches:
             for k, pos in enumerate(batch.column(0).to_pylist()):
                 values, counts = (batch.column(c)[k].values.to_numpy() for c in (1, 2))
-                points.setdefault(pos, _Points()).add(values, counts)
+                points.setdefault(pos, Points()).add(values, counts)
         for pos, known in points.items():
             values, counts = known.merged()
             values, counts = values[counts > 0], counts[counts > 0]
@@ -609,7 +582,7 @@ def cut_points(rows: DataFrame, dims: int, bins: int) -> list[np.ndarray]:
     meet in a task per feature.
     """
     spark = rows.sparkSession
-    with _batches(spark, 1000, 4 << 20):
+    with batches(spark, 1000, 4 << 20):
         found = {
             r["pos"]: np.array(r["cuts"], dtype=float)
             for r in rows.select("x").mapInArrow(_points(dims), "pos long, values array<double>, counts array<double>")
@@ -629,26 +602,12 @@ def _kept(places: RDD) -> RDD:
     return held
 
 
-@contextmanager
-def _batches(spark: SparkSession, rows: int, size: int = 2**31 - 1):
-    """Batches for Python hold this many rows, or bytes."""
-    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
-    before = {key: spark.conf.get(key) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, str(value))
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
 def _held(stored: DataFrame, where: Lanes) -> RDD:
     """Folders of stored blocks, dealt over all cores, or at ``TASK_BLOCKS`` a task over more."""
     count = stored.count()
     spark = stored.sparkSession
     parts = max(-(-count // TASK_BLOCKS), min(count, spark.sparkContext.defaultParallelism))
-    with _batches(spark, TOGETHER):
+    with batches(spark, TOGETHER):
         return _kept(stored.repartition(parts).mapInArrow(_laid_down(where), "folder string").rdd.map(lambda r: r["folder"]))
 
 
@@ -669,7 +628,7 @@ def fit_trees(rows: DataFrame, how: Boosting) -> list[Tree]:
     cuts = cut_points(stored, size["dims"], how.bins)
     where = shared_lanes(stored, cuts, how.bins)
     parts = max(1, -(-size["n"] // (BLOCK_ROWS * PARTITION_BLOCKS)))
-    with _batches(rows.sparkSession, BLOCK_ROWS):  # a batch is a block
+    with batches(rows.sparkSession, BLOCK_ROWS):  # a batch is a block
         blocks = stage(
             stored.select(F.monotonically_increasing_id().alias("id"), "x", "label", "weight").mapInArrow(_binned(cuts, where), _BINNED)
             .repartition(parts, "id").sortWithinPartitions("id").mapInArrow(_blocked, _BLOCK), "blocks"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -12,8 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from parceltide import contracts as C
 from parceltide.operators.boosting import Boosting, SecondOrderBoosting
-from parceltide.operators.selection import quantiles
-from parceltide.session import stage
+from parceltide.operators.selection import column_quantile
 
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
 
@@ -51,9 +51,19 @@ def numeric_frame(frame: DataFrame, columns=C.NUMERIC_FEATURES) -> DataFrame:
 
 
 def exact_medians(train: DataFrame, columns=C.NUMERIC_FEATURES) -> DataFrame:
-    """(feature, median) over the non-missing training values; a few counting passes for all columns together."""
-    values = stage(numeric_frame(train, columns), "numeric").unpivot([], list(columns), "feature", "value")
-    return quantiles(values, "value", {"median": 0.5}, within=["feature"], read_out=1000)
+    """(feature, median) over the non-missing training values; a few passes for all columns together."""
+    medians = column_quantile(numeric_frame(train, columns), columns, 0.5)
+    return train.sparkSession.createDataFrame(list(medians.items()), "feature string, median double")
+
+
+_MEDIANS: WeakKeyDictionary[DataFrame, dict[str, float]] = WeakKeyDictionary()
+
+
+def _medians_of(train: DataFrame) -> dict[str, float]:
+    """Candidates that are fitted on the same frame share its medians."""
+    if train not in _MEDIANS:
+        _MEDIANS[train] = {r["feature"]: r["median"] for r in exact_medians(train).collect()}
+    return _MEDIANS[train]
 
 
 def scale_statistics(train: DataFrame, medians: dict[str, float], columns=C.NUMERIC_FEATURES) -> DataFrame:
@@ -86,7 +96,7 @@ def preparation(train: DataFrame, scaled: bool) -> list:
     Unseen labels go to the indexer's extra slot, which the encoder drops, so
     they become all zeros.
     """
-    medians = {r["feature"]: r["median"] for r in exact_medians(train).collect()}
+    medians = _medians_of(train)
     stats = scale_statistics(train, medians).first().asDict() if scaled else {}
     columns = []
     for c in C.NUMERIC_FEATURES:

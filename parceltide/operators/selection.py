@@ -5,19 +5,24 @@ group; a pass counts the values of the bracket in equal bins, which combine befo
 shuffle, and the bin that covers the rank becomes the next bracket. Once a bracket holds few
 values, or only one, it is read out. Nothing is ever sorted or moved as a whole, and a group
 may hold all rows. Groups that are small to begin with are read out at once.
+
+A quantile of many columns of numbers is bracketed by points instead: each task sums a column up as values with counts.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from parceltide.session import stage
+from parceltide.session import batches, stage
 
 READ_OUT = 100_000  # values of a bracket that are gathered in one row
 BINS = 1024
+POINTS = 1 << 16  # different values whose ranks are exact
 
 
 def _at(values: Column, rank: Column) -> Column:
@@ -139,3 +144,135 @@ def _selected(
         for name, p in zip(probabilities, positions)
     ]
     return large.join(values, within).select(*within, *picks)
+
+
+# -- columns of numbers ------------------------------------------------------
+
+class Points:
+    """Values with their counts; beyond ``POINTS`` different ones, values at even ranks stand for those before them.
+
+    The values up to a point are at least as many as the counts say, and at most ``error`` more.
+    """
+
+    def __init__(self):
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.error = 0.0
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        self.held.append((values, counts))
+        if sum(len(v) for v, _ in self.held) > 4 * POINTS:
+            self.held = [self.merged()]
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        values, counts = (np.concatenate(part) for part in zip(*self.held))
+        values, at = np.unique(values, return_inverse=True)
+        counts = np.bincount(at, counts)
+        if len(values) > POINTS:
+            ends = np.cumsum(counts)
+            ranks = np.minimum(np.ceil(np.arange(1, POINTS) * (ends[-1] / (POINTS - 1))), ends[-1])
+            kept = np.unique(np.append(0, np.searchsorted(ends, ranks)))
+            values, counts = values[kept], np.diff(ends[kept], prepend=0.0)
+            self.error += counts.max()
+        return values, counts
+
+
+_STATE = "pos long, below double, nans double, error double, values array<double>, counts array<double>"
+
+
+def _inside(columns: int, brackets: dict[int, tuple[float | None, float | None]]):
+    """Per wanted column of a task: values up to its bracket, NaN, and the points of (low, high]."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points, below, nans = ([make() for _ in range(columns)] for make in (Points, float, float))
+        some, count = [], 0
+
+        def take() -> None:
+            table = pa.Table.from_batches(some)
+            for pos, (low, high) in brackets.items():
+                values = table.column(pos).drop_null().to_numpy()
+                real = values[~np.isnan(values)]
+                nans[pos] += len(values) - len(real)
+                if low is not None:
+                    inside = real[real > low]
+                    below[pos] += len(real) - len(inside)
+                    real = inside
+                if high is not None:
+                    real = real[real <= high]
+                if len(real):
+                    points[pos].add(*np.unique(real, return_counts=True))
+            some.clear()
+
+        for batch in batches:
+            some.append(batch)
+            count += batch.num_rows
+            if count >= POINTS:
+                take()
+                count = 0
+        if some:
+            take()
+        for pos in brackets:
+            values, counts = points[pos].merged() if points[pos].held else (np.zeros(0), np.zeros(0))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v]) for v in (pos, below[pos], nans[pos], points[pos].error)] + [pa.array([v.astype(float)]) for v in (values, counts)],
+                ["pos", "below", "nans", "error", "values", "counts"],
+            )
+
+    return run
+
+
+def _narrowed(probability: float, brackets: dict[int, tuple[float | None, float | None]], sizes: dict[int, float]):
+    """Per column its size, and the two values around the quantile or else the next bracket of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, tuple[list, Points]] = {}
+        for batch in batches:
+            for k, row in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)))):
+                sums, points = known.setdefault(row[0], ([0.0, 0.0], Points()))
+                sums[0], sums[1], points.error = sums[0] + row[1], sums[1] + row[2], points.error + row[3]
+                values, counts = (batch.column(c)[k].values.to_numpy() for c in (4, 5))
+                if len(values):
+                    points.add(values, counts)
+        for pos, ((below, nans), points) in known.items():
+            values, counts = points.merged() if points.held else (np.zeros(0), np.zeros(0))
+            ends = below + np.cumsum(counts)
+            real = sizes.get(pos, ends[-1] if len(ends) else 0.0)
+            place = (real + nans - 1) * probability
+            first, last = np.floor(place) + 1, np.ceil(place) + 1  # how many values there are up to each
+            if real + nans == 0:
+                continue
+            if points.error == 0:
+                low, high = (float(values[np.searchsorted(ends, r)]) if r <= real else float("nan") for r in (first, last))
+            else:
+                before = int(np.searchsorted(ends + points.error, first)) - 1
+                low = float(values[before]) if before >= 0 else brackets[pos][0]
+                high = float(values[np.searchsorted(ends, last)]) if last <= real else None
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pos]), pa.array([real]), pa.array([float(place)]), pa.array([points.error == 0]), pa.array([low], pa.float64()), pa.array([high], pa.float64())],
+                ["pos", "real", "place", "exact", "low", "high"],
+            )
+
+    return run
+
+
+def column_quantile(frame: DataFrame, columns: Sequence[str], probability: float) -> dict[str, float]:
+    """The exact, linearly interpolated quantile of every column of doubles; NULLs are skipped, NaN is the largest.
+
+    Columns without a value are left out. The frame is read once per pass, twice for columns of very many different values.
+    """
+    spark = frame.sparkSession
+    columns, out = list(columns), {}
+    brackets: dict[int, tuple[float | None, float | None]] = dict.fromkeys(range(len(columns)), (None, None))
+    sizes: dict[int, float] = {}
+    while brackets:
+        with batches(spark, 10000, 4 << 20):
+            found = frame.select(*columns).mapInArrow(_inside(len(columns), brackets), _STATE).repartition(
+                min(len(columns), spark.sparkContext.defaultParallelism), "pos"
+            ).mapInArrow(
+                _narrowed(probability, brackets, sizes), "pos long, real double, place double, exact boolean, low double, high double"
+            ).collect()  # one row per column
+        brackets = {r["pos"]: (r["low"], r["high"]) for r in found if not r["exact"]}
+        sizes = {r["pos"]: r["real"] for r in found}
+        for r in found:
+            if r["exact"]:
+                out[columns[r["pos"]]] = r["low"] + (r["high"] - r["low"]) * (r["place"] - float(np.floor(r["place"])))
+    return out

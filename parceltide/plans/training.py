@@ -28,10 +28,9 @@ class Outcome:
 Fit = Callable[[M.Candidate, DataFrame], PipelineModel]
 
 
-def prepared_split(features: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Stored features with their split: the fits below read files, not the feature plan."""
-    stored = stage(features, "features")
-    split = E.chronological_split(stored)
+def prepared_split(features: DataFrame, stored: bool = False) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Stored features with their split: the fits below read files, not the feature plan. ``stored`` ones are not stored again."""
+    split = E.chronological_split(features if stored else stage(features, "features"))
     check_split(E.split_summary(split))
     return split, {name: split.where(F.col("split") == name) for name in E.SPLITS}
 
@@ -67,10 +66,10 @@ def _report(split: DataFrame, winner: str, threshold: float, *metrics) -> DataFr
 
 
 def train_baseline(
-    features: DataFrame, candidate: M.Candidate = M.BASELINE, fit: Fit = M.fit_candidate
+    features: DataFrame, candidate: M.Candidate = M.BASELINE, fit: Fit = M.fit_candidate, stored: bool = False
 ) -> Outcome:
     """One model: threshold from validation, metrics on test, beside the prior baseline."""
-    split, parts = prepared_split(features)
+    split, parts = prepared_split(features, stored)
     model = fit(candidate, parts["train"])
     validation, test = (scored_part(model, parts[p]) for p in ("validation", "test"))
     threshold = E.select_threshold(E.score_curve(validation)).first()["threshold"]
@@ -83,10 +82,10 @@ def train_baseline(
 
 
 def compare_candidates(
-    features: DataFrame, candidates: Sequence[M.Candidate] = M.CANDIDATES, fit: Fit = M.fit_candidate
+    features: DataFrame, candidates: Sequence[M.Candidate] = M.CANDIDATES, fit: Fit = M.fit_candidate, stored: bool = False
 ) -> Outcome:
     """Fit candidates one after another, select on validation, test only the winner."""
-    split, parts = prepared_split(features)
+    split, parts = prepared_split(features, stored)
     fitted, validation, rows = {}, {}, []
     for candidate in sorted(candidates, key=lambda c: c.name):
         model = fitted[candidate.name] = fit(candidate, parts["train"])

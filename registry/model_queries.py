@@ -104,7 +104,7 @@ def _(spark, folder):
 
 def _fit_and_score(candidate: M.Candidate):
     def run(spark, folder):
-        _, parts = prepared_split(feature_table(spark, folder))
+        _, parts = prepared_split(feature_table(spark, folder), stored=True)
         model = _fit_once(spark, folder)(candidate, parts["train"])
         rest = parts["validation"].unionByName(parts["test"])
         return M.score(model, rest).select(C.ORDER_KEY, C.TARGET, "split", "risk_score")
@@ -119,7 +119,7 @@ register("fit_score_logit")(_fit_and_score(M.LOGISTIC))
 
 @lru_cache(maxsize=4)
 def _baseline(spark, application, folder):
-    return train_baseline(feature_table(spark, folder), M.BASELINE, _fit_once(spark, folder))
+    return train_baseline(feature_table(spark, folder), M.BASELINE, _fit_once(spark, folder), stored=True)
 
 
 def _outcome(spark, folder):
@@ -133,7 +133,7 @@ def _(spark, folder):
 
 @register("candidate_comparison")
 def _(spark, folder):
-    return compare_candidates(feature_table(spark, folder), fit=_fit_once(spark, folder)).comparison
+    return compare_candidates(feature_table(spark, folder), fit=_fit_once(spark, folder), stored=True).comparison
 
 
 # Every state and year of the retail tables is a valid request; every 89th request lost its state on the way.

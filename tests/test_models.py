@@ -168,3 +168,16 @@ def test_kind_of_a_json_field_is_worked_out_once(spark):
     assert 0 < plan.lower().count("schemaofvariant(") <= len(C.MODEL_FEATURES) + 1
     rows = {r["payment_row_count"]: r["problems"] for r in frame.collect()}
     assert "purchase_hour:type" in rows[2] and "purchase_hour:missing" in rows[None] and "payment_row_count:type" not in rows[2]
+
+
+def test_candidates_share_the_medians_and_stored_features_are_read(spark, monkeypatch):
+    """Each candidate worked the medians of the same rows out again, and features that were stored were written again."""
+    from parceltide.plans import training
+
+    frames, stages = [], []
+    medians, stage = M.exact_medians, training.stage
+    monkeypatch.setattr(M, "exact_medians", lambda train: frames.append(train) or medians(train))
+    monkeypatch.setattr(training, "stage", lambda frame, label: stages.append(label) or stage(frame, label))
+    some = [replace(small(M.BASELINE), iterations=1), replace(small(M.SHALLOW), iterations=1)]
+    compare_candidates(stage(made_features(spark, 60), "features"), some, stored=True)
+    assert len(frames) == 1 and "features" not in stages

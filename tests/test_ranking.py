@@ -60,3 +60,30 @@ def test_quantiles_of_infinities_equal_values_and_nothing(spark, read_out):
 def test_even_count_interpolates(spark):
     frame = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "v double")
     assert quantiles(frame, "v", {"m": 0.5}).first()["m"] == 2.5
+
+
+def test_quantile_of_many_columns_takes_few_passes(spark, monkeypatch):
+    """Every value of every column became a row, joined with the ranks in each of several passes."""
+    from parceltide.operators import selection
+
+    rng = np.random.default_rng(4)
+    wide = rng.permutation(200001) / 7.0  # more different values than are kept
+    wide[:3] = [np.inf, -np.inf, np.nan]
+    few = rng.integers(0, 5, 200001).astype(float)
+    frame = spark.createDataFrame(list(zip(wide.tolist(), few.tolist())), "wide double, few double").repartition(4).selectExpr(
+        "wide", "few", "cast(null as double) none", "if(few > 1, few, null) gaps", "cast('NaN' as double) nan"
+    )
+    passes = []
+    inside = selection._inside
+    monkeypatch.setattr(selection, "_inside", lambda *a: passes.append(a[1]) or inside(*a))
+    for p in (0.0, 0.3, 0.5, 1.0):
+        got = selection.column_quantile(frame, frame.columns, p)
+        at = lambda v: np.sort(v)[int(np.floor((len(v) - 1) * p))]
+        assert set(got) == {"wide", "few", "gaps", "nan"} and np.isnan(got["nan"])
+        assert got["few"] == at(few) and got["gaps"] == at(few[few > 1])
+        low, high = np.sort(wide)[[int(np.floor(200000 * p)), int(np.ceil(200000 * p))]]
+        assert np.array_equal(got["wide"], low + (high - low) * (200000 * p - np.floor(200000 * p)), equal_nan=True)
+    assert len(passes) <= 8 and all(set(later) <= {0} for later in passes[1::2])
+    assert selection.column_quantile(frame.limit(0), frame.columns, 0.5) == {}
+    assert selection.column_quantile(frame.selectExpr("if(wide is null or few < 4, null, few + 0.5) x").limit(0).unionByName(
+        spark.createDataFrame([(1.0,), (2.0,), (None,)], "x double")), ["x"], 0.5) == {"x": 1.5}
